@@ -316,6 +316,20 @@ class TablePlan:
                 out = cur.withColumn(chunk_col, F.explode(arr))
         return out.drop(*helpers)
 
+    def match_times(self, df: DataFrame, col: str = "times") -> DataFrame:
+        """Add ``col``: how many chunks of the list (as written) match each row."""
+        helpers: list[str] = []
+        matches: list[Column] = []
+        cur = df
+        for st in self.strategies:
+            cur, cols, h = st.match_columns(cur, False)
+            matches += [c.cast("long") for c in cols]
+            helpers += h
+        if not matches:
+            return cur.withColumn(col, F.lit(0).cast("long"))
+        arr = F.filter(F.array(*matches), lambda x: x.isNotNull())
+        return cur.withColumn(col, F.size(arr).cast("long")).drop(*helpers)
+
     def chunk_table(self, spark: SparkSession) -> DataFrame:
         """strategy_no int, chunk_no long (global), label string — for every chunk."""
         parts = []

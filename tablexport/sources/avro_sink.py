@@ -15,9 +15,9 @@ Write (one Spark job, every task writes its own files)::
   tasks never collide);
 * ``target_size`` > 0 rolls to a new file once the *uncompressed* bytes of
   the current one reach it (block granularity);
-* files are written under ``_tx_tmp/<run>/<task-attempt>/`` and renamed on
+* files are written under ``_tx_tmp/<write>/<task-attempt>/`` and renamed on
   the driver in ``commit`` — a failed or retried attempt publishes nothing;
-* ``commit`` writes ``_manifest/files-<run>.json`` (JSON lines, one per
+* ``commit`` writes ``_manifest/files-<run>-<write>.json`` (JSON lines, one per
   file: chunk, path, rows, bytes, plain bytes, start, end, task) — the
   per-chunk statistics come from there, not from re-reading data.
 
@@ -91,6 +91,7 @@ class AvroWriter(DataSourceArrowWriter):
         self.target = int(options.get("target_size", "0") or 0)
         self.tidy = str(options.get("tidy", "true")).lower() == "true"
         self.run_id = options.get("run_id") or uuid.uuid4().hex[:12]
+        self.write_id = f"{self.run_id}-{uuid.uuid4().hex[:8]}"  # one per save(), shipped to the tasks
         self.max_open = int(options.get("max_open_files", "64"))
         self.record_name = options.get("record_name") or self.table
         self.namespace = options.get("namespace") or self.schema_name
@@ -113,7 +114,7 @@ class AvroWriter(DataSourceArrowWriter):
         pid = ctx.partitionId() if ctx else 0
         attempt = f"{pid:05d}-{ctx.attemptNumber() if ctx else 0}-{uuid.uuid4().hex[:6]}"
         fs, root = _fs(self.path)
-        tmp_dir = f"{root}/{TMP_DIR}/{self.run_id}/{attempt}"
+        tmp_dir = f"{root}/{TMP_DIR}/{self.write_id}/{attempt}"
         fs.create_dir(tmp_dir, recursive=True)
         open_files: dict[int, _Open] = {}
         seq: dict[int, int] = {}
@@ -199,17 +200,19 @@ class AvroWriter(DataSourceArrowWriter):
                 final = f"{root}/{f['name']}"
                 fs.move(f["tmp"], final)
                 rec = {k: v for k, v in f.items() if k != "tmp"}
-                rec["path"] = final
+                rec.update(path=final, catalog=self.catalog, schema=self.schema_name, table=self.table,
+                           run_id=self.run_id)
                 lines.append(json.dumps(rec))
         fs.create_dir(f"{root}/{MANIFEST_DIR}", recursive=True)
-        with fs.open_output_stream(f"{root}/{MANIFEST_DIR}/files-{self.run_id}.json") as out:
+        index = f"{root}/{MANIFEST_DIR}/files-{self.write_id}.json"
+        with fs.open_output_stream(index) as out:
             out.write(("\n".join(lines) + ("\n" if lines else "")).encode())
-        fs.delete_dir(f"{root}/{TMP_DIR}/{self.run_id}")
+        fs.delete_dir(f"{root}/{TMP_DIR}/{self.write_id}")
 
     def abort(self, messages):
         fs, root = _fs(self.path)
         try:
-            fs.delete_dir(f"{root}/{TMP_DIR}/{self.run_id}")
+            fs.delete_dir(f"{root}/{TMP_DIR}/{self.write_id}")
         except Exception:
             pass
 
