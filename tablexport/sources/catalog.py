@@ -263,3 +263,53 @@ class JdbcCatalog:
         if self.flavor != "oracle":
             raise NotImplementedError("partition listing is read from the Oracle data dictionary")
         return self._query(ORACLE_PARTITIONS_SQL)
+
+
+class SparkCatalogSource:
+    """Tables and views of the Spark session catalog (``spark.catalog``) as a source.
+
+    Temporary views have no database; they are listed under ``temp_schema``."""
+
+    def __init__(self, spark: SparkSession, database: str | None = None, *, temp_schema: str = "temp",
+                 catalog: str | None = None, primary_keys: dict | None = None):
+        self.spark, self.database, self.temp_schema, self.catalog = spark, database, temp_schema, catalog
+        self.primary_keys = {k.lower(): list(v) for k, v in (primary_keys or {}).items()}
+
+    def _scan(self) -> list[tuple]:
+        out = []
+        for t in self.spark.catalog.listTables(self.database):
+            schema = self.temp_schema if t.isTemporary else (t.namespace[-1] if t.namespace else self.database)
+            out.append((self.catalog, schema, t.name, None))
+        return sorted(out, key=lambda r: (r[1], r[2]))
+
+    def _name(self, schema: str, table: str) -> str:
+        return f"`{table}`" if schema == self.temp_schema else f"`{schema}`.`{table}`"
+
+    def schemas(self) -> DataFrame:
+        return self.spark.createDataFrame(sorted({(c, s) for c, s, _, _ in self._scan()}), "catalog string, schema string")
+
+    def tables(self) -> DataFrame:
+        return self.spark.createDataFrame(self._scan(), TABLES_SCHEMA)
+
+    def read(self, schema: str, table: str) -> DataFrame:
+        return self.spark.table(self._name(schema, table))
+
+    def columns(self) -> DataFrame:
+        rows = []
+        for c, s, t, _ in self._scan():
+            keys = set(self.primary_keys.get(f"{s}.{t}".lower(), self.primary_keys.get(t.lower(), [])))
+            for i, f in enumerate(self.read(s, t).schema.fields, start=1):
+                code = jdbc_type_of(f.dataType)
+                rows.append((c, s, t, i, f.name, code, f.dataType.simpleString(), f.name in keys,
+                             is_supported_code(code)))
+        return self.spark.createDataFrame(rows, COLUMNS_SCHEMA)
+
+    def row_counts(self, tables: list[tuple[str, str]] | None = None) -> DataFrame:
+        todo = tables or [(s, t) for _, s, t, _ in self._scan()]
+        parts = [self.read(s, t).agg(F.count(F.lit(1)).alias("row_count"))
+                 .select(F.lit(self.catalog).cast("string").alias("catalog"), F.lit(s).alias("schema"),
+                         F.lit(t).alias("table"), "row_count") for s, t in todo]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
