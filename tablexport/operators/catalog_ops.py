@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from ..session import local_df
 
 
 def full_match_any(text: Column, patterns: list[str] | tuple[str, ...]) -> Column:
@@ -54,7 +55,7 @@ def wish_list(tables: DataFrame, priorities, split_tables) -> DataFrame:
         sch, tab = name.split(".", 1)
         rank += 1
         rows.append((sch, tab, rank))
-    wl = spark.createDataFrame(rows, "schema string, table string, wish_rank int")
+    wl = local_df(spark, rows, "schema string, table string, wish_rank int")
     return wl.groupBy("schema", "table").agg(F.min("wish_rank").alias("wish_rank"))
 
 

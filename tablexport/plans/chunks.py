@@ -33,6 +33,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from ..session import local_df
 
 from ..operators.numbering import global_row_number
 from .split_spec import KeyType, Operation, SplitSpec, SplitSpecError
@@ -177,7 +178,7 @@ class PrefixStrategy(Strategy):
         if self.digits_chunk:
             extra.append((nxt, "digits"))
         if extra:
-            rows = rows.unionByName(spark.createDataFrame(extra, "local_no long, label string"))
+            rows = rows.unionByName(local_df(spark, extra, "local_no long, label string"))
         return rows
 
 
@@ -239,7 +240,7 @@ class DateStrategy(Strategy):
         return out
 
     def chunk_rows(self, spark):
-        return spark.createDataFrame(self.labels(), "local_no long, label string")
+        return local_df(spark, self.labels(), "local_no long, label string")
 
     def params(self):
         return {"start": str(self.start), "end": str(self.end), "increment": self.increment}
@@ -341,10 +342,10 @@ class TablePlan:
                 (F.col("local_no") + F.lit(st.offset)).cast("long").alias("chunk_no"),
                 F.col("label")))
         if self.exactly_once:
-            parts.append(spark.createDataFrame([(0, self.residual_no, "residual")],
+            parts.append(local_df(spark, [(0, self.residual_no, "residual")],
                                                "strategy_no int, chunk_no long, label string"))
         if not parts:
-            return spark.createDataFrame([], "strategy_no int, chunk_no long, label string")
+            return local_df(spark, [], "strategy_no int, chunk_no long, label string")
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
@@ -426,7 +427,7 @@ def _plan_one(spark, df, s: SplitSpec, no, bounds, exactly_once, factor, bcast,
     if kt is KeyType.string and s.operation is Operation.like:
         a, b = ord(str(s.start)[0]), ord(str(s.end)[0])
         chars = [chr(c) for c in range(a, b + 1)][:: s.increment]
-        lookup = spark.createDataFrame([(ch, i + 1) for i, ch in enumerate(chars)], "key string, local_no long")
+        lookup = local_df(spark, [(ch, i + 1) for i, ch in enumerate(chars)], "key string, local_no long")
         return PrefixStrategy(spec=s, strategy_no=no, column=s.column, lookup=lookup, lengths=(1,),
                               n_prefix=len(chars), broadcast_chunks=bcast, kind="string_like")
     if kt is KeyType.date:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from .session import local_df
 
 from .functions.columns import chunk_id_col, convert_datetimes, pattern_col, tidy_name_col
 from .operators import catalog_ops as co
@@ -104,7 +105,7 @@ def describe_columns(spark, sf):
 
 def primary_key_columns(spark, sf):
     cat = _cat(spark, sf)
-    keys = spark.createDataFrame([("dbo", t, c) for t, cs in KEYS.items() for c in cs],
+    keys = local_df(spark, [("dbo", t, c) for t, cs in KEYS.items() for c in cs],
                                  "schema string, table string, column string")
     marked = co.primary_key_columns(cat.columns(), keys)
     return marked.filter("is_key").select(F.col("table").alias("table_name"), F.col("column").alias("column_name"))
@@ -148,7 +149,7 @@ def split_choice(spark, sf):
     for r in _cat(spark, sf).tables().collect():
         part = bool(job.partition_columns.get(r["table"]))
         rows.append((r["table"], choose_strategy(job, r["schema"], r["table"], part)))
-    return spark.createDataFrame(rows, "table_name string, strategy string")
+    return local_df(spark, rows, "table_name string, strategy string")
 
 
 # ------------------------------------------------------------------ scans / projections
@@ -364,7 +365,7 @@ def failed_chunks(spark, sf):
     job, res = _export_orders(spark, sf, "failed", tables=("dbo.orders", "dbo.part"), continue_on_exception=True,
                               split_strategies=(YEARLY, "part,between,p_nothere,number,10"))
     rows = [(t.table, "Failed" if not t.ok else "Completed", t.error is not None) for t in res.tables]
-    return spark.createDataFrame(rows, "table_name string, status string, has_error boolean").filter(
+    return local_df(spark, rows, "table_name string, status string, has_error boolean").filter(
         F.col("status") == "Failed")
 
 

@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from .session import local_df
 
 from .functions.columns import chunk_id_col, convert_datetimes, tidy_columns
 from .operators import catalog_ops as co
@@ -74,6 +75,7 @@ class ExportResult:
     rollup: DataFrame
     manifest_path: str
     runtime_ms: int
+    timings: dict = field(default_factory=dict)
 
     @property
     def failed(self) -> list[TableResult]:
@@ -126,17 +128,16 @@ def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame, schema:
         rows = [(f"{no:07d}", f"{'' if p is None else str(p) + ' '}[{lo},{hi}] weight {w}") for no, p, g, lo, hi, w in chunks]
         if residual:
             rows.append((f"{residual:07d}", "residual"))
-        labels = spark.createDataFrame(rows, "query_id string, label string")
+        labels = local_df(spark, rows, "query_id string, label string")
         return assigned, strategy, len(chunks) + (1 if residual else 0), labels, []
-    return None, "whole", 1, spark.createDataFrame([("0000001", "whole table")], "query_id string, label string"), []
+    return None, "whole", 1, local_df(spark, [("0000001", "whole table")], "query_id string, label string"), []
 
 
-def export_table(spark: SparkSession, job: ExportJob, source, columns_meta: DataFrame, schema: str, table: str,
+def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, schema: str, table: str,
                  run_id: str, resume: bool = False, cluster: bool = True) -> TableResult:
+    """Export one table; ``cols_rows`` are its column metadata rows (ordinal, column, vendor_type, exportable)."""
     res = TableResult(catalog=getattr(source, "catalog", None), schema=schema, table=table, run_id=run_id)
-    cols_rows = (columns_meta.filter((F.col("schema") == schema) & (F.col("table") == table))
-                 .select("ordinal", "column", "vendor_type", "exportable").collect())
-    cols_rows.sort(key=lambda r: r["ordinal"])
+    cols_rows = sorted(cols_rows, key=lambda r: r["ordinal"])
     export_cols = [r["column"] for r in cols_rows if r["exportable"]]
     if not export_cols:
         res.strategy, res.table_query_count = "skipped", 0
@@ -181,20 +182,33 @@ def export_table(spark: SparkSession, job: ExportJob, source, columns_meta: Data
 def export_database(spark: SparkSession, job: ExportJob, source, threads: int = 1, resume: bool = False,
                     count_rows: bool = True, manifest_name: str = "job.json") -> ExportResult:
     t0 = time.time()
+    timings: dict[str, float] = {}
+
+    def lap(name, since):
+        timings[name] = round(time.time() - since, 3)
+        return time.time()
+
     run_id = uuid.uuid4().hex[:12]
     run_sql(spark, job.pre_sql)
     tables = co.exclude_tables(co.filter_tables(co.filter_schemas(source.tables(), job.schemas), job.tables),
                                job.table_exclusions)
     ordered = co.prioritized_tables(tables, job.table_priorities, job.tables_split)
     todo = [(r["schema"], r["table"]) for r in ordered.orderBy("schema", "priority").collect()]
-    columns_meta = co.mark_excluded(source.columns(), job.column_exclusions).cache()
+    # column metadata of the selected tables only, fetched with one collect
+    meta_rows = (co.mark_excluded(source.columns(todo), job.column_exclusions)
+                 .select("schema", "table", "ordinal", "column", "vendor_type", "exportable").collect())
+    by_table: dict = {}
+    for r in meta_rows:
+        by_table.setdefault((r["schema"], r["table"]), []).append(r)
+    t = lap("plan_catalog", t0)
 
     def one(st):
         schema, table = st
         waits = list(job.retry_waits)
         for attempt in range(len(waits) + 1):
             try:
-                return export_table(spark, job, source, columns_meta, schema, table, run_id, resume=resume)
+                return export_table(spark, job, source, by_table.get((schema, table), []), schema, table, run_id,
+                                    resume=resume)
             except Exception as e:  # noqa: BLE001 - policy decides
                 if attempt < len(waits):
                     time.sleep(waits[attempt])
@@ -210,6 +224,7 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     else:
         results = [one(t) for t in todo]
 
+    t = lap("export", t)
     if count_rows:
         ok = [(r.schema, r.table) for r in results if r.ok and r.strategy != "skipped"]
         if ok:
@@ -217,9 +232,10 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
             for r in results:
                 r.db_row_count = counts.get((r.schema, r.table))
 
+    t = lap("row_counts", t)
     files = read_file_index(spark, job.destination).filter(F.col("run_id") == run_id)
-    stats = query_stats(files)
-    info = spark.createDataFrame(
+    stats = query_stats(files).persist()
+    info = local_df(spark, 
         [(r.catalog, r.schema, r.table, r.db_row_count, r.table_query_count, r.split_strategies, r.strategy)
          for r in results if r.ok],
         "catalog string, schema string, table string, db_row_count long, table_query_count long, "
@@ -236,5 +252,6 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     path = write_job_manifest(job.to_dict(), roll_rows, failed, runtime_ms,
                               f"{job.destination.rstrip('/')}/{manifest_name}")
     run_sql(spark, job.post_sql)
+    lap("report", t)
     return ExportResult(tables=results, files=files, stats=stats, rollup=rollup, manifest_path=path,
-                        runtime_ms=runtime_ms)
+                        runtime_ms=runtime_ms, timings=timings)

@@ -50,3 +50,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
+
+
+def local_df(spark: SparkSession, rows, schema):
+    """Small driver-side metadata (chunk lists, catalog rows) as a DataFrame.
+
+    Built through Arrow (a local relation), not a pickled Python RDD, so
+    using it starts no Python workers. Only for metadata-sized data."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    asch = to_arrow_schema(st)
+    rows = list(rows)
+    cols = list(zip(*rows)) if rows else [() for _ in st.fields]
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(cols, asch)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=asch)).select(
+        *[f"`{f.name}`" for f in st.fields]).to(st)

@@ -23,6 +23,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from ..session import local_df
 
 # Java.sql.Types codes.
 JDBC = {
@@ -113,10 +114,10 @@ class DirectoryCatalog:
 
     def schemas(self) -> DataFrame:
         rows = sorted({(c, s) for c, s, _, _ in self._scan()}, key=lambda r: r[1])
-        return self.spark.createDataFrame(rows, "catalog string, schema string")
+        return local_df(self.spark, rows, "catalog string, schema string")
 
     def tables(self) -> DataFrame:
-        return self.spark.createDataFrame(self._scan(), TABLES_SCHEMA)
+        return local_df(self.spark, self._scan(), TABLES_SCHEMA)
 
     def path(self, schema: str, table: str) -> str:
         for c, s, t, p in self._scan():
@@ -131,9 +132,12 @@ class DirectoryCatalog:
         return self.primary_keys.get(f"{schema}.{table}".lower(), self.primary_keys.get(table.lower(), []))
 
     # ------------------------------------------------------------- columns
-    def column_rows(self) -> list[tuple]:
+    def column_rows(self, tables: list[tuple[str, str]] | None = None) -> list[tuple]:
         rows = []
+        want = None if tables is None else set(tables)
         for c, s, t, p in self._scan():
+            if want is not None and (s, t) not in want:
+                continue
             keys = set(self.keys_of(s, t))
             for i, f in enumerate(self.spark.read.parquet(p).schema.fields, start=1):
                 code = jdbc_type_of(f.dataType)
@@ -141,8 +145,9 @@ class DirectoryCatalog:
                              is_supported_code(code)))
         return rows
 
-    def columns(self) -> DataFrame:
-        return self.spark.createDataFrame(self.column_rows(), COLUMNS_SCHEMA)
+    def columns(self, tables: list[tuple[str, str]] | None = None) -> DataFrame:
+        """Column metadata of every table, or only of ``tables`` [(schema, table)]."""
+        return local_df(self.spark, self.column_rows(tables), COLUMNS_SCHEMA)
 
     def row_counts(self, tables: list[tuple[str, str]] | None = None) -> DataFrame:
         """Row count per table (Parquet: the scan reads footers/no columns)."""
@@ -231,7 +236,7 @@ class JdbcCatalog:
         return (self.spark.read.format("jdbc").option("url", self.url).option("query", sql)
                 .options(**self.props).load())
 
-    def columns(self) -> DataFrame:
+    def columns(self, tables: list[tuple[str, str]] | None = None) -> DataFrame:
         sql, types = (SQLSERVER_COLUMNS_SQL, SQLSERVER_TYPES) if self.flavor == "sqlserver" else \
             (ORACLE_COLUMNS_SQL, ORACLE_TYPES)
         raw = self._query(sql)
@@ -286,23 +291,26 @@ class SparkCatalogSource:
         return f"`{table}`" if schema == self.temp_schema else f"`{schema}`.`{table}`"
 
     def schemas(self) -> DataFrame:
-        return self.spark.createDataFrame(sorted({(c, s) for c, s, _, _ in self._scan()}), "catalog string, schema string")
+        return local_df(self.spark, sorted({(c, s) for c, s, _, _ in self._scan()}), "catalog string, schema string")
 
     def tables(self) -> DataFrame:
-        return self.spark.createDataFrame(self._scan(), TABLES_SCHEMA)
+        return local_df(self.spark, self._scan(), TABLES_SCHEMA)
 
     def read(self, schema: str, table: str) -> DataFrame:
         return self.spark.table(self._name(schema, table))
 
-    def columns(self) -> DataFrame:
+    def columns(self, tables: list[tuple[str, str]] | None = None) -> DataFrame:
         rows = []
+        want = None if tables is None else set(tables)
         for c, s, t, _ in self._scan():
+            if want is not None and (s, t) not in want:
+                continue
             keys = set(self.primary_keys.get(f"{s}.{t}".lower(), self.primary_keys.get(t.lower(), [])))
             for i, f in enumerate(self.read(s, t).schema.fields, start=1):
                 code = jdbc_type_of(f.dataType)
                 rows.append((c, s, t, i, f.name, code, f.dataType.simpleString(), f.name in keys,
                              is_supported_code(code)))
-        return self.spark.createDataFrame(rows, COLUMNS_SCHEMA)
+        return local_df(self.spark, rows, COLUMNS_SCHEMA)
 
     def row_counts(self, tables: list[tuple[str, str]] | None = None) -> DataFrame:
         todo = tables or [(s, t) for _, s, t, _ in self._scan()]
