@@ -224,8 +224,9 @@ class DateStrategy(Strategy):
         v = F.year(d) if self.yearly else F.year(d) * 12 + F.month(d) - 1
         rel = v.cast("long") - F.lit(self._index(self.start))
         idx = F.least(F.greatest(_sql_div(rel, self.step), F.lit(0)), F.lit(self.k))
-        # negative offsets truncate toward zero, clamped to the first window anyway
-        return df, [idx + F.lit(1 + self.offset)], []
+        # negative offsets truncate toward zero, clamped to the first window anyway;
+        # greatest/least skip NULLs, so a NULL key must be kept out explicitly
+        return df, [F.when(d.isNotNull(), idx + F.lit(1 + self.offset))], []
 
     def labels(self) -> list[tuple[int, str]]:
         if self.n_chunks == 0:

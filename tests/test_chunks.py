@@ -1,0 +1,211 @@
+"""Golden chunk lists, edge rows and brute-force equivalence of the one-pass assignment."""
+
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tablexport.plans.chunks import BetweenStrategy, DateStrategy, plan_table
+from tablexport.plans.split_spec import SplitSpec
+
+from . import brute
+
+D = dt.datetime
+
+
+# ------------------------------------------------------------------ golden lists (no Spark)
+def _between(text, s, e, inc, exactly_once=False):
+    b = BetweenStrategy(spec=SplitSpec.parse(text), strategy_no=1, start=s, end=e, increment=inc,
+                        exactly_once=exactly_once)
+    return [b.window(i) for i in range(1, b.n_chunks + 1)]
+
+
+def test_between_auto_increment_50():
+    w = _between("t,between,k,number", 0, 14999, (14999 - 0) // 50)
+    assert len(w) == 50 and w[0] == (0, 299) and w[1] == (300, 599) and w[-1] == (14700, 14999)
+
+
+def test_between_5000():
+    assert _between("t,between,k,number", 0, 14999, 5000) == [(0, 5000), (5001, 10001), (10002, 14999)]
+
+
+def test_between_first_window_not_clamped():
+    assert _between("t,between,k,number", 0, 100, 250) == [(0, 250)]
+    assert _between("t,between,k,number", 0, 100, 250, exactly_once=True) == [(0, 100)]
+
+
+def test_between_small():
+    assert _between("t,between,k,number", 1, 10, 3) == [(1, 4), (5, 8), (9, 10)]
+    assert _between("t,between,k,number", 0, 10, 0) == [(i, i) for i in range(11)]
+
+
+def _dates(lo, hi, inc):
+    d = DateStrategy(spec=SplitSpec.parse("t,range,d,date,12"), strategy_no=1, start=lo, end=hi, increment=inc)
+    return [lab for _, lab in d.labels()]
+
+
+def test_yearly():
+    labs = _dates(D(1995, 1, 1), D(2001, 8, 1), 12)
+    assert labs[0] == "< 1996-01-01 00:00:00" and labs[-1] == ">= 2001-01-01 00:00:00" and len(labs) == 7
+    assert labs[1] == ">= 1996-01-01 00:00:00 and < 1997-01-01 00:00:00"
+    assert _dates(D(1995, 3, 1), D(1996, 2, 1), 12) == ["< 1996-01-01 00:00:00", ">= 1996-01-01 00:00:00"]
+    assert _dates(D(2024, 1, 5), D(2024, 12, 1), 12) == ["all"]
+
+
+def test_monthly():
+    labs = _dates(D(2024, 1, 1), D(2024, 12, 31), 1)
+    assert len(labs) == 12 and labs[0] == "< 2024-02-01 00:00:00" and labs[-1] == ">= 2024-12-01 00:00:00"
+    assert _dates(D(2024, 1, 1), D(2024, 1, 31), 1) == ["all"]
+    assert _dates(D(2024, 2, 1), D(2024, 6, 30), 3) == ["< 2024-05-01 00:00:00", ">= 2024-05-01 00:00:00"]
+    assert _dates(D(2024, 1, 1), D(2024, 12, 1), 3) == [
+        "< 2024-04-01 00:00:00", ">= 2024-04-01 00:00:00 and < 2024-07-01 00:00:00",
+        ">= 2024-07-01 00:00:00 and < 2024-10-01 00:00:00", ">= 2024-10-01 00:00:00"]
+    assert _dates(D(2015, 11, 3), D(2016, 2, 9), 1) == [
+        "< 2015-12-01 00:00:00", ">= 2015-12-01 00:00:00 and < 2016-01-01 00:00:00",
+        ">= 2016-01-01 00:00:00 and < 2016-02-01 00:00:00", ">= 2016-02-01 00:00:00"]
+    assert _dates(D(2015, 12, 3), D(2016, 1, 9), 1) == ["< 2016-01-01 00:00:00", ">= 2016-01-01 00:00:00"]
+
+
+# ------------------------------------------------------------------ like lists (Spark lookup tables)
+def _labels(spark, text):
+    df = spark.createDataFrame([(1,)], "k bigint")
+    plan = plan_table(df, [SplitSpec.parse(text)], exactly_once=False)
+    return [r["label"] for r in plan.chunk_table(spark).orderBy("chunk_no").collect()]
+
+
+def test_like_lists(spark):
+    assert _labels(spark, "t,like,k,number,1,1,9") == [f"{i}%" for i in range(1, 10)]
+    assert _labels(spark, "t,like,k,number,1,10,12") == ["10%", "11%", "12%", "digits"]
+    assert _labels(spark, "t,like,k,number,1,1,3,A") == ["A1%", "A2%", "A3%", "NOT A%"]
+    assert _labels(spark, "t,like,k,number,1,10,11,A") == ["A10%", "A11%", "NOT A%", "digits"]
+    assert _labels(spark, "t,like,k,number,2,1,9") == ["1%", "3%", "5%", "7%", "9%"]
+
+
+# ------------------------------------------------------------------ edge rows
+KEYS_NUM = [None, -5, 0, 9, 10, 99, 100, 10, 9]
+
+
+def _assign(spark, keys, ddl, text, exactly_once):
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], f"i int, {ddl}")
+    plan = plan_table(df, [SplitSpec.parse(text)], exactly_once=exactly_once)
+    return sorted((r["i"], r["chunk_no"]) for r in plan.assign(df).select("i", "chunk_no").collect())
+
+
+@pytest.mark.parametrize("exactly_once", [False, True])
+def test_edge_number_like(spark, exactly_once):
+    got = _assign(spark, KEYS_NUM, "k bigint", "t,like,k,number,1,10,12", exactly_once)
+    assert got == brute.assign(KEYS_NUM, brute.like_chunks(10, 12, 1), exactly_once)
+
+
+@pytest.mark.parametrize("exactly_once", [False, True])
+def test_edge_number_between(spark, exactly_once):
+    got = _assign(spark, KEYS_NUM, "k bigint", "t,between,k,number,9,0,100", exactly_once)
+    assert got == brute.assign(KEYS_NUM, brute.between_chunks(0, 100, 9, exactly_once), exactly_once)
+
+
+KEYS_STR = [None, "", "A", "a", "O'Brien", "50%", "a_b", "É", "zeta", "m"]
+
+
+@pytest.mark.parametrize("exactly_once", [False, True])
+def test_edge_string_like(spark, exactly_once):
+    got = _assign(spark, KEYS_STR, "k string", "t,like,k,string,1,a,z", exactly_once)
+    preds = [(lambda c: lambda k: k is not None and k.startswith(c))(chr(c)) for c in range(ord("a"), ord("z") + 1)]
+    assert got == brute.assign(KEYS_STR, preds, exactly_once)
+
+
+def test_edge_prefix_with_wildcards_is_literal(spark):
+    keys = ["50%x", "50ab", "5_1", "501", None]
+    got = _assign(spark, keys, "k string", 'p,query,"k",like,k', False)
+    # every distinct value is its own prefix; '5_1' must not match '501' (no wildcard)
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k string")
+    plan = plan_table(df, [SplitSpec.parse('p,query,"k",like,k')], exactly_once=False)
+    lab = {r["chunk_no"]: r["label"][:-1] for r in plan.chunk_table(spark).collect()}
+    for i, c in got:
+        assert keys[i].startswith(lab[c])
+    assert len(got) == 4
+
+
+KEYS_DATE = [None, D(2015, 11, 3), D(2015, 12, 31, 23, 59, 59, 999999), D(2016, 1, 1), D(2016, 2, 9), D(2015, 12, 1)]
+
+
+@pytest.mark.parametrize("exactly_once", [False, True])
+def test_edge_dates_across_year_end(spark, exactly_once):
+    got = _assign(spark, KEYS_DATE, "k timestamp_ntz", "t,range,k,date,1", exactly_once)
+    expect = brute.assign(KEYS_DATE, brute.date_chunks(D(2015, 11, 3), D(2016, 2, 9), 1), exactly_once)
+    assert got == expect
+    assert dict(got)[2] == 2 and dict(got)[3] == 3  # one microsecond before / at the boundary
+
+
+def test_edge_single_year_is_one_chunk(spark):
+    keys = [D(2024, 1, 1), D(2024, 12, 31), None]
+    got = _assign(spark, keys, "k timestamp_ntz", "t,range,k,date,12", True)
+    assert got == [(0, 1), (1, 1), (2, 2)]
+
+
+def test_edge_combos_with_nulls_and_quotes(spark):
+    rows = [("x", 1, None), (None, 1, dt.date(2020, 1, 1)), ("O'Hara", None, dt.date(2020, 1, 1)),
+            ("x", 1, None), (None, None, None)]
+    df = spark.createDataFrame([(i,) + r for i, r in enumerate(rows)], "i int, a string, b int, c date")
+    plan = plan_table(df, [SplitSpec.parse('t,query,"a;b;c"')], exactly_once=True)
+    got = dict((r["i"], r["chunk_no"]) for r in plan.assign(df).collect())
+    assert len(got) == 5 and got[0] == got[3] and len({got[0], got[1], got[2], got[4]}) == 4
+    assert plan.n_chunks == 5  # 4 combinations + residual
+    assert max(got.values()) <= 4
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "k bigint")
+    plan = plan_table(df, [SplitSpec.parse("t,between,k,number")], exactly_once=True)
+    assert plan.assign(df).count() == 0 and plan.n_chunks == 1
+
+
+def test_multi_strategy_ids_run_on(spark):
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(["apple", "melon", "nut", "zed", "Zed", None])],
+                               "i int, w string")
+    plan = plan_table(df, [SplitSpec.parse("t,like,w,string,1,a,m"), SplitSpec.parse("t,like,w,string,1,n,z")],
+                      exactly_once=True)
+    got = dict((r["i"], r["chunk_no"]) for r in plan.assign(df).collect())
+    assert got == {0: 1, 1: 13, 2: 14, 3: 26, 4: 27, 5: 27}
+
+
+# ------------------------------------------------------------------ brute force, random
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.one_of(st.none(), st.integers(-50, 400)), min_size=0, max_size=40),
+       s=st.integers(-20, 100), span=st.integers(0, 300), inc=st.integers(0, 60), eo=st.booleans())
+def test_between_matches_brute_force(spark, keys, s, span, inc, eo):
+    e = s + span
+    got = _assign(spark, keys, "k bigint", f"t,between,k,number,{inc},{s},{e}", eo)
+    assert got == brute.assign(keys, brute.between_chunks(s, e, inc, eo), eo)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.one_of(st.none(), st.integers(-30, 3000)), min_size=0, max_size=40),
+       s=st.integers(0, 40), span=st.integers(0, 40), inc=st.integers(1, 7), eo=st.booleans())
+def test_like_matches_brute_force(spark, keys, s, span, inc, eo):
+    e = s + span
+    got = _assign(spark, keys, "k bigint", f"t,like,k,number,{inc},{s},{e}", eo)
+    assert got == brute.assign(keys, brute.like_chunks(s, e, inc), eo)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(days=st.lists(st.one_of(st.none(), st.integers(0, 3000)), min_size=1, max_size=30),
+       inc=st.sampled_from([1, 2, 3, 5, 11, 12, 24]), eo=st.booleans())
+def test_dates_match_brute_force(spark, days, inc, eo):
+    base = D(2014, 3, 17, 6, 30)
+    keys = [None if d is None else base + dt.timedelta(days=d, seconds=d * 37) for d in days]
+    present = [k for k in keys if k is not None]
+    got = _assign(spark, keys, "k timestamp_ntz", f"t,range,k,date,{inc}", eo)
+    if not present:
+        assert got == ([(i, 1) for i in range(len(keys))] if eo else [])
+        return
+    assert got == brute.assign(keys, brute.date_chunks(min(present), max(present), inc), eo)
+
+
+def test_audit_counts_overlaps(spark):
+    df = spark.createDataFrame([(k,) for k in KEYS_NUM], "k bigint")
+    plan = plan_table(df, [SplitSpec.parse("t,like,k,number,1,10,12")], exactly_once=False)
+    times = sorted(r["times"] for r in plan.match_times(df).collect())
+    expect = sorted(sum(1 for p in brute.like_chunks(10, 12, 1) if p(k)) for k in KEYS_NUM)
+    assert times == expect
