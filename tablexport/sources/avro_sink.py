@@ -22,7 +22,8 @@ Write (one Spark job, every task writes its own files)::
   per-chunk statistics come from there, not from re-reading data.
 
 Read: ``spark.read.format("tablexport_avro").load(dir)`` — one input
-partition per file, schema from the first file's header.
+partition per file, schema from the first file's header; option ``glob``
+(e.g. ``dbo.orders-*``) picks one table out of a shared destination.
 """
 
 from __future__ import annotations
@@ -239,13 +240,16 @@ def _spark_type(t) -> str:
     return _SPARK_TYPES[t]
 
 
-def list_avro_files(path: str) -> list[str]:
+def list_avro_files(path: str, pattern: str | None = None) -> list[str]:
+    """``.avro`` files directly under ``path`` (optionally matching a glob on the name)."""
+    import fnmatch
     from pyarrow import fs as pafs
     fs, root = _fs(path)
     sel = pafs.FileSelector(root, recursive=False)
     out = [i.path for i in fs.get_file_info(sel)
            if i.type == pafs.FileType.File and i.path.endswith(".avro")
-           and not os.path.basename(i.path).startswith(("_", "."))]
+           and not os.path.basename(i.path).startswith(("_", "."))
+           and (pattern is None or fnmatch.fnmatch(os.path.basename(i.path), pattern))]
     return sorted(out)
 
 
@@ -279,9 +283,10 @@ def _arrow_column(values: list, avro_t):
 class AvroReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
+        self.glob = options.get("glob")
 
     def partitions(self):
-        return [_FilePart(p) for p in list_avro_files(self.path)]
+        return [_FilePart(p) for p in list_avro_files(self.path, self.glob)]
 
     def read(self, partition):
         fs, _ = _fs(self.path)
@@ -303,7 +308,7 @@ class AvroDataSource(DataSource):
         return FORMAT
 
     def schema(self):
-        files = list_avro_files(self.options["path"])
+        files = list_avro_files(self.options["path"], self.options.get("glob"))
         if not files:
             raise FileNotFoundError(f"no .avro files under {self.options['path']}")
         fs, _ = _fs(self.options["path"])
@@ -319,10 +324,18 @@ class AvroDataSource(DataSource):
 
 
 _REGISTERED: set = set()
+_LOCK = __import__("threading").Lock()
 
 
 def register(spark) -> None:
+    """Register the data source once per session (safe from several threads)."""
     key = id(spark)
-    if key not in _REGISTERED:
-        spark.dataSource.register(AvroDataSource)
+    with _LOCK:
+        if key in _REGISTERED:
+            return
+        try:
+            spark.dataSource.register(AvroDataSource)
+        except Exception as e:  # noqa: BLE001 - registered by an earlier import of this module
+            if "ALREADY_EXISTS" not in str(e):
+                raise
         _REGISTERED.add(key)
