@@ -38,7 +38,7 @@ from ..session import local_df
 from ..operators.numbering import global_row_number
 from .split_spec import KeyType, Operation, SplitSpec, SplitSpecError
 
-BROADCAST_CHUNKS = 2_000_000
+BROADCAST_CHUNKS = 200_000  # lookup rows (tens of bytes each) broadcast at most: a few MB
 # The single-digit catch-all chunk of number prefixes.
 DIGITS = ("0", "1", "2", "3", "4", "5", "6", "7", "8", "9")
 
@@ -78,6 +78,11 @@ class Strategy:
     def params(self) -> dict:
         return {}
 
+    def coverage(self) -> Column | None:
+        """A pushdown-friendly filter true for every row some chunk of this strategy
+        takes (None when it cannot be stated simply)."""
+        return None
+
 
 @dataclass
 class BetweenStrategy(Strategy):
@@ -111,6 +116,11 @@ class BetweenStrategy(Strategy):
         chunk = _sql_div(k - F.lit(s), inc + 1) + F.lit(1 + self.offset)
         return df, [F.when(k.between(F.lit(s), F.lit(self.cover_hi)), chunk)], []
 
+    def coverage(self):
+        if self.n_chunks == 0:
+            return F.lit(False)
+        return q(self.spec.column).between(F.lit(self.start), F.lit(self.cover_hi))
+
     def chunk_rows(self, spark):
         s, e, inc = self.start, self.end, self.increment
         i = F.col("id") + 1
@@ -228,6 +238,9 @@ class DateStrategy(Strategy):
         # greatest/least skip NULLs, so a NULL key must be kept out explicitly
         return df, [F.when(d.isNotNull(), idx + F.lit(1 + self.offset))], []
 
+    def coverage(self):
+        return q(self.spec.column).isNotNull() if self.n_chunks else F.lit(False)
+
     def labels(self) -> list[tuple[int, str]]:
         if self.n_chunks == 0:
             return []
@@ -290,13 +303,28 @@ class TablePlan:
     def residual_no(self) -> int | None:
         return self.n_chunks if self.exactly_once else None
 
+    def coverage(self) -> Column | None:
+        """OR of the strategies' coverage filters, or None when one has none."""
+        out = None
+        for st in self.strategies:
+            c = st.coverage()
+            if c is None:
+                return None
+            out = c if out is None else (out | c)
+        return out
+
     def assign(self, df: DataFrame, chunk_col: str = "chunk_no") -> DataFrame:
         """Add ``chunk_col`` (global, 1-based) in one pass over ``df``.
 
-        exactly-once: one output row per input row; otherwise one per match."""
+        exactly-once: one output row per input row; otherwise one per match.
+        As written, rows outside every chunk are dropped by a plain filter
+        first, so range bounds reach the scan (row-group skipping)."""
         helpers: list[str] = []
         matches: list[Column] = []
         cur = df
+        cov = None if self.exactly_once else self.coverage()
+        if cov is not None:
+            cur = cur.filter(cov)
         for st in self.strategies:
             cur, cols, h = st.match_columns(cur, self.exactly_once)
             matches += [c.cast("long") for c in cols]
