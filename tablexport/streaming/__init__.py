@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The export tool this package re-expresses has no stream source, watermark,
+window or state anywhere; its incremental behaviour (resume) is a batch
+``left_anti`` of planned chunks against the committed-file index
+(``tablexport.sources.manifest.pending_chunks``).
+"""
