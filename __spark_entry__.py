@@ -169,9 +169,11 @@ _ORACLE = {
     "avro_codecs": "SELECT c.codec, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders "
                    "CROSS JOIN (VALUES ('null'), ('snappy'), ('deflate')) c(codec) GROUP BY 1",
     "avro_rollover": _ORDERS_SCAN,
-    "query_stats": f"SELECT printf('%07d', CASE WHEN o_orderdate IS NULL THEN yn - y0 + 2 "
-                   f"ELSE least(greatest(year(o_orderdate) - y0, 0), yn - y0) + 1 END) AS query_id, "
-                   f"'Completed' AS status, count(*) AS export_row_count FROM orders, {_YEARS} b GROUP BY 1",
+    "query_stats": f"WITH b AS {_YEARS}, c AS (SELECT unnest(range(1, yn - y0 + 3)) AS chunk_no FROM b), "
+                   "a AS (SELECT CASE WHEN o_orderdate IS NULL THEN yn - y0 + 2 "
+                   "ELSE least(greatest(year(o_orderdate) - y0, 0), yn - y0) + 1 END AS cn FROM orders, b) "
+                   "SELECT printf('%07d', c.chunk_no) AS query_id, 'Completed' AS status, count(a.cn) AS export_row_count "
+                   "FROM c LEFT JOIN a ON a.cn = c.chunk_no GROUP BY c.chunk_no",
     "table_rollup": "SELECT 'orders' AS table_name, year(max(o_orderdate)) - year(min(o_orderdate)) + 2 AS table_query_count, "
                     "count(*) AS export_row_count, count(*) AS db_row_count FROM orders",
     "manifest_json": "SELECT 'orders' AS table_name, year(max(o_orderdate)) - year(min(o_orderdate)) + 2 AS table_query_count, "

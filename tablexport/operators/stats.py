@@ -35,14 +35,31 @@ def query_stats(files: DataFrame) -> DataFrame:
         "files")
 
 
+def with_planned_chunks(stats: DataFrame, planned: DataFrame) -> DataFrame:
+    """Every planned chunk (catalog, schema, table, query_id, label) with its statistics;
+    a chunk that matched no row wrote no file and shows 0 rows / 0 files."""
+    cond = (planned["catalog"].eqNullSafe(stats["catalog"]) & (planned["schema"] == stats["schema"])
+            & (planned["table"] == stats["table"]) & (planned["query_id"] == stats["query_id"]))
+    j = planned.join(stats, cond, "left")
+    zero = F.lit(0).cast("long")
+    return j.select(
+        planned["catalog"], planned["schema"], planned["table"], planned["query_id"], planned["label"],
+        F.lit("Completed").alias("status"), F.coalesce(stats["query_file_count"], zero).alias("query_file_count"),
+        F.coalesce(stats["export_row_count"], zero).alias("export_row_count"),
+        F.coalesce(stats["total_bytes"], zero).alias("total_bytes"), stats["start_time"], stats["end_time"],
+        F.coalesce(stats["time_taken_seconds"], zero).alias("time_taken_seconds"),
+        F.coalesce(stats["files"], F.array().cast("array<string>")).alias("files"))
+
+
 def table_rollup(stats: DataFrame, tables: DataFrame | None = None) -> DataFrame:
     """Per (catalog, schema, table): query count, rows, files, bytes, start, end, seconds.
 
     ``tables`` (catalog, schema, table, db_row_count, table_query_count,
     split_strategies) adds what the plan knew; its query count wins (empty
     chunks write no file but are still queries)."""
+    written = F.sum((F.col("query_file_count") > 0).cast("long"))
     r = (stats.groupBy("catalog", "schema", "table")
-         .agg(F.count(F.lit(1)).alias("written_query_count"), F.sum("export_row_count").alias("export_row_count"),
+         .agg(written.alias("written_query_count"), F.sum("export_row_count").alias("export_row_count"),
               F.sum("query_file_count").alias("files_count"), F.sum("total_bytes").alias("total_bytes"),
               F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time")))
     r = r.withColumn("time_taken_seconds", F.unix_timestamp("end_time") - F.unix_timestamp("start_time"))

@@ -32,7 +32,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from ..session import local_df
 
 from ..operators.numbering import global_row_number

@@ -18,12 +18,12 @@ from .session import local_df
 from .functions.columns import chunk_id_col, convert_datetimes, pattern_col, tidy_name_col
 from .operators import catalog_ops as co
 from .operators.balance import balanced_groups
-from .operators.stats import query_stats, read_file_index, split_audit, validate_row_counts
+from .operators.stats import read_file_index, split_audit, validate_row_counts
 from .operators.union_batches import union_batches
 from .plans.chunks import CombosStrategy, DateStrategy, plan_table
 from .plans.job import ExportJob
 from .plans.split_spec import SplitSpec
-from .run import choose_strategy, export_database, project_for_export
+from .run import choose_strategy, export_database
 from .session import scratch_path
 from .sources.avro_sink import FORMAT, register
 from .sources.catalog import DirectoryCatalog, SparkCatalogSource

@@ -16,7 +16,6 @@ collects); executors read, assign chunks, convert and write.
 from __future__ import annotations
 
 import time
-import traceback
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -28,11 +27,11 @@ from .session import local_df
 from .functions.columns import chunk_id_col, convert_datetimes, tidy_columns
 from .operators import catalog_ops as co
 from .operators.balance import assign_balanced, balanced_chunk_table, balanced_groups
-from .operators.stats import query_stats, read_file_index, table_rollup
+from .operators.stats import query_stats, read_file_index, table_rollup, with_planned_chunks
 from .operators.union_batches import union_batches
 from .plans.chunks import plan_table
 from .plans.job import ExportJob
-from .sources.avro_sink import FORMAT, register
+from .sources.avro_sink import FORMAT, ensure_destination, register
 from .sources.manifest import write_chunk_stats, write_job_manifest
 
 DATETIME_VENDOR_TYPES = {
@@ -189,6 +188,7 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
         return time.time()
 
     run_id = uuid.uuid4().hex[:12]
+    ensure_destination(job.destination)
     run_sql(spark, job.pre_sql)
     tables = co.exclude_tables(co.filter_tables(co.filter_schemas(source.tables(), job.schemas), job.tables),
                                job.table_exclusions)
@@ -233,19 +233,22 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
                 r.db_row_count = counts.get((r.schema, r.table))
 
     t = lap("row_counts", t)
-    files = read_file_index(spark, job.destination).filter(F.col("run_id") == run_id)
-    stats = query_stats(files).persist()
-    info = local_df(spark, 
+    files = read_file_index(spark, job.destination)
+    if not resume:  # a resumed run reports the chunks committed by earlier runs too
+        files = files.filter(F.col("run_id") == run_id)
+    planned = None
+    for r in results:
+        if r.ok and r.chunk_labels is not None:
+            planned = r.chunk_labels if planned is None else planned.unionByName(r.chunk_labels)
+    written = query_stats(files)
+    stats = (with_planned_chunks(written, planned) if planned is not None else written).persist()
+    info = local_df(spark,
         [(r.catalog, r.schema, r.table, r.db_row_count, r.table_query_count, r.split_strategies, r.strategy)
          for r in results if r.ok],
         "catalog string, schema string, table string, db_row_count long, table_query_count long, "
         "split_strategies array<string>, strategy string")
     rollup = table_rollup(stats, info)
-    labels = [r.chunk_labels for r in results if r.ok and r.chunk_labels is not None]
-    lab = None
-    for l in labels:
-        lab = l if lab is None else lab.unionByName(l)
-    write_chunk_stats(stats, lab, job.destination)
+    write_chunk_stats(stats, job.destination)
     roll_rows = [row.asDict(recursive=True) for row in rollup.collect()]  # one row per table
     failed = [{"schema": r.schema, "table": r.table, "error": r.error} for r in results if not r.ok]
     runtime_ms = int((time.time() - t0) * 1000)

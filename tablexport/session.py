@@ -28,11 +28,18 @@ RECOMMENDED_CONF = {
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only when none is configured."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a remote session: the server's setting is used as is
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir is not set on the cluster")
+        return conf_dir
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="tablexport-ckpt-")
     sc.setCheckpointDir(conf_dir)

@@ -13,7 +13,6 @@ plain data) and ``deflate`` (raw deflate).
 
 from __future__ import annotations
 
-import io
 import json
 import os
 import struct
@@ -378,8 +377,10 @@ def _read_long(f):
         shift += 7
 
 
-def iter_records(f, schema: dict, codec: str, sync: bytes):
-    """Yield lists of row tuples, one list per block (raw values)."""
+def iter_records(f, schema: dict, codec: str, sync: bytes, stop: int | None = None):
+    """Yield lists of row tuples, one list per block (raw values).
+
+    With ``stop``, blocks that begin at or after that offset are left out."""
     fields = schema["fields"]
     decs = []
     for fd in fields:
@@ -391,6 +392,8 @@ def iter_records(f, schema: dict, codec: str, sync: bytes):
         else:
             decs.append((-1, _decoder(t)))
     while True:
+        if stop is not None and f.tell() >= stop:
+            return
         count = _read_long(f)
         if count is None:
             return

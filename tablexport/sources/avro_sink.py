@@ -31,7 +31,6 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import os
-import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -58,6 +57,17 @@ def _fs(path: str):
     return pafs.LocalFileSystem(), os.path.abspath(p)
 
 
+def ensure_destination(path: str) -> None:
+    """Create the destination folder; refuse a path that is a file."""
+    from pyarrow import fs as pafs
+    fs, root = _fs(path)
+    info = fs.get_file_info(root)
+    if info.type == pafs.FileType.File:
+        raise NotADirectoryError(f"destination {path} is a file")
+    if info.type == pafs.FileType.NotFound:
+        fs.create_dir(root, recursive=True)
+
+
 def _now() -> str:
     return _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
 
@@ -254,10 +264,50 @@ def list_avro_files(path: str, pattern: str | None = None) -> list[str]:
 
 
 class _FilePart(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
-
+    """Byte range [start, end) of one file: the blocks that begin inside it."""
+
+    def __init__(self, path: str, start: int = 0, end: int | None = None):
+        super().__init__((path, start, end))
+        self.path, self.start, self.end = path, start, end
+
+
+MIN_SPLIT = 1 << 20
+MAX_SPLIT = 128 << 20
+
+
+def plan_splits(files_sizes: list[tuple[str, int]], split_bytes: int | None = None) -> list[_FilePart]:
+    """Cut files into byte ranges; by default about 64 ranges overall, 1-128 MB each."""
+    total = sum(sz for _, sz in files_sizes)
+    size = split_bytes or min(MAX_SPLIT, max(MIN_SPLIT, total // 64 + 1))
+    parts = []
+    for path, sz in files_sizes:
+        start = 0
+        while True:
+            end = start + size
+            parts.append(_FilePart(path, start, None if end >= sz else end))
+            if end >= sz:
+                break
+            start = end
+    return parts
+
+
+def _seek_block(f, start: int, header_end: int, sync: bytes) -> int | None:
+    """Offset of the first block beginning at or after ``start`` (None: none in the file)."""
+    if start <= header_end:
+        return header_end
+    pos = start - ac.SYNC_SIZE
+    f.seek(pos)
+    carry = b""
+    while True:
+        data = f.read(1 << 20)
+        if not data:
+            return None
+        buf = carry + data
+        i = buf.find(sync)
+        if i >= 0:
+            return pos - len(carry) + i + ac.SYNC_SIZE
+        carry = buf[-(ac.SYNC_SIZE - 1):]
+        pos += len(data)
 
 def _arrow_column(values: list, avro_t):
     t = avro_t
@@ -284,18 +334,26 @@ class AvroReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
         self.glob = options.get("glob")
+        self.split_bytes = options.get("split_bytes")
 
     def partitions(self):
-        return [_FilePart(p) for p in list_avro_files(self.path, self.glob)]
+        fs, _ = _fs(self.path)
+        files = list_avro_files(self.path, self.glob)
+        sizes = [(p, fs.get_file_info(p).size) for p in files]
+        sb = self.split_bytes
+        return plan_splits(sizes, int(sb) if sb else None)
 
     def read(self, partition):
         fs, _ = _fs(self.path)
         with fs.open_input_file(partition.path) as f:
             schema, codec, sync, hlen = ac.read_header(f)
-            f.seek(hlen)
+            first = _seek_block(f, partition.start, hlen, sync)
+            if first is None or (partition.end is not None and first >= partition.end):
+                return
+            f.seek(first)
             names = [fd["name"] for fd in schema["fields"]]
             types = [fd["type"] for fd in schema["fields"]]
-            for rows in ac.iter_records(f, schema, codec, sync):
+            for rows in ac.iter_records(f, schema, codec, sync, stop=partition.end):
                 if not rows:
                     continue
                 cols = list(zip(*rows))

@@ -209,3 +209,20 @@ def read_jdbc_chunks(spark: SparkSession, url: str, table: str, preds: list[tupl
     props.setdefault("fetchsize", str(fetch_size))
     src = table if columns_sql == "*" else f"(SELECT {columns_sql} FROM {table}) tx_q"
     return spark.read.jdbc(url, src, predicates=[p for _, p in preds], properties=props)
+
+
+def check_connection(spark: SparkSession, url: str, properties: dict | None = None, attempts: int = 1,
+                     wait_seconds: float = 5.0) -> None:
+    """Fail fast when the database does not answer ``SELECT 1`` (polled ``attempts`` times)."""
+    import time
+    last = None
+    for i in range(max(1, attempts)):
+        try:
+            (spark.read.format("jdbc").option("url", url).option("query", "SELECT 1 AS ok")
+             .options(**dict(properties or {})).load().collect())
+            return
+        except Exception as e:  # noqa: BLE001
+            last = e
+            if i + 1 < attempts:
+                time.sleep(wait_seconds)
+    raise ConnectionError(f"database at {url} is not reachable: {last}")

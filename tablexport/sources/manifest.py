@@ -32,15 +32,10 @@ def _json_default(o):
     return str(o)
 
 
-def write_chunk_stats(stats: DataFrame, chunk_labels: DataFrame | None, destination: str) -> str:
-    """Per-chunk statistics as a Spark-written JSON dataset (distributed)."""
-    out = stats
-    if chunk_labels is not None:
-        cond = (out["catalog"].eqNullSafe(chunk_labels["catalog"]) & (out["schema"] == chunk_labels["schema"])
-                & (out["table"] == chunk_labels["table"]) & (out["query_id"] == chunk_labels["query_id"]))
-        out = out.join(chunk_labels, cond, "left").select(out["*"], chunk_labels["label"])
-        out = out.withColumn("query", F.concat(F.lit("Id- "), F.col("query_id"), F.lit(": query- "),
-                                               F.coalesce(F.col("label"), F.lit(""))))
+def write_chunk_stats(stats: DataFrame, destination: str) -> str:
+    """Per-chunk statistics (with their ``label``) as a Spark-written JSON dataset (distributed)."""
+    out = stats.withColumn("query", F.concat(F.lit("Id- "), F.col("query_id"), F.lit(": query- "),
+                                             F.coalesce(F.col("label"), F.lit(""))))
     path = f"{destination.rstrip('/')}/_manifest/chunks"
     out.withColumn("start_time", F.date_format("start_time", "yyyy-MM-dd HH:mm:ss")) \
        .withColumn("end_time", F.date_format("end_time", "yyyy-MM-dd HH:mm:ss")) \

@@ -119,3 +119,11 @@ def test_failed_attempt_publishes_nothing(spark, tmp_dest):
     with pytest.raises(Exception):
         _write(spark, df.repartition(2), tmp_dest)
     assert glob.glob(tmp_dest + "/*.avro") == []
+
+
+def test_split_reading_covers_every_block_once(spark, tmp_dest):
+    df = spark.range(50000).select(F.col("id"), F.sha2(F.col("id").cast("string"), 512).alias("h"))
+    _write(spark, df.coalesce(1), tmp_dest, codec="snappy")
+    for split in (20_000, 300_000, 10 << 20):
+        back = spark.read.format(FORMAT).option("split_bytes", split).load(tmp_dest)
+        assert back.count() == 50000 and back.select("id").distinct().count() == 50000

@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tablexport.plans.chunks import BetweenStrategy, DateStrategy, plan_table
 from tablexport.plans.split_spec import SplitSpec

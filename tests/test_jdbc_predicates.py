@@ -3,7 +3,6 @@ the one-pass Spark assignment does (same chunk numbers, same row counts)."""
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from tablexport.plans.chunks import plan_table
 from tablexport.plans.split_spec import SplitSpec
