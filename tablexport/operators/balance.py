@@ -36,9 +36,13 @@ def key_weights(df: DataFrame, key: str, weight: str | None = None, part: str |
 
 
 def balanced_groups(df: DataFrame, key: str, n: int = 256, weight: str | None = None, part: str | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
-    """``[part,] grp, lo, hi, weight`` — one row per non-empty group."""
-    weights = key_weights(df, key, weight, part)
+                    num_partitions: int | None = None, weights: DataFrame | None = None) -> DataFrame:
+    """``[part,] grp, lo, hi, weight`` — one row per non-empty group.
+
+    ``weights`` (``[part,] k, w``) may be given when the source computed them
+    (a database ``GROUP BY``)."""
+    if weights is None:
+        weights = key_weights(df, key, weight, part)
     cum, totals = running_sum(weights, "k", "w", "cum", partition_col="part" if part else None,
                               num_partitions=num_partitions)
     if part:
@@ -121,3 +125,21 @@ def assign_balanced(df: DataFrame, key: str, chunks: list[tuple], part: str | No
         expr = F.coalesce(expr, F.lit(residual).cast("long"))
     out = df.withColumn(chunk_col, expr.cast("long"))
     return out if residual is not None else out.filter(F.col(chunk_col).isNotNull())
+
+
+def balanced_predicates(chunks: list[tuple], key: str, part: str | None, dialect,
+                        residual: int | None = None) -> list[tuple[int, str]]:
+    """One SQL predicate per balanced chunk (key range [and partition value]);
+    the residual takes NULL keys and keys outside every range (NULL-safe)."""
+    k = dialect.ident(key)
+    out = []
+    for no, p, grp, lo, hi, w in chunks:
+        cond = f"{k} BETWEEN {dialect.literal(lo)} AND {dialect.literal(hi)}"
+        if part is not None:
+            pc = dialect.ident(part)
+            cond = (f"{pc} IS NULL" if p is None else f"{pc} = {dialect.literal(p)}") + f" AND {cond}"
+        out.append((no, cond))
+    if residual is not None:
+        cover = " OR ".join(f"({c})" for _, c in out) or "1 = 0"
+        out.append((residual, f"(CASE WHEN ({cover}) THEN 1 ELSE 0 END) = 0"))
+    return out

@@ -396,37 +396,43 @@ def _number_bounds(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
     return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
 
 
-def plan_table(df: DataFrame, specs: list[SplitSpec], *, table: str = "", exactly_once: bool = True,
+def plan_table(df: DataFrame | None, specs: list[SplitSpec], *, table: str = "", exactly_once: bool = True,
                increment_factor: int = 50, broadcast_chunks: int = BROADCAST_CHUNKS,
-               num_partitions: int | None = None) -> TablePlan:
+               num_partitions: int | None = None, bounds_fn=None, distinct_fn=None,
+               spark: SparkSession | None = None) -> TablePlan:
     """Resolve every strategy of one table against its DataFrame.
 
     Bounds that are not given are read with ONE aggregation over the table
-    (MIN/MAX of every key that needs them)."""
-    spark = df.sparkSession
+    (MIN/MAX of every key that needs them). A source that can answer these
+    itself (a database) passes ``bounds_fn(columns) -> {col: (min, max)}`` and
+    ``distinct_fn(columns) -> DataFrame`` so nothing is computed over a
+    single-partition read of the whole table (``df`` may then be None)."""
+    spark = spark or df.sparkSession
     need = []
     for s in specs:
         if s.operation is Operation.between and s.key_type is KeyType.number and (s.start is None or s.end is None):
             need.append(s.column)
         if s.key_type is KeyType.date and (s.start is None or s.end is None):
             need.append(s.column)
-    bounds = _number_bounds(df, sorted(set(need)))
+    need = sorted(set(need))
+    bounds = (bounds_fn(need) if bounds_fn else _number_bounds(df, need)) if need else {}
 
     plan = TablePlan(table=table, exactly_once=exactly_once)
     offset = 0
     for no, s in enumerate(specs, start=1):
-        st = _plan_one(spark, df, s, no, bounds, exactly_once, increment_factor, broadcast_chunks, num_partitions)
+        st = _plan_one(spark, df, s, no, bounds, exactly_once, increment_factor, broadcast_chunks, num_partitions,
+                       distinct_fn)
         st.offset = offset
         offset += st.n_chunks
         plan.strategies.append(st)
     return plan
 
 
-def _plan_one(spark, df, s: SplitSpec, no, bounds, exactly_once, factor, bcast, nparts) -> Strategy:
+def _plan_one(spark, df, s: SplitSpec, no, bounds, exactly_once, factor, bcast, nparts, distinct_fn=None) -> Strategy:
     if s.operation is Operation.query:
         if s.sub_operation is Operation.like:
-            return _plan_query_like(df, s, no, bcast, nparts)
-        return _plan_combos(df, s, no, bcast, nparts)
+            return _plan_query_like(df, s, no, bcast, nparts, distinct_fn)
+        return _plan_combos(df, s, no, bcast, nparts, distinct_fn)
     kt = s.key_type
     if kt is KeyType.number and s.operation is Operation.between:
         lo, hi = (s.start, s.end) if s.start is not None else bounds[s.column]
@@ -464,17 +470,18 @@ def _plan_one(spark, df, s: SplitSpec, no, bounds, exactly_once, factor, bcast,
     raise SplitSpecError(f"unsupported split {s.text!r}")
 
 
-def _plan_combos(df, s: SplitSpec, no, bcast, nparts) -> CombosStrategy:
+def _plan_combos(df, s: SplitSpec, no, bcast, nparts, distinct_fn=None) -> CombosStrategy:
     cols = list(s.columns)
-    distinct = df.select(*[q(c) for c in cols]).distinct()
+    distinct = distinct_fn(cols) if distinct_fn else df.select(*[q(c) for c in cols]).distinct()
     numbered = global_row_number(distinct, [q(c).asc_nulls_first() for c in cols], "local_no", nparts)
     n = numbered.count()
     return CombosStrategy(spec=s, strategy_no=no, combos=numbered, n_chunks=n, broadcast_chunks=bcast)
 
 
-def _plan_query_like(df, s: SplitSpec, no, bcast, nparts) -> PrefixStrategy:
+def _plan_query_like(df, s: SplitSpec, no, bcast, nparts, distinct_fn=None) -> PrefixStrategy:
     first = s.columns[0]
-    vals = df.select(q(first).cast("string").alias("key")).filter(F.col("key").isNotNull()).distinct()
+    src = distinct_fn([first]) if distinct_fn else df
+    vals = src.select(q(first).cast("string").alias("key")).filter(F.col("key").isNotNull()).distinct()
     numbered = global_row_number(vals, [F.col("key").asc()], "local_no", nparts)
     stats = numbered.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("key")).alias("lens")).collect()[0]
     lengths = tuple(sorted(int(x) for x in (stats["lens"] or [])))

@@ -26,7 +26,7 @@ from .session import local_df
 
 from .functions.columns import chunk_id_col, convert_datetimes, tidy_columns
 from .operators import catalog_ops as co
-from .operators.balance import assign_balanced, balanced_chunk_table, balanced_groups
+from .operators.balance import assign_balanced, balanced_chunk_table, balanced_groups, balanced_predicates
 from .operators.stats import query_stats, read_file_index, table_rollup, with_planned_chunks
 from .operators.union_batches import union_batches
 from .plans.chunks import plan_table
@@ -105,31 +105,64 @@ def project_for_export(df: DataFrame, columns: list[str], vendor: dict, job: Exp
                       *[F.col(f"`{k}`") for k in keep])
 
 
-def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame, schema: str, table: str,
-                    partitioned_by: list[str] | None, chunk_col: str = "_tx_chunk"):
-    """Return (df with chunk column or None, strategy name, chunk count, labels, strategy texts)."""
+def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, schema: str, table: str,
+                    partitioned_by: list[str] | None, chunk_col: str = "_tx_chunk", source=None,
+                    export_cols: list[str] | None = None):
+    """Return (rows with a chunk column or None, strategy, chunk count, labels, strategy texts, clustered,
+    the table DataFrame).
+
+    For a database source (``read_chunks``) bounds, distinct values and key
+    weights are asked of the database and every chunk is read by its own
+    predicate (one task each, already clustered); for files the chunk is a
+    column computed in one scan."""
     strategy = choose_strategy(job, schema, table, bool(partitioned_by))
+    db = source is not None and hasattr(source, "read_chunks")
     if strategy == "strategies":
         specs = job.specs_for(schema, table)
+        kw = {}
+        if db:
+            kw = dict(bounds_fn=lambda cols: source.bounds(schema, table, cols),
+                      distinct_fn=lambda cols: source.distinct(schema, table, cols))
         plan = plan_table(df, specs, table=table, exactly_once=job.exactly_once,
-                          increment_factor=job.increment_factor)
+                          increment_factor=job.increment_factor, spark=spark, **kw)
         labels = plan.chunk_table(spark).select(chunk_id_col(F.col("chunk_no")).alias("query_id"), "label")
-        return plan.assign(df, chunk_col), strategy, plan.n_chunks, labels, [s.text for s in specs]
+        if db:
+            from .sources.jdbc import predicates
+            keys = []
+            for st in plan.strategies:
+                keys += [st.column] if getattr(st, "column", None) else list(st.spec.key_columns)
+            rows = source.read_chunks(schema, table, predicates(plan, source.flavor, job.max_chunks), export_cols,
+                                      chunk_col, key_columns=keys)
+            return rows, strategy, plan.n_chunks, labels, [s.text for s in specs], True, df
+        return plan.assign(df, chunk_col), strategy, plan.n_chunks, labels, [s.text for s in specs], False, df
     if strategy in ("balanced", "balanced_partitioned"):
-        key = None
         keys = [c for c in (job.primary_keys.get(f"{schema}.{table}") or job.primary_keys.get(table) or [])]
-        key = keys[0] if keys else df.columns[0]
+        key = keys[0] if keys else (export_cols[0] if df is None else df.columns[0])
         part = partitioned_by[0] if partitioned_by else None
-        groups = balanced_groups(df, key, job.balanced_chunks, part=part)
+        weights = None
+        if db:
+            w = source.key_weights(schema, table, key, part)
+            weights = w.select(*([F.col(f"`{part}`").alias("part")] if part else []), F.col(f"`{key}`").alias("k"),
+                               F.col("w").cast("long").alias("w"))
+        groups = balanced_groups(df, key, job.balanced_chunks, part=part, weights=weights)
         chunks = balanced_chunk_table(groups, part=bool(part))
         residual = len(chunks) + 1 if job.exactly_once else None
-        assigned = assign_balanced(df, key, chunks, part=part, chunk_col=chunk_col, residual=residual)
         rows = [(f"{no:07d}", f"{'' if p is None else str(p) + ' '}[{lo},{hi}] weight {w}") for no, p, g, lo, hi, w in chunks]
         if residual:
             rows.append((f"{residual:07d}", "residual"))
         labels = local_df(spark, rows, "query_id string, label string")
-        return assigned, strategy, len(chunks) + (1 if residual else 0), labels, []
-    return None, "whole", 1, local_df(spark, [("0000001", "whole table")], "query_id string, label string"), []
+        n = len(chunks) + (1 if residual else 0)
+        if db:
+            preds = balanced_predicates(chunks, key, part, source.dialect, residual)
+            rows = source.read_chunks(schema, table, preds, export_cols, chunk_col,
+                                      key_columns=[key] + ([part] if part else []))
+            return rows, strategy, n, labels, [], True, df
+        assigned = assign_balanced(df, key, chunks, part=part, chunk_col=chunk_col, residual=residual)
+        return assigned, strategy, n, labels, [], False, df
+    labels = local_df(spark, [("0000001", "whole table")], "query_id string, label string")
+    if df is None:
+        df = source.read(schema, table)
+    return None, "whole", 1, labels, [], True, df
 
 
 def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, schema: str, table: str,
@@ -142,9 +175,13 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
         res.strategy, res.table_query_count = "skipped", 0
         return res
     vendor = {r["column"]: r["vendor_type"] for r in cols_rows}
-    df = source.read(schema, table)
+    db = hasattr(source, "read_chunks")
+    df = None if db else source.read(schema, table)  # a database table is read per chunk (or whole, below)
     partitioned_by = (job.partition_columns.get(f"{schema}.{table}") or job.partition_columns.get(table))
-    assigned, strategy, n_chunks, labels, texts = plan_and_assign(spark, job, df, schema, table, partitioned_by)
+    if not partitioned_by and hasattr(source, "partition_columns"):
+        partitioned_by = source.partition_columns(schema, table) or None  # folder partitions
+    assigned, strategy, n_chunks, labels, texts, clustered, df = plan_and_assign(
+        spark, job, df, schema, table, partitioned_by, source=source, export_cols=export_cols)
     res.strategy, res.table_query_count, res.split_strategies = strategy, n_chunks, texts
     res.chunk_labels = labels.select(F.lit(res.catalog).cast("string").alias("catalog"), F.lit(schema).alias("schema"),
                                      F.lit(table).alias("table"), "query_id", "label")
@@ -162,7 +199,7 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
             out = out.join(done, chunk_col, "left_anti")
         except Exception:  # nothing written yet
             pass
-    if cluster and chunk_col:
+    if cluster and chunk_col and not clustered:
         out = out.hint("rebalance", chunk_col)
     register(spark)
     w = (out.write.format(FORMAT).mode("append")

@@ -86,7 +86,29 @@ def is_supported_code(code: int) -> bool:
     return code in SUPPORTED_CODES
 
 
+def list_dir(spark: SparkSession, path: str) -> list[tuple[str, bool, str]]:
+    """(name, is_dir, full path) of the entries of a folder, through the same Hadoop
+    FileSystem Spark reads with (hdfs://, s3a://, abfss://, file:...); local fallback."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        return sorted((st.getPath().getName(), bool(st.isDirectory()), st.getPath().toString())
+                      for st in fs.listStatus(p))
+    except Exception:  # noqa: BLE001 - no JVM gateway (remote session): plain local listing
+        local = path[len("file:"):] if path.startswith("file:") else path
+        return sorted((e, os.path.isdir(os.path.join(local, e)), os.path.join(local, e)) for e in os.listdir(local))
+
+
 class DirectoryCatalog:
+    """A folder of Parquet tables as a database.
+
+    A table is a ``<name>.parquet`` file or folder, or a folder holding
+    ``part-*`` data files, ``k=v`` partition folders or ``_SUCCESS``.
+    Any other folder at the top level is a schema holding tables. Tables
+    directly under the root belong to ``default_schema``. Hive-style
+    partition folders are reported by ``partition_columns``."""
+
     def __init__(self, spark: SparkSession, root: str, *, catalog: str | None = None, default_schema: str = "dbo",
                  primary_keys: dict | None = None, extension: str = ".parquet"):
         self.spark = spark
@@ -98,20 +120,46 @@ class DirectoryCatalog:
         self._tables: list[tuple] | None = None
 
     # ------------------------------------------------------------- listing
+    def _table_name(self, name: str, is_dir: bool, full: str) -> str | None:
+        if name.startswith(("_", ".")):
+            return None
+        if name.endswith(self.extension):
+            return name[: -len(self.extension)]
+        if not is_dir:
+            return None
+        kids = list_dir(self.spark, full)
+        if any(n == "_SUCCESS" or (d and "=" in n) or (not d and n.startswith("part-")) for n, d, _ in kids):
+            return name  # a Spark-written table folder
+        return None  # a schema folder (its *.parquet entries are tables)
+
     def _scan(self) -> list[tuple]:
         if self._tables is None:
             found = []
-            for entry in sorted(os.listdir(self.root)):
-                full = os.path.join(self.root, entry)
-                if entry.endswith(self.extension):
-                    found.append((self.catalog, self.default_schema, entry[: -len(self.extension)], full))
-                elif os.path.isdir(full) and not entry.startswith(("_", ".")):
-                    for sub in sorted(os.listdir(full)):
-                        if sub.endswith(self.extension):
-                            found.append((self.catalog, entry, sub[: -len(self.extension)], os.path.join(full, sub)))
+            for name, is_dir, full in list_dir(self.spark, self.root):
+                t = self._table_name(name, is_dir, full)
+                if t is not None:
+                    found.append((self.catalog, self.default_schema, t, full))
+                elif is_dir and not name.startswith(("_", ".")):
+                    for sub, sdir, sfull in list_dir(self.spark, full):
+                        st = self._table_name(sub, sdir, sfull)
+                        if st is not None:
+                            found.append((self.catalog, name, st, sfull))
             self._tables = found
         return self._tables
 
+    def partition_columns(self, schema: str, table: str) -> list[str]:
+        """Hive-style partition columns of a table folder (outermost first)."""
+        cols, path = [], self.path(schema, table)
+        while True:
+            try:
+                kids = [(n, f) for n, d, f in list_dir(self.spark, path) if d and "=" in n and not n.startswith(("_", "."))]
+            except Exception:  # noqa: BLE001 - a plain file
+                return cols
+            if not kids:
+                return cols
+            cols.append(kids[0][0].split("=", 1)[0])
+            path = kids[0][1]
+
     def schemas(self) -> DataFrame:
         rows = sorted({(c, s) for c, s, _, _ in self._scan()}, key=lambda r: r[1])
         return local_df(self.spark, rows, "catalog string, schema string")
@@ -227,10 +275,72 @@ LEFT JOIN ALL_TAB_SUBPARTITIONS s
 
 
 class JdbcCatalog:
-    """Metadata of a live database through Spark's JDBC source (needs a reachable server)."""
+    """A live database through Spark's JDBC source (needs a reachable server).
 
-    def __init__(self, spark: SparkSession, url: str, properties: dict | None = None, flavor: str = "sqlserver"):
+    Metadata comes from the data dictionary; planning questions (MIN/MAX,
+    DISTINCT, per-key weights) are pushed to the database as queries; chunked
+    reads run one predicate per Spark task (``read_chunks``)."""
+
+    def __init__(self, spark: SparkSession, url: str, properties: dict | None = None, flavor: str = "sqlserver",
+                 catalog: str | None = None, fetch_size: int = 2000):
         self.spark, self.url, self.props, self.flavor = spark, url, dict(properties or {}), flavor
+        self.catalog, self.fetch_size = catalog, fetch_size
+
+    @property
+    def dialect(self):
+        from .jdbc import Dialect
+        return Dialect(self.flavor)
+
+    def qualified(self, schema: str, table: str) -> str:
+        d = self.dialect
+        return f"{d.ident(schema)}.{d.ident(table)}"
+
+    def _props(self) -> dict:
+        p = dict(self.props)
+        p.setdefault("fetchsize", str(self.fetch_size))
+        return p
+
+    def read(self, schema: str, table: str) -> DataFrame:
+        """The whole table as one query (the unsplit export)."""
+        return self.spark.read.jdbc(self.url, self.qualified(schema, table), properties=self._props())
+
+    def bounds(self, schema: str, table: str, columns: list[str]) -> dict:
+        """MIN/MAX of several columns in ONE query run by the database."""
+        d = self.dialect
+        sel = ", ".join(f"MIN({d.ident(c)}) AS lo{i}, MAX({d.ident(c)}) AS hi{i}" for i, c in enumerate(columns))
+        row = self._query(f"SELECT {sel} FROM {self.qualified(schema, table)}").collect()[0]
+        return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+
+    def distinct(self, schema: str, table: str, columns: list[str]) -> DataFrame:
+        """``SELECT DISTINCT`` run by the database."""
+        d = self.dialect
+        cols = ", ".join(d.ident(c) for c in columns)
+        return self._query(f"SELECT DISTINCT {cols} FROM {self.qualified(schema, table)}")
+
+    def key_weights(self, schema: str, table: str, key: str, part: str | None = None) -> DataFrame:
+        """Rows per key (and partition value), counted by the database."""
+        d = self.dialect
+        keys = ", ".join(d.ident(c) for c in ([part] if part else []) + [key])
+        return self._query(f"SELECT {keys}, COUNT(*) AS w FROM {self.qualified(schema, table)} "
+                           f"WHERE {d.ident(key)} IS NOT NULL GROUP BY {keys}")
+
+    def _read_predicates(self, source_sql: str, preds: list[str]) -> DataFrame:
+        """One JDBC partition per predicate, in order (isolated for tests)."""
+        return self.spark.read.jdbc(self.url, source_sql, predicates=preds, properties=self._props())
+
+    def read_chunks(self, schema: str, table: str, numbered_preds: list[tuple[int, str]], columns: list[str],
+                    chunk_col: str = "_tx_chunk", key_columns: list[str] = ()) -> DataFrame:
+        """Exported columns of every chunk; partition i holds predicate i, so the
+        chunk number is looked up from the partition id (no shuffle). The
+        predicates' key columns travel too (the caller's projection drops them)."""
+        from pyspark.sql import functions as F
+        d = self.dialect
+        wanted = list(columns) + [k for k in key_columns if k not in columns]
+        cols = ", ".join(d.ident(c) for c in wanted)
+        src = f"(SELECT {cols} FROM {self.qualified(schema, table)}) tx_q"
+        df = self._read_predicates(src, [p for _, p in numbered_preds])
+        nos = F.array(*[F.lit(int(no)).cast("long") for no, _ in numbered_preds])
+        return df.withColumn(chunk_col, F.element_at(nos, F.spark_partition_id() + 1))
 
     def _query(self, sql: str) -> DataFrame:
         return (self.spark.read.format("jdbc").option("url", self.url).option("query", sql)

@@ -21,7 +21,7 @@ from ..plans.chunks import (BetweenStrategy, CombosStrategy, DateStrategy, DIGIT
 
 class Dialect:
     def __init__(self, name: str = "ansi"):
-        if name not in ("sqlserver", "oracle", "ansi"):
+        if name not in ("sqlserver", "oracle", "ansi"):  # ansi: double quotes, CAST .. AS VARCHAR
             raise ValueError("dialect must be sqlserver, oracle or ansi")
         self.name = name
 

@@ -92,3 +92,19 @@ def test_pattern_col_and_126(spark):
                      datetime_text_126(F.col("t")).alias("s")).collect()
     assert [r["p"] for r in rows] == ["dbo.orders-0000003.avro", "dbo.orders-0000004.avro", "dbo.orders-0000005.avro"]
     assert [r["s"] for r in rows] == ["2020-01-01T00:00:00", "2020-01-01T00:00:00.003000", "2020-01-01T00:00:00.123456"]
+
+
+def test_table_folders_schemas_and_partitions(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    o.write.parquet(f"{root}/plain_folder")                                   # folder of part files
+    o.write.partitionBy("o_orderstatus").parquet(f"{root}/sales/by_status")   # schema 'sales', partitioned
+    o.limit(10).write.parquet(f"{root}/sales/small.parquet")                  # folder named *.parquet
+    cat = DirectoryCatalog(spark, root)
+    got = sorted((r["schema"], r["table"]) for r in cat.tables().collect())
+    assert got == [("dbo", "plain_folder"), ("sales", "by_status"), ("sales", "small")]
+    assert cat.partition_columns("sales", "by_status") == ["o_orderstatus"]
+    assert cat.partition_columns("dbo", "plain_folder") == []
+    assert cat.read("sales", "by_status").count() == o.count()
+    cols = [r["column"] for r in cat.columns([("sales", "by_status")]).orderBy("ordinal").collect()]
+    assert cols[-1] == "o_orderstatus"
