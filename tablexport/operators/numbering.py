@@ -34,10 +34,14 @@ def _partitions_for(df: DataFrame, default: int | None = None) -> int:
 
 
 def range_sorted_checkpoint(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
-    """Range-partition + sort within partitions, then a reliable checkpoint."""
+    """Range-partition + sort within partitions, then a reliable checkpoint.
+
+    Without an explicit count the shuffle uses the session's partitions and
+    AQE may coalesce neighbouring ranges (order is kept); the checkpoint then
+    fixes whatever layout ran, so partition ids are stable afterwards."""
     checkpoint_dir(df.sparkSession)
-    n = _partitions_for(df, num_partitions)
-    return df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order).checkpoint(eager=True)
 
 
 def _offset_map(totals: list[tuple[int, int]]) -> Column:
@@ -124,22 +128,19 @@ def running_sum(df: DataFrame, order_col: str, weight_col: str, name: str = "cum
                 continue
             w = b[weight_col].astype("int64").to_numpy()
             if partition_col:
-                g = b[partition_col]
-                keys = g.where(g.notna(), None).tolist()
-                cum = np.empty(len(b), dtype=np.int64)
-                # groups are contiguous in sort order: walk the runs
-                start = 0
-                n = len(keys)
-                while start < n:
-                    k = keys[start]
-                    end = start
-                    while end < n and keys[end] == k:
-                        end += 1
-                    base = carry.get(k, offs.get((pid, k), 0))
-                    run = np.cumsum(w[start:end]) + base
-                    cum[start:end] = run
-                    carry[k] = int(run[-1])
-                    start = end
+                # groups are contiguous in sort order: cumsum per run, Python only per run
+                n = len(b)
+                gk = b[partition_col].astype(object).where(b[partition_col].notna(), None).to_numpy()
+                change = np.ones(n, dtype=bool)
+                change[1:] = gk[1:] != gk[:-1]
+                run_id = np.cumsum(change) - 1
+                starts = np.flatnonzero(change)
+                run_keys = gk[starts]
+                local = pd.Series(w).groupby(run_id).cumsum().to_numpy()
+                bases = np.array([carry.get(k, offs.get((pid, k), 0)) for k in run_keys], dtype=np.int64)
+                cum = local + bases[run_id]
+                for k, e in zip(run_keys, np.append(starts[1:], n) - 1):
+                    carry[k] = int(cum[e])
             else:
                 base = carry.get(None, offs.get((pid, None), 0))
                 cum = np.cumsum(w) + base

@@ -289,7 +289,10 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     roll_rows = [row.asDict(recursive=True) for row in rollup.collect()]  # one row per table
     failed = [{"schema": r.schema, "table": r.table, "error": r.error} for r in results if not r.ok]
     runtime_ms = int((time.time() - t0) * 1000)
-    path = write_job_manifest(job.to_dict(), roll_rows, failed, runtime_ms,
+    job_doc = job.to_dict()
+    if not job_doc.get("timezone"):
+        job_doc["timezone"] = spark.conf.get("spark.sql.session.timeZone", None)
+    path = write_job_manifest(job_doc, roll_rows, failed, runtime_ms,
                               f"{job.destination.rstrip('/')}/{manifest_name}")
     run_sql(spark, job.post_sql)
     lap("report", t)

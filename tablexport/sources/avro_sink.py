@@ -49,7 +49,13 @@ MAX_BLOCK_BYTES = 4 << 20
 
 
 def _fs(path: str):
+    """pyarrow filesystem + path for a destination (local, s3, gs, hdfs, ...).
+
+    Hadoop-style ``s3a://`` / ``s3n://`` URIs are read as ``s3://``."""
     from pyarrow import fs as pafs
+    for alias in ("s3a://", "s3n://"):
+        if path.startswith(alias):
+            path = "s3://" + path[len(alias):]
     if "://" in path and not path.startswith("file://"):
         return pafs.FileSystem.from_uri(path)
     p = path[len("file://"):] if path.startswith("file://") else path
