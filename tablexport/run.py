@@ -105,6 +105,12 @@ def project_for_export(df: DataFrame, columns: list[str], vendor: dict, job: Exp
                       *[F.col(f"`{k}`") for k in keep])
 
 
+def _sql_labels(spark, source, schema, table, columns, preds):
+    """Chunk labels for a database source: the SQL each chunk runs (metadata-sized)."""
+    return local_df(spark, [(f"{no:07d}", source.chunk_sql(schema, table, columns, p)) for no, p in preds],
+                    "query_id string, label string")
+
+
 def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, schema: str, table: str,
                     partitioned_by: list[str] | None, chunk_col: str = "_tx_chunk", source=None,
                     export_cols: list[str] | None = None):
@@ -131,8 +137,9 @@ def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, s
             keys = []
             for st in plan.strategies:
                 keys += [st.column] if getattr(st, "column", None) else list(st.spec.key_columns)
-            rows = source.read_chunks(schema, table, predicates(plan, source.flavor, job.max_chunks), export_cols,
-                                      chunk_col, key_columns=keys)
+            preds = predicates(plan, source.flavor, job.max_chunks)
+            rows = source.read_chunks(schema, table, preds, export_cols, chunk_col, key_columns=keys)
+            labels = _sql_labels(spark, source, schema, table, export_cols, preds)
             return rows, strategy, plan.n_chunks, labels, [s.text for s in specs], True, df
         return plan.assign(df, chunk_col), strategy, plan.n_chunks, labels, [s.text for s in specs], False, df
     if strategy in ("balanced", "balanced_partitioned"):
@@ -156,10 +163,12 @@ def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, s
             preds = balanced_predicates(chunks, key, part, source.dialect, residual)
             rows = source.read_chunks(schema, table, preds, export_cols, chunk_col,
                                       key_columns=[key] + ([part] if part else []))
+            labels = _sql_labels(spark, source, schema, table, export_cols, preds)
             return rows, strategy, n, labels, [], True, df
         assigned = assign_balanced(df, key, chunks, part=part, chunk_col=chunk_col, residual=residual)
         return assigned, strategy, n, labels, [], False, df
-    labels = local_df(spark, [("0000001", "whole table")], "query_id string, label string")
+    text = source.chunk_sql(schema, table, export_cols, None) if db else "whole table"
+    labels = local_df(spark, [("0000001", text)], "query_id string, label string")
     if df is None:
         df = source.read(schema, table)
     return None, "whole", 1, labels, [], True, df
@@ -199,7 +208,9 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
             out = out.join(done, chunk_col, "left_anti")
         except Exception:  # nothing written yet
             pass
-    if cluster and chunk_col and not clustered:
+    if cluster and chunk_col and not clustered and out.rdd.getNumPartitions() > 1:
+        # rows of one chunk are spread over the scan's tasks: cluster them (AQE splits a skewed chunk);
+        # with a single input partition every chunk is already in one task
         out = out.hint("rebalance", chunk_col)
     register(spark)
     w = (out.write.format(FORMAT).mode("append")
@@ -226,6 +237,8 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
 
     run_id = uuid.uuid4().hex[:12]
     ensure_destination(job.destination)
+    if hasattr(source, "check_connection"):
+        source.check_connection()
     run_sql(spark, job.pre_sql)
     tables = co.exclude_tables(co.filter_tables(co.filter_schemas(source.tables(), job.schemas), job.tables),
                                job.table_exclusions)

@@ -300,6 +300,17 @@ class JdbcCatalog:
         p.setdefault("fetchsize", str(self.fetch_size))
         return p
 
+    def check_connection(self, attempts: int = 1, wait_seconds: float = 5.0) -> None:
+        """Fail fast when the database does not answer (polled ``attempts`` times)."""
+        from .jdbc import check_connection
+        check_connection(self.spark, self.url, self.props, attempts, wait_seconds)
+
+    def chunk_sql(self, schema: str, table: str, columns: list[str], predicate: str | None) -> str:
+        """The SQL text a chunk stands for (reported in the manifest)."""
+        d = self.dialect
+        sql = f"SELECT {', '.join(d.ident(c) for c in columns)} FROM {self.qualified(schema, table)}"
+        return sql if not predicate else f"{sql} WHERE {predicate}"
+
     def read(self, schema: str, table: str) -> DataFrame:
         """The whole table as one query (the unsplit export)."""
         return self.spark.read.jdbc(self.url, self.qualified(schema, table), properties=self._props())

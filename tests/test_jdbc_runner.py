@@ -47,6 +47,9 @@ class DuckJdbc(JdbcCatalog):
     def _query(self, sql):
         return self._df(sql)
 
+    def check_connection(self, attempts=1, wait_seconds=5.0):
+        self.con.execute("SELECT 1")
+
     def _read_predicates(self, source_sql, preds):
         # one RDD partition per predicate, in predicate order — what Spark's JDBC source builds
         schema = self._df(f"SELECT * FROM {source_sql} WHERE 1 = 0").schema
@@ -75,6 +78,8 @@ def test_database_export_matches_file_assignment(spark, tmp_dest, spec, exactly_
     expect = {f"{r['chunk_no']:07d}": r["n"] for r in plan.summary(o).collect()}
     assert got == expect
     assert spark.read.format(FORMAT).load(tmp_dest).count() == sum(expect.values())
+    q = spark.read.json(tmp_dest + "/_manifest/chunks").filter("query_id = '0000001'").collect()[0]["query"]
+    assert q.startswith('Id- 0000001: query- SELECT "o_orderkey"') and ' FROM "dbo"."orders" WHERE ' in q
 
 
 def test_database_balanced_partitioned(spark, tmp_dest):
