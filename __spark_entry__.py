@@ -33,7 +33,8 @@ _TV = "(VALUES " + ", ".join(f"('{t}')" for t in _TABLES) + ") t(table_name)"
 _IN = "(" + ", ".join(f"'{t}'" for t in _TABLES) + ")"
 _JDBC_CODE = ("CASE data_type WHEN 'BIGINT' THEN -5 WHEN 'INTEGER' THEN 4 WHEN 'SMALLINT' THEN 5 WHEN 'TINYINT' "
               "THEN -6 WHEN 'DOUBLE' THEN 8 WHEN 'FLOAT' THEN 7 WHEN 'VARCHAR' THEN 12 WHEN 'BOOLEAN' THEN -7 "
-              "WHEN 'DATE' THEN 91 WHEN 'TIMESTAMP' THEN 93 WHEN 'BLOB' THEN -3 "
+              "WHEN 'DATE' THEN 91 WHEN 'TIMESTAMP' THEN 93 WHEN 'TIMESTAMP_NS' THEN 93 WHEN 'TIMESTAMP_MS' THEN 93 "
+              "WHEN 'TIMESTAMP_S' THEN 93 WHEN 'BLOB' THEN -3 "
               "ELSE CASE WHEN data_type LIKE '%[]' THEN 2003 ELSE 1111 END END")
 _SUPPORTED = "(-5, -2, -7, 2004, 1, 2005, 91, 3, 8, 6, 4, -16, -4, -1, -15, 2011, 2, -9, 7, 5, 93, -6, -3, 12)"
 _COLS = f"(SELECT * FROM information_schema.columns WHERE table_name IN {_IN})"
