@@ -19,15 +19,31 @@ _TIDY = re.compile(r"[^a-zA-Z0-9]")
 
 
 # ----------------------------------------------------------------- date-times
-def datetime_text_seconds(c: Column) -> Column:
+# A zone-less (timestamp_ntz) value is formatted from its own text, never through
+# the session time zone (a DST gap would move it); a zoned timestamp is shown in
+# the session time zone, as the export tool shows it in its JVM's zone.
+def _ntz_parts(c: Column) -> tuple[Column, Column]:
+    """(yyyy-MM-ddTHH:mm:ss, fraction digits padded to 6 or '') of a timestamp_ntz."""
+    s = c.cast("string")  # 'yyyy-MM-dd HH:mm:ss[.f]' with trailing zeros of the fraction dropped
+    base = F.concat(F.substring(s, 1, 10), F.lit("T"), F.substring(s, 12, 8))
+    frac = F.when(F.length(s) > 19, F.rpad(F.substring(s, 21, 6), 6, "0")).otherwise(F.lit(""))
+    return base, frac
+
+
+def datetime_text_seconds(c: Column, ntz: bool = False) -> Column:
     """ISO-8601 text with whole seconds (the Oracle ``DATE`` conversion)."""
+    if ntz:
+        return _ntz_parts(c)[0]
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def datetime_text_126(c: Column) -> Column:
+def datetime_text_126(c: Column, ntz: bool = False) -> Column:
     """ISO-8601 text like SQL Server style 126: fraction only when non-zero.
 
     The fraction is printed with microsecond scale (6 digits)."""
+    if ntz:
+        base, frac = _ntz_parts(c)
+        return F.concat(base, F.when(frac == F.lit(""), F.lit("")).otherwise(F.concat(F.lit("."), frac)))
     frac = F.date_format(c, "SSSSSS")
     return F.concat(
         F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"),
@@ -49,7 +65,8 @@ def convert_datetimes(df: DataFrame, flavor: str, suffix: str, columns=None) ->
     for f in df.schema.fields:
         conv = is_datetime_type(f.dataType) and (columns is None or f.name in columns)
         if conv:
-            out.append(fmt(F.col(f"`{f.name}`")).alias(f.name + suffix))
+            ntz = isinstance(f.dataType, T.TimestampNTZType)
+            out.append(fmt(F.col(f"`{f.name}`"), ntz=ntz).alias(f.name + suffix))
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)

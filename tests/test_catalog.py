@@ -108,3 +108,19 @@ def test_table_folders_schemas_and_partitions(spark, tmp_path):
     assert cat.read("sales", "by_status").count() == o.count()
     cols = [r["column"] for r in cat.columns([("sales", "by_status")]).orderBy("ordinal").collect()]
     assert cols[-1] == "o_orderstatus"
+
+
+def test_ntz_text_ignores_session_time_zone(spark):
+    import datetime as dt
+    from tablexport.functions.columns import convert_datetimes
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 0),), (dt.datetime(2024, 3, 10, 2, 30, 0, 5000),),
+                                    (dt.datetime(1999, 12, 31, 23, 59, 59, 999999),)], "t timestamp_ntz")
+        a = [r[0] for r in convert_datetimes(df, "sqlserver", "_s").collect()]
+        b = [r[0] for r in convert_datetimes(df, "oracle", "_s").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert a == ["2024-03-10T02:30:00", "2024-03-10T02:30:00.005000", "1999-12-31T23:59:59.999999"]
+    assert b == ["2024-03-10T02:30:00", "2024-03-10T02:30:00", "1999-12-31T23:59:59"]
