@@ -17,8 +17,16 @@ FILES_SCHEMA = ("catalog string, schema string, table string, chunk long, name s
 
 
 def read_file_index(spark: SparkSession, destination: str) -> DataFrame:
-    """Every committed file of every run under ``destination``."""
-    return spark.read.schema(FILES_SCHEMA).json(f"{destination.rstrip('/')}/_manifest/files-*.json")
+    """Every committed file of every run under ``destination`` (empty when nothing was written)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        df = spark.read.schema(FILES_SCHEMA).json(f"{destination.rstrip('/')}/_manifest/files-*.json")
+        df.inputFiles()  # resolves the glob now
+        return df
+    except AnalysisException:
+        from ..session import local_df
+        return local_df(spark, [], FILES_SCHEMA)
 
 
 def query_stats(files: DataFrame) -> DataFrame:

@@ -290,8 +290,9 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     for r in results:
         if r.ok and r.chunk_labels is not None:
             planned = r.chunk_labels if planned is None else planned.unionByName(r.chunk_labels)
-    written = query_stats(files)
-    stats = (with_planned_chunks(written, planned) if planned is not None else written).persist()
+    if planned is None:  # nothing planned (every table skipped or failed): same columns, no rows
+        planned = local_df(spark, [], "catalog string, schema string, table string, query_id string, label string")
+    stats = with_planned_chunks(query_stats(files), planned).persist()
     info = local_df(spark,
         [(r.catalog, r.schema, r.table, r.db_row_count, r.table_query_count, r.split_strategies, r.strategy)
          for r in results if r.ok],

@@ -93,3 +93,17 @@ def test_balanced_partitioned_export(spark, tmp_dest):
     assert t.strategy == "balanced_partitioned" and t.table_query_count <= 3 * 8 + 1
     n = spark.read.parquet(f"{SF001}/lineitem.parquet").count()
     assert spark.read.format(FORMAT).load(tmp_dest).count() == n
+
+
+def test_nothing_exportable_still_reports(spark, tmp_dest):
+    job = _job(tmp_dest, tables=("dbo.embeddings",), column_exclusions=(r"dbo\.embeddings\.(vec_id|label)",))
+    res = export_database(spark, job, DirectoryCatalog(spark, SF001))
+    assert res.tables[0].strategy == "skipped" and res.stats.count() == 0
+    assert json.load(open(res.manifest_path))["outputList"][0]["export_row_count"] == 0
+
+
+def test_destination_that_is_a_file_is_refused(spark, tmp_path):
+    f = tmp_path / "afile"
+    f.write_text("x")
+    with pytest.raises(NotADirectoryError):
+        export_database(spark, _job(str(f), tables=("dbo.region",)), DirectoryCatalog(spark, SF001))
