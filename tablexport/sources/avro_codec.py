@@ -99,8 +99,12 @@ def avro_schema(schema: pa.Schema, name: str, namespace: str | None) -> dict:
 
 
 # ---------------------------------------------------------------- pieces
-def _varint_piece(values: np.ndarray, valid: np.ndarray | None):
-    """Zig-zag varints of int64 ``values``; rows not ``valid`` get 0 bytes."""
+# A piece is (per-row byte counts, concatenated bytes in row order). Every
+# field is a union ["null", T]: its branch byte (0x00 null, 0x02 value) is
+# folded into the first piece of the field, so a field costs one scatter
+# (two for strings/bytes: header, then the raw bytes).
+def _varint_matrix(values: np.ndarray):
+    """(byte counts, bytes matrix) of the zig-zag varints of int64 ``values``."""
     v = values.astype(np.int64, copy=False)
     zz = ((v << 1) ^ (v >> 63)).view(np.uint64)
     nb = np.ones(len(v), dtype=np.int64)
@@ -110,28 +114,43 @@ def _varint_piece(values: np.ndarray, valid: np.ndarray | None):
     mat = np.empty((len(v), width), dtype=np.uint8)
     for k in range(width):
         byte = ((zz >> np.uint64(7 * k)) & np.uint64(0x7F)).astype(np.uint8)
-        cont = (k < nb - 1).astype(np.uint8) << 7
-        mat[:, k] = byte | cont
-    keep = np.arange(width)[None, :] < nb[:, None]
+        mat[:, k] = byte | ((k < nb - 1).astype(np.uint8) << 7)
+    return nb, mat
+
+
+def _varint_piece(values: np.ndarray, valid: np.ndarray | None):
+    """Zig-zag varints of int64 ``values``; rows not ``valid`` get 0 bytes."""
+    nb, mat = _varint_matrix(values)
+    keep = np.arange(mat.shape[1])[None, :] < nb[:, None]
     if valid is not None:
         nb = np.where(valid, nb, 0)
         keep &= valid[:, None]
     return nb, mat[keep]
 
 
-def _fixed_piece(values: np.ndarray, width: int, valid: np.ndarray | None):
-    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), width)
+def _branch_piece_from(nb: np.ndarray, mat: np.ndarray, valid: np.ndarray | None):
+    """Prefix each row's bytes with the union branch; a null row is the single byte 0x00."""
+    n = len(nb)
+    full = np.empty((n, mat.shape[1] + 1), dtype=np.uint8)
+    full[:, 0] = 2
+    full[:, 1:] = mat
     if valid is None:
-        return np.full(len(values), width, dtype=np.int64), raw.ravel()
-    return np.where(valid, width, 0).astype(np.int64), raw[valid].ravel()
+        lens = nb + 1
+    else:
+        full[~valid, 0] = 0
+        lens = np.where(valid, nb + 1, 1)
+    if np.all(lens == full.shape[1]):
+        return lens, full.ravel()
+    keep = np.arange(full.shape[1])[None, :] < lens[:, None]
+    return lens, full[keep]
 
 
-def _branch_piece(valid: np.ndarray):
-    # union ["null", T]: branch 0 -> 0x00, branch 1 -> zig-zag(1) = 0x02
-    return np.ones(len(valid), dtype=np.int64), np.where(valid, 2, 0).astype(np.uint8)
+def _fixed_matrix(values: np.ndarray, width: int):
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), width)
+    return np.full(len(values), width, dtype=np.int64), raw
 
 
-def _binary_pieces(arr: pa.Array, valid: np.ndarray):
+def _binary_pieces(arr: pa.Array, valid: np.ndarray | None):
     if pa.types.is_string(arr.type) or pa.types.is_large_string(arr.type):
         arr = pc.fill_null(arr, "")
     else:
@@ -141,13 +160,11 @@ def _binary_pieces(arr: pa.Array, valid: np.ndarray):
     offs = np.frombuffer(bufs[1], dtype=off_type)[arr.offset: arr.offset + len(arr) + 1].astype(np.int64)
     lens = np.diff(offs)
     data = np.frombuffer(bufs[2], dtype=np.uint8)[offs[0]: offs[-1]] if bufs[2] is not None else np.empty(0, np.uint8)
-    if not valid.all():
-        lens = np.where(valid, lens, 0)
-        # null slots were filled with empty values, so their data is empty already
-    return [_varint_piece(lens, valid), (lens, data)]
+    # null slots were filled with empty values, so their data is already empty
+    return [_branch_piece_from(*_varint_matrix(lens), valid), (lens, data)]
 
 
-def _decimal_pieces(arr: pa.Array, valid: np.ndarray):
+def _decimal_pieces(arr: pa.Array, valid: np.ndarray | None):
     n = len(arr)
     raw = np.frombuffer(arr.buffers()[1], dtype=np.uint8)[arr.offset * 16: (arr.offset + n) * 16].reshape(n, 16)
     be = raw[:, ::-1]
@@ -157,49 +174,42 @@ def _decimal_pieces(arr: pa.Array, valid: np.ndarray):
     lead = np.where(same.all(axis=1), 16, np.argmin(same, axis=1))
     nxt = be[np.arange(n), np.minimum(lead, 15)]
     keep_one = ((nxt & 0x80) != 0) != neg
-    start = np.where(lead == 16, 15, lead - keep_one.astype(np.int64))
-    start = np.clip(start, 0, 15)
+    start = np.clip(np.where(lead == 16, 15, lead - keep_one.astype(np.int64)), 0, 15)
     lens = (16 - start).astype(np.int64)
     mask = np.arange(16)[None, :] >= start[:, None]
-    if not valid.all():
+    if valid is not None:
         lens = np.where(valid, lens, 0)
         mask &= valid[:, None]
-    return [_varint_piece(lens, valid), (lens, be[mask])]
+    return [_branch_piece_from(*_varint_matrix(lens), valid), (lens, be[mask])]
 
 
 def _column_pieces(arr: pa.Array):
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
-    n = len(arr)
-    valid = np.ones(n, dtype=bool) if arr.null_count == 0 else arr.is_valid().to_numpy(zero_copy_only=False)
-    pieces = [_branch_piece(valid)]
     t = arr.type
-    vmask = None if arr.null_count == 0 else valid
+    valid = None if arr.null_count == 0 else arr.is_valid().to_numpy(zero_copy_only=False)
     if pa.types.is_boolean(t):
         vals = pc.fill_null(arr, False).to_numpy(zero_copy_only=False).astype(np.uint8)
-        pieces.append(_fixed_piece(vals, 1, vmask))
-    elif pa.types.is_integer(t) or pa.types.is_date32(t):
-        vals = pc.fill_null(arr.cast(pa.int64()) if not pa.types.is_date32(t) else arr.cast(pa.int32()).cast(pa.int64()), 0)
-        pieces.append(_varint_piece(vals.to_numpy(zero_copy_only=False), vmask))
-    elif pa.types.is_timestamp(t):
+        return [_branch_piece_from(*_fixed_matrix(vals, 1), valid)]
+    if pa.types.is_integer(t) or pa.types.is_date32(t) or pa.types.is_timestamp(t):
         a = arr
-        if t.unit != "us":
+        if pa.types.is_timestamp(t) and t.unit != "us":
             a = a.cast(pa.timestamp("us", t.tz))
-        vals = pc.fill_null(a.cast(pa.int64()), 0)
-        pieces.append(_varint_piece(vals.to_numpy(zero_copy_only=False), vmask))
-    elif pa.types.is_float32(t):
+        if pa.types.is_date32(t):
+            a = a.cast(pa.int32())
+        vals = pc.fill_null(a.cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+        return [_branch_piece_from(*_varint_matrix(vals), valid)]
+    if pa.types.is_float32(t):
         vals = pc.fill_null(arr, 0.0).to_numpy(zero_copy_only=False).astype("<f4")
-        pieces.append(_fixed_piece(vals, 4, vmask))
-    elif pa.types.is_float64(t):
+        return [_branch_piece_from(*_fixed_matrix(vals, 4), valid)]
+    if pa.types.is_float64(t):
         vals = pc.fill_null(arr, 0.0).to_numpy(zero_copy_only=False).astype("<f8")
-        pieces.append(_fixed_piece(vals, 8, vmask))
-    elif pa.types.is_string(t) or pa.types.is_large_string(t) or pa.types.is_binary(t) or pa.types.is_large_binary(t):
-        pieces += _binary_pieces(arr, valid)
-    elif pa.types.is_decimal(t):
-        pieces += _decimal_pieces(arr, valid)
-    else:
-        raise TypeError(f"type {t} cannot be written to Avro by this sink")
-    return pieces
+        return [_branch_piece_from(*_fixed_matrix(vals, 8), valid)]
+    if pa.types.is_string(t) or pa.types.is_large_string(t) or pa.types.is_binary(t) or pa.types.is_large_binary(t):
+        return _binary_pieces(arr, valid)
+    if pa.types.is_decimal(t):
+        return _decimal_pieces(arr, valid)
+    raise TypeError(f"type {t} cannot be written to Avro by this sink")
 
 
 def _interleave(pieces, n: int) -> bytes:
@@ -213,8 +223,8 @@ def _interleave(pieces, n: int) -> bytes:
         if data.size == 0:
             continue
         starts = pos[:, j]
-        if np.all(lens == lens[0]):
-            w = int(lens[0])
+        w = int(lens[0])
+        if data.size == w * n and np.all(lens == w):
             dest = (starts[:, None] + np.arange(w)[None, :]).ravel()
         else:
             off = np.cumsum(lens) - lens
