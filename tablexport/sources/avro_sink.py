@@ -46,6 +46,8 @@ FORMAT = "tablexport_avro"
 MANIFEST_DIR = "_manifest"
 TMP_DIR = "_tx_tmp"
 MAX_BLOCK_BYTES = 4 << 20
+BLOCK_ROWS = 8192  # rows buffered per chunk before a block is encoded
+MAX_PENDING_ROWS = 262_144  # rows buffered per task across chunks
 
 
 def _fs(path: str):
@@ -137,6 +139,7 @@ class AvroWriter(DataSourceArrowWriter):
         seq: dict[int, int] = {}
         done: list[dict] = []
         schema_json = None
+        head_prefix: list[bytes] = []  # header up to the sync marker, built once per task
 
         def close(o: _Open):
             o.stream.close()
@@ -154,7 +157,9 @@ class AvroWriter(DataSourceArrowWriter):
             tmp_path = f"{tmp_dir}/{name}"
             sync = ac.new_sync()
             stream = fs.open_output_stream(tmp_path)
-            stream.write(ac.header(schema_json, self.codec, sync))
+            if not head_prefix:
+                head_prefix.append(ac.header(schema_json, self.codec, b""))  # sync appended per file
+            stream.write(head_prefix[0] + sync)
             o = _Open(stream, tmp_path, name, chunk, sync, start=_now())
             open_files[chunk] = o
             return o
@@ -179,6 +184,28 @@ class AvroWriter(DataSourceArrowWriter):
             o.rows += data.num_rows
             o.plain += len(plain)
 
+        # rows of many chunks arrive interleaved: buffer per chunk and encode whole blocks
+        # (bounded: at most MAX_PENDING_ROWS buffered per task, largest buffer flushed first)
+        pending: dict[int, list] = {}
+        pending_rows: dict[int, int] = {}
+        total = [0]
+
+        def flush(chunk: int):
+            parts = pending.pop(chunk)
+            total[0] -= pending_rows.pop(chunk)
+            merged = pa.Table.from_batches(parts).combine_chunks()
+            for rb in merged.to_batches():
+                emit(chunk, rb)
+
+        def buffer(chunk: int, rb: pa.RecordBatch):
+            pending.setdefault(chunk, []).append(rb)
+            pending_rows[chunk] = pending_rows.get(chunk, 0) + rb.num_rows
+            total[0] += rb.num_rows
+            if pending_rows[chunk] >= BLOCK_ROWS:
+                flush(chunk)
+            while total[0] > MAX_PENDING_ROWS:
+                flush(max(pending_rows, key=pending_rows.get))
+
         for batch in iterator:
             if batch.num_rows == 0:
                 continue
@@ -199,9 +226,13 @@ class AvroWriter(DataSourceArrowWriter):
             sc = chunks[order]
             cuts = np.flatnonzero(sc[1:] != sc[:-1]) + 1
             bounds = np.concatenate([[0], cuts, [len(sc)]])
+            ordered = data.take(pa.array(order)) if len(bounds) > 2 else data  # one gather, then slices
             for a, b in zip(bounds[:-1], bounds[1:]):
-                idx = pa.array(order[a:b])
-                emit(int(sc[a]), data.take(idx))
+                buffer(int(sc[a]), ordered.slice(int(a), int(b - a)))
+        for ch in list(pending):  # last rows of every chunk: write, then close at once
+            flush(ch)
+            if ch in open_files:
+                close(open_files.pop(ch))
         for o in list(open_files.values()):
             close(o)
         return FilesWritten(files=done, tmp_dir=tmp_dir)

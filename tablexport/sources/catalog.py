@@ -282,9 +282,12 @@ class JdbcCatalog:
     reads run one predicate per Spark task (``read_chunks``)."""
 
     def __init__(self, spark: SparkSession, url: str, properties: dict | None = None, flavor: str = "sqlserver",
-                 catalog: str | None = None, fetch_size: int = 2000):
+                 catalog: str | None = None, fetch_size: int = 2000, dirty_reads: bool = False):
         self.spark, self.url, self.props, self.flavor = spark, url, dict(properties or {}), flavor
         self.catalog, self.fetch_size = catalog, fetch_size
+        if dirty_reads and flavor == "sqlserver":
+            # the portable form of a NOLOCK hint: every chunk connection reads uncommitted
+            self.props.setdefault("sessionInitStatement", "SET TRANSACTION ISOLATION LEVEL READ UNCOMMITTED")
 
     @property
     def dialect(self):
