@@ -127,3 +127,15 @@ def test_split_reading_covers_every_block_once(spark, tmp_dest):
     for split in (20_000, 300_000, 10 << 20):
         back = spark.read.format(FORMAT).option("split_bytes", split).load(tmp_dest)
         assert back.count() == 50000 and back.select("id").distinct().count() == 50000
+
+
+def test_zoned_timestamps_roundtrip(spark, tmp_dest):
+    import datetime as dt
+    df = spark.createDataFrame([(1, dt.datetime(2020, 6, 1, 12, 0, 0, 1)), (2, None)], "id bigint, t timestamp")
+    _write(spark, df, tmp_dest)
+    back = spark.read.format(FORMAT).load(tmp_dest)
+    assert dict(back.dtypes)["t"] == "timestamp"
+    assert sorted(back.collect()) == sorted(df.collect())
+    f = sorted(glob.glob(tmp_dest + "/*.avro"))[0]
+    _, schema, _ = _jvm_read(spark, f)
+    assert schema["fields"][1]["type"][1] == {"type": "long", "logicalType": "timestamp-micros"}

@@ -190,7 +190,7 @@ def test_like_matches_brute_force(spark, keys, s, span, inc, eo):
 
 @settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(days=st.lists(st.one_of(st.none(), st.integers(0, 3000)), min_size=1, max_size=30),
-       inc=st.sampled_from([1, 2, 3, 5, 11, 12, 24]), eo=st.booleans())
+       inc=st.sampled_from([1, 2, 3, 5, 11, 12, 18, 24]), eo=st.booleans())
 def test_dates_match_brute_force(spark, days, inc, eo):
     base = D(2014, 3, 17, 6, 30)
     keys = [None if d is None else base + dt.timedelta(days=d, seconds=d * 37) for d in days]
@@ -208,3 +208,18 @@ def test_audit_counts_overlaps(spark):
     times = sorted(r["times"] for r in plan.match_times(df).collect())
     expect = sorted(sum(1 for p in brute.like_chunks(10, 12, 1) if p(k)) for k in KEYS_NUM)
     assert times == expect
+
+
+def test_given_date_bounds_are_honoured(spark):
+    # bounds 2016-01..2016-12 by quarter: earlier rows join the first (open) chunk, later rows the last
+    keys = [D(2015, 6, 1), D(2016, 2, 1), D(2016, 5, 1), D(2016, 12, 31), D(2018, 1, 1), None]
+    got = _assign(spark, keys, "k timestamp_ntz", "t,range,k,date,3,2016-01-01,2016-12-31", True)
+    assert got == [(0, 1), (1, 1), (2, 2), (3, 4), (4, 4), (5, 5)]
+    assert got[:5] == brute.assign(keys[:5], brute.date_chunks(D(2016, 1, 1), D(2016, 12, 31), 3), True)
+
+
+def test_given_number_bounds_outside_rows(spark):
+    keys = [-10, 0, 50, 100, 101, 5000, None]
+    got = _assign(spark, keys, "k bigint", "t,between,k,number,49,0,100", True)
+    assert got == brute.assign(keys, brute.between_chunks(0, 100, 49, True), True)
+    assert dict(got)[0] == dict(got)[4] == dict(got)[6] == 4  # residual
