@@ -32,9 +32,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from ..session import local_df
 
 from ..operators.numbering import global_row_number
+from ..session import local_df, session_wall_clock
 from .split_spec import KeyType, Operation, SplitSpec, SplitSpecError
 
 BROADCAST_CHUNKS = 200_000  # lookup rows (tens of bytes each) broadcast at most: a few MB
@@ -393,7 +393,10 @@ def _number_bounds(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
     for i, c in enumerate(columns):
         aggs += [F.min(q(c)).alias(f"lo{i}"), F.max(q(c)).alias(f"hi{i}")]
     row = df.agg(*aggs).collect()[0]
-    return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+    spark = df.sparkSession
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return {c: (session_wall_clock(spark, row[f"lo{i}"], types.get(c)),
+                session_wall_clock(spark, row[f"hi{i}"], types.get(c))) for i, c in enumerate(columns)}
 
 
 def plan_table(df: DataFrame | None, specs: list[SplitSpec], *, table: str = "", exactly_once: bool = True,

@@ -75,3 +75,23 @@ def local_df(spark: SparkSession, rows, schema):
     arrays = [pa.array(list(c), type=f.type) for c, f in zip(cols, asch)]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=asch)).select(
         *[f"`{f.name}`" for f in st.fields]).to(st)
+
+
+def session_wall_clock(spark: SparkSession, value, data_type):
+    """A collected zoned timestamp as wall-clock time of the session time zone.
+
+    ``collect()`` gives zoned (``TimestampType``) values in the Python process's
+    zone, while Spark's ``year``/``month`` use ``spark.sql.session.timeZone``;
+    zone-less values (``timestamp_ntz``) are returned unchanged."""
+    import datetime as _dt
+    from zoneinfo import ZoneInfo
+
+    from pyspark.sql.types import TimestampType
+
+    if value is None or not isinstance(data_type, TimestampType) or not isinstance(value, _dt.datetime):
+        return value
+    tz = spark.conf.get("spark.sql.session.timeZone", None)
+    if not tz:
+        return value
+    aware = value if value.tzinfo else value.astimezone()  # naive = process-local zone
+    return aware.astimezone(ZoneInfo(tz)).replace(tzinfo=None)

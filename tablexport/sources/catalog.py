@@ -23,7 +23,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from ..session import local_df
+from ..session import local_df, session_wall_clock
 
 # Java.sql.Types codes.
 JDBC = {
@@ -322,8 +322,10 @@ class JdbcCatalog:
         """MIN/MAX of several columns in ONE query run by the database."""
         d = self.dialect
         sel = ", ".join(f"MIN({d.ident(c)}) AS lo{i}, MAX({d.ident(c)}) AS hi{i}" for i, c in enumerate(columns))
-        row = self._query(f"SELECT {sel} FROM {self.qualified(schema, table)}").collect()[0]
-        return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+        df = self._query(f"SELECT {sel} FROM {self.qualified(schema, table)}")
+        row, types = df.collect()[0], {f.name: f.dataType for f in df.schema.fields}
+        return {c: (session_wall_clock(self.spark, row[f"lo{i}"], types.get(f"lo{i}")),
+                    session_wall_clock(self.spark, row[f"hi{i}"], types.get(f"hi{i}"))) for i, c in enumerate(columns)}
 
     def distinct(self, schema: str, table: str, columns: list[str]) -> DataFrame:
         """``SELECT DISTINCT`` run by the database."""

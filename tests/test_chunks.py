@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from hypothesis import HealthCheck, given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from tablexport.plans.chunks import BetweenStrategy, DateStrategy, plan_table
@@ -223,3 +224,22 @@ def test_given_number_bounds_outside_rows(spark):
     got = _assign(spark, keys, "k bigint", "t,between,k,number,49,0,100", True)
     assert got == brute.assign(keys, brute.between_chunks(0, 100, 49, True), True)
     assert dict(got)[0] == dict(got)[4] == dict(got)[6] == 4  # residual
+
+
+def test_zoned_date_bounds_follow_session_zone(spark):
+    # a zoned timestamp near a month end: its month must be judged in the session zone, as Spark's month() does
+    import datetime as dtm
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        df = spark.createDataFrame([(1,)], "i int").select(
+            F.lit("2016-01-31 20:00:00").cast("timestamp").alias("k"), F.lit(1).alias("i"))  # Tokyo wall clock
+        df = df.unionByName(spark.createDataFrame([(2,)], "i int").select(
+            F.lit("2016-03-01 01:00:00").cast("timestamp").alias("k"), F.lit(2).alias("i")))
+        plan = plan_table(df, [SplitSpec.parse("t,range,k,date,1")], exactly_once=True)
+        st = plan.strategies[0]
+        assert (st.start.year, st.start.month) == (2016, 1) and (st.end.year, st.end.month) == (2016, 3)
+        got = sorted((r["i"], r["chunk_no"]) for r in plan.assign(df).collect())
+        assert got == [(1, 1), (2, 3)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
