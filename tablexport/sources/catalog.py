@@ -368,8 +368,8 @@ class JdbcCatalog:
         raw = self._query(sql)
         mapping = F.create_map(*[x for k, v in types.items() for x in (F.lit(k), F.lit(JDBC[v]))])
         vt = F.col("vendor_type")
-        code = F.coalesce(F.element_at(mapping, vt if self.flavor == "sqlserver" else F.regexp_replace(vt, r"\(.*$", "")),
-                          F.lit(JDBC["OTHER"]))
+        name = F.lower(vt) if self.flavor == "sqlserver" else F.regexp_replace(vt, r"\(.*$", "")
+        code = F.coalesce(F.element_at(mapping, name), F.lit(JDBC["OTHER"]))
         return raw.select(
             F.col("catalog").cast("string"), F.col("schema_name").alias("schema"), F.col("table_name").alias("table"),
             F.col("ordinal").cast("int"), F.col("column_name").alias("column"), code.cast("int").alias("jdbc_type"),

@@ -92,3 +92,18 @@ def test_database_balanced_partitioned(spark, tmp_dest):
     assert spark.read.format(FORMAT).load(tmp_dest).count() == n
     stats = res.stats.collect()
     assert len(stats) == res.tables[0].table_query_count
+
+
+def test_sqlserver_dictionary_query_runs_on_information_schema(spark):
+    """The SQL Server column query is plain INFORMATION_SCHEMA SQL: run it on DuckDB tables with a key."""
+    src = DuckJdbc(spark, SF001)
+    src.flavor = "sqlserver"
+    src.con.execute("CREATE TABLE dbo.t_keyed (id BIGINT PRIMARY KEY, name VARCHAR, price DOUBLE, born DATE, "
+                    "tags VARCHAR[])")
+    cols = {r["column"]: r for r in JdbcCatalog.columns(src).filter(F.col("table") == "t_keyed").collect()}
+    assert [cols[c]["ordinal"] for c in ("id", "name", "price", "born", "tags")] == [1, 2, 3, 4, 5]
+    assert cols["id"]["is_key"] and not cols["name"]["is_key"]
+    assert (cols["id"]["jdbc_type"], cols["name"]["jdbc_type"], cols["born"]["jdbc_type"]) == (-5, 12, 91)
+    assert cols["id"]["supported"] and not cols["tags"]["supported"]
+    # views are not tables: the parquet views of the fake are not listed
+    assert JdbcCatalog.columns(src).filter(F.col("table") == "orders").count() == 0
