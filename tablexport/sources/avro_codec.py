@@ -347,31 +347,6 @@ def read_header(f) -> tuple[dict, str, bytes, int]:
     return json.loads(meta["avro.schema"]), meta.get("avro.codec", b"null").decode(), sync, 4 + buf.i
 
 
-def _decoder(avro_t):
-    t = avro_t
-    logical = None
-    if isinstance(t, dict):
-        logical = t.get("logicalType")
-        base = t["type"]
-    else:
-        base = t
-    if base in ("int", "long"):
-        return lambda buf: buf.long()
-    if base == "boolean":
-        return lambda buf: buf.take(1) != b"\x00"
-    if base == "float":
-        return lambda buf: struct.unpack("<f", buf.take(4))[0]
-    if base == "double":
-        return lambda buf: struct.unpack("<d", buf.take(8))[0]
-    if base == "string":
-        return lambda buf: buf.take(buf.long()).decode("utf-8")
-    if base == "bytes":
-        if logical == "decimal":
-            return lambda buf: int.from_bytes(buf.take(buf.long()), "big", signed=True)
-        return lambda buf: buf.take(buf.long())
-    raise TypeError(f"cannot decode {avro_t}")
-
-
 def _read_long(f):
     shift, z = 0, 0
     while True:
@@ -387,20 +362,77 @@ def _read_long(f):
         shift += 7
 
 
-def iter_records(f, schema: dict, codec: str, sync: bytes, stop: int | None = None):
-    """Yield lists of row tuples, one list per block (raw values).
+# ---------------------------------------------------------------- column decoding
+# One straight-line Python function per schema (generated once per file):
+# every field of every record is decoded inline into its column list, with a
+# one-byte fast path for varints. Used by the reader only (verification path).
+_VARINT = """
+{ind}x = buf[pos]; pos += 1
+{ind}if x < 128:
+{ind}    z = x
+{ind}else:
+{ind}    z = x & 0x7F; sh = 7
+{ind}    while True:
+{ind}        x = buf[pos]; pos += 1
+{ind}        z |= (x & 0x7F) << sh
+{ind}        if x < 128: break
+{ind}        sh += 7
+{ind}{target} = (z >> 1) ^ -(z & 1)
+"""
+
 
-    With ``stop``, blocks that begin at or after that offset are left out."""
+def _field_code(i: int, t, ind: str) -> str:
+    base = t["type"] if isinstance(t, dict) else t
+    logical = t.get("logicalType") if isinstance(t, dict) else None
+    col = f"c{i}[r]"
+    if base in ("int", "long"):
+        return _VARINT.format(ind=ind, target=col)
+    if base == "boolean":
+        return f"{ind}{col} = buf[pos] != 0; pos += 1\n"
+    if base == "float":
+        return f"{ind}{col} = unpack_f(buf, pos)[0]; pos += 4\n"
+    if base == "double":
+        return f"{ind}{col} = unpack_d(buf, pos)[0]; pos += 8\n"
+    if base in ("string", "bytes"):
+        code = _VARINT.format(ind=ind, target="n")
+        if base == "string":
+            return code + f"{ind}{col} = buf[pos:pos + n].decode('utf-8'); pos += n\n"
+        if logical == "decimal":
+            return code + f"{ind}{col} = int.from_bytes(buf[pos:pos + n], 'big', signed=True); pos += n\n"
+        return code + f"{ind}{col} = bytes(buf[pos:pos + n]); pos += n\n"
+    raise TypeError(f"cannot decode {t}")
+
+
+def column_decoder(schema: dict):
+    """Compile ``decode(buf: bytes, count) -> list of column lists`` for a record schema."""
+    lines = ["def decode(buf, count):", "    pos = 0"]
     fields = schema["fields"]
-    decs = []
     for fd in fields:
+        if isinstance(fd["type"], list) and len(fd["type"]) > 63:
+            raise TypeError("unions of more than 63 branches are not read")
+    for i in range(len(fields)):
+        lines.append(f"    c{i} = [None] * count")
+    lines.append("    for r in range(count):")
+    for i, fd in enumerate(fields):
         t = fd["type"]
         if isinstance(t, list):
             null_idx = t.index("null") if "null" in t else -1
             inner = [x for x in t if x != "null"][0]
-            decs.append((null_idx, _decoder(inner)))
+            # a union branch index below 64 is one zig-zag byte: 2 * index
+            lines.append("        br = buf[pos]; pos += 1")
+            lines.append(f"        if br != {2 * null_idx}:")
+            lines.append(_field_code(i, inner, "            ").rstrip("\n"))
         else:
-            decs.append((-1, _decoder(t)))
+            lines.append(_field_code(i, t, "        ").rstrip("\n"))
+    lines.append("    return [" + ", ".join(f"c{i}" for i in range(len(fields))) + "]")
+    env = {"unpack_f": struct.Struct("<f").unpack_from, "unpack_d": struct.Struct("<d").unpack_from}
+    exec("\n".join(lines), env)  # noqa: S102 - code built above from the schema only
+    return env["decode"]
+
+
+def iter_columns(f, schema: dict, codec: str, sync: bytes, stop: int | None = None):
+    """Yield (count, column lists) per block; blocks starting at/after ``stop`` are left out."""
+    decode = column_decoder(schema)
     while True:
         if stop is not None and f.tell() >= stop:
             return
@@ -411,17 +443,4 @@ def iter_records(f, schema: dict, codec: str, sync: bytes, stop: int | None = No
         body = f.read(size)
         if f.read(SYNC_SIZE) != sync:
             raise IOError("sync marker mismatch")
-        plain = decompress_block(body, codec)
-        buf = _Buf(plain)
-        rows = []
-        for _ in range(count):
-            row = []
-            for null_idx, dec in decs:
-                if null_idx >= 0:
-                    br = buf.long()
-                    if br == null_idx:
-                        row.append(None)
-                        continue
-                row.append(dec(buf))
-            rows.append(tuple(row))
-        yield rows
+        yield count, decode(decompress_block(body, codec), count)

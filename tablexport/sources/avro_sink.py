@@ -390,11 +390,9 @@ class AvroReader(DataSourceReader):
             f.seek(first)
             names = [fd["name"] for fd in schema["fields"]]
             types = [fd["type"] for fd in schema["fields"]]
-            for rows in ac.iter_records(f, schema, codec, sync, stop=partition.end):
-                if not rows:
-                    continue
-                cols = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([_arrow_column(list(c), t) for c, t in zip(cols, types)], names=names)
+            for count, cols in ac.iter_columns(f, schema, codec, sync, stop=partition.end):
+                if count:
+                    yield pa.RecordBatch.from_arrays([_arrow_column(c, t) for c, t in zip(cols, types)], names=names)
 
 
 class AvroDataSource(DataSource):
