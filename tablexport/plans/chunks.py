@@ -77,6 +77,14 @@ class Strategy:
     def params(self) -> dict:
         return {}
 
+    def describe(self) -> str:
+        """JSON text: the strategy string, its kind, chunk ids and the parameters resolved by planning."""
+        import json
+        d = {"strategy": self.spec.text, "kind": self.kind, "first_chunk": self.offset + 1 if self.n_chunks else None,
+             "chunks": self.n_chunks}
+        d.update(self.params())
+        return json.dumps(d, default=str)
+
     def coverage(self) -> Column | None:
         """A pushdown-friendly filter true for every row some chunk of this strategy
         takes (None when it cannot be stated simply)."""
@@ -151,6 +159,15 @@ class PrefixStrategy(Strategy):
     def __post_init__(self):
         self.n_chunks = self.n_prefix + (1 if self.not_like_prefix is not None else 0) + (1 if self.digits_chunk else 0)
 
+    def params(self):
+        sp = self.spec
+        d = {"column": self.column}
+        if sp.start is not None:
+            d.update(start=sp.start, end=sp.end, increment=sp.increment)
+        if self.not_like_prefix is not None:
+            d["prefix"] = self.not_like_prefix
+        return d
+
     def _text(self) -> Column:
         c = q(self.column)
         return c.cast("string") if self.cast_text else c
@@ -281,6 +298,9 @@ class CombosStrategy(Strategy):
         df = df.join(right, cond, "left")
         return df, [F.col(hit) + F.lit(self.offset)], list(ren.values()) + [hit]
 
+    def params(self):
+        return {"columns": list(self.spec.columns)}
+
     def chunk_rows(self, spark):
         parts = [F.coalesce(q(c).cast("string"), F.lit("NULL")) for c in self.spec.columns]
         return self.combos.select("local_no", F.concat_ws(",", *parts).alias("label"))

@@ -140,8 +140,8 @@ def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, s
             preds = predicates(plan, source.flavor, job.max_chunks)
             rows = source.read_chunks(schema, table, preds, export_cols, chunk_col, key_columns=keys)
             labels = _sql_labels(spark, source, schema, table, export_cols, preds)
-            return rows, strategy, plan.n_chunks, labels, [s.text for s in specs], True, df
-        return plan.assign(df, chunk_col), strategy, plan.n_chunks, labels, [s.text for s in specs], False, df
+            return rows, strategy, plan.n_chunks, labels, [st.describe() for st in plan.strategies], True, df
+        return plan.assign(df, chunk_col), strategy, plan.n_chunks, labels, [st.describe() for st in plan.strategies], False, df
     if strategy in ("balanced", "balanced_partitioned"):
         keys = [c for c in (job.primary_keys.get(f"{schema}.{table}") or job.primary_keys.get(table) or [])]
         key = keys[0] if keys else (export_cols[0] if df is None else df.columns[0])
