@@ -208,7 +208,7 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
             out = out.join(done, chunk_col, "left_anti")
         except Exception:  # nothing written yet
             pass
-    if cluster and chunk_col and not clustered and out.rdd.getNumPartitions() > 1:
+    if cluster and chunk_col and not clustered and (df is None or df.rdd.getNumPartitions() > 1):
         # rows of one chunk are spread over the scan's tasks: cluster them (AQE splits a skewed chunk);
         # with a single input partition every chunk is already in one task
         out = out.hint("rebalance", chunk_col)
