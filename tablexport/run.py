@@ -200,6 +200,7 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
     if chunk_col and f"{schema}.{table}" in job.unionize:
         data_cols = [c for c in out.columns if c != chunk_col]
         out = union_batches(out, data_cols, chunk_col, job.union_batch, chunk_col)
+        clustered = False  # the de-duplication shuffle hashed rows on their values, not on the batch
     if resume and chunk_col:
         try:
             done = (read_file_index(spark, job.destination)
@@ -208,7 +209,8 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
             out = out.join(done, chunk_col, "left_anti")
         except Exception:  # nothing written yet
             pass
-    if cluster and chunk_col and not clustered and (df is None or df.rdd.getNumPartitions() > 1):
+    single_input = df is not None and f"{schema}.{table}" not in job.unionize and df.rdd.getNumPartitions() == 1
+    if cluster and chunk_col and not clustered and not single_input:
         # rows of one chunk are spread over the scan's tasks: cluster them (AQE splits a skewed chunk);
         # with a single input partition every chunk is already in one task
         out = out.hint("rebalance", chunk_col)
