@@ -322,6 +322,20 @@ class TablePlan:
     def residual_no(self) -> int | None:
         return self.n_chunks if self.exactly_once else None
 
+    def disjoint(self) -> "TablePlan":
+        """The same chunks in exactly-once form (clamped windows, residual chunk):
+        a disjoint cover of the whole table, used to partition database reads."""
+        import copy
+        plan = copy.copy(self)
+        plan.exactly_once = True
+        plan.strategies = []
+        for st in self.strategies:
+            c = copy.copy(st)
+            if isinstance(c, BetweenStrategy):
+                c.exactly_once = True
+            plan.strategies.append(c)
+        return plan
+
     def coverage(self) -> Column | None:
         """OR of the strategies' coverage filters, or None when one has none."""
         out = None

@@ -138,9 +138,18 @@ def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, s
             for st in plan.strategies:
                 keys += [st.column] if getattr(st, "column", None) else list(st.spec.key_columns)
             preds = predicates(plan, source.flavor, job.max_chunks)
-            rows = source.read_chunks(schema, table, preds, export_cols, chunk_col, key_columns=keys)
             labels = _sql_labels(spark, source, schema, table, export_cols, preds)
-            return rows, strategy, plan.n_chunks, labels, [st.describe() for st in plan.strategies], True, df
+            texts = [st.describe() for st in plan.strategies]
+            if len(preds) <= job.max_jdbc_partitions:  # one chunk = one query = one task
+                rows = source.read_chunks(schema, table, preds, export_cols, chunk_col, key_columns=keys)
+                return rows, strategy, plan.n_chunks, labels, texts, True, df
+            # too many chunks for one task each: read a disjoint cover in OR-ed batches of consecutive
+            # chunk predicates, then assign chunks in Spark exactly as for files (and cluster before writing)
+            cover = [p for _, p in predicates(plan.disjoint(), source.flavor, job.max_chunks)]
+            size = -(-len(cover) // job.max_jdbc_partitions)
+            batched = [" OR ".join(f"({p})" for p in cover[i:i + size]) for i in range(0, len(cover), size)]
+            read = source.read_partitioned(schema, table, batched, export_cols, key_columns=keys)
+            return plan.assign(read, chunk_col), strategy, plan.n_chunks, labels, texts, False, df
         return plan.assign(df, chunk_col), strategy, plan.n_chunks, labels, [st.describe() for st in plan.strategies], False, df
     if strategy in ("balanced", "balanced_partitioned"):
         keys = [c for c in (job.primary_keys.get(f"{schema}.{table}") or job.primary_keys.get(table) or [])]

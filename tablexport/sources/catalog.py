@@ -344,6 +344,14 @@ class JdbcCatalog:
         """One JDBC partition per predicate, in order (isolated for tests)."""
         return self.spark.read.jdbc(self.url, source_sql, predicates=preds, properties=self._props())
 
+    def read_partitioned(self, schema: str, table: str, preds: list[str], columns: list[str],
+                         key_columns: list[str] = ()) -> DataFrame:
+        """Exported (and key) columns, one JDBC partition per predicate; no chunk column."""
+        d = self.dialect
+        wanted = list(columns) + [k for k in key_columns if k not in columns]
+        cols = ", ".join(d.ident(c) for c in wanted)
+        return self._read_predicates(f"(SELECT {cols} FROM {self.qualified(schema, table)}) tx_q", list(preds))
+
     def read_chunks(self, schema: str, table: str, numbered_preds: list[tuple[int, str]], columns: list[str],
                     chunk_col: str = "_tx_chunk", key_columns: list[str] = ()) -> DataFrame:
         """Exported columns of every chunk; partition i holds predicate i, so the

@@ -107,3 +107,21 @@ def test_sqlserver_dictionary_query_runs_on_information_schema(spark):
     assert cols["id"]["supported"] and not cols["tags"]["supported"]
     # views are not tables: the parquet views of the fake are not listed
     assert JdbcCatalog.columns(src).filter(F.col("table") == "orders").count() == 0
+
+
+@pytest.mark.parametrize("spec", ["orders,between,o_orderkey,number,9", "orders,like,o_custkey,number,1,1,120"])
+@pytest.mark.parametrize("exactly_once", [True, False])
+def test_many_chunks_read_in_batches(spark, tmp_dest, spec, exactly_once):
+    """More chunks than max_jdbc_partitions: OR-ed predicate batches, chunks assigned in Spark."""
+    src = DuckJdbc(spark, SF001)
+    job = ExportJob(destination=tmp_dest, tables=("dbo.orders",), split_strategies=(spec,), retry_waits=(),
+                    exactly_once=exactly_once, max_jdbc_partitions=7)
+    res = export_database(spark, job, src, count_rows=False)
+    parts = [s for s in src.sent if s.startswith("partition ")]
+    assert 1 < len(parts) <= 7 and all(" OR " in s for s in parts[:-1])
+    got = {r["query_id"]: r["export_row_count"] for r in res.stats.collect()}
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    plan = plan_table(o, [SplitSpec.parse(spec)], exactly_once=exactly_once)
+    expect = {f"{r['chunk_no']:07d}": r["n"] for r in plan.summary(o).collect()}
+    assert got == expect
+    assert spark.read.format(FORMAT).load(tmp_dest).count() == sum(expect.values())
