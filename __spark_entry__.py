@@ -8,11 +8,17 @@ n = 0), so the SQL builds the chunk list and LEFT JOINs the counts.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablexport.queries import QUERIES, flagship
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:  # loaded by file path: make the package importable
+    sys.path.insert(0, _HERE)
+
+from tablexport.queries import QUERIES, flagship  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, ship_package
 
 _PID_SHIFT = 33
 
@@ -78,6 +78,7 @@ def running_sum(df: DataFrame, order_col: str, weight_col: str, name: str = "cum
     when unpartitioned) of totals per group.
     """
     order = ([F.col(partition_col)] if partition_col else []) + [F.col(order_col)]
+    ship_package(df.sparkSession)  # the mapInPandas functions below live in this package
     ck = range_sorted_checkpoint(df, order, num_partitions)
     part_type = ck.schema[partition_col].dataType if partition_col else None
 

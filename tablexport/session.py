@@ -95,3 +95,38 @@ def session_wall_clock(spark: SparkSession, value, data_type):
         return value
     aware = value if value.tzinfo else value.astimezone()  # naive = process-local zone
     return aware.astimezone(ZoneInfo(tz)).replace(tzinfo=None)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tablexport`` importable in Python workers (data source, mapInPandas).
+
+    Workers do not see the driver's runtime ``sys.path``; the package is
+    zipped once and added with ``addPyFile`` (Spark serves it to every
+    executor), once per SparkContext. The zip on the driver is only the
+    source Spark's file server hands out; executors get their own copy."""
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the package must be installed on the cluster
+        return
+    key = id(sc._jsc)
+    with _SHIP_LOCK:
+        if key in _SHIPPED:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="tablexport-pyfiles-"), "tablexport.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for dirpath, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        z.write(full, os.path.join("tablexport", os.path.relpath(full, pkg)))
+        sc.addPyFile(out)
+        _SHIPPED.add(key)
+
+
+_SHIP_LOCK = __import__("threading").Lock()

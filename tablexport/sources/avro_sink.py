@@ -422,6 +422,9 @@ _LOCK = __import__("threading").Lock()
 
 def register(spark) -> None:
     """Register the data source once per session (safe from several threads)."""
+    from ..session import ship_package
+
+    ship_package(spark)
     key = id(spark)
     with _LOCK:
         if key in _REGISTERED:
