@@ -52,6 +52,7 @@ def with_planned_chunks(stats: DataFrame, planned: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     return j.select(
         planned["catalog"], planned["schema"], planned["table"], planned["query_id"], planned["label"],
+        *([planned["created_time"]] if "created_time" in planned.columns else []),
         F.lit("Completed").alias("status"), F.coalesce(stats["query_file_count"], zero).alias("query_file_count"),
         F.coalesce(stats["export_row_count"], zero).alias("export_row_count"),
         F.coalesce(stats["total_bytes"], zero).alias("total_bytes"), stats["start_time"], stats["end_time"],
@@ -59,6 +60,17 @@ def with_planned_chunks(stats: DataFrame, planned: DataFrame) -> DataFrame:
         F.coalesce(stats["files"], F.array().cast("array<string>")).alias("files"))
 
 
+def chunk_events(stats: DataFrame) -> DataFrame:
+    """The status events of every chunk — Created (planned), Started (first file opened),
+    Completed (last file closed) — one row each, unpivoted JVM-side with ``stack``."""
+    has_created = "created_time" in stats.columns
+    created = "created_time" if has_created else "CAST(NULL AS TIMESTAMP)"
+    ev = stats.selectExpr("catalog", "schema", "table", "query_id",
+                          f"stack(3, 'Created', {created}, 'Started', start_time, 'Completed', end_time) "
+                          "AS (status, time)")
+    return ev.filter(F.col("time").isNotNull() | (F.col("status") == "Completed"))
+
+
 def table_rollup(stats: DataFrame, tables: DataFrame | None = None) -> DataFrame:
     """Per (catalog, schema, table): query count, rows, files, bytes, start, end, seconds.
 

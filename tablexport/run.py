@@ -201,8 +201,10 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
     assigned, strategy, n_chunks, labels, texts, clustered, df = plan_and_assign(
         spark, job, df, schema, table, partitioned_by, source=source, export_cols=export_cols)
     res.strategy, res.table_query_count, res.split_strategies = strategy, n_chunks, texts
+    planned_at = time.strftime("%Y-%m-%d %H:%M:%S")
     res.chunk_labels = labels.select(F.lit(res.catalog).cast("string").alias("catalog"), F.lit(schema).alias("schema"),
-                                     F.lit(table).alias("table"), "query_id", "label")
+                                     F.lit(table).alias("table"), "query_id", "label",
+                                     F.to_timestamp(F.lit(planned_at)).alias("created_time"))
     chunk_col = "_tx_chunk" if assigned is not None else None
     base = assigned if assigned is not None else df
     out = project_for_export(base, export_cols, vendor, job, [chunk_col] if chunk_col else [])
@@ -302,7 +304,8 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
         if r.ok and r.chunk_labels is not None:
             planned = r.chunk_labels if planned is None else planned.unionByName(r.chunk_labels)
     if planned is None:  # nothing planned (every table skipped or failed): same columns, no rows
-        planned = local_df(spark, [], "catalog string, schema string, table string, query_id string, label string")
+        planned = local_df(spark, [], "catalog string, schema string, table string, query_id string, label string, "
+                                      "created_time timestamp")
     stats = with_planned_chunks(query_stats(files), planned).persist()
     info = local_df(spark,
         [(r.catalog, r.schema, r.table, r.db_row_count, r.table_query_count, r.split_strategies, r.strategy)

@@ -134,3 +134,16 @@ def test_skewed_chunk_is_split_across_writers(spark, tmp_path):
     assert hot["query_file_count"] > 1  # split over several writer tasks
     back = spark.read.format(FORMAT).load(str(tmp_path / "out"))
     assert back.count() == n and back.select("id").distinct().count() == n
+
+
+def test_chunk_status_events(spark, tmp_dest):
+    from tablexport.operators.stats import chunk_events
+    job = _job(tmp_dest, tables=("dbo.orders",), split_strategies=("orders,range,o_orderdate,date,12",))
+    res = export_database(spark, job, DirectoryCatalog(spark, SF001))
+    ev = chunk_events(res.stats)
+    by = {}
+    for r in ev.collect():
+        by.setdefault(r["query_id"], {})[r["status"]] = r["time"]
+    written = [q for q, e in by.items() if "Started" in e]
+    assert written and all(by[q]["Created"] <= by[q]["Started"] <= by[q]["Completed"] for q in written)
+    assert {"Created", "Completed"} <= set(by["0000008"])  # the empty residual chunk was planned, never started
