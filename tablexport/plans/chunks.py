@@ -37,6 +37,7 @@ from ..operators.numbering import global_row_number
 from ..session import local_df, session_wall_clock
 from .split_spec import KeyType, Operation, SplitSpec, SplitSpecError
 
+WIDE_LENGTHS = 8  # more distinct prefix lengths than this: one exploded join instead of one join per length
 BROADCAST_CHUNKS = 200_000  # lookup rows (tens of bytes each) broadcast at most: a few MB
 # The single-digit catch-all chunk of number prefixes.
 DIGITS = ("0", "1", "2", "3", "4", "5", "6", "7", "8", "9")
@@ -172,6 +173,35 @@ class PrefixStrategy(Strategy):
         c = q(self.column)
         return c.cast("string") if self.cast_text else c
 
+    @property
+    def wide(self) -> bool:
+        """Many prefix lengths, or a lookup too large to broadcast."""
+        return len(self.lengths) > WIDE_LENGTHS or self.n_prefix > self.broadcast_chunks
+
+    def exploded_matches(self, df: DataFrame, chunk_col: str) -> DataFrame:
+        """As written, in one join: each row's candidate keys (one prefix per length, plus
+        sentinel keys for the catch-all chunks it falls in) exploded and equi-joined with
+        the lookup — one output row per matching chunk."""
+        text = self._text()
+        cands = [F.when(F.length(text) >= L, F.substring(text, 1, L)) for L in self.lengths]
+        extra = []
+        nxt = self.n_prefix + 1
+        if self.not_like_prefix is not None:
+            cands.append(F.when(~text.startswith(F.lit(self.not_like_prefix)), F.lit("\x00not_like")))
+            extra.append(("\x00not_like", nxt))
+            nxt += 1
+        if self.digits_chunk:
+            cands.append(F.when(text.isin(*DIGITS), F.lit("\x00digits")))
+            extra.append(("\x00digits", nxt))
+        right = self.lookup.select("key", "local_no")
+        if extra:
+            right = right.unionByName(local_df(df.sparkSession, extra, "key string, local_no long"))
+        right = right.select(F.col("key").alias("_tx_key"), (F.col("local_no") + F.lit(self.offset)).alias(chunk_col))
+        if self.n_prefix <= self.broadcast_chunks:
+            right = F.broadcast(right)
+        ex = df.withColumn("_tx_cand", F.explode(F.filter(F.array(*cands), lambda x: x.isNotNull())))
+        return ex.join(right, F.col("_tx_cand") == F.col("_tx_key"), "inner").drop("_tx_cand", "_tx_key")
+
     def match_columns(self, df, exactly_once):
         text = self._text()
         cols: list[Column] = []
@@ -358,6 +388,9 @@ class TablePlan:
         cov = None if self.exactly_once else self.coverage()
         if cov is not None:
             cur = cur.filter(cov)
+        if (not self.exactly_once and len(self.strategies) == 1 and isinstance(self.strategies[0], PrefixStrategy)
+                and self.strategies[0].wide):
+            return self.strategies[0].exploded_matches(cur, chunk_col).withColumn(chunk_col, F.col(chunk_col).cast("long"))
         for st in self.strategies:
             cur, cols, h = st.match_columns(cur, self.exactly_once)
             matches += [c.cast("long") for c in cols]

@@ -278,3 +278,33 @@ def test_exactly_once_is_first_match_of_as_written(spark, keys, specs):
 def s_end_lt(spec, k):
     """True when k lies in a between strategy's unclamped first window beyond its end bound."""
     return spec.end is not None and spec.start + (spec.increment or 0) >= k > spec.end
+
+
+@pytest.mark.parametrize("text,keys", [
+    ("t,like,k,number,1,10,12", KEYS_NUM),
+    ("t,like,k,number,1,1,3,1", [None, 1, 11, 12, 2, 3, 31, 100, 5]),
+])
+def test_wide_prefix_path_matches_per_length_joins(spark, monkeypatch, text, keys):
+    """The exploded single-join path (used for many prefix lengths) gives the same rows as the per-length joins."""
+    import tablexport.plans.chunks as ch
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k bigint")
+    narrow = sorted((r["i"], r["chunk_no"]) for r in
+                    plan_table(df, [SplitSpec.parse(text)], exactly_once=False).assign(df).collect())
+    monkeypatch.setattr(ch, "WIDE_LENGTHS", 0)
+    plan = plan_table(df, [SplitSpec.parse(text)], exactly_once=False)
+    assert plan.strategies[0].wide
+    wide = sorted((r["i"], r["chunk_no"]) for r in plan.assign(df).collect())
+    assert wide == narrow
+
+
+def test_wide_query_like_against_brute_force(spark, monkeypatch):
+    import tablexport.plans.chunks as ch
+    monkeypatch.setattr(ch, "WIDE_LENGTHS", 1)
+    vals = ["a", "ab", "abc", "b", "bcd", "abcd", None, "zz"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
+    plan = plan_table(df, [SplitSpec.parse('t,query,"v",like,v')], exactly_once=False)
+    assert plan.strategies[0].wide
+    lab = {r["chunk_no"]: r["label"][:-1] for r in plan.chunk_table(spark).collect()}
+    got = sorted((r["i"], r["chunk_no"]) for r in plan.assign(df).collect())
+    expect = sorted((i, no) for i, v in enumerate(vals) if v is not None for no, p in lab.items() if v.startswith(p))
+    assert got == expect
