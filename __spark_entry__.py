@@ -190,6 +190,8 @@ _ORACLE = {
                            "false AS mismatch FROM orders UNION ALL SELECT 'lineitem', count(*), count(*), false FROM lineitem "
                            "UNION ALL SELECT 'customer', count(*), count(*), false FROM customer",
     "failed_chunks": "SELECT 'part' AS table_name, 'Failed' AS status, true AS has_error",
+    "export_all_tables": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS export_row_count, count(*) AS db_row_count FROM {t}" for t in _TABLES),
     "pre_post_sql": "SELECT 'tx_open_orders' AS table_name, count(*) AS export_row_count FROM orders "
                     "WHERE o_orderstatus = 'O'",
     "resume_pending_chunks": f"SELECT y AS pending_year FROM (SELECT unnest(range(y0, yn + 1)) AS y FROM {_YEARS} b) "

@@ -369,6 +369,13 @@ def failed_chunks(spark, sf):
         F.col("status") == "Failed")
 
 
+def export_all_tables(spark, sf):
+    """The whole database with default settings (4 tables at a time): rows exported vs rows at the source."""
+    job = _job(spark, "all")
+    res = export_database(spark, job, _cat(spark, sf), threads=4)
+    return res.rollup.select(F.col("table").alias("table_name"), "export_row_count", "db_row_count")
+
+
 def pre_post_sql(spark, sf):
     view = "tx_open_orders"
     path = f"{sf.rstrip('/')}/orders.parquet"
@@ -454,5 +461,6 @@ QUERIES = {
     "validate_row_counts": validate_row_counts_q,
     "failed_chunks": failed_chunks,
     "pre_post_sql": pre_post_sql,
+    "export_all_tables": export_all_tables,
     "resume_pending_chunks": resume_pending_chunks,
 }
