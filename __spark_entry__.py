@@ -98,10 +98,10 @@ _ORACLE = {
                         "printf('%07d', row_number() OVER (ORDER BY v)) || '.avro' AS path "
                         "FROM (SELECT DISTINCT o_orderpriority AS v FROM orders)",
     # ---------------------------------------------------------------- splits
-    "split_number_between": "WITH c AS (SELECT range + 1 AS chunk_no FROM range(0, (14999 - 0) // (5000 + 1) + 1)), "
-                            "a AS (SELECT CAST((o_orderkey - 0) // 5001 AS BIGINT) + 1 AS cn, o_orderkey FROM orders "
-                            "WHERE o_orderkey BETWEEN 0 AND greatest(0 + 5000, 14999)) "
-                            "SELECT c.chunk_no, count(a.o_orderkey) AS n, min(a.o_orderkey) AS lo, max(a.o_orderkey) AS hi "
+    "split_number_between": "WITH c AS (SELECT range + 1 AS chunk_no FROM range(0, (14999 - 0) // (5000 + 1) + 2)), "
+                            "a AS (SELECT CASE WHEN o_orderkey BETWEEN 0 AND 14999 THEN CAST((o_orderkey - 0) // 5001 AS BIGINT) + 1 "
+                            "ELSE (14999 - 0) // (5000 + 1) + 2 END AS cn, o_orderkey FROM orders) "
+                            "SELECT c.chunk_no, count(a.cn) AS n, min(a.o_orderkey) AS lo, max(a.o_orderkey) AS hi "
                             "FROM c LEFT JOIN a ON a.cn = c.chunk_no GROUP BY c.chunk_no",
     "split_number_between_auto": "WITH b AS (SELECT min(l_orderkey) AS s, max(l_orderkey) AS e FROM lineitem), "
                                  "c AS (SELECT unnest(range(0, (e - s) // 1001 + 1)) + 1 AS chunk_no FROM b), "
@@ -119,10 +119,11 @@ _ORACLE = {
     "split_number_like": "SELECT c.i AS chunk_no, CAST(c.i AS VARCHAR) || '%' AS label, count(o.o_orderkey) AS n "
                          "FROM range(1, 13) c(i) LEFT JOIN orders o "
                          "ON starts_with(CAST(o.o_custkey AS VARCHAR), CAST(c.i AS VARCHAR)) GROUP BY 1, 2",
-    "split_prefix_like": "SELECT c.i + 1 AS chunk_no, 'Customer#00000' || c.i || '%' AS label, count(x.c_custkey) AS n "
-                         "FROM range(0, 2) c(i) LEFT JOIN customer x ON starts_with(x.c_name, 'Customer#00000' || c.i) "
-                         "GROUP BY 1, 2 UNION ALL SELECT 3, 'NOT Customer#00000%', count(*) FROM customer "
-                         "WHERE NOT starts_with(c_name, 'Customer#00000')",
+    "split_prefix_like": "SELECT CAST(c.chunk_no AS BIGINT) AS chunk_no, c.label, count(a.cn) AS n FROM (VALUES "
+                         "(1, 'Customer#000000%'), (2, 'Customer#000001%'), (3, 'NOT Customer#00000%'), (4, 'residual')) "
+                         "c(chunk_no, label) LEFT JOIN (SELECT CASE WHEN starts_with(c_name, 'Customer#000000') THEN 1 "
+                         "WHEN starts_with(c_name, 'Customer#000001') THEN 2 WHEN NOT starts_with(c_name, 'Customer#00000') "
+                         "THEN 3 ELSE 4 END AS cn FROM customer) a ON a.cn = c.chunk_no GROUP BY 1, 2",
     "split_digit_catch_all": "SELECT c.i - 9 AS chunk_no, CAST(c.i AS VARCHAR) || '%' AS label, count(o.o_orderkey) AS n "
                              "FROM range(10, 100) c(i) LEFT JOIN orders o "
                              "ON starts_with(CAST(o.o_custkey AS VARCHAR), CAST(c.i AS VARCHAR)) GROUP BY 1, 2 "
@@ -161,8 +162,9 @@ _ORACLE = {
                                   "sum(w) OVER (PARTITION BY part) AS tot FROM e) "
                                   "SELECT part, CAST((cum * 100 - 1) * 16 // (tot * 100) AS BIGINT) AS grp, min(k) AS lo, "
                                   "max(k) AS hi, CAST(sum(w) AS BIGINT) AS weight FROM c GROUP BY 1, 2",
-    "union_batches": "SELECT DISTINCT CAST((o_orderkey // 10) // 100 + 1 AS BIGINT) AS batch_no, o_orderstatus, "
-                     "o_orderpriority FROM orders WHERE o_orderkey BETWEEN 0 AND 14999",
+    "union_batches": "WITH b AS (SELECT min(o_orderkey) AS s, max(o_orderkey) AS e FROM orders) "
+                     "SELECT DISTINCT CAST(((o_orderkey - s) // 10) // 100 + 1 AS BIGINT) AS batch_no, o_orderstatus, "
+                     "o_orderpriority FROM orders, b WHERE o_orderkey BETWEEN s AND greatest(s + 9, e)",
     "split_audit": "SELECT times, count(*) AS n FROM (SELECT o_orderkey, count(c.n) AS times FROM orders "
                    "LEFT JOIN range(1, 13) c(n) ON starts_with(CAST(o_custkey AS VARCHAR), CAST(c.n AS VARCHAR)) "
                    "GROUP BY 1) GROUP BY 1",

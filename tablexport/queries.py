@@ -208,8 +208,9 @@ def filename_pattern(spark, sf):
 # ------------------------------------------------------------------ splits
 def split_number_between(spark, sf):
     orders = _t(spark, sf, "orders")
+    # a given range; keys outside it go to the residual chunk, so the whole table is reported at any scale
     s = _summary(orders, "orders,between,o_orderkey,number,5000,0,14999",
-                 F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+                 F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"), exactly_once=True)
     return s.select("chunk_no", "n", "lo", "hi")
 
 
@@ -232,7 +233,8 @@ def split_number_like(spark, sf):
 
 def split_prefix_like(spark, sf):
     cust = _t(spark, sf, "customer")
-    return _summary(cust, "customer,like,c_name,number,1,0,1,Customer#00000").select("chunk_no", "label", "n")
+    return _summary(cust, "customer,like,c_name,number,1,0,1,Customer#00000", exactly_once=True).select(
+        "chunk_no", "label", "n")
 
 
 def split_digit_catch_all(spark, sf):
@@ -287,7 +289,7 @@ def split_balanced_partitioned(spark, sf):
 
 def union_batches_q(spark, sf):
     orders = _t(spark, sf, "orders")
-    plan = _plan(orders, "orders,between,o_orderkey,number,9,0,14999")
+    plan = _plan(orders, "orders,between,o_orderkey,number,9")  # windows of 10 keys over MIN..MAX
     assigned = plan.assign(orders)
     return union_batches(assigned, ["o_orderstatus", "o_orderpriority"], "chunk_no", 100)
 
