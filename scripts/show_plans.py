@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from tablexport.functions.columns import convert_datetimes  # noqa: E402
-from tablexport.operators.balance import assign_balanced, balanced_chunk_table, balanced_groups, key_weights  # noqa: E402
+from tablexport.operators.balance import assign_balanced, balanced_chunk_table, balanced_groups  # noqa: E402
 from tablexport.operators.union_batches import union_batches  # noqa: E402
 from tablexport.plans.chunks import plan_table  # noqa: E402
 from tablexport.plans.split_spec import SplitSpec  # noqa: E402

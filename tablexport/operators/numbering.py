@@ -27,12 +27,6 @@ from ..session import checkpoint_dir, ship_package
 _PID_SHIFT = 33
 
 
-def _partitions_for(df: DataFrame, default: int | None = None) -> int:
-    spark = df.sparkSession
-    n = default or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, n)
-
-
 def range_sorted_checkpoint(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
     """Range-partition + sort within partitions, then a reliable checkpoint.
 

@@ -55,10 +55,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def local_df(spark: SparkSession, rows, schema):
     """Small driver-side metadata (chunk lists, catalog rows) as a DataFrame.
 

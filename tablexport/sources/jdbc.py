@@ -2,7 +2,7 @@
 
 For a JDBC source every chunk becomes one SQL predicate; Spark's JDBC
 reader runs one task (one connection, one query) per predicate, with the
-fetch size of the job. Identifier quoting and literals follow the
+fetch size of the job (``JdbcCatalog.read_chunks``). Identifier quoting and literals follow the
 dialect (SQL Server ``[x]``, Oracle/ANSI ``"x"``). Prefix chunks escape
 ``%``, ``_`` and the escape character so a prefix is matched literally.
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from ..plans.chunks import (BetweenStrategy, CombosStrategy, DateStrategy, DIGITS, PrefixStrategy, TablePlan)
 
@@ -201,16 +201,6 @@ def predicates(plan: TablePlan, dialect: str = "ansi", max_chunks: int = 1_000_0
     return out
 
 
-def read_jdbc_chunks(spark: SparkSession, url: str, table: str, preds: list[tuple[int, str]], columns_sql: str = "*",
-                     properties: dict | None = None, fetch_size: int = 2000) -> DataFrame:
-    """One JDBC partition per chunk predicate. ``table`` may be a subquery
-    ``(SELECT <exportable columns> FROM t) q`` so only exported columns travel."""
-    props = dict(properties or {})
-    props.setdefault("fetchsize", str(fetch_size))
-    src = table if columns_sql == "*" else f"(SELECT {columns_sql} FROM {table}) tx_q"
-    return spark.read.jdbc(url, src, predicates=[p for _, p in preds], properties=props)
-
-
 def check_connection(spark: SparkSession, url: str, properties: dict | None = None, attempts: int = 1,
                      wait_seconds: float = 5.0) -> None:
     """Fail fast when the database does not answer ``SELECT 1`` (polled ``attempts`` times)."""

@@ -228,7 +228,6 @@ def test_given_number_bounds_outside_rows(spark):
 
 def test_zoned_date_bounds_follow_session_zone(spark):
     # a zoned timestamp near a month end: its month must be judged in the session zone, as Spark's month() does
-    import datetime as dtm
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
