@@ -68,9 +68,13 @@ def main():
     p = plan(o, "orders,between,o_orderkey,number,9,0,14999", False)
     cases.append(("UNION batches: one shuffle hashed on the whole row",
                   union_batches(p.assign(o), ["o_orderstatus", "o_orderpriority"], "chunk_no", 100)))
-    p = plan(li.repartition(8), "lineitem,range,l_shipdate,date,12", True)
+    p = plan(part, 'part,query,"p_name",like,p_name', False)
+    cases.append(("values as prefixes with many distinct lengths (as written): candidates exploded, one equi-join",
+                  p.assign(part).select("p_partkey", "chunk_no")))
+    lr = li.repartition(8)
+    p = plan(lr, "lineitem,range,l_shipdate,date,12", True)
     cases.append(("export input from a multi-partition scan: REBALANCE by chunk before the Avro writer "
-                  "(AQE splits a skewed chunk)", p.assign(li).hint("rebalance", "chunk_no")))
+                  "(AQE splits a skewed chunk)", p.assign(lr).hint("rebalance", "chunk_no")))
     print("# Physical plans of the main operators\n")
     print(f"Generated by `python scripts/show_plans.py {sf}` (local[8], AQE on). `isFinalPlan=false`: plans as "
           "submitted; AQE may still coalesce partitions or turn a join into a broadcast at run time.\n")
