@@ -68,9 +68,10 @@ def main():
     p = plan(o, "orders,between,o_orderkey,number,9,0,14999", False)
     cases.append(("UNION batches: one shuffle hashed on the whole row",
                   union_batches(p.assign(o), ["o_orderstatus", "o_orderpriority"], "chunk_no", 100)))
-    p = plan(part, 'part,query,"p_name",like,p_name', False)
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    p = plan(pages, 'pages,query,"url",like,url', False)  # 29 distinct url lengths
     cases.append(("values as prefixes with many distinct lengths (as written): candidates exploded, one equi-join",
-                  p.assign(part).select("p_partkey", "chunk_no")))
+                  p.assign(pages).select("page_id", "chunk_no")))
     lr = li.repartition(8)
     p = plan(lr, "lineitem,range,l_shipdate,date,12", True)
     cases.append(("export input from a multi-partition scan: REBALANCE by chunk before the Avro writer "
