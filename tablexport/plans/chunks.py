@@ -32,6 +32,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.numbering import global_row_number
 from ..session import local_df, session_wall_clock
@@ -121,8 +122,13 @@ class BetweenStrategy(Strategy):
     def match_columns(self, df, exactly_once):
         k = q(self.spec.column)
         s, inc = self.start, self.increment
-        chunk = _sql_div(k - F.lit(s), inc + 1) + F.lit(1 + self.offset)
-        return df, [F.when(k.between(F.lit(s), F.lit(self.cover_hi)), chunk)], []
+        idx = _sql_div(k - F.lit(s), inc + 1)
+        cond = k.between(F.lit(s), F.lit(self.cover_hi))
+        dtype = df.schema[self.spec.column].dataType if self.spec.column in df.columns else None
+        if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+            # windows are integer ranges [lo, lo + inc]: a fractional key between two windows is in none
+            cond = cond & (k - F.lit(s) - idx * F.lit(inc + 1) <= F.lit(inc))
+        return df, [F.when(cond, idx + F.lit(1 + self.offset))], []
 
     def coverage(self):
         if self.n_chunks == 0:

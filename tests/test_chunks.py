@@ -307,3 +307,10 @@ def test_wide_query_like_against_brute_force(spark, monkeypatch):
     got = sorted((r["i"], r["chunk_no"]) for r in plan.assign(df).collect())
     expect = sorted((i, no) for i, v in enumerate(vals) if v is not None for no, p in lab.items() if v.startswith(p))
     assert got == expect
+
+
+@pytest.mark.parametrize("exactly_once", [False, True])
+def test_fractional_keys_between_windows(spark, exactly_once):
+    keys = [None, -0.5, 0.0, 4.5, 5.0, 5.5, 9.99, 10.0, 14.0, 14.5, 15.0]
+    got = _assign(spark, keys, "k double", "t,between,k,number,4,0,14", exactly_once)
+    assert got == brute.assign(keys, brute.between_chunks(0, 14, 4, exactly_once), exactly_once)
