@@ -89,3 +89,34 @@ def test_running_sum_partitioned(spark):
     pdf["cum"] = pdf.groupby("p")["w"].cumsum()
     assert got == {(p, k): c for p, k, c in pdf[["p", "k", "cum"]].itertuples(index=False)}
     assert totals == pdf.groupby("p")["w"].sum().to_dict()
+
+
+def test_balanced_with_null_partitions_and_keys(spark):
+    import duckdb
+    from tablexport.operators.balance import balanced_predicates
+    from tablexport.sources.jdbc import Dialect
+    rows = [("a", k) for k in range(1, 41)] + [(None, k) for k in range(5, 25)] + [("b", None), (None, None), ("b", 7)]
+    df = spark.createDataFrame(rows, "p string, k bigint")
+    groups = balanced_groups(df, "k", 4, part="p")
+    chunks = balanced_chunk_table(groups, part=True)
+    residual = len(chunks) + 1
+    got = [(r["p"], r["k"], r["chunk_no"]) for r in assign_balanced(df, "k", chunks, part="p", residual=residual).collect()]
+    assert len(got) == len(rows)
+    bounds = {no: (p, lo, hi) for no, p, g, lo, hi, w in chunks}
+    for p, k, c in got:
+        if k is None:
+            assert c == residual
+        else:
+            bp, lo, hi = bounds[c]
+            assert bp == p and lo <= k <= hi
+    assert {bounds[c][0] for _, _, c in got if c != residual} == {"a", "b", None}
+    # the same chunks as SQL predicates (database path) give the same counts
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (p VARCHAR, k BIGINT)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    preds = balanced_predicates(chunks, "k", "p", Dialect("ansi"), residual)
+    sql_counts = {no: con.execute(f"SELECT count(*) FROM t WHERE {pr}").fetchone()[0] for no, pr in preds}
+    spark_counts = {}
+    for _, _, c in got:
+        spark_counts[c] = spark_counts.get(c, 0) + 1
+    assert {k: v for k, v in sql_counts.items() if v} == spark_counts
