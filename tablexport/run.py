@@ -41,6 +41,9 @@ DATETIME_VENDOR_TYPES = {
 }
 
 
+INLINE_CHUNK_STATS = 10_000  # at most this many chunks are also listed inside job.json
+
+
 def split_sql(script: str) -> list[str]:
     return [s.strip() for s in script.split(";") if s.strip()]
 
@@ -315,6 +318,18 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     rollup = table_rollup(stats, info)
     write_chunk_stats(stats, job.destination)
     roll_rows = [row.asDict(recursive=True) for row in rollup.collect()]  # one row per table
+    planned_total = sum(r.table_query_count for r in results if r.ok)
+    if planned_total <= INLINE_CHUNK_STATS:
+        # small exports also carry the per-chunk lists inline, as the original manifest does
+        per_table: dict = {}
+        for r in stats.orderBy("schema", "table", "query_id").collect():
+            d = r.asDict(recursive=True)
+            per_table.setdefault((d["schema"], d["table"]), []).append(d)
+        for entry in roll_rows:
+            lst = per_table.get((entry["schema"], entry["table"]), [])
+            entry["queries"] = [f"Id- {d['query_id']}: query- {d.get('label') or ''}" for d in lst]
+            entry["statisticsList"] = [{k: v for k, v in d.items() if k not in ("catalog", "schema", "table", "label")}
+                                       for d in lst]
     failed = [{"schema": r.schema, "table": r.table, "error": r.error} for r in results if not r.ok]
     runtime_ms = int((time.time() - t0) * 1000)
     job_doc = job.to_dict()

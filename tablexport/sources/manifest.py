@@ -2,10 +2,11 @@
 
 ``job.json`` (pretty-printed): the job definition, one roll-up entry per
 table (``outputList``), failed tables (``failedAvro``) and ``runtimeMs``;
-times as ``yyyy-MM-dd HH:mm:ss``. Per-chunk statistics are *not* inlined
-(a table may have a million chunks): they are a JSON dataset written by
-Spark next to it (``_manifest/chunks/``), with one ``Id- <id>: query- <chunk>``
-line per chunk, so nothing per-chunk passes through the driver.
+times as ``yyyy-MM-dd HH:mm:ss``. Per-chunk statistics are always a JSON
+dataset written by Spark next to it (``_manifest/chunks/``, one
+``Id- <id>: query- <chunk>`` line per chunk); only exports of at most 10,000
+chunks also list them inline (``queries``, ``statisticsList``), so a table
+with a million chunks never passes through the driver.
 
 Resume: planned chunks ``left_anti`` the chunks already in the manifest
 file index = what is still to do.

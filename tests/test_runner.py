@@ -147,3 +147,12 @@ def test_chunk_status_events(spark, tmp_dest):
     written = [q for q, e in by.items() if "Started" in e]
     assert written and all(by[q]["Created"] <= by[q]["Started"] <= by[q]["Completed"] for q in written)
     assert {"Created", "Completed"} <= set(by["0000008"])  # the empty residual chunk was planned, never started
+
+
+def test_small_manifest_lists_chunks_inline(spark, tmp_dest):
+    job = _job(tmp_dest, tables=("dbo.orders",), split_strategies=("orders,range,o_orderdate,date,12",))
+    res = export_database(spark, job, DirectoryCatalog(spark, SF001))
+    out = json.load(open(res.manifest_path))["outputList"][0]
+    assert len(out["queries"]) == len(out["statisticsList"]) == out["table_query_count"]
+    assert out["queries"][0].startswith("Id- 0000001: query- < ")
+    assert sum(s["export_row_count"] for s in out["statisticsList"]) == out["export_row_count"]
