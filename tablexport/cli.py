@@ -2,7 +2,7 @@
 
 Option names follow the export tool's command line (comma-delimited lists,
 a repeatable ``--split-table-strategy``); ``--source-dir`` exports a folder of
-Parquet tables instead of a database. Everything maps onto ``ExportJob``.
+Parquet tables and ``--spark-database`` the tables of Spark's catalog instead of a database. Everything maps onto ``ExportJob``.
 Exit status 1 when a table failed (unless ``--continue-on-exception``).
 """
 
@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--connect", help="JDBC URL of the database to export")
     src.add_argument("--source-dir", help="folder of Parquet tables to export instead of a database")
+    src.add_argument("--spark-database", help="tables of this Spark catalog database (use 'temp' for temp views)")
     p.add_argument("--flavor", choices=("sqlserver", "oracle"), default="sqlserver")
     p.add_argument("--user")
     p.add_argument("--password")
@@ -103,11 +104,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from pyspark.sql import SparkSession
 
     from .run import export_database
-    from .sources.catalog import DirectoryCatalog, JdbcCatalog
+    from .sources.catalog import DirectoryCatalog, JdbcCatalog, SparkCatalogSource
 
     spark = spark or SparkSession.builder.appName("tablexport").getOrCreate()
     if a.source_dir:
         source = DirectoryCatalog(spark, a.source_dir, catalog=a.catalog, primary_keys=job.primary_keys)
+    elif a.spark_database:
+        db = None if a.spark_database == "temp" else a.spark_database
+        source = SparkCatalogSource(spark, db, catalog=a.catalog, primary_keys=job.primary_keys)
     else:
         props = {}
         if a.user:

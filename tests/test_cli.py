@@ -35,3 +35,14 @@ def test_cli_failure_exit_code(spark, tmp_dest, capsys):
             "--split-table-strategy", "part,between,p_nothere,number,10", "--retry-waits", ""]
     assert main(args + ["--continue-on-exception", "true"], spark=spark) == 0
     assert main(args, spark=spark) == 1
+
+
+def test_cli_spark_catalog_source(spark, tmp_dest, capsys):
+    spark.read.parquet(f"{SF001}/region.parquet").createOrReplaceTempView("tx_cli_region")
+    try:
+        rc = main(["--spark-database", "temp", "--destination", tmp_dest, "--table", "temp.tx_cli_region",
+                   "--retry-waits", ""], spark=spark)
+    finally:
+        spark.catalog.dropTempView("tx_cli_region")
+    assert rc == 0
+    assert spark.read.format(FORMAT).load(tmp_dest).count() == 5
