@@ -2,7 +2,8 @@
 
 Option names follow the export tool's command line (comma-delimited lists,
 a repeatable ``--split-table-strategy``); ``--source-dir`` exports a folder of
-Parquet tables and ``--spark-database`` the tables of Spark's catalog instead of a database. Everything maps onto ``ExportJob``.
+Parquet tables and ``--spark-database`` the tables of Spark's catalog instead
+of a database. Everything maps onto ``ExportJob``.
 Exit status 1 when a table failed (unless ``--continue-on-exception``).
 """
 
