@@ -77,3 +77,9 @@ def test_null_keys_go_to_residual(spark, duck):
     assert counts[plan.residual_no] == 3 and sum(counts.values()) == 4
     spark_counts = {r["chunk_no"]: r["n"] for r in plan.summary(df).collect()}
     assert counts == spark_counts
+
+
+def test_connection_check_fails_fast(spark):
+    from tablexport.sources.jdbc import check_connection
+    with pytest.raises(ConnectionError):
+        check_connection(spark, "jdbc:nothing:here", attempts=1)

@@ -156,3 +156,11 @@ def test_small_manifest_lists_chunks_inline(spark, tmp_dest):
     assert len(out["queries"]) == len(out["statisticsList"]) == out["table_query_count"]
     assert out["queries"][0].startswith("Id- 0000001: query- < ")
     assert sum(s["export_row_count"] for s in out["statisticsList"]) == out["export_row_count"]
+
+
+def test_pattern_without_tidy_and_with_part(spark, tmp_dest):
+    job = _job(tmp_dest, tables=("dbo.region",), catalog=None, tidy_tables=False,
+               filename_pattern="%{CATALOG}_%{SCHEMA}_%{TABLE}_%{PART}.avro")
+    export_database(spark, job, DirectoryCatalog(spark, SF001, catalog="TestDB"))
+    names = sorted(p.split("/")[-1] for p in glob.glob(tmp_dest + "/*.avro"))
+    assert names and all(n.startswith("TestDB_dbo_region-0000001_") and n.endswith(".avro") for n in names)
