@@ -5,11 +5,13 @@ numbers its chunks 1..n; ids run on across strategies (``offset``).
 
 Assignment never scans the table once per chunk:
 
-* number ``between`` and date ``range`` chunks are arithmetic on the key;
+* number ``between`` and date ``range`` chunks are arithmetic on the key
+  (windows are integer ranges: a fractional key between two is in none);
 * ``like`` chunks (number prefixes, first characters, distinct values used
   as prefixes) compare the leading characters of the key with a small
   lookup table — one broadcast hash join per distinct prefix length, all
-  pipelined in the same stage;
+  pipelined in the same stage; as written, a split with many prefix lengths
+  (or a lookup too big to broadcast) explodes its candidates into one join;
 * distinct-combination chunks are one null-safe equi-join.
 
 Modes:
