@@ -83,3 +83,16 @@ def test_connection_check_fails_fast(spark):
     from tablexport.sources.jdbc import check_connection
     with pytest.raises(ConnectionError):
         check_connection(spark, "jdbc:nothing:here", attempts=1)
+
+
+@pytest.mark.parametrize("exactly_once", [False, True])
+def test_combination_predicates_with_nulls_and_quotes(spark, duck, exactly_once):
+    rows = [("x", 1), (None, 1), ("O'Hara", None), ("x", 1), (None, None), ("50%_", 2)]
+    df = spark.createDataFrame(rows, "a string, b int")
+    duck.execute("CREATE OR REPLACE TABLE combos (a VARCHAR, b INTEGER)")
+    duck.executemany("INSERT INTO combos VALUES (?, ?)", rows)
+    plan = plan_table(df, [SplitSpec.parse('combos,query,"a;b"')], exactly_once=exactly_once)
+    spark_counts = {r["chunk_no"]: r["n"] for r in plan.summary(df).collect()}
+    sql_counts = {no: duck.execute(f"SELECT count(*) FROM combos WHERE {p}").fetchone()[0]
+                  for no, p in predicates(plan, "ansi")}
+    assert sql_counts == spark_counts and sum(v for k, v in sql_counts.items()) == len(rows)
