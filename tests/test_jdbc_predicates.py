@@ -96,3 +96,16 @@ def test_combination_predicates_with_nulls_and_quotes(spark, duck, exactly_once)
     sql_counts = {no: duck.execute(f"SELECT count(*) FROM combos WHERE {p}").fetchone()[0]
                   for no, p in predicates(plan, "ansi")}
     assert sql_counts == spark_counts and sum(v for k, v in sql_counts.items()) == len(rows)
+
+
+@pytest.mark.parametrize("exactly_once", [False, True])
+def test_wildcard_characters_in_prefixes_are_literal(spark, duck, exactly_once):
+    vals = ["50%x", "50ab", "5_1", "501", "a\\b", "a\\bc", None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    duck.execute("CREATE OR REPLACE TABLE wild (v VARCHAR)")
+    duck.executemany("INSERT INTO wild VALUES (?)", [(v,) for v in vals])
+    plan = plan_table(df, [SplitSpec.parse('wild,query,"v",like,v')], exactly_once=exactly_once)
+    spark_counts = {r["chunk_no"]: r["n"] for r in plan.summary(df).collect()}
+    sql_counts = {no: duck.execute(f"SELECT count(*) FROM wild WHERE {p}").fetchone()[0]
+                  for no, p in predicates(plan, "ansi")}
+    assert sql_counts == spark_counts
