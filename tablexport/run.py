@@ -293,8 +293,9 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     t = lap("export", t)
     if count_rows:
         ok = [(r.schema, r.table) for r in results if r.ok and r.strategy != "skipped"]
-        if ok:
-            counts = {(x["schema"], x["table"]): x["row_count"] for x in source.row_counts(ok).collect()}
+        rc = source.row_counts(ok) if ok else None
+        if rc is not None:  # a source without catalog counts (Oracle) leaves them empty
+            counts = {(x["schema"], x["table"]): x["row_count"] for x in rc.collect()}
             for r in results:
                 r.db_row_count = counts.get((r.schema, r.table))
 

@@ -391,12 +391,18 @@ class JdbcCatalog:
     def schemas(self) -> DataFrame:
         return self.tables().select("catalog", "schema").distinct()
 
-    def row_counts(self) -> DataFrame:
+    def row_counts(self, tables: list[tuple[str, str]] | None = None) -> DataFrame | None:
+        """Catalog row counts (SQL Server partition metadata, one query for all tables), optionally
+        limited to ``tables``. Oracle keeps none, as the export tool did: returns None."""
         if self.flavor != "sqlserver":
-            raise NotImplementedError("catalog row counts exist for SQL Server only; count the table instead")
-        return self._query(SQLSERVER_ROW_COUNTS_SQL).select(
-            F.lit(None).cast("string").alias("catalog"), F.col("schema_name").alias("schema"),
+            return None
+        out = self._query(SQLSERVER_ROW_COUNTS_SQL).select(
+            F.lit(self.catalog).cast("string").alias("catalog"), F.col("schema_name").alias("schema"),
             F.col("table_name").alias("table"), F.col("row_count").cast("long"))
+        if tables:
+            want = local_df(self.spark, list(tables), "schema string, table string")
+            out = out.join(want, ["schema", "table"], "left_semi")
+        return out
 
     def partitions(self) -> DataFrame:
         if self.flavor != "oracle":
