@@ -315,8 +315,8 @@ class JdbcCatalog:
         return sql if not predicate else f"{sql} WHERE {predicate}"
 
     def read(self, schema: str, table: str) -> DataFrame:
-        """The whole table as one query (the unsplit export)."""
-        return self.spark.read.jdbc(self.url, self.qualified(schema, table), properties=self._props())
+        """The whole table as one query (the unsplit export), one partition."""
+        return self._read_predicates(self.qualified(schema, table), ["1 = 1"])
 
     def bounds(self, schema: str, table: str, columns: list[str]) -> dict:
         """MIN/MAX of several columns in ONE query run by the database."""

@@ -139,3 +139,14 @@ def test_row_counts_per_flavor(spark, tmp_dest):
     res = export_database(spark, job, src)  # count_rows on: no catalog count for this flavor
     assert res.tables[0].ok and res.tables[0].db_row_count is None
     assert res.rollup.collect()[0]["export_row_count"] == spark.read.parquet(f"{SF001}/orders.parquet").count()
+
+
+def test_database_whole_table_export(spark, tmp_dest):
+    src = DuckJdbc(spark, SF001)
+    job = ExportJob(destination=tmp_dest, tables=("dbo.part",), retry_waits=(), string_datetime=True)
+    res = export_database(spark, job, src, count_rows=False)
+    assert res.tables[0].strategy == "whole" and res.tables[0].table_query_count == 1
+    assert any(s.startswith('partition 0: 1 = 1') for s in src.sent)
+    q = spark.read.json(tmp_dest + "/_manifest/chunks").collect()[0]["query"]
+    assert q.startswith('Id- 0000001: query- SELECT "p_partkey"') and q.endswith('FROM "dbo"."part"')
+    assert spark.read.format(FORMAT).load(tmp_dest).count() == spark.read.parquet(f"{SF001}/part.parquet").count()
