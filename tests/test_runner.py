@@ -164,3 +164,21 @@ def test_pattern_without_tidy_and_with_part(spark, tmp_dest):
     export_database(spark, job, DirectoryCatalog(spark, SF001, catalog="TestDB"))
     names = sorted(p.split("/")[-1] for p in glob.glob(tmp_dest + "/*.avro"))
     assert names and all(n.startswith("TestDB_dbo_region-0000001_") and n.endswith(".avro") for n in names)
+
+
+def test_spark_catalog_database_source(spark, tmp_path):
+    loc = str(tmp_path / "tbl")
+    spark.sql("CREATE DATABASE IF NOT EXISTS tx_test_db")
+    try:
+        spark.sql(f"CREATE TABLE tx_test_db.nation_copy USING parquet LOCATION '{loc}' AS "
+                  f"SELECT * FROM parquet.`{SF001}/nation.parquet`")
+        src = SparkCatalogSource(spark, "tx_test_db")
+        assert [(r["schema"], r["table"]) for r in src.tables().collect()] == [("tx_test_db", "nation_copy")]
+        job = _job(str(tmp_path / "out"), split_strategies=("nation_copy,between,n_nationkey,number,4",))
+        res = export_database(spark, job, src)
+        assert res.tables[0].strategy == "strategies"
+        roll = res.rollup.collect()[0]
+        assert roll["export_row_count"] == roll["db_row_count"] == 25
+    finally:
+        spark.sql("DROP TABLE IF EXISTS tx_test_db.nation_copy")
+        spark.sql("DROP DATABASE IF EXISTS tx_test_db")
