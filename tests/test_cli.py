@@ -46,3 +46,12 @@ def test_cli_spark_catalog_source(spark, tmp_dest, capsys):
         spark.catalog.dropTempView("tx_cli_region")
     assert rc == 0
     assert spark.read.format(FORMAT).load(tmp_dest).count() == 5
+
+
+def test_cli_database_unreachable_exits_1(spark, tmp_path, capsys):
+    pw = tmp_path / "pw"
+    pw.write_text("secret\n")
+    rc = main(["--connect", "jdbc:nothing:here", "--user", "u", "--password-file", str(pw),
+               "--destination", str(tmp_path / "out"), "--retry-waits", ""], spark=spark)
+    assert rc == 1
+    assert "ConnectionError" in capsys.readouterr().err
