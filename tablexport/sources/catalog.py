@@ -371,8 +371,14 @@ class JdbcCatalog:
                 .options(**self.props).load())
 
     def columns(self, tables: list[tuple[str, str]] | None = None) -> DataFrame:
+        """Column metadata from the data dictionary; with ``tables`` (up to 1,000 pairs) the
+        database filters the dictionary to those tables."""
         sql, types = (SQLSERVER_COLUMNS_SQL, SQLSERVER_TYPES) if self.flavor == "sqlserver" else \
             (ORACLE_COLUMNS_SQL, ORACLE_TYPES)
+        if tables and len(tables) <= 1000:
+            d = self.dialect
+            cond = " OR ".join(f"(d.schema_name = {d.string(sc)} AND d.table_name = {d.string(tb)})" for sc, tb in tables)
+            sql = f"SELECT * FROM ({sql}) d WHERE {cond}"
         raw = self._query(sql)
         mapping = F.create_map(*[x for k, v in types.items() for x in (F.lit(k), F.lit(JDBC[v]))])
         vt = F.col("vendor_type")

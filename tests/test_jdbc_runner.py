@@ -107,6 +107,11 @@ def test_sqlserver_dictionary_query_runs_on_information_schema(spark):
     assert cols["id"]["supported"] and not cols["tags"]["supported"]
     # views are not tables: the parquet views of the fake are not listed
     assert JdbcCatalog.columns(src).filter(F.col("table") == "orders").count() == 0
+    # a table list is filtered by the database
+    src.con.execute("CREATE TABLE dbo.t_other (x INTEGER)")
+    only = JdbcCatalog.columns(src, [("dbo", "t_other")]).collect()
+    assert [(r["table"], r["column"]) for r in only] == [("t_other", "x")]
+    assert any("d.table_name = 't_other'" in q for q in src.sent)
 
 
 @pytest.mark.parametrize("spec", ["orders,between,o_orderkey,number,9", "orders,like,o_custkey,number,1,1,120"])
