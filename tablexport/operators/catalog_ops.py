@@ -130,3 +130,16 @@ def list_partitions(df: DataFrame, part_col: str, sub_col: str | None = None) ->
     parts = global_row_number(d.select("part").distinct(), [F.col("part").desc_nulls_last()], "position")
     return d.join(parts, d["part"].eqNullSafe(parts["part"])).select(d["part"], *([d["sub_part"]] if sub_col else []),
                                                                     parts["position"])
+
+
+def partition_flags(source, tables: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Per table: partition columns and the ``partitioned`` / ``sub_partitioned`` flags
+    (one or two levels of partitioning), from sources that know their partitions."""
+    from ..session import local_df
+    todo = tables or [(r["schema"], r["table"]) for r in source.tables().select("schema", "table").collect()]
+    rows = []
+    for schema, table in todo:
+        cols = source.partition_columns(schema, table) if hasattr(source, "partition_columns") else []
+        rows.append((schema, table, list(cols), len(cols) >= 1, len(cols) >= 2))
+    return local_df(source.spark, rows, "schema string, table string, partition_columns array<string>, "
+                                        "partitioned boolean, sub_partitioned boolean")

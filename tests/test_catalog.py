@@ -124,3 +124,15 @@ def test_ntz_text_ignores_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert a == ["2024-03-10T02:30:00", "2024-03-10T02:30:00.005000", "1999-12-31T23:59:59.999999"]
     assert b == ["2024-03-10T02:30:00", "2024-03-10T02:30:00", "1999-12-31T23:59:59"]
+
+
+def test_partition_flags(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    li.write.partitionBy("l_returnflag", "l_linestatus").parquet(f"{root}/li_two")
+    li.write.partitionBy("l_returnflag").parquet(f"{root}/li_one")
+    li.write.parquet(f"{root}/li_none")
+    got = {r["table"]: (r["partitioned"], r["sub_partitioned"], r["partition_columns"])
+           for r in co.partition_flags(DirectoryCatalog(spark, root)).collect()}
+    assert got == {"li_two": (True, True, ["l_returnflag", "l_linestatus"]),
+                   "li_one": (True, False, ["l_returnflag"]), "li_none": (False, False, [])}
