@@ -10,7 +10,8 @@ task. Instead:
 4. add the offsets back with a literal map keyed by partition id.
 
 Row numbers need only step 3-4 (JVM-side: ``monotonically_increasing_id``
-encodes the partition id and the position). Running sums of a weight use
+encodes the partition id and the position). Running sums take the
+per-partition totals with a JVM ``groupBy(spark_partition_id())`` and then
 one Arrow-batched ``mapInPandas`` pass carrying the total across batches.
 """
 
@@ -74,40 +75,18 @@ def running_sum(df: DataFrame, order_col: str, weight_col: str, name: str = "cum
     order = ([F.col(partition_col)] if partition_col else []) + [F.col(order_col)]
     ship_package(df.sparkSession)  # the mapInPandas functions below live in this package
     ck = range_sorted_checkpoint(df, order, num_partitions)
-    part_type = ck.schema[partition_col].dataType if partition_col else None
 
-    # pass 1: per Spark partition, per group: (first group, last group, totals)
-    def totals(it):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        acc: dict = {}
-        for b in it:
-            if len(b) == 0:
-                continue
-            w = b[weight_col].astype("int64")
-            if partition_col:
-                sums = w.groupby(b[partition_col], sort=False, dropna=False).sum()
-                items = [(None if pd.isna(k) else k, int(v)) for k, v in sums.items()]
-            else:
-                items = [(None, int(w.sum()))]
-            for k, v in items:  # dict keeps first-seen (= sort) order
-                acc[k] = acc.get(k, 0) + v
-        rows = [(pid, i, k, v) for i, (k, v) in enumerate(acc.items())]
-        yield pd.DataFrame(rows, columns=["pid", "seq", "grp", "tot"])
-
-    tschema = T.StructType([
-        T.StructField("pid", T.IntegerType()), T.StructField("seq", T.IntegerType()),
-        T.StructField("grp", part_type if partition_col else T.StringType()), T.StructField("tot", T.LongType()),
-    ])
-    rows = ck.mapInPandas(totals, tschema).collect()
-    # offsets: for each (pid, group) the sum of that group's weight in earlier partitions
-    rows.sort(key=lambda r: (r["pid"], r["seq"]))
+    # pass 1 (JVM): weight per (Spark partition, group) of the checkpointed frame, whose partition
+    # ids are fixed; a group's offset in a partition is its weight in all earlier partitions
+    keys = [F.spark_partition_id().alias("pid")] + ([F.col(partition_col).alias("grp")] if partition_col else [])
+    rows = ck.groupBy(*keys).agg(F.sum(F.col(weight_col).cast("long")).alias("tot")).collect()
+    rows.sort(key=lambda r: r["pid"])
     seen: dict = {}
     offsets: dict = {}
     for r in rows:
-        key = r["grp"]
+        key = r["grp"] if partition_col else None
         offsets[(r["pid"], key)] = seen.get(key, 0)
-        seen[key] = seen.get(key, 0) + r["tot"]
+        seen[key] = seen.get(key, 0) + int(r["tot"] or 0)
     bc = ck.sparkSession.sparkContext.broadcast(offsets)
 
     out_schema = T.StructType(ck.schema.fields + [T.StructField(name, T.LongType())])
