@@ -20,6 +20,19 @@ if _HERE not in sys.path:  # loaded by file path: make the package importable
 
 from tablexport.queries import QUERIES, flagship  # noqa: E402
 
+# The training-data operators and their pipeline are optional: without their folder the rest works.
+_LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_LLM_ORACLE: dict[str, str] = {}
+try:
+    from tablexport.llm import queries as _llm  # noqa: E402
+    import corpus_pipeline as _pipeline  # noqa: E402
+except ModuleNotFoundError as _missing:
+    if _missing.name not in ("tablexport.llm", "corpus_pipeline"):
+        raise
+else:
+    _LLM_QUERIES = {**_llm.QUERIES, "pipeline": _pipeline.run}
+    _LLM_ORACLE = dict(_llm.ORACLE_SQL) | ({"pipeline": _pipeline.ORACLE_SQL} if _pipeline.ORACLE_SQL else {})
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -29,7 +42,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **_LLM_QUERIES}
 
 
 # The 14 driver tables, as a catalog of one schema.
@@ -203,4 +216,4 @@ _ORACLE = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLE.items() if k in QUERIES}
+    return {**{k: v for k, v in _ORACLE.items() if k in QUERIES}, **_LLM_ORACLE}
