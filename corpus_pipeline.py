@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablexport.llm import bpe, decontamination, quality, simhash
+from tablexport.llm import bpe, decontamination, lines, quality, simhash
 from tablexport.llm.common import prepare, scratch, table
 from tablexport.llm.queries import VOCABULARY
 
@@ -16,6 +16,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier line, equal or nearly so, replaces."""
+    prepare(spark)
+    return lines.keep_first(docs)
+
+
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each SimHash component."""
     prepare(spark)
@@ -33,7 +39,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", bpe.digests(F.col("text"), VOCABULARY).alias("t")).select("doc_id", "t.*")
 
 
-STAGES = [("quality_rules", quality_rules), ("simhash", simhash_dedup), ("decontamination", decontaminate), ("byte_bpe", byte_bpe)]
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("simhash", simhash_dedup), ("decontamination", decontaminate), ("byte_bpe", byte_bpe)]
 
 #: Learned rules, fingerprints and alignments are not SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
