@@ -213,7 +213,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     match nothing; null ids are carried; repeated rows give one row. Other
     columns are not read. No items or no documents: no rows."""
     spark = docs.sparkSession
-    words = F.array_join(F.expr("filter(split(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), w -> w <> '')"), " ")
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.array_join(F.filter(F.split(low, r"[ \t\n\x0B\f\r]+"), lambda w: w != ""), " ")
     distinct = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), words.alias("item")).where("item <> ''")
                 .groupBy("item").agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items")))
     items = cut(distinct.select("item_id", "item", "n_items"))
