@@ -76,7 +76,10 @@ DIGITS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five"
 _DIGIT = "(?:" + "|".join(DIGITS) + ")"
 _LETTERS = "".join(LOOK_ALIKES)
 _SPELLED = re.compile(rf"\b(?:plus[\x20-]+)?{_DIGIT}(?:[\x20,.-]{{1,2}}{_DIGIT}){{6,}}\b", re.I)
-_WORDY = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20{1,3}at\x20{1,3}[A-Za-z0-9-]{1,63}(?:\x20{1,3}dot\x20{1,3}[A-Za-z0-9-]{1,63}){1,4}\b", re.I)
+# Endings that make "name at host dot ending" an address rather than prose.
+ENDINGS = ("com", "org", "net", "edu", "gov", "info", "biz", "io", "co", "ai", "dev", "app", "de", "fr", "es", "it", "nl", "eu", "uk", "us", "ca", "in", "jp", "cn", "ru", "br", "au", "ch", "at")
+_WORDY = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20{1,3}at\x20{1,3}[A-Za-z0-9-]{1,63}(?:\x20{1,3}dot\x20{1,3}[A-Za-z0-9-]{1,63}){0,4}"
+                    rf"\x20{{1,3}}dot\x20{{1,3}}(?:{'|'.join(ENDINGS)})(?![A-Za-z0-9-])", re.I)
 _BRACKETED = re.compile(r"\x20{0,3}[\[({<]\x20{0,3}(at|dot|@|\.)\x20{0,3}[\])}>]\x20{0,3}", re.I)
 _ODD = re.compile(f"[{re.escape(_LETTERS)}]+|[{INVISIBLE}]+")
 _JOINT = re.compile(r"\x20{1,3}(at|dot)\x20{1,3}", re.I)

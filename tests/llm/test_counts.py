@@ -1,0 +1,55 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablexport.llm import counts
+from tests.llm import helpers
+
+NAME = "byte_bpe_multi_50k.tiktoken"
+
+
+@pytest.fixture(scope="module")
+def count():
+    return counts.counter(NAME)
+
+
+def test_random_edits_against_counting_again(count):
+    rnd = random.Random(9)
+    letters = [*"abc 1.,'\n\té ", "the ", " word", "  "]
+    for _ in range(60):
+        text = "".join(rnd.choice(letters) for _ in range(rnd.randrange(400)))
+        tree = counts.CountTree(text, count, leaf=16)
+        assert tree.n_tokens == count(text)
+        for _ in range(12):
+            start = rnd.randrange(len(text) + 1)
+            end = min(len(text), start + rnd.choice([0, 0, 1, 2, 30]))
+            new = "".join(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 3, 40])))
+            tree.edit(start, end, new)
+            text = text[:start] + new + text[end:]
+            assert tree.text == text and tree.n_tokens == count(text)
+
+
+def test_an_edit_encodes_its_surroundings_alone(count):
+    text = "some words of prose " * 5_000
+    tree = counts.CountTree(text, count)
+    tree.edit(50_000, 50_004, "other")
+    assert tree.encoded < 3 * counts.LEAF
+    with pytest.raises(ValueError):
+        tree.edit(5, 10**9, "")
+
+
+def test_documents(spark, count):
+    rows = [(d["doc_id"], d["text"]) for d in helpers.documents(120)] + [(None, None), (-1, ""), (-2, "same\nsame\nsame 123456"), (-2, "same\nsame\nsame 123456")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, n_tokens string")
+    out = df.select("doc_id", counts.after_edits(F.col("text"), NAME).alias("c")).select("doc_id", "c.*").collect()
+    assert len(out) == len(rows)
+    by_id = {r["doc_id"]: r for r in out}
+    for i, text in rows:
+        text = text or ""
+        edited = text
+        for s, e, new in reversed(counts.redactions(text)):
+            edited = edited[:s] + new + edited[e:]
+        r = by_id[i]
+        assert (r["n_tokens"], r["n_tokens_after"], r["n_chars_after"]) == (count(text), count(edited), len(edited))
+    assert by_id[-2]["n_edits"] == 2
