@@ -1,11 +1,12 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-An item of w words aligns with a passage at SIMILARITY of its best score or
-more only if at most ``e = floor((1 - SIMILARITY) / 2 * w)`` words were
-changed (a change costs its match and a penalty of one; a gap costs two). Each
-change breaks at most SHINGLE word n-grams of the item, so of any
-``SHINGLE * e + 1`` of its n-grams one survives in the passage: the rarest ones
-by their count in the whole corpus are its seeds.
+An item of w words aligns with a passage at SIMILARITY or more only if the
+changes cost ``b = floor((1 - SIMILARITY) * w)`` at most: a word replaced costs
+two and breaks SHINGLE n-grams of the item at most, one put in costs two and breaks fewer, one left
+out costs three, one missing at an end costs one and breaks one. So of any ``SHINGLE *
+(b // 2) + b % 2 + 1`` n-grams of the item one survives in the passage: the rarest
+ones by their count in the whole corpus are its seeds. Items of five words or
+less have shorter n-grams, for which the same holds.
 """
 
 from __future__ import annotations
@@ -126,24 +127,25 @@ def smith_waterman(item: list, passage: list) -> tuple:
     return best, end
 
 
-def edits(n_words: int) -> int:
-    """Changes that an item can bear at SIMILARITY or more."""
-    return int((1 - SIMILARITY) / 2 * n_words + 1e-9)
+def seeds_of(n_words: int) -> tuple:
+    """(words of a seed, number of seeds) of an item."""
+    budget = int((1 - SIMILARITY) * n_words + 1e-9)
+    return min(SHINGLE, n_words - (budget > 0)), SHINGLE * (budget // 2) + budget % 2 + 1
 
 
-_ITEM = "item_id long, item string, n_words int, n int, place int, gram long, slots array<long>"
+_ITEM = "item_id long, item string, n_words int, n int, n_seeds int, place int, gram long, slots array<long>"
 
 
 def _item_grams(batches):
-    """(item_id, item) -> a row for each n-gram; items under SHINGLE words have one, of all their words."""
+    """(item_id, item) -> a row for each n-gram of the item."""
     for batch in batches:
         out = []
         for item_id, item in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = item.split(" ")
-            n = min(SHINGLE, len(words))
+            n, n_seeds = seeds_of(len(words))
             g = grams(hash_words(item.encode("utf-8", "surrogatepass"))[2], n)
             slots = np.stack([_slots(g, k) for k in range(PROBES)], axis=1).astype(np.int64).tolist()
-            out += [(item_id, item, len(words), n, i, x, s) for i, (x, s) in enumerate(zip(g.view(np.int64).tolist(), slots))]
+            out += [(item_id, item, len(words), n, n_seeds, i, x, s) for i, (x, s) in enumerate(zip(g.view(np.int64).tolist(), slots))]
         if out:
             yield _batch(out, _ITEM)
 
@@ -221,17 +223,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = cut(items.select("item_id", "item").mapInArrow(_item_grams, _ITEM))
     bound = rows.agg(F.max("n_words"), F.collect_set("n")).first()
     longest, sizes = bound[0] or 0, sorted(bound[1])
-    reach = longest + edits(longest) + 1
+    reach = longest + seeds_of(longest)[1]  # more than the words that an alignment can put in
     bitmap = spark.sparkContext.broadcast(_bitmap(rows))
     found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
              .mapInArrow(lambda batches: _windows(batches, bitmap, sizes, reach), _WINDOW))
     passages = cut(found.withColumn("at", F.monotonically_increasing_id()))
     hits = passages.select("at", "n", F.explode("grams").alias("gram"))
-    # rare first: how often each n-gram of an item stands in the corpus; of the rarest, one more than edits can break
+    # rare first: how often each n-gram of an item stands in the corpus; of the rarest, one more than changes can break
     counts = hits.groupBy("n", "gram").agg(F.count("*").alias("df"))
     rare = F.row_number().over(Window.partitionBy("item").orderBy("df", "gram", "place"))
-    seeds = (rows.join(counts, ["n", "gram"], "left").select("item_id", "item", "n_words", "n", "gram", "place", F.coalesce("df", F.lit(0)).alias("df"))
-             .withColumn("rare", rare).where(F.expr(f"rare <= {SHINGLE} * cast({(1 - SIMILARITY) / 2} * n_words + 1e-9 as int) + 1 and df > 0"))
+    seeds = (rows.join(counts, ["n", "gram"], "left").select("item", "n_seeds", "n", "gram", "place", F.coalesce("df", F.lit(0)).alias("df"))
+             .withColumn("rare", rare).where("rare <= n_seeds and df > 0")
              .select("n", "gram", "item").distinct())
     pairs = hits.join(seeds, ["n", "gram"]).select("at", "item").distinct()
     scored = (pairs.join(passages.select("at", "doc_id", "text_hash", "first_word", "passage"), "at")

@@ -1,0 +1,84 @@
+import hashlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from tablexport.llm import bpe, decontamination, quality
+from tablexport.llm.queries import ORACLE_SQL, QUERIES
+from tests.llm import helpers
+from tests.llm.test_lines import plain as plain_lines
+from tests.llm.test_simhash import plain as plain_fingerprint
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """What each stage leaves of the documents of the smallest size."""
+    docs, out = spark.read.parquet(f"{helpers.SF}/documents.parquet"), []
+    for _, f in corpus_pipeline.STAGES:
+        docs = f(spark, docs, helpers.SF).cache()
+        out.append(docs)
+    return out
+
+
+def rows(df):
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+def test_stages_in_order_with_the_columns_of_documents(stages):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "simhash", "decontamination", "byte_bpe"]
+    assert all(df.columns == COLUMNS for df in stages[:-1])
+    assert stages[-1].columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_each_stage_against_brute_force_on_its_own_input(spark, stages):
+    all_rows = {d["doc_id"]: d["text"] for d in helpers.documents()}
+    rules = quality.learn(spark.read.parquet(f"{helpers.SF}/documents.parquet"), spark.read.parquet(f"{helpers.SF}/labels.parquet"))
+    names, left = list(quality.FEATURES), rows(stages[0])
+    for i, t in all_rows.items():
+        n, chars, symbols, dup, repeat, n_lines, distinct, digits, upper = quality.measure(t)
+        x = np.array([[n, chars / max(n, 1), symbols / max(n, 1), dup / max(n_lines, 1), repeat / max(n, 1), distinct / max(n, 1), digits / max(chars, 1), upper / max(chars, 1)]])
+        assert (i in left) == (n >= 50 and 100 * repeat <= 50 * n and not any(r.fits(x, names)[0] for r in rules))
+
+    before, after = left, rows(stages[1])
+    expected = plain_lines(list(before.items()))
+    assert sum(after[i] != expected[i] for i in before) <= 1 and set(after) == set(before)
+    assert all(r["n_chars"] == len(r["text"]) for r in stages[1].collect())
+
+    before, after = after, rows(stages[2])
+    fp = {i: plain_fingerprint(t) for i, t in before.items()}
+    component = helpers.components(sorted(fp), lambda a, b: (fp[a] ^ fp[b]).bit_count() <= 4)
+    assert after == {i: t for i, t in before.items() if component[i] == i}
+
+    before, after = after, rows(stages[3])
+    items = [decontamination.words_of(r["text"]) for r in spark.read.parquet(f"{helpers.SF}/benchmark.parquet").collect()]
+    leaky = {i for i, t in before.items() for x in items if decontamination.smith_waterman(x, decontamination.words_of(t))[0] >= 0.8 * len(x) - 1e-9}
+    assert after == {i: t for i, t in before.items() if i not in leaky}
+
+    own = bpe.load("byte_bpe_multi_50k.tiktoken")
+    for r in stages[4].collect():
+        ids = own.encode(after[r["doc_id"]])
+        assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r["decoded_sha256"] == hashlib.sha256(after[r["doc_id"]].encode()).hexdigest()
+
+
+def test_run_gives_what_the_stages_give(spark, stages):
+    assert sorted(map(tuple, corpus_pipeline.run(spark, helpers.SF).collect())) == sorted(map(tuple, stages[-1].collect()))
+
+
+def test_stages_bear_nulls_repeats_empty_tables_and_more_columns(spark):
+    text = " ".join(f"word{i}" for i in range(80))
+    docs = spark.createDataFrame([(None, text, "en", "s", 1, "x"), (1, text + " more", "en", None, None, "y"), (1, text + " more", "en", None, None, "y"), (2, None, None, None, None, None),
+                                  (3, "", "en", "s", 0, "z"), (4, "a b " * 50_000, "en", "s", 9, "v")], "doc_id long, text string, lang string, source string, n_chars long, band string")
+    for d in (docs, docs.limit(0)):
+        for name, f in corpus_pipeline.STAGES:
+            d = f(spark, d, helpers.SF)
+            if name != "byte_bpe":
+                assert d.columns == docs.columns
+        d.collect()
+
+
+def test_registered_names():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
