@@ -49,6 +49,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--password-file")
     p.add_argument("--destination", required=True, help="Avro destination folder (path or URI)")
     p.add_argument("--catalog")
+    p.add_argument("--dirty-reads", action="store_true", help="SQL Server: do not wait for locks of open transactions")
     p.add_argument("--schema", help="only these schemas (comma-delimited)")
     p.add_argument("--table", help="only these schema.table (comma-delimited)")
     p.add_argument("--split-table", help="schema.table exported in weight-balanced chunks (comma-delimited)")
@@ -122,11 +123,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                 props["password"] = fh.read().strip()
         elif a.password:
             props["password"] = a.password
-        source = JdbcCatalog(spark, a.connect, props, flavor=a.flavor, catalog=a.catalog, fetch_size=a.fetch_row_count)
+        source = JdbcCatalog(spark, a.connect, props, flavor=a.flavor, catalog=a.catalog, fetch_size=a.fetch_row_count,
+                             dirty_reads=a.dirty_reads)
     try:
         res = export_database(spark, job, source, threads=a.threads, resume=a.resume, manifest_name=a.log_file)
     except Exception as e:  # noqa: BLE001 - a failed table ends the run with status 1
-        print(json.dumps({"error": f"{type(e).__name__}: {str(e).splitlines()[0][:500]}"}), file=sys.stderr)
+        print(json.dumps({"error": f"{type(e).__name__}: {e}"}), file=sys.stderr)
         return 1
     print(json.dumps({"manifest": res.manifest_path, "runtimeMs": res.runtime_ms,
                       "tables": [{"table": f"{t.schema}.{t.table}", "strategy": t.strategy, "chunks": t.table_query_count,

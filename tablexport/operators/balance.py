@@ -26,9 +26,6 @@ from pyspark.sql import functions as F
 
 from .numbering import running_sum
 
-LONG_SAFE = (1 << 62)
-
-
 def key_weights(df: DataFrame, key: str, weight: str | None = None, part: str | None = None) -> DataFrame:
     keys = ([F.col(f"`{part}`").alias("part")] if part else []) + [F.col(f"`{key}`").alias("k")]
     w = F.sum(F.col(f"`{weight}`")).cast("long") if weight else F.count(F.lit(1))
@@ -54,18 +51,11 @@ def balanced_groups(df: DataFrame, key: str, n: int = 256, weight: str | None =
         null_tot = int(totals.get(None, 0))
         tot = F.when(F.col("part").isNull(), F.lit(null_tot)).otherwise(
             F.element_at(tot_map, F.col("part")) if tot_map is not None else F.lit(0)).cast("long")
-        big = max(totals.values(), default=0)
     else:
-        big = int(totals.get(None, 0))
-        tot = F.lit(big).cast("long")
-    if big * 100 * n < LONG_SAFE:
-        num = (F.col("cum") * 100 - 1) * n
-        den = tot * 100
-        grp = F.call_function("div", num, den)
-    else:  # exact beyond 64-bit: decimal(38,0)
-        num = ((F.col("cum").cast("decimal(38,0)") * 100 - 1) * n)
-        den = tot.cast("decimal(38,0)") * 100
-        grp = F.floor(num / den)
+        tot = F.lit(int(totals.get(None, 0))).cast("long")
+    wide = "decimal(38,0)"  # products beyond 64 bits stay whole numbers
+    num = ((F.col("cum").cast(wide) * F.lit(100).cast(wide) - F.lit(1).cast(wide)).cast(wide) * F.lit(n).cast(wide)).cast(wide)
+    grp = F.call_function("div", num, (tot.cast(wide) * F.lit(100).cast(wide)).cast(wide))
     g = cum.withColumn("grp", grp.cast("long"))
     keys = (["part"] if part else []) + ["grp"]
     return (g.groupBy(*keys).agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.sum("w").cast("long").alias("weight")))

@@ -51,8 +51,6 @@ class ExportJob:
     balanced_chunks: int = DEFAULT_BALANCED_CHUNKS
     union_batch: int = DEFAULT_UNION_BATCH
     exactly_once: bool = True  # False mirrors the original chunk lists exactly (overlaps, lost rows)
-    max_chunks: int = 1_000_000
-    max_jdbc_partitions: int = 10_000  # above this many chunks, database reads OR chunk predicates per task
     retry_waits: tuple[int, ...] = DEFAULT_RETRY_WAITS
     timezone: str | None = None
 

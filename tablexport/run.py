@@ -15,6 +15,8 @@ collects); executors read, assign chunks, convert and write.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from .session import local_df
 
-from .functions.columns import chunk_id_col, convert_datetimes, tidy_columns
+from .functions.columns import chunk_id_col, convert_datetimes, expand_pattern, tidy_columns
 from .operators import catalog_ops as co
 from .operators.balance import assign_balanced, balanced_chunk_table, balanced_groups, balanced_predicates
 from .operators.stats import query_stats, read_file_index, table_rollup, with_planned_chunks
@@ -41,9 +43,6 @@ DATETIME_VENDOR_TYPES = {
 }
 
 
-INLINE_CHUNK_STATS = 10_000  # at most this many chunks are also listed inside job.json
-
-
 def split_sql(script: str) -> list[str]:
     return [s.strip() for s in script.split(";") if s.strip()]
 
@@ -67,6 +66,7 @@ class TableResult:
     ok: bool = True
     error: str | None = None
     chunk_labels: DataFrame | None = None
+    plan: str | None = None  # fingerprint of the chunks
 
 
 @dataclass
@@ -116,9 +116,9 @@ def _sql_labels(spark, source, schema, table, columns, preds):
 
 def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, schema: str, table: str,
                     partitioned_by: list[str] | None, chunk_col: str = "_tx_chunk", source=None,
-                    export_cols: list[str] | None = None):
-    """Return (rows with a chunk column or None, strategy, chunk count, labels, strategy texts, clustered,
-    the table DataFrame).
+                    export_cols: list[str] | None = None, done=lambda plan: set()):
+    """``done(fingerprint)`` names the chunks that need not be read again. Return (rows with a chunk column or None, strategy, chunk count, labels, strategy texts, clustered,
+    the table DataFrame, fingerprint of the plan).
 
     For a database source (``read_chunks``) bounds, distinct values and key
     weights are asked of the database and every chunk is read by its own
@@ -140,20 +140,17 @@ def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, s
             keys = []
             for st in plan.strategies:
                 keys += [st.column] if getattr(st, "column", None) else list(st.spec.key_columns)
-            preds = predicates(plan, source.flavor, job.max_chunks)
+            preds = predicates(plan, source.flavor)
             labels = _sql_labels(spark, source, schema, table, export_cols, preds)
+            # one chunk = one query = one task, whatever their number: the database alone says which rows are in a chunk
             texts = [st.describe() for st in plan.strategies]
-            if len(preds) <= job.max_jdbc_partitions:  # one chunk = one query = one task
-                rows = source.read_chunks(schema, table, preds, export_cols, chunk_col, key_columns=keys)
-                return rows, strategy, plan.n_chunks, labels, texts, True, df
-            # too many chunks for one task each: read a disjoint cover in OR-ed batches of consecutive
-            # chunk predicates, then assign chunks in Spark exactly as for files (and cluster before writing)
-            cover = [p for _, p in predicates(plan.disjoint(), source.flavor, job.max_chunks)]
-            size = -(-len(cover) // job.max_jdbc_partitions)
-            batched = [" OR ".join(f"({p})" for p in cover[i:i + size]) for i in range(0, len(cover), size)]
-            read = source.read_partitioned(schema, table, batched, export_cols, key_columns=keys)
-            return plan.assign(read, chunk_col), strategy, plan.n_chunks, labels, texts, False, df
-        return plan.assign(df, chunk_col), strategy, plan.n_chunks, labels, [st.describe() for st in plan.strategies], False, df
+            print_ = fingerprint(job, schema, table, export_cols, [p for _, p in preds])
+            preds = _left(preds, done(print_))
+            rows = source.read_chunks(schema, table, preds, export_cols, chunk_col, key_columns=keys)
+            return rows, strategy, plan.n_chunks, labels, texts, True, df, print_
+        texts = [st.describe() for st in plan.strategies]
+        return (plan.assign(df, chunk_col), strategy, plan.n_chunks, labels, texts, False, df,
+                fingerprint(job, schema, table, export_cols, texts))
     if strategy in ("balanced", "balanced_partitioned"):
         keys = [c for c in (job.primary_keys.get(f"{schema}.{table}") or job.primary_keys.get(table) or [])]
         key = keys[0] if keys else (export_cols[0] if df is None else df.columns[0])
@@ -171,19 +168,42 @@ def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, s
             rows.append((f"{residual:07d}", "residual"))
         labels = local_df(spark, rows, "query_id string, label string")
         n = len(chunks) + (1 if residual else 0)
+        print_ = fingerprint(job, schema, table, export_cols, [key, part, *[t for _, t in rows]])
         if db:
             preds = balanced_predicates(chunks, key, part, source.dialect, residual)
-            rows = source.read_chunks(schema, table, preds, export_cols, chunk_col,
-                                      key_columns=[key] + ([part] if part else []))
             labels = _sql_labels(spark, source, schema, table, export_cols, preds)
-            return rows, strategy, n, labels, [], True, df
+            rows = source.read_chunks(schema, table, _left(preds, done(print_)), export_cols, chunk_col,
+                                      key_columns=[key] + ([part] if part else []))
+            return rows, strategy, n, labels, [], True, df, print_
         assigned = assign_balanced(df, key, chunks, part=part, chunk_col=chunk_col, residual=residual)
-        return assigned, strategy, n, labels, [], False, df
+        return assigned, strategy, n, labels, [], False, df, print_
     text = source.chunk_sql(schema, table, export_cols, None) if db else "whole table"
     labels = local_df(spark, [("0000001", text)], "query_id string, label string")
     if df is None:
-        df = source.read(schema, table)
-    return None, "whole", 1, labels, [], True, df
+        df = source.read(schema, table, export_cols)
+    return None, "whole", 1, labels, [], True, df, fingerprint(job, schema, table, export_cols, [text])
+
+
+def fingerprint(job: ExportJob, schema: str, table: str, columns, parts: list) -> str:
+    """Names a plan: what is exported, and the chunks as resolved (bounds included). Chunk numbers mean the same under the same one."""
+    text = json.dumps([schema, table, list(columns or []), job.exactly_once, job.string_datetime, job.string_datetime_suffix,
+                       [str(p) for p in parts]])
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
+def _left(preds: list, done: set) -> list:
+    """The predicates of chunks that are still to be read (one that reads nothing if none is)."""
+    return [(no, p) for no, p in preds if no not in done] or [(preds[0][0], "1 = 0")]
+
+
+def check_names(job: ExportJob, catalog, tables: list) -> None:
+    """Two tables whose files would carry one name (by tidying, or for want of a placeholder) are refused before anything is written."""
+    seen: dict = {}
+    for schema, table in tables:
+        name = expand_pattern(job.filename_pattern, catalog, schema, table, tidy=job.tidy_tables)
+        if name in seen:
+            raise ValueError(f"tables {'.'.join(seen[name])!r} and {schema + '.' + table!r} would both be written as {name!r}")
+        seen[name] = (schema, table)
 
 
 def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, schema: str, table: str,
@@ -201,8 +221,17 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
     partitioned_by = (job.partition_columns.get(f"{schema}.{table}") or job.partition_columns.get(table))
     if not partitioned_by and hasattr(source, "partition_columns"):
         partitioned_by = source.partition_columns(schema, table) or None  # folder partitions
-    assigned, strategy, n_chunks, labels, texts, clustered, df = plan_and_assign(
-        spark, job, df, schema, table, partitioned_by, source=source, export_cols=export_cols)
+    index = read_file_index(spark, job.destination).filter((F.col("schema") == schema) & (F.col("table") == table)) if resume else None
+
+    def done(plan: str) -> set:
+        """Chunks committed under this plan; one row each, as many as there are predicates on the driver."""
+        return {r["chunk"] for r in index.filter(F.col("plan") == plan).select("chunk").distinct().collect()} if resume else set()
+
+    assigned, strategy, n_chunks, labels, texts, clustered, df, print_ = plan_and_assign(
+        spark, job, df, schema, table, partitioned_by, source=source, export_cols=export_cols, done=done)
+    res.plan = print_
+    # a plan whose bounds have moved since gives its chunks other rows: what was exported under the old one is replaced
+    stale = resume and not index.filter(~F.col("plan").eqNullSafe(print_)).isEmpty()
     res.strategy, res.table_query_count, res.split_strategies = strategy, n_chunks, texts
     planned_at = time.strftime("%Y-%m-%d %H:%M:%S")
     res.chunk_labels = labels.select(F.lit(res.catalog).cast("string").alias("catalog"), F.lit(schema).alias("schema"),
@@ -215,21 +244,19 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
         data_cols = [c for c in out.columns if c != chunk_col]
         out = union_batches(out, data_cols, chunk_col, job.union_batch, chunk_col)
         clustered = False  # the de-duplication shuffle hashed rows on their values, not on the batch
-    if resume and chunk_col:
-        try:
-            done = (read_file_index(spark, job.destination)
-                    .filter((F.col("schema") == schema) & (F.col("table") == table))
-                    .select(F.col("chunk").alias(chunk_col)).distinct())
-            out = out.join(done, chunk_col, "left_anti")
-        except Exception:  # nothing written yet
-            pass
-    single_input = df is not None and f"{schema}.{table}" not in job.unionize and df.rdd.getNumPartitions() == 1
-    if cluster and chunk_col and not clustered and not single_input:
-        # rows of one chunk are spread over the scan's tasks: cluster them (AQE splits a skewed chunk);
-        # with a single input partition every chunk is already in one task
+    if resume and not stale:
+        if chunk_col:
+            out = out.join(index.select(F.col("chunk").alias(chunk_col)).distinct(), chunk_col, "left_anti")
+        elif not index.isEmpty():  # a whole table is one chunk, and it is there
+            return res
+    if cluster and chunk_col and not clustered:
+        # rows of one chunk are spread over the scan's tasks: cluster them (AQE splits a skewed chunk)
         out = out.hint("rebalance", chunk_col)
+    if chunk_col:
+        out = out.sortWithinPartitions(chunk_col)  # a task has one file open at a time
     register(spark)
-    w = (out.write.format(FORMAT).mode("append")
+    w = (out.write.format(FORMAT).mode("overwrite" if stale else "append")
+         .option("plan", print_).option("sorted", "true")
          .option("path", job.destination).option("pattern", job.filename_pattern)
          .option("schema", schema).option("table", table).option("codec", job.codec)
          .option("target_size", str(job.avro_size)).option("tidy", str(job.tidy_tables).lower())
@@ -266,6 +293,7 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     by_table: dict = {}
     for r in meta_rows:
         by_table.setdefault((r["schema"], r["table"]), []).append(r)
+    check_names(job, getattr(source, "catalog", None), todo)
     t = lap("plan_catalog", t0)
 
     def one(st):
@@ -282,7 +310,7 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
                 if not job.continue_on_exception:
                     raise
                 return TableResult(catalog=getattr(source, "catalog", None), schema=schema, table=table,
-                                   run_id=run_id, ok=False, error=f"{type(e).__name__}: {str(e).splitlines()[0][:500]}")
+                                   run_id=run_id, ok=False, error=f"{type(e).__name__}: {e}")
 
     if threads > 1:
         with ThreadPoolExecutor(max_workers=threads) as pool:
@@ -303,6 +331,9 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     files = read_file_index(spark, job.destination)
     if not resume:  # a resumed run reports the chunks committed by earlier runs too
         files = files.filter(F.col("run_id") == run_id)
+    else:  # of the plans as they are now
+        plans = [r.plan for r in results if r.plan]
+        files = files.filter(F.col("plan").isin(plans) if plans else F.lit(False))
     planned = None
     for r in results:
         if r.ok and r.chunk_labels is not None:
@@ -319,25 +350,18 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     rollup = table_rollup(stats, info)
     write_chunk_stats(stats, job.destination)
     roll_rows = [row.asDict(recursive=True) for row in rollup.collect()]  # one row per table
-    planned_total = sum(r.table_query_count for r in results if r.ok)
-    if planned_total <= INLINE_CHUNK_STATS:
-        # small exports also carry the per-chunk lists inline, as the original manifest does
-        per_table: dict = {}
-        for r in stats.orderBy("schema", "table", "query_id").collect():
-            d = r.asDict(recursive=True)
-            per_table.setdefault((d["schema"], d["table"]), []).append(d)
-        for entry in roll_rows:
-            lst = per_table.get((entry["schema"], entry["table"]), [])
-            entry["queries"] = [f"Id- {d['query_id']}: query- {d.get('label') or ''}" for d in lst]
-            entry["statisticsList"] = [{k: v for k, v in d.items() if k not in ("catalog", "schema", "table", "label")}
-                                       for d in lst]
+    unsupported = {(r["schema"], r["table"]): r["unsupported"] for r in co.unsupported_columns(source.columns(todo)).collect()}
+    for entry in roll_rows:
+        entry["unsupportedColumns"] = unsupported.get((entry["schema"], entry["table"]))
+        entry["rowCountMismatch"] = None if entry.get("db_row_count") is None else entry["db_row_count"] != entry["export_row_count"]
     failed = [{"schema": r.schema, "table": r.table, "error": r.error} for r in results if not r.ok]
     runtime_ms = int((time.time() - t0) * 1000)
     job_doc = job.to_dict()
     if not job_doc.get("timezone"):
         job_doc["timezone"] = spark.conf.get("spark.sql.session.timeZone", None)
     path = write_job_manifest(job_doc, roll_rows, failed, runtime_ms,
-                              f"{job.destination.rstrip('/')}/{manifest_name}")
+                              f"{job.destination.rstrip('/')}/{manifest_name}",
+                              stats.orderBy("schema", "table", "query_id").toLocalIterator())
     run_sql(spark, job.post_sql)
     lap("report", t)
     return ExportResult(tables=results, files=files, stats=stats, rollup=rollup, manifest_path=path,

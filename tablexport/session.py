@@ -41,7 +41,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir is not set on the cluster")
         return conf_dir
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tablexport-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="tablexport-ckpt-")  # one process: its own folder is shared
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

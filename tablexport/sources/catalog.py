@@ -256,14 +256,16 @@ LEFT JOIN (SELECT cc.OWNER, cc.TABLE_NAME, cc.COLUMN_NAME
   ON k.OWNER = c.OWNER AND k.TABLE_NAME = c.TABLE_NAME AND k.COLUMN_NAME = c.COLUMN_NAME
 """
 
-# Catalog row count on SQL Server: partition metadata, not COUNT(*).
-SQLSERVER_ROW_COUNTS_SQL = """
-SELECT s.name AS schema_name, t.name AS table_name, SUM(p.rows) AS row_count
-FROM sys.tables t
-JOIN sys.partitions p ON p.object_id = t.object_id AND p.index_id IN (0, 1)
-LEFT JOIN sys.schemas s ON s.schema_id = t.schema_id
-GROUP BY s.name, t.name
-"""
+def sqlserver_row_counts_sql(catalog: str | None) -> str:
+    """Rows by object from the partition metadata of a catalog (the connection's own when none is named)."""
+    from .jdbc import Dialect
+
+    d = Dialect("sqlserver")
+    where = f"{d.ident(catalog)}." if catalog else ""
+    db = f", DB_ID({d.string(catalog)})" if catalog else ""
+    return (f"SELECT OBJECT_SCHEMA_NAME(object_id{db}) AS schema_name, OBJECT_NAME(object_id{db}) AS table_name, SUM(rows) AS row_count "
+            f"FROM {where}sys.partitions WHERE index_id < 2 GROUP BY object_id")
+
 
 ORACLE_PARTITIONS_SQL = """
 SELECT p.TABLE_OWNER AS schema_name, p.TABLE_NAME AS table_name, p.PARTITION_NAME AS partition_name,
@@ -296,7 +298,8 @@ class JdbcCatalog:
 
     def qualified(self, schema: str, table: str) -> str:
         d = self.dialect
-        return f"{d.ident(schema)}.{d.ident(table)}"
+        scope = f"{d.ident(self.catalog)}." if self.catalog and self.flavor == "sqlserver" else ""
+        return f"{scope}{d.ident(schema)}.{d.ident(table)}"
 
     def _props(self) -> dict:
         p = dict(self.props)
@@ -306,7 +309,7 @@ class JdbcCatalog:
     def check_connection(self, attempts: int = 1, wait_seconds: float = 5.0) -> None:
         """Fail fast when the database does not answer (polled ``attempts`` times)."""
         from .jdbc import check_connection
-        check_connection(self.spark, self.url, self.props, attempts, wait_seconds)
+        check_connection(self.spark, self.url, self.props, attempts, wait_seconds, self.flavor)
 
     def chunk_sql(self, schema: str, table: str, columns: list[str], predicate: str | None) -> str:
         """The SQL text a chunk stands for (reported in the manifest)."""
@@ -314,9 +317,12 @@ class JdbcCatalog:
         sql = f"SELECT {', '.join(d.ident(c) for c in columns)} FROM {self.qualified(schema, table)}"
         return sql if not predicate else f"{sql} WHERE {predicate}"
 
-    def read(self, schema: str, table: str) -> DataFrame:
-        """The whole table as one query (the unsplit export), one partition."""
-        return self._read_predicates(self.qualified(schema, table), ["1 = 1"])
+    def read(self, schema: str, table: str, columns: list[str] | None = None) -> DataFrame:
+        """The whole table as one query (the unsplit export), one partition; only ``columns`` are asked for."""
+        if not columns:
+            return self._read_predicates(self.qualified(schema, table), ["1 = 1"])
+        cols = ", ".join(self.dialect.ident(c) for c in columns)
+        return self._read_predicates(f"(SELECT {cols} FROM {self.qualified(schema, table)}) tx_q", ["1 = 1"])
 
     def bounds(self, schema: str, table: str, columns: list[str]) -> dict:
         """MIN/MAX of several columns in ONE query run by the database."""
@@ -344,14 +350,6 @@ class JdbcCatalog:
         """One JDBC partition per predicate, in order (isolated for tests)."""
         return self.spark.read.jdbc(self.url, source_sql, predicates=preds, properties=self._props())
 
-    def read_partitioned(self, schema: str, table: str, preds: list[str], columns: list[str],
-                         key_columns: list[str] = ()) -> DataFrame:
-        """Exported (and key) columns, one JDBC partition per predicate; no chunk column."""
-        d = self.dialect
-        wanted = list(columns) + [k for k in key_columns if k not in columns]
-        cols = ", ".join(d.ident(c) for c in wanted)
-        return self._read_predicates(f"(SELECT {cols} FROM {self.qualified(schema, table)}) tx_q", list(preds))
-
     def read_chunks(self, schema: str, table: str, numbered_preds: list[tuple[int, str]], columns: list[str],
                     chunk_col: str = "_tx_chunk", key_columns: list[str] = ()) -> DataFrame:
         """Exported columns of every chunk; partition i holds predicate i, so the
@@ -368,7 +366,7 @@ class JdbcCatalog:
 
     def _query(self, sql: str) -> DataFrame:
         return (self.spark.read.format("jdbc").option("url", self.url).option("query", sql)
-                .options(**self.props).load())
+                .options(**self._props()).load())
 
     def columns(self, tables: list[tuple[str, str]] | None = None) -> DataFrame:
         """Column metadata from the data dictionary; with ``tables`` (up to 1,000 pairs) the
@@ -382,7 +380,7 @@ class JdbcCatalog:
         raw = self._query(sql)
         mapping = F.create_map(*[x for k, v in types.items() for x in (F.lit(k), F.lit(JDBC[v]))])
         vt = F.col("vendor_type")
-        name = F.lower(vt) if self.flavor == "sqlserver" else F.regexp_replace(vt, r"\(.*$", "")
+        name = F.lower(vt) if self.flavor == "sqlserver" else F.regexp_replace(vt, r"\([^)]*\)", "")  # the length alone: what follows it (a time zone) stays
         code = F.coalesce(F.element_at(mapping, name), F.lit(JDBC["OTHER"]))
         return raw.select(
             F.col("catalog").cast("string"), F.col("schema_name").alias("schema"), F.col("table_name").alias("table"),
@@ -402,7 +400,7 @@ class JdbcCatalog:
         limited to ``tables``. Oracle keeps none, as the export tool did: returns None."""
         if self.flavor != "sqlserver":
             return None
-        out = self._query(SQLSERVER_ROW_COUNTS_SQL).select(
+        out = self._query(sqlserver_row_counts_sql(self.catalog)).select(
             F.lit(self.catalog).cast("string").alias("catalog"), F.col("schema_name").alias("schema"),
             F.col("table_name").alias("table"), F.col("row_count").cast("long"))
         if tables:

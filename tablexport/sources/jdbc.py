@@ -13,6 +13,7 @@ For a file-based source the same plan is applied as a column in one scan
 from __future__ import annotations
 
 import datetime as _dt
+import decimal
 
 from pyspark.sql import SparkSession
 
@@ -34,21 +35,31 @@ class Dialect:
         """The column as text (number keys are matched by their decimal text)."""
         c = self.ident(col)
         if self.name == "sqlserver":
-            return f"CAST({c} AS VARCHAR(100))"
+            return f"CAST({c} AS NVARCHAR(MAX))"
         if self.name == "oracle":
             return f"TO_CHAR({c})"
         return f"CAST({c} AS VARCHAR)"
 
-    @staticmethod
-    def string(v: str) -> str:
-        return "'" + str(v).replace("'", "''") + "'"
+    def string(self, v: str) -> str:
+        """A text literal; SQL Server needs the N for characters outside its code page."""
+        return ("N'" if self.name == "sqlserver" else "'") + str(v).replace("'", "''") + "'"
 
     def timestamp(self, d: _dt.datetime) -> str:
-        s = d.strftime("%Y-%m-%d %H:%M:%S")
+        """A date-time literal with all of the value's microseconds."""
+        s = d.strftime("%Y-%m-%d %H:%M:%S") + (f".{d.microsecond:06d}" if d.microsecond else "")
         if self.name == "sqlserver":
-            return "'" + s.replace(" ", "T") + "'"
+            return f"CAST('{s.replace(' ', 'T')}' AS DATETIME2(7))"
         return f"TIMESTAMP '{s}'"
 
+    def date(self, d: _dt.date) -> str:
+        return f"CAST('{d.isoformat()}' AS DATE)" if self.name == "sqlserver" else f"DATE '{d.isoformat()}'"
+
+    def binary(self, v) -> str:
+        text = bytes(v).hex().upper()
+        if self.name == "sqlserver":
+            return f"0x{text}"
+        return f"HEXTORAW('{text}')" if self.name == "oracle" else f"UNHEX('{text}')"
+
     def starts_with(self, col_text: str, prefix: str) -> str:
         esc = prefix.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
         if self.name == "sqlserver":
@@ -65,7 +76,11 @@ class Dialect:
         if isinstance(v, _dt.datetime):
             return self.timestamp(v)
         if isinstance(v, _dt.date):
-            return f"DATE '{v.isoformat()}'"
+            return self.date(v)
+        if isinstance(v, decimal.Decimal):
+            return format(v, "f")
+        if isinstance(v, (bytes, bytearray)):
+            return self.binary(v)
         return self.string(v)
 
 
@@ -94,6 +109,10 @@ def _not(cov: str) -> str:
     return f"(CASE WHEN ({cov}) THEN 1 ELSE 0 END) = 0"
 
 
+def _any(preds) -> str:
+    return " OR ".join(f"({p})" for p in preds) or "1 = 0"
+
+
 def _minimal(keys: list[str]) -> list[str]:
     """Prefixes not extended from a shorter prefix of the same set."""
     out: list[str] = []
@@ -103,13 +122,8 @@ def _minimal(keys: list[str]) -> list[str]:
     return out
 
 
-MAX_TERMS = 10_000
-
-
-def _prefix_predicates(st: PrefixStrategy, d: Dialect, max_chunks: int, exactly_once: bool):
+def _prefix_predicates(st: PrefixStrategy, d: Dialect, exactly_once: bool):
     """(chunk predicates, coverage predicate) of a prefix strategy."""
-    if st.n_prefix > max_chunks:
-        raise ValueError(f"{st.n_prefix} chunks exceed max_chunks={max_chunks} for JDBC predicates")
     text = d.text(st.column)
     rows = sorted((int(r["local_no"]), r["key"]) for r in st.lookup.collect())
     out = []
@@ -118,7 +132,7 @@ def _prefix_predicates(st: PrefixStrategy, d: Dialect, max_chunks: int, exactly_
         by_key = {k: no for no, k in rows}
         skeys = sorted(by_key)
         for no, key in rows:
-            shorter = [key[:L] for L in range(1, len(key)) if by_key.get(key[:L], no) < no]
+            shorter = [key[:L] for L in range(len(key)) if by_key.get(key[:L], no) < no]
             if shorter:  # an earlier chunk takes every row of this one
                 out.append((st.offset + no, "1 = 0"))
                 continue
@@ -149,24 +163,20 @@ def _prefix_predicates(st: PrefixStrategy, d: Dialect, max_chunks: int, exactly_
             p = f"{p} AND " + _not(" OR ".join(cov_terms))
         out.append((st.offset + nxt, p))
         cov_terms.append(f"{text} IN ({', '.join(d.string(x) for x in DIGITS)})")
-    if len(cov_terms) > MAX_TERMS:
-        raise ValueError(f"coverage of {st.spec.text!r} needs {len(cov_terms)} terms; use as-written mode "
-                         "or a file source for exactly-once")
     return out, " OR ".join(cov_terms) if cov_terms else "1 = 0"
 
 
-def _combo_predicates(st: CombosStrategy, d: Dialect, max_chunks: int):
-    if st.n_chunks > max_chunks:
-        raise ValueError(f"{st.n_chunks} chunks exceed max_chunks={max_chunks} for JDBC predicates")
+def _combo_predicates(st: CombosStrategy, d: Dialect):
     cols = list(st.spec.columns)
     out = []
     for r in st.combos.collect():
         terms = [f"{d.ident(c)} IS NULL" if r[c] is None else f"{d.ident(c)} = {d.literal(r[c])}" for c in cols]
         out.append((st.offset + int(r["local_no"]), " AND ".join(terms)))
-    return sorted(out), "1 = 1"  # every row has some combination
+    # a combination that appears after planning, or a value no literal can name, is left to the residual
+    return sorted(out), _any(p for _, p in out)
 
 
-def predicates(plan: TablePlan, dialect: str = "ansi", max_chunks: int = 1_000_000) -> list[tuple[int, str]]:
+def predicates(plan: TablePlan, dialect: str = "ansi") -> list[tuple[int, str]]:
     """``(chunk_no, predicate)`` for every chunk of the plan.
 
     As written: the original chunk lists (overlaps and gaps included).
@@ -181,14 +191,14 @@ def predicates(plan: TablePlan, dialect: str = "ansi", max_chunks: int = 1_000_0
     for st in plan.strategies:
         if isinstance(st, BetweenStrategy):
             preds = _between_predicates(st, d)
-            cov = f"{d.ident(st.spec.column)} BETWEEN {st.start} AND {st.cover_hi}" if st.n_chunks else "1 = 0"
+            cov = _any(p for _, p in preds)  # not one range: a fractional key between two windows is in none
         elif isinstance(st, DateStrategy):
             preds = _date_predicates(st, d)
             cov = f"{d.ident(st.spec.column)} IS NOT NULL" if st.n_chunks else "1 = 0"
         elif isinstance(st, PrefixStrategy):
-            preds, cov = _prefix_predicates(st, d, max_chunks, eo)
+            preds, cov = _prefix_predicates(st, d, eo)
         elif isinstance(st, CombosStrategy):
-            preds, cov = _combo_predicates(st, d, max_chunks)
+            preds, cov = _combo_predicates(st, d)
         else:
             raise TypeError(type(st))
         if eo and covers:
@@ -202,13 +212,13 @@ def predicates(plan: TablePlan, dialect: str = "ansi", max_chunks: int = 1_000_0
 
 
 def check_connection(spark: SparkSession, url: str, properties: dict | None = None, attempts: int = 1,
-                     wait_seconds: float = 5.0) -> None:
-    """Fail fast when the database does not answer ``SELECT 1`` (polled ``attempts`` times)."""
+                     wait_seconds: float = 5.0, flavor: str = "ansi") -> None:
+    """Fail fast when the database does not answer a one-row query (polled ``attempts`` times)."""
     import time
     last = None
     for i in range(max(1, attempts)):
         try:
-            (spark.read.format("jdbc").option("url", url).option("query", "SELECT 1 AS ok")
+            (spark.read.format("jdbc").option("url", url).option("query", "SELECT 1 AS ok" + (" FROM DUAL" if flavor == "oracle" else ""))
              .options(**dict(properties or {})).load().collect())
             return
         except Exception as e:  # noqa: BLE001
