@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import chunk_id_col
 
 FILES_SCHEMA = ("catalog string, schema string, table string, chunk long, name string, path string, rows long, "
-                "bytes long, plain_bytes long, start string, end string, task long, run_id string")
+                "bytes long, plain_bytes long, start string, end string, task long, run_id string, plan string")
 
 
 def read_file_index(spark: SparkSession, destination: str) -> DataFrame:

@@ -331,20 +331,31 @@ def read_header(f) -> tuple[dict, str, bytes, int]:
     if head != MAGIC:
         raise IOError("not an Avro container file")
     data = f.read(1 << 16)
-    buf = _Buf(data)
-    meta = {}
-    while True:
-        cnt = buf.long()
-        if cnt == 0:
-            break
-        if cnt < 0:
-            buf.long()
-            cnt = -cnt
-        for _ in range(cnt):
-            k = buf.take(buf.long()).decode()
-            meta[k] = buf.take(buf.long())
-    sync = buf.take(SYNC_SIZE)
-    return json.loads(meta["avro.schema"]), meta.get("avro.codec", b"null").decode(), sync, 4 + buf.i
+    while True:  # a wide table's header is longer: read on until it is whole
+        try:
+            buf = _Buf(data)
+            meta = {}
+            while cnt := buf.long():
+                if cnt < 0:
+                    buf.long()
+                    cnt = -cnt
+                for _ in range(cnt):
+                    k = _whole(buf, buf.long()).decode()
+                    meta[k] = _whole(buf, buf.long())
+            sync = _whole(buf, SYNC_SIZE)
+            return json.loads(meta["avro.schema"]), meta.get("avro.codec", b"null").decode(), sync, 4 + buf.i
+        except IndexError:
+            more = f.read(len(data))
+            if not more:
+                raise IOError("truncated Avro header") from None
+            data += more
+
+
+def _whole(buf, n: int) -> bytes:
+    out = bytes(buf.take(n))
+    if len(out) < n:
+        raise IndexError(n)
+    return out
 
 
 def _read_long(f):

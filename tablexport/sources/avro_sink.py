@@ -11,19 +11,24 @@ Write (one Spark job, every task writes its own files)::
 * rows are grouped by ``chunk_col`` inside each task; each chunk gets its own
   file(s) named by the pattern (``%{CATALOG} %{SCHEMA} %{TABLE} %{PART}``;
   ``%{TABLE}`` expands to ``table-<7-digit chunk id>``; ``%{PART}`` to
-  ``<task>-<seq>`` and is appended before the extension when absent, so
-  tasks never collide);
+  ``<write>-<task>-<seq>`` and is appended before the extension when absent, so
+  neither tasks nor writes collide; a ``/`` in the pattern makes folders);
+* with ``sorted`` (rows arrive ordered by chunk inside each task) a task has
+  one file open and one buffer; otherwise buffers are counted in bytes;
 * ``target_size`` > 0 rolls to a new file once the *uncompressed* bytes of
   the current one reach it (block granularity);
 * files are written under ``_tx_tmp/<write>/<task-attempt>/`` and renamed on
   the driver in ``commit`` — a failed or retried attempt publishes nothing;
-* ``commit`` writes ``_manifest/files-<run>-<write>.json`` (JSON lines, one per
-  file: chunk, path, rows, bytes, plain bytes, start, end, task) — the
-  per-chunk statistics come from there, not from re-reading data.
+* ``commit`` writes ``_manifest/files-<run>-<write>.json`` last (JSON lines, one per
+  file: chunk, path, rows, bytes, plain bytes, start, end, task, plan). Files that no
+  index names are not part of the destination: readers and statistics go by the index;
+* mode ``overwrite`` replaces what earlier writes put there for the same
+  catalog, schema and table.
 
 Read: ``spark.read.format("tablexport_avro").load(dir)`` — one input
 partition per file, schema from the first file's header; option ``glob``
-(e.g. ``dbo.orders-*``) picks one table out of a shared destination.
+(e.g. ``dbo.orders-*``) picks one table out of a shared destination. A
+folder without an index is read as it is listed.
 """
 
 from __future__ import annotations
@@ -46,8 +51,8 @@ FORMAT = "tablexport_avro"
 MANIFEST_DIR = "_manifest"
 TMP_DIR = "_tx_tmp"
 MAX_BLOCK_BYTES = 4 << 20
-BLOCK_ROWS = 8192  # rows buffered per chunk before a block is encoded
-MAX_PENDING_ROWS = 262_144  # rows buffered per task across chunks
+BLOCK_BYTES = 1 << 20  # buffered per chunk before a block is encoded
+MAX_PENDING_BYTES = 64 << 20  # buffered per task across chunks
 
 
 def _fs(path: str):
@@ -111,7 +116,8 @@ class AvroWriter(DataSourceArrowWriter):
         self.tidy = str(options.get("tidy", "true")).lower() == "true"
         self.run_id = options.get("run_id") or uuid.uuid4().hex[:12]
         self.write_id = f"{self.run_id}-{uuid.uuid4().hex[:8]}"  # one per save(), shipped to the tasks
-        self.max_open = int(options.get("max_open_files", "64"))
+        self.sorted = str(options.get("sorted", "false")).lower() == "true"
+        self.plan = options.get("plan") or None  # fingerprint of the plan the chunk numbers belong to
         self.record_name = options.get("record_name") or self.table
         self.namespace = options.get("namespace") or self.schema_name
         self.overwrite = overwrite
@@ -149,12 +155,11 @@ class AvroWriter(DataSourceArrowWriter):
                          "task": pid})
 
         def open_new(chunk: int) -> _Open:
-            if len(open_files) >= self.max_open:
-                victim = next(iter(open_files))
-                close(open_files.pop(victim))
             seq[chunk] = seq.get(chunk, 0) + 1
-            name = self._file_name(chunk, f"{pid:05d}-{seq[chunk]:03d}")
+            name = self._file_name(chunk, f"{self.write_id[-8:]}-{pid:05d}-{seq[chunk]:03d}")
             tmp_path = f"{tmp_dir}/{name}"
+            if "/" in name:
+                fs.create_dir(tmp_path.rsplit("/", 1)[0], recursive=True)
             sync = ac.new_sync()
             stream = fs.open_output_stream(tmp_path)
             if not head_prefix:
@@ -164,16 +169,21 @@ class AvroWriter(DataSourceArrowWriter):
             open_files[chunk] = o
             return o
 
+        limit = min(MAX_BLOCK_BYTES, self.target) if self.target else MAX_BLOCK_BYTES
+
         def emit(chunk: int, data: pa.RecordBatch):
+            # cut by the bytes in memory first, so that rows are as a rule encoded once
+            step = max(1, data.num_rows * limit // max(1, data.nbytes))
+            if step < data.num_rows:
+                for a in range(0, data.num_rows, step):
+                    emit(chunk, _compact(data.slice(a, step)))
+                return
             plain = ac.encode_rows(data)
-            if len(plain) > MAX_BLOCK_BYTES or (self.target and len(plain) > self.target):
-                limit = min(MAX_BLOCK_BYTES, self.target) if self.target else MAX_BLOCK_BYTES
-                parts = -(-len(plain) // max(1, limit))
-                step = max(1, -(-data.num_rows // parts))
-                if data.num_rows > 1 and step < data.num_rows:
-                    for a in range(0, data.num_rows, step):
-                        emit(chunk, data.slice(a, step))
-                    return
+            if len(plain) > limit and data.num_rows > 1:
+                half = data.num_rows // 2
+                emit(chunk, _compact(data.slice(0, half)))
+                emit(chunk, _compact(data.slice(half)))
+                return
             o = open_files.get(chunk)
             if o is not None and self.target and o.rows and o.plain + len(plain) > self.target:
                 close(open_files.pop(chunk))
@@ -184,27 +194,35 @@ class AvroWriter(DataSourceArrowWriter):
             o.rows += data.num_rows
             o.plain += len(plain)
 
-        # rows of many chunks arrive interleaved: buffer per chunk and encode whole blocks
-        # (bounded: at most MAX_PENDING_ROWS buffered per task, largest buffer flushed first)
+        # buffer per chunk and encode whole blocks (at most MAX_PENDING_BYTES buffered per task, largest first)
         pending: dict[int, list] = {}
-        pending_rows: dict[int, int] = {}
+        pending_bytes: dict[int, int] = {}
         total = [0]
 
         def flush(chunk: int):
             parts = pending.pop(chunk)
-            total[0] -= pending_rows.pop(chunk)
+            total[0] -= pending_bytes.pop(chunk)
             merged = pa.Table.from_batches(parts).combine_chunks()
             for rb in merged.to_batches():
                 emit(chunk, rb)
 
+        def finish(chunk: int):
+            if chunk in pending:
+                flush(chunk)
+            if chunk in open_files:
+                close(open_files.pop(chunk))
+
         def buffer(chunk: int, rb: pa.RecordBatch):
+            if self.sorted:  # a new chunk: the one before is complete
+                for other in [c for c in {*pending, *open_files} if c != chunk]:
+                    finish(other)
             pending.setdefault(chunk, []).append(rb)
-            pending_rows[chunk] = pending_rows.get(chunk, 0) + rb.num_rows
-            total[0] += rb.num_rows
-            if pending_rows[chunk] >= BLOCK_ROWS:
+            pending_bytes[chunk] = pending_bytes.get(chunk, 0) + rb.nbytes
+            total[0] += rb.nbytes
+            if pending_bytes[chunk] >= BLOCK_BYTES:
                 flush(chunk)
-            while total[0] > MAX_PENDING_ROWS:
-                flush(max(pending_rows, key=pending_rows.get))
+            while total[0] > MAX_PENDING_BYTES:
+                flush(max(pending_bytes, key=pending_bytes.get))
 
         for batch in iterator:
             if batch.num_rows == 0:
@@ -229,33 +247,55 @@ class AvroWriter(DataSourceArrowWriter):
             ordered = data.take(pa.array(order)) if len(bounds) > 2 else data  # one gather, then slices
             for a, b in zip(bounds[:-1], bounds[1:]):
                 buffer(int(sc[a]), ordered.slice(int(a), int(b - a)))
-        for ch in list(pending):  # last rows of every chunk: write, then close at once
-            flush(ch)
-            if ch in open_files:
-                close(open_files.pop(ch))
-        for o in list(open_files.values()):
-            close(o)
+        for ch in [*pending, *open_files]:
+            finish(ch)
         return FilesWritten(files=done, tmp_dir=tmp_dir)
 
     # ------------------------------------------------------------ driver side
     def commit(self, messages):
+        from concurrent.futures import ThreadPoolExecutor
+
         fs, root = _fs(self.path)
+        files = [f for m in messages if m is not None for f in m.files]
+        for folder in {f["name"].rsplit("/", 1)[0] for f in files if "/" in f["name"]}:
+            fs.create_dir(f"{root}/{folder}", recursive=True)
+        with ThreadPoolExecutor(16) as pool:  # on object stores a move is a copy: many at a time
+            list(pool.map(lambda f: fs.move(f["tmp"], f"{root}/{f['name']}"), files))
         lines = []
-        for m in messages:
-            if m is None:
-                continue
-            for f in m.files:
-                final = f"{root}/{f['name']}"
-                fs.move(f["tmp"], final)
-                rec = {k: v for k, v in f.items() if k != "tmp"}
-                rec.update(path=final, catalog=self.catalog, schema=self.schema_name, table=self.table,
-                           run_id=self.run_id)
-                lines.append(json.dumps(rec))
+        for f in files:
+            rec = {k: v for k, v in f.items() if k != "tmp"}
+            rec.update(path=f"{root}/{f['name']}", catalog=self.catalog, schema=self.schema_name, table=self.table,
+                       run_id=self.run_id, plan=self.plan)
+            lines.append(json.dumps(rec))
         fs.create_dir(f"{root}/{MANIFEST_DIR}", recursive=True)
+        old = self._earlier(fs, root) if self.overwrite else []
+        # the index is written under another name and moved: it is there as a whole or not at all
         index = f"{root}/{MANIFEST_DIR}/files-{self.write_id}.json"
-        with fs.open_output_stream(index) as out:
+        with fs.open_output_stream(f"{root}/{MANIFEST_DIR}/_{self.write_id}.tmp") as out:
             out.write(("\n".join(lines) + ("\n" if lines else "")).encode())
-        fs.delete_dir(f"{root}/{TMP_DIR}/{self.write_id}")
+        for path, keep, _ in old:
+            if keep:
+                with fs.open_output_stream(path) as out:
+                    out.write("".join(json.dumps(r) + "\n" for r in keep).encode())
+            else:
+                fs.delete_file(path)
+        fs.move(f"{root}/{MANIFEST_DIR}/_{self.write_id}.tmp", index)
+        for _, _, gone in old:
+            for r in gone:
+                if fs.get_file_info(f"{root}/{r['name']}").is_file:
+                    fs.delete_file(f"{root}/{r['name']}")
+        if fs.get_file_info(f"{root}/{TMP_DIR}/{self.write_id}").type.name == "Directory":
+            fs.delete_dir(f"{root}/{TMP_DIR}/{self.write_id}")
+
+    def _earlier(self, fs, root: str) -> list:
+        """(index, records of other tables, records of this table) for each index that names this table's files."""
+        mine = (self.catalog, self.schema_name, self.table)
+        out = []
+        for path, records in read_indexes(fs, root):
+            gone = [r for r in records if (r.get("catalog"), r.get("schema"), r.get("table")) == mine]
+            if gone:
+                out.append((path, [r for r in records if r not in gone], gone))
+        return out
 
     def abort(self, messages):
         fs, root = _fs(self.path)
@@ -265,7 +305,27 @@ class AvroWriter(DataSourceArrowWriter):
             pass
 
 
+def _compact(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A slice's own rows alone, so that its ``nbytes`` counts no others."""
+    return batch.take(pa.array(np.arange(batch.num_rows)))
+
+
 # ------------------------------------------------------------------ reading
+def read_indexes(fs, root: str) -> list:
+    """(path, records) of every committed index under a destination."""
+    from pyarrow import fs as pafs
+    folder = f"{root}/{MANIFEST_DIR}"
+    if fs.get_file_info(folder).type != pafs.FileType.Directory:
+        return []
+    out = []
+    for i in fs.get_file_info(pafs.FileSelector(folder)):
+        name = i.path.rsplit("/", 1)[-1]
+        if name.startswith("files-") and name.endswith(".json"):
+            with fs.open_input_stream(i.path) as f:
+                out.append((i.path, [json.loads(x) for x in f.read().decode().splitlines() if x]))
+    return sorted(out)
+
+
 _SPARK_TYPES = {"int": "int", "long": "bigint", "boolean": "boolean", "float": "float", "double": "double",
                 "string": "string", "bytes": "binary"}
 
@@ -288,10 +348,17 @@ def _spark_type(t) -> str:
 
 
 def list_avro_files(path: str, pattern: str | None = None) -> list[str]:
-    """``.avro`` files directly under ``path`` (optionally matching a glob on the name)."""
+    """The committed ``.avro`` files under ``path`` (optionally matching a glob on the name).
+
+    Where there is an index it says which files those are; a folder without one is listed."""
     import fnmatch
     from pyarrow import fs as pafs
     fs, root = _fs(path)
+    indexes = read_indexes(fs, root)
+    if indexes:
+        names = {r["name"] for _, records in indexes for r in records}
+        return sorted(f"{root}/{n}" for n in names
+                      if pattern is None or fnmatch.fnmatch(n, pattern) or fnmatch.fnmatch(os.path.basename(n), pattern))
     sel = pafs.FileSelector(root, recursive=False)
     out = [i.path for i in fs.get_file_info(sel)
            if i.type == pafs.FileType.File and i.path.endswith(".avro")

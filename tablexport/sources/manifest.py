@@ -2,11 +2,9 @@
 
 ``job.json`` (pretty-printed): the job definition, one roll-up entry per
 table (``outputList``), failed tables (``failedAvro``) and ``runtimeMs``;
-times as ``yyyy-MM-dd HH:mm:ss``. Per-chunk statistics are always a JSON
-dataset written by Spark next to it (``_manifest/chunks/``, one
-``Id- <id>: query- <chunk>`` line per chunk); only exports of at most 10,000
-chunks also list them inline (``queries``, ``statisticsList``), so a table
-with a million chunks never passes through the driver.
+times as ``yyyy-MM-dd HH:mm:ss``. Per-chunk statistics are a JSON dataset written by Spark next to it
+(``_manifest/chunks/``, one ``Id- <id>: query- <chunk>`` line per chunk) and
+are listed inline (``queries``, ``statisticsList``), streamed table by table.
 
 Resume: planned chunks ``left_anti`` the chunks already in the manifest
 file index = what is still to do.
@@ -15,6 +13,7 @@ file index = what is still to do.
 from __future__ import annotations
 
 import datetime as _dt
+import itertools
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,18 +44,30 @@ def write_chunk_stats(stats: DataFrame, destination: str) -> str:
 
 
 def write_job_manifest(job_dict: dict, rollup_rows: list[dict], failed: list[dict], runtime_ms: int,
-                       path: str) -> str:
-    """Write the pretty-printed job manifest (one small file; rows are per table)."""
-    doc = dict(job_dict)
-    doc["outputList"] = rollup_rows
-    doc["failedAvro"] = failed
-    doc["runtimeMs"] = int(runtime_ms)
-    text = json.dumps(doc, indent=2, default=_json_default)
+                       path: str, chunks=()) -> str:
+    """Write the pretty-printed job manifest.
+
+    ``chunks`` yields the chunk statistics ordered by schema and table; the
+    driver holds one table's chunks at a time, and the layout is the same
+    for any number of them."""
+    doc = dict(job_dict) | {"failedAvro": failed, "runtimeMs": int(runtime_ms)}
+    dump = lambda x: json.dumps(x, indent=2, default=_json_default)
+    by_table = {(r["schema"], r["table"]): r for r in rollup_rows}
     fs, p = _fs(path)
-    parent = p.rsplit("/", 1)[0]
-    fs.create_dir(parent, recursive=True)
+    fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
     with fs.open_output_stream(p) as out:
-        out.write(text.encode())
+        out.write((dump(doc)[:-2] + ',\n  "outputList": [').encode())
+        first = True
+        for key, rows in itertools.chain(itertools.groupby((r.asDict(recursive=True) for r in chunks), lambda r: (r["schema"], r["table"])),
+                                         [(None, ())]):
+            entries = [by_table.pop(key)] if key in by_table else list(by_table.values()) if key is None else []
+            rows = list(rows)
+            for entry in entries:
+                entry = entry | {"queries": [f"Id- {r['query_id']}: query- {r.get('label') or ''}" for r in rows],
+                                 "statisticsList": [{k: v for k, v in r.items() if k not in ("catalog", "schema", "table", "label")} for r in rows]}
+                out.write(((",\n" if not first else "\n") + dump(entry)).encode())
+                first = False
+        out.write(b"]\n}")
     return p
 
 
