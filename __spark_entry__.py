@@ -96,7 +96,9 @@ _ORACLE = {
                     f"'balanced_partitioned' WHEN 'part' THEN 'balanced' ELSE 'whole' END AS strategy FROM {_TV}",
     # ---------------------------------------------------------------- scans / projections
     "scan_table": _ORDERS_SCAN,
-    "scan_jdbc_chunks": _ORDERS_SCAN,
+    "scan_chunks": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, CASE WHEN o_orderkey IS NULL THEN "
+                   "(e - s) // (inc + 1) + 2 ELSE CAST((o_orderkey - s) // (inc + 1) AS BIGINT) + 1 END AS chunk_no FROM orders, "
+                   "(SELECT s, e, (e - s) // 50 AS inc FROM (SELECT min(o_orderkey) AS s, max(o_orderkey) AS e FROM orders))",
     "project_exportable": "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
                           "l_returnflag, l_linestatus, l_shipdate FROM lineitem",
     "datetime_string_seconds": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate__dt_str "
@@ -204,15 +206,20 @@ _ORACLE = {
     "validate_row_counts": "SELECT 'orders' AS table_name, count(*) AS db_row_count, count(*) AS export_row_count, "
                            "false AS mismatch FROM orders UNION ALL SELECT 'lineitem', count(*), count(*), false FROM lineitem "
                            "UNION ALL SELECT 'customer', count(*), count(*), false FROM customer",
-    "failed_chunks": "SELECT 'part' AS table_name, 'Failed' AS status, true AS has_error",
+    "failed_chunks": "SELECT 'orders' AS table_name, 'Completed' AS status, count(*) AS export_row_count, count(*) AS db_row_count "
+                     "FROM orders UNION ALL SELECT 'part', 'Failed', 0, count(*) FROM part",
     "export_all_tables": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS export_row_count, count(*) AS db_row_count FROM {t}" for t in _TABLES),
-    "pre_post_sql": "SELECT 'tx_open_orders' AS table_name, count(*) AS export_row_count FROM orders "
-                    "WHERE o_orderstatus = 'O'",
-    "resume_pending_chunks": f"SELECT y AS pending_year FROM (SELECT unnest(range(y0, yn + 1)) AS y FROM {_YEARS} b) "
-                             "WHERE y NOT IN (SELECT DISTINCT year(o_orderdate) FROM orders "
-                             "WHERE year(o_orderdate) BETWEEN 1995 AND 1997)",
+    "pre_post_sql": "SELECT 'tx_orders' AS table_name, count(*) AS export_row_count, count(*) AS rows_after FROM orders",
+    "resume_pending_chunks": "SELECT 'orders' AS table_name, year(max(o_orderdate)) - year(min(o_orderdate)) + 2 AS table_query_count, "
+                             "count(*) AS export_row_count, count(*) AS rows_in_files FROM orders UNION ALL "
+                             "SELECT 'lineitem', 1, count(*), count(*) FROM lineitem UNION ALL SELECT 'region', 1, count(*), count(*) FROM region",
 }
+# What a query of the catalog names, with the rows of each table.
+_COUNTS = "(" + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in _TABLES) + ")"
+for _name in ("list_tables_priority", "tables_existing", "filter_schemas", "filter_tables", "exclude_tables_regex", "split_choice"):
+    _ORACLE[_name] = f"SELECT * FROM ({_ORACLE[_name]}) JOIN {_COUNTS} USING (table_name)"
+_ORACLE["list_schemas"] = f"SELECT 'dbo' AS schema_name, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM {_COUNTS}"
 
 
 def oracle_sql() -> dict[str, str]:

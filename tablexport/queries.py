@@ -11,6 +11,8 @@ can state the same computation in SQL.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from .session import local_df
@@ -20,14 +22,14 @@ from .operators import catalog_ops as co
 from .operators.balance import balanced_groups
 from .operators.stats import read_file_index, split_audit, validate_row_counts
 from .operators.union_batches import union_batches
-from .plans.chunks import CombosStrategy, DateStrategy, plan_table
+from .plans.chunks import CombosStrategy, plan_table
 from .plans.job import ExportJob
 from .plans.split_spec import SplitSpec
 from .run import choose_strategy, export_database
 from .session import scratch_path
 from .sources.avro_sink import FORMAT, register
 from .sources.catalog import DirectoryCatalog, SparkCatalogSource
-from .sources.manifest import manifest_tables, pending_chunks
+from .sources.manifest import manifest_tables
 
 ORDERS_SCAN = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 KEYS = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "customer": ["c_custkey"],
@@ -160,11 +162,11 @@ def scan_table(spark, sf):
     return cat.read("dbo", "orders").select(*keep)
 
 
-def scan_jdbc_chunks(spark, sf):
-    """The chunked read of a number split; on files it is one scan with a chunk column."""
+def scan_chunks(spark, sf):
+    """The chunked read of a number split: every row with its chunk, in one scan."""
     orders = _t(spark, sf, "orders")
     plan = plan_table(orders, [SplitSpec.parse("orders,between,o_orderkey,number")], exactly_once=True)
-    return plan.assign(orders).select(*ORDERS_SCAN)
+    return plan.assign(orders).select(*ORDERS_SCAN, "chunk_no")
 
 
 def project_exportable(spark, sf):
@@ -364,11 +366,16 @@ def validate_row_counts_q(spark, sf):
 
 
 def failed_chunks(spark, sf):
+    """One table of two cannot be split: what is exported of each, next to what is there."""
     job, res = _export_orders(spark, sf, "failed", tables=("dbo.orders", "dbo.part"), continue_on_exception=True,
                               split_strategies=(YEARLY, "part,between,p_nothere,number,10"))
-    rows = [(t.table, "Failed" if not t.ok else "Completed", t.error is not None) for t in res.tables]
-    return local_df(spark, rows, "table_name string, status string, has_error boolean").filter(
-        F.col("status") == "Failed")
+    status = local_df(spark, [(t.schema, t.table, "Completed" if t.ok else "Failed") for t in res.tables],
+                      "schema string, table string, status string")
+    exported = res.files.groupBy("schema", "table").agg(F.sum("rows").alias("exported"))
+    counts = _cat(spark, sf).row_counts([("dbo", "orders"), ("dbo", "part")])
+    return (status.join(exported, ["schema", "table"], "left").join(counts, ["schema", "table"])
+            .select(F.col("table").alias("table_name"), "status", F.coalesce("exported", F.lit(0).cast("long")).alias("export_row_count"),
+                    F.col("row_count").alias("db_row_count")))
 
 
 def export_all_tables(spark, sf):
@@ -379,30 +386,24 @@ def export_all_tables(spark, sf):
 
 
 def pre_post_sql(spark, sf):
-    view = "tx_open_orders"
+    """A view made by the SQL before the export is exported whole; the SQL after it makes another, which is read here."""
     path = f"{sf.rstrip('/')}/orders.parquet"
-    job = _job(spark, "prepost", pre_sql=(f"CREATE OR REPLACE TEMP VIEW {view} AS SELECT * FROM parquet.`{path}` "
-                                          f"WHERE o_orderstatus = 'O'",),
-               post_sql=(f"DROP VIEW IF EXISTS {view}",), tables=(f"temp.{view}",))
+    job = _job(spark, "prepost", pre_sql=(f"CREATE OR REPLACE TEMP VIEW tx_orders AS SELECT * FROM parquet.`{path}`",),
+               post_sql=("CREATE OR REPLACE TEMP VIEW tx_orders_after AS SELECT o_orderstatus, count(*) AS n FROM tx_orders GROUP BY 1",),
+               tables=("temp.tx_orders",))
     res = export_database(spark, job, SparkCatalogSource(spark))
-    return res.rollup.select(F.col("table").alias("table_name"), "export_row_count")
+    exported = res.rollup.select(F.col("table").alias("table_name"), "export_row_count")
+    return exported.crossJoin(F.broadcast(spark.table("tx_orders_after").agg(F.sum("n").alias("rows_after"))))  # one row each
 
 
 def resume_pending_chunks(spark, sf):
-    """A first run exported the chunks of 1995-1997; what is still to do?"""
-    orders = _t(spark, sf, "orders")
-    plan = _plan(orders, YEARLY)
-    st: DateStrategy = plan.strategies[0]
-    dest = scratch_path(spark, "resume")
-    first = plan.assign(orders).filter(F.year("o_orderdate").between(1995, 1997))
-    register(spark)
-    (first.select(*ORDERS_SCAN, "chunk_no").write.format(FORMAT).mode("append").option("path", dest)
-     .option("chunk_col", "chunk_no").option("schema", "dbo").option("table", "orders").save())
-    done = read_file_index(spark, dest).select(F.col("chunk").alias("chunk_no"))
-    planned = plan.chunk_table(spark)
-    pend = pending_chunks(planned, done, ["chunk_no"])
-    y0 = st._index(st.start)
-    return pend.select((F.lit(y0) + F.col("chunk_no") - 1).cast("long").alias("pending_year"))
+    """A first run exported orders alone; the resumed one leaves its chunks as they are and exports the rest."""
+    first, _ = _export_orders(spark, sf, "resume", split_strategies=(YEARLY,))
+    job = replace(first, tables=("dbo.orders", "dbo.lineitem", "dbo.region"))
+    res = export_database(spark, job, _cat(spark, sf), resume=True)
+    files = read_file_index(spark, job.destination).groupBy("table").agg(F.sum("rows").alias("rows_in_files"))
+    return (res.rollup.join(files, "table")
+            .select(F.col("table").alias("table_name"), "table_query_count", "export_row_count", "rows_in_files"))
 
 
 # ------------------------------------------------------------------ flagship
@@ -414,13 +415,28 @@ def flagship(spark, sf):
     return res.stats.select("table", "query_id", "status", "query_file_count", "export_row_count", "total_bytes")
 
 
+def _counted(listing):
+    """A query of the catalog with the rows of the tables that it names."""
+    def query(spark, sf):
+        named = listing(spark, sf)
+        names = [("dbo", r["table_name"]) for r in named.select("table_name").distinct().collect()]
+        counts = _cat(spark, sf).row_counts(names).select(F.col("table").alias("table_name"), F.col("row_count").alias("n_rows"))
+        return named.join(counts, "table_name")
+    return query
+
+
+def list_schemas_counted(spark, sf):
+    counts = _cat(spark, sf).row_counts()
+    return list_schemas(spark, sf).join(counts.groupBy(F.col("schema").alias("schema_name")).agg(F.sum("row_count").alias("n_rows")), "schema_name")
+
+
 QUERIES = {
-    "list_schemas": list_schemas,
-    "list_tables_priority": list_tables_priority,
-    "tables_existing": tables_existing,
-    "filter_schemas": filter_schemas,
-    "filter_tables": filter_tables,
-    "exclude_tables_regex": exclude_tables_regex,
+    "list_schemas": list_schemas_counted,
+    "list_tables_priority": _counted(list_tables_priority),
+    "tables_existing": _counted(tables_existing),
+    "filter_schemas": _counted(filter_schemas),
+    "filter_tables": _counted(filter_tables),
+    "exclude_tables_regex": _counted(exclude_tables_regex),
     "describe_columns": describe_columns,
     "primary_key_columns": primary_key_columns,
     "exclude_columns_regex": exclude_columns_regex,
@@ -429,7 +445,7 @@ QUERIES = {
     "table_row_counts": table_row_counts,
     "list_partitions": list_partitions,
     "scan_table": scan_table,
-    "scan_jdbc_chunks": scan_jdbc_chunks,
+    "scan_chunks": scan_chunks,
     "project_exportable": project_exportable,
     "datetime_string_seconds": datetime_string_seconds,
     "datetime_string_126": datetime_string_126,
@@ -450,7 +466,7 @@ QUERIES = {
     "split_multi_strategy": split_multi_strategy,
     "split_balanced": split_balanced,
     "split_balanced_partitioned": split_balanced_partitioned,
-    "split_choice": split_choice,
+    "split_choice": _counted(split_choice),
     "union_batches": union_batches_q,
     "split_audit": split_audit_q,
     "split_exactly_once": split_exactly_once,
