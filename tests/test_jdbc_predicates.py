@@ -63,7 +63,7 @@ def test_dialect_quoting():
     assert Dialect("ansi").starts_with("x", "50%_") == "x LIKE '50\\%\\_%' ESCAPE '\\'"
     assert Dialect("sqlserver").string("O'Brien") == "N'O''Brien'"
     import datetime as dt
-    assert Dialect("sqlserver").timestamp(dt.datetime(2016, 1, 1)) == "'2016-01-01T00:00:00'"
+    assert Dialect("sqlserver").timestamp(dt.datetime(2016, 1, 1)) == "CAST('2016-01-01T00:00:00' AS DATETIME2(7))"
     assert Dialect("oracle").timestamp(dt.datetime(2016, 1, 1)) == "TIMESTAMP '2016-01-01 00:00:00'"
 
 
