@@ -59,8 +59,8 @@ def main():
     p = plan(part, 'part,query,"p_brand",like,p_brand', False)
     cases.append(("values as prefixes of another column (as written): joins per value length, explode of matches",
                   p.assign(part).select("p_partkey", "chunk_no")))
-    cases.append(("balanced groups: per-key weights (partial aggregation), running sum over the checkpointed "
-                  "range partitions (mapInPandas), group aggregation", balanced_groups(li, "l_orderkey", 256)))
+    cases.append(("balanced groups: weights of coarse buckets (partial aggregation), windows over them and "
+                  "inside the buckets in which a group ends, group aggregation", balanced_groups(li, "l_orderkey", 256)))
     groups = balanced_groups(li, "l_orderkey", 256)
     chunks = balanced_chunk_table(groups)
     cases.append(("balanced assignment: log-depth CASE on the key inside the scan stage (no join)",

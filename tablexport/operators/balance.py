@@ -12,53 +12,88 @@ Per group: lo = first key, hi = last key, weight = sum. With a partition
 column the whole computation restarts per partition value, partitions
 taken in descending order, and chunk ids run on.
 
-Scale: the per-key weights are one partial-aggregated shuffle; the running
-sum is the two-level distributed one of ``numbering.running_sum`` (never a
-single-task window); the group table has at most n rows per partition, so
-assigning rows to groups is an in-stage range lookup (a log-depth CASE
-tree per partition value), no join with the key table.
+Scale: few keys move. Bounds of about ``8 n`` coarse buckets come from a
+bounded sample (any bounds give the right answer). One scan with map-side
+aggregation gives weight, first and last key of each bucket: that many rows
+per partition value. Only buckets in which a group ends are resolved key by
+key, each in its own window; the others lie in one group as a whole. The
+group table has at most n rows per partition, so assigning rows to groups is
+an in-stage range lookup (a log-depth CASE tree per partition value), no join
+with the key table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SAMPLE = 20_000  # keys that the coarse bounds are taken from, about
+WIDE = "decimal(38,0)"  # products beyond 64 bits stay whole numbers
 
-from .numbering import running_sum
 
 def key_weights(df: DataFrame, key: str, weight: str | None = None, part: str | None = None) -> DataFrame:
     keys = ([F.col(f"`{part}`").alias("part")] if part else []) + [F.col(f"`{key}`").alias("k")]
-    w = F.sum(F.col(f"`{weight}`")).cast("long") if weight else F.count(F.lit(1))
-    return df.filter(F.col(f"`{key}`").isNotNull()).groupBy(*keys).agg(w.alias("w"))
+    return df.filter(F.col(f"`{key}`").isNotNull()).select(*keys, (F.col(f"`{weight}`").cast("long") if weight else F.lit(1).cast("long")).alias("w"))
+
+
+def _coarse_bounds(rows: DataFrame, n: int) -> list:
+    """At most ``n`` keys that cut the rows into parts of about equal size."""
+    total = rows.count()
+    some = rows.select("k") if total <= SAMPLE else rows.select("k").sample(fraction=SAMPLE / total, seed=7)
+    keys = sorted(r["k"] for r in some.limit(4 * SAMPLE).collect())
+    return sorted({keys[len(keys) * i // n] for i in range(1, n)}) if keys else []
+
+
+def _bucketed(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` with ``bucket``: contiguous ranges of the key, in its order."""
+    kind = rows.schema["k"].dataType
+    if isinstance(kind, (T.NumericType, T.BooleanType, T.DateType)):  # searched as doubles: keys that are one double share a bucket
+        from pyspark.ml.feature import Bucketizer
+
+        number = F.unix_date("k") if isinstance(kind, T.DateType) else F.col("k")
+        rows = rows.withColumn("_number", number.cast("double"))
+        bounds = _coarse_bounds(rows.select(F.col("_number").alias("k")).where("not isnan(k)"), 8 * n)
+        splits = [float("-inf"), *[b for b in bounds if abs(b) != float("inf")], float("inf")]
+        out = Bucketizer(splits=splits, inputCol="_number", outputCol="bucket", handleInvalid="keep").transform(rows)
+        return out.withColumn("bucket", F.col("bucket").cast("long")).drop("_number")
+    bounds = _coarse_bounds(rows, min(n, 256))
+    tree = _tree(F.col("k"), [None, *bounds], list(range(len(bounds) + 1))) if bounds else F.lit(0).cast("long")
+    return rows.withColumn("bucket", tree)
+
+
+def _group(cum: Column, total: Column, n: int) -> Column:
+    wide = lambda c: c.cast(WIDE)
+    num = wide(wide(wide(cum) * wide(F.lit(100)) - wide(F.lit(1))) * wide(F.lit(n)))
+    return F.call_function("div", num, wide(F.greatest(wide(total), wide(F.lit(1))) * wide(F.lit(100)))).cast("long")
 
 
 def balanced_groups(df: DataFrame, key: str, n: int = 256, weight: str | None = None, part: str | None = None,
-                    num_partitions: int | None = None, weights: DataFrame | None = None) -> DataFrame:
+                    weights: DataFrame | None = None) -> DataFrame:
     """``[part,] grp, lo, hi, weight`` — one row per non-empty group.
 
     ``weights`` (``[part,] k, w``) may be given when the source computed them
-    (a database ``GROUP BY``)."""
-    if weights is None:
-        weights = key_weights(df, key, weight, part)
-    cum, totals = running_sum(weights, "k", "w", "cum", partition_col="part" if part else None,
-                              num_partitions=num_partitions)
-    if part:
-        pairs = []
-        for p, t in totals.items():
-            if p is not None:
-                pairs += [F.lit(p), F.lit(int(t)).cast("long")]
-        tot_map = F.create_map(*pairs) if pairs else None
-        null_tot = int(totals.get(None, 0))
-        tot = F.when(F.col("part").isNull(), F.lit(null_tot)).otherwise(
-            F.element_at(tot_map, F.col("part")) if tot_map is not None else F.lit(0)).cast("long")
-    else:
-        tot = F.lit(int(totals.get(None, 0))).cast("long")
-    wide = "decimal(38,0)"  # products beyond 64 bits stay whole numbers
-    num = ((F.col("cum").cast(wide) * F.lit(100).cast(wide) - F.lit(1).cast(wide)).cast(wide) * F.lit(n).cast(wide)).cast(wide)
-    grp = F.call_function("div", num, (tot.cast(wide) * F.lit(100).cast(wide)).cast(wide))
-    g = cum.withColumn("grp", grp.cast("long"))
-    keys = (["part"] if part else []) + ["grp"]
-    return (g.groupBy(*keys).agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.sum("w").cast("long").alias("weight")))
+    (a database ``GROUP BY``). Rows with a null key are in no group; null
+    partition values are one partition. Weights must not be negative."""
+    rows = weights.where("k is not null") if weights is not None else key_weights(df, key, weight, part)
+    if not part:
+        rows = rows.withColumn("part", F.lit(0))
+    rows = _bucketed(rows, n)
+    coarse = rows.groupBy("part", "bucket").agg(F.sum("w").alias("w"), F.min("w").alias("least"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+    by_part = Window.partitionBy("part")
+    coarse = (coarse.withColumn("total", F.sum("w").over(by_part))
+              .withColumn("before", F.sum("w").over(by_part.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("w")))
+    # a group can end inside a bucket unless its first and its last weight fall into one
+    first, last = _group(F.col("before") + F.least("least", F.lit(1)), F.col("total"), n), _group(F.col("before") + F.col("w"), F.col("total"), n)
+    coarse = coarse.withColumn("grp", F.when((F.col("w") > 0) & (first == last) | (F.col("lo") == F.col("hi")), last))
+    whole = coarse.where("grp is not null").select("part", "grp", "lo", "hi", "w")
+    cut = coarse.where("grp is null").select(F.col("part").alias("p"), F.col("bucket").alias("b"), "before", "total")
+    keys = (rows.join(cut, rows["part"].eqNullSafe(cut["p"]) & (rows["bucket"] == cut["b"]))
+            .groupBy("part", "bucket", "k", "before", "total").agg(F.sum("w").alias("w")))
+    inside = F.sum("w").over(Window.partitionBy("part", "bucket").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    keys = keys.withColumn("grp", _group(F.col("before") + inside, F.col("total"), n)).select("part", "grp", F.col("k").alias("lo"), F.col("k").alias("hi"), "w")
+    out = whole.unionByName(keys).groupBy("part", "grp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("w").cast("long").alias("weight"))
+    return out.select(*(["part"] if part else []), "grp", "lo", "hi", "weight")
 
 
 def _tree(k: Column, bounds: list, ids: list[int]) -> Column:

@@ -1,4 +1,4 @@
-"""Distributed global numbering and running sums (no single-task window).
+"""Distributed global numbering (no single-task window).
 
 ``Window.orderBy(...)`` without ``partitionBy`` pulls every row into one
 task. Instead:
@@ -9,21 +9,16 @@ task. Instead:
 3. collect one small total per partition (P rows), turn them into offsets;
 4. add the offsets back with a literal map keyed by partition id.
 
-Row numbers need only step 3-4 (JVM-side: ``monotonically_increasing_id``
-encodes the partition id and the position). Running sums take the
-per-partition totals with a JVM ``groupBy(spark_partition_id())`` and then
-one Arrow-batched ``mapInPandas`` pass carrying the total across batches.
+``monotonically_increasing_id`` encodes the partition id and the position,
+so all of it is JVM-side.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import checkpoint_dir, ship_package
+from ..session import checkpoint_dir
 
 _PID_SHIFT = 33
 
@@ -60,65 +55,3 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_no",
     offsets = _offset_map(totals)
     pos = F.col("_tx_mid").bitwiseAND(F.lit((1 << _PID_SHIFT) - 1))
     return tagged.withColumn(name, F.element_at(offsets, pid.cast("int")) + pos + F.lit(1)).drop("_tx_mid")
-
-
-def running_sum(df: DataFrame, order_col: str, weight_col: str, name: str = "cum",
-                partition_col: str | None = None, num_partitions: int | None = None) -> tuple[DataFrame, dict]:
-    """Inclusive running sum of ``weight_col`` ordered by ``order_col``.
-
-    With ``partition_col`` the sum restarts per value of that column (the
-    partition column leads the range order, so one value may span several
-    Spark partitions; the offsets carry across them). Returns the frame
-    with ``name`` added and a dict ``{part_value: total}`` (``None`` key
-    when unpartitioned) of totals per group.
-    """
-    order = ([F.col(partition_col)] if partition_col else []) + [F.col(order_col)]
-    ship_package(df.sparkSession)  # the mapInPandas functions below live in this package
-    ck = range_sorted_checkpoint(df, order, num_partitions)
-
-    # pass 1 (JVM): weight per (Spark partition, group) of the checkpointed frame, whose partition
-    # ids are fixed; a group's offset in a partition is its weight in all earlier partitions
-    keys = [F.spark_partition_id().alias("pid")] + ([F.col(partition_col).alias("grp")] if partition_col else [])
-    rows = ck.groupBy(*keys).agg(F.sum(F.col(weight_col).cast("long")).alias("tot")).collect()
-    rows.sort(key=lambda r: r["pid"])
-    seen: dict = {}
-    offsets: dict = {}
-    for r in rows:
-        key = r["grp"] if partition_col else None
-        offsets[(r["pid"], key)] = seen.get(key, 0)
-        seen[key] = seen.get(key, 0) + int(r["tot"] or 0)
-    bc = ck.sparkSession.sparkContext.broadcast(offsets)
-
-    out_schema = T.StructType(ck.schema.fields + [T.StructField(name, T.LongType())])
-
-    def cumulate(it):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        offs = bc.value
-        carry: dict = {}
-        for b in it:
-            if len(b) == 0:
-                yield b.assign(**{name: pd.Series([], dtype="int64")})
-                continue
-            w = b[weight_col].astype("int64").to_numpy()
-            if partition_col:
-                # groups are contiguous in sort order: cumsum per run, Python only per run
-                n = len(b)
-                gk = b[partition_col].astype(object).where(b[partition_col].notna(), None).to_numpy()
-                change = np.ones(n, dtype=bool)
-                change[1:] = gk[1:] != gk[:-1]
-                run_id = np.cumsum(change) - 1
-                starts = np.flatnonzero(change)
-                run_keys = gk[starts]
-                local = pd.Series(w).groupby(run_id).cumsum().to_numpy()
-                bases = np.array([carry.get(k, offs.get((pid, k), 0)) for k in run_keys], dtype=np.int64)
-                cum = local + bases[run_id]
-                for k, e in zip(run_keys, np.append(starts[1:], n) - 1):
-                    carry[k] = int(cum[e])
-            else:
-                base = carry.get(None, offs.get((pid, None), 0))
-                cum = np.cumsum(w) + base
-                carry[None] = int(cum[-1])
-            yield b.assign(**{name: cum})
-
-    return ck.mapInPandas(cumulate, out_schema), seen

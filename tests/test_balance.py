@@ -1,11 +1,14 @@
 """Balanced chunks and distributed numbering against pandas brute force."""
 
+import datetime
+
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tablexport.operators.balance import assign_balanced, balanced_chunk_table, balanced_groups
-from tablexport.operators.numbering import global_row_number, running_sum
+from tablexport.operators.numbering import global_row_number
 
 from .conftest import SF01
 
@@ -79,16 +82,29 @@ def test_global_row_number(spark):
     assert [g[1] for g in got] == sorted(int(v) for v in vals)
 
 
-def test_running_sum_partitioned(spark):
-    rng = np.random.default_rng(3)
-    rows = [(str(rng.choice(["a", "b", "c"])), int(k), int(w)) for k, w in zip(rng.permutation(2000), rng.integers(1, 9, 2000))]
-    df = spark.createDataFrame(rows, "p string, k bigint, w bigint")
-    out, totals = running_sum(df, "k", "w", partition_col="p", num_partitions=5)
-    got = {(r["p"], r["k"]): r["cum"] for r in out.collect()}
-    pdf = pd.DataFrame(rows, columns=["p", "k", "w"]).sort_values(["p", "k"])
-    pdf["cum"] = pdf.groupby("p")["w"].cumsum()
-    assert got == {(p, k): c for p, k, c in pdf[["p", "k", "cum"]].itertuples(index=False)}
-    assert totals == pdf.groupby("p")["w"].sum().to_dict()
+@pytest.mark.parametrize("seed", range(4))
+def test_balanced_groups_of_any_keys_and_weights(spark, seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(1, 2500))
+    keys = rng.integers(-50, 50 + 10 ** int(rng.integers(1, 8)), n)
+    weights = rng.choice([0, 0, 1, 5, 10**12], n) + (1 if seed % 2 else 0)
+    weights[0] = 7
+    kind = [lambda k: float(k) / 3, lambda k: f"k{k:09d}", lambda k: datetime.date(2000, 1, 1) + datetime.timedelta(int(k) % 9000), int][seed]
+    rows = [(kind(k), int(w)) for k, w in zip(keys, weights)]
+    schema = ["k double, w long", "k string, w long", "k date, w long", "k long, w long"][seed]
+    groups = int(rng.choice([1, 3, 16, 256]))
+    got = [tuple(r) for r in balanced_groups(spark.createDataFrame(rows, schema), "k", groups, weight="w").orderBy("grp").collect()]
+    per_key, cum, expected = {}, 0, {}
+    for k, w in rows:
+        per_key[k] = per_key.get(k, 0) + w
+    total = sum(per_key.values())
+    for k in sorted(per_key):
+        cum += per_key[k]
+        num = (cum * 100 - 1) * groups
+        g = num // (total * 100) if num >= 0 else 0
+        lo, _, weight = expected.get(g, (k, k, 0))
+        expected[g] = (lo, k, weight + per_key[k])
+    assert got == [(g, *expected[g]) for g in sorted(expected)]
 
 
 def test_balanced_with_null_partitions_and_keys(spark):
