@@ -360,291 +360,6 @@ class TablePlan:
     def residual_no(self) -> int | None:
         return self.n_chunks if self.exactly_once else None
 
-    def coverage(self) -> Column | None:
-        """A pushdown-friendly filter true for every row some chunk of this strategy
-        takes (None when it cannot be stated simply)."""
-        return None
-
-
-@dataclass
-class BetweenStrategy(Strategy):
-    start: int = 0
-    end: int = 0
-    increment: int = 0
-    exactly_once: bool = True
-    kind: str = "between"
-
-    def __post_init__(self):
-        s, e, inc = self.start, self.end, self.increment
-        self.n_chunks = 1 if e < s else (e - s) // (inc + 1) + 1
-
-    @property
-    def cover_hi(self) -> int:
-        if self.exactly_once:
-            return self.end
-        return max(self.start + self.increment, self.end)
-
-    def window(self, i: int) -> tuple[int, int]:
-        s, e, inc = self.start, self.end, self.increment
-        lo = s + (i - 1) * (inc + 1)
-        hi = s + inc if i == 1 else min(lo + inc, e)
-        if i == 1 and self.exactly_once:
-            hi = min(hi, e)
-        return lo, hi
-
-    def match_columns(self, df, exactly_once):
-        k = q(self.spec.column)
-        s, inc = self.start, self.increment
-        idx = _sql_div(k - F.lit(s), inc + 1)
-        cond = k.between(F.lit(s), F.lit(self.cover_hi))
-        dtype = df.schema[self.spec.column].dataType if self.spec.column in df.columns else None
-        if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-            # windows are integer ranges [lo, lo + inc]: a fractional key between two windows is in none
-            cond = cond & (k - F.lit(s) - idx * F.lit(inc + 1) <= F.lit(inc))
-        return df, [F.when(cond, idx + F.lit(1 + self.offset))], []
-
-    def coverage(self):
-        if self.n_chunks == 0:
-            return F.lit(False)
-        return q(self.spec.column).between(F.lit(self.start), F.lit(self.cover_hi))
-
-    def chunk_rows(self, spark):
-        s, e, inc = self.start, self.end, self.increment
-        i = F.col("id") + 1
-        lo = F.lit(s) + (i - 1) * F.lit(inc + 1)
-        first_hi = min(s + inc, e) if self.exactly_once else s + inc
-        hi = F.when(i == 1, F.lit(first_hi)).otherwise(F.least(lo + F.lit(inc), F.lit(e)))
-        return spark.range(self.n_chunks).select(
-            i.alias("local_no"), F.concat(F.lit("["), lo.cast("string"), F.lit(","), hi.cast("string"), F.lit("]")).alias("label"))
-
-    def params(self):
-        return {"start": self.start, "end": self.end, "increment": self.increment}
-
-
-@dataclass
-class PrefixStrategy(Strategy):
-    """Chunks are literal text prefixes of a key's text (number ``like``,
-    string ``like`` by first character, ``query`` + sub-operation ``like``)."""
-
-    column: str = ""
-    lookup: DataFrame | None = None  # key string, local_no long (prefix chunks only)
-    lengths: tuple[int, ...] = ()
-    n_prefix: int = 0
-    not_like_prefix: str | None = None  # extra chunk: key text does not start with this
-    digits_chunk: bool = False  # extra chunk: key text is one digit
-    cast_text: bool = True
-    broadcast_chunks: int = BROADCAST_CHUNKS
-    kind: str = "like"
-
-    def __post_init__(self):
-        self.n_chunks = self.n_prefix + (1 if self.not_like_prefix is not None else 0) + (1 if self.digits_chunk else 0)
-
-    def params(self):
-        sp = self.spec
-        d = {"column": self.column}
-        if sp.start is not None:
-            d.update(start=sp.start, end=sp.end, increment=sp.increment)
-        if self.not_like_prefix is not None:
-            d["prefix"] = self.not_like_prefix
-        return d
-
-    def _text(self) -> Column:
-        c = q(self.column)
-        return c.cast("string") if self.cast_text else c
-
-    @property
-    def wide(self) -> bool:
-        """Many prefix lengths, or a lookup too large to broadcast."""
-        return len(self.lengths) > WIDE_LENGTHS or self.n_prefix > self.broadcast_chunks
-
-    def exploded_matches(self, df: DataFrame, chunk_col: str) -> DataFrame:
-        """As written, in one join: each row's candidate keys (one prefix per length, plus
-        sentinel keys for the catch-all chunks it falls in) exploded and equi-joined with
-        the lookup — one output row per matching chunk."""
-        text = self._text()
-        cands = [F.when(F.length(text) >= L, F.substring(text, 1, L)) for L in self.lengths]
-        extra = []
-        nxt = self.n_prefix + 1
-        if self.not_like_prefix is not None:
-            cands.append(F.when(~text.startswith(F.lit(self.not_like_prefix)), F.lit("\x00not_like")))
-            extra.append(("\x00not_like", nxt))
-            nxt += 1
-        if self.digits_chunk:
-            cands.append(F.when(text.isin(*DIGITS), F.lit("\x00digits")))
-            extra.append(("\x00digits", nxt))
-        right = self.lookup.select("key", "local_no")
-        if extra:
-            right = right.unionByName(local_df(df.sparkSession, extra, "key string, local_no long"))
-        right = right.select(F.col("key").alias("_tx_key"), (F.col("local_no") + F.lit(self.offset)).alias(chunk_col))
-        if self.n_prefix <= self.broadcast_chunks:
-            right = F.broadcast(right)
-        ex = df.withColumn("_tx_cand", F.explode(F.filter(F.array(*cands), lambda x: x.isNotNull())))
-        return ex.join(right, F.col("_tx_cand") == F.col("_tx_key"), "inner").drop("_tx_cand", "_tx_key")
-
-    def match_columns(self, df, exactly_once):
-        text = self._text()
-        cols: list[Column] = []
-        helpers: list[str] = []
-        lookup = self.lookup
-        for L in self.lengths:
-            cand, hit, key = f"_tx_c{self.strategy_no}_{L}", f"_tx_m{self.strategy_no}_{L}", f"_tx_k{self.strategy_no}_{L}"
-            right = lookup.filter(F.length("key") == L).select(F.col("key").alias(key), F.col("local_no").alias(hit))
-            if self.n_prefix <= self.broadcast_chunks:
-                right = F.broadcast(right)
-            df = df.withColumn(cand, F.when(F.length(text) >= L, F.substring(text, 1, L)))
-            df = df.join(right, F.col(cand) == F.col(key), "left")
-            cols.append(F.col(hit) + F.lit(self.offset))
-            helpers += [cand, hit, key]
-        nxt = self.n_prefix + 1
-        if self.not_like_prefix is not None:
-            cols.append(F.when(~text.startswith(F.lit(self.not_like_prefix)), F.lit(nxt + self.offset)))
-            nxt += 1
-        if self.digits_chunk:
-            cols.append(F.when(text.isin(*DIGITS), F.lit(nxt + self.offset)))
-        return df, cols, helpers
-
-    def chunk_rows(self, spark):
-        rows = self.lookup.select("local_no", F.concat(F.col("key"), F.lit("%")).alias("label"))
-        extra = []
-        nxt = self.n_prefix + 1
-        if self.not_like_prefix is not None:
-            extra.append((nxt, f"NOT {self.not_like_prefix}%"))
-            nxt += 1
-        if self.digits_chunk:
-            extra.append((nxt, "digits"))
-        if extra:
-            rows = rows.unionByName(local_df(spark, extra, "local_no long, label string"))
-        return rows
-
-
-@dataclass
-class DateStrategy(Strategy):
-    start: _dt.datetime | None = None
-    end: _dt.datetime | None = None
-    increment: int = 12
-    kind: str = "date"
-
-    def __post_init__(self):
-        if self.start is None or self.end is None:
-            self.n_chunks = 0
-            return
-        self.n_chunks = self.k + 1
-
-    @property
-    def yearly(self) -> bool:
-        return self.increment % 12 == 0
-
-    @property
-    def step(self) -> int:
-        return self.increment // 12 if self.yearly else self.increment
-
-    def _index(self, d) -> int:
-        return d.year if self.yearly else d.year * 12 + d.month - 1
-
-    @property
-    def k(self) -> int:
-        return max(0, (self._index(self.end) - self._index(self.start)) // self.step)
-
-    def boundary(self, i: int) -> _dt.datetime:
-        """Start of window i (i = 1..k): the first boundary after the first window."""
-        v = self._index(self.start) + i * self.step
-        if self.yearly:
-            return _dt.datetime(v, 1, 1)
-        return _dt.datetime(v // 12, v % 12 + 1, 1)
-
-    def match_columns(self, df, exactly_once):
-        if self.n_chunks == 0:
-            return df, [], []
-        d = q(self.spec.column)
-        v = F.year(d) if self.yearly else F.year(d) * 12 + F.month(d) - 1
-        rel = v.cast("long") - F.lit(self._index(self.start))
-        idx = F.least(F.greatest(_sql_div(rel, self.step), F.lit(0)), F.lit(self.k))
-        # negative offsets truncate toward zero, clamped to the first window anyway;
-        # greatest/least skip NULLs, so a NULL key must be kept out explicitly
-        return df, [F.when(d.isNotNull(), idx + F.lit(1 + self.offset))], []
-
-    def coverage(self):
-        return q(self.spec.column).isNotNull() if self.n_chunks else F.lit(False)
-
-    def labels(self) -> list[tuple[int, str]]:
-        if self.n_chunks == 0:
-            return []
-        fmt = lambda x: x.strftime("%Y-%m-%d %H:%M:%S")
-        if self.k == 0:
-            return [(1, "all")]
-        out = [(1, f"< {fmt(self.boundary(1))}")]
-        for i in range(1, self.k):
-            out.append((i + 1, f">= {fmt(self.boundary(i))} and < {fmt(self.boundary(i + 1))}"))
-        out.append((self.k + 1, f">= {fmt(self.boundary(self.k))}"))
-        return out
-
-    def chunk_rows(self, spark):
-        return local_df(spark, self.labels(), "local_no long, label string")
-
-    def params(self):
-        return {"start": str(self.start), "end": str(self.end), "increment": self.increment}
-
-
-@dataclass
-class CombosStrategy(Strategy):
-    """One chunk per distinct combination of the key columns."""
-
-    combos: DataFrame | None = None  # key columns..., local_no
-    broadcast_chunks: int = BROADCAST_CHUNKS
-    kind: str = "combos"
-
-    def match_columns(self, df, exactly_once):
-        cols = list(self.spec.columns)
-        ren = {c: f"_tx_q{self.strategy_no}_{i}" for i, c in enumerate(cols)}
-        hit = f"_tx_q{self.strategy_no}_no"
-        right = self.combos.select(*[q(c).alias(ren[c]) for c in cols], F.col("local_no").alias(hit))
-        if self.n_chunks <= self.broadcast_chunks:
-            right = F.broadcast(right)
-        cond = None
-        for c in cols:
-            e = q(c).eqNullSafe(F.col(ren[c]))
-            cond = e if cond is None else cond & e
-        df = df.join(right, cond, "left")
-        return df, [F.col(hit) + F.lit(self.offset)], list(ren.values()) + [hit]
-
-    def params(self):
-        return {"columns": list(self.spec.columns)}
-
-    def chunk_rows(self, spark):
-        parts = [F.coalesce(q(c).cast("string"), F.lit("NULL")) for c in self.spec.columns]
-        return self.combos.select("local_no", F.concat_ws(",", *parts).alias("label"))
-
-
-# ------------------------------------------------------------------- planning
-@dataclass
-class TablePlan:
-    table: str
-    strategies: list[Strategy] = field(default_factory=list)
-    exactly_once: bool = True
-
-    @property
-    def n_chunks(self) -> int:
-        n = sum(s.n_chunks for s in self.strategies)
-        return n + (1 if self.exactly_once else 0)
-
-    @property
-    def residual_no(self) -> int | None:
-        return self.n_chunks if self.exactly_once else None
-
-    def disjoint(self) -> "TablePlan":
-        """The same chunks in exactly-once form (clamped windows, residual chunk):
-        a disjoint cover of the whole table, used to partition database reads."""
-        import copy
-        plan = copy.copy(self)
-        plan.exactly_once = True
-        plan.strategies = []
-        for st in self.strategies:
-            c = copy.copy(st)
-            if isinstance(c, BetweenStrategy):
-                c.exactly_once = True
-            plan.strategies.append(c)
-        return plan
-
     def coverage(self) -> Column | None:
         """OR of the strategies' coverage filters, or None when one has none."""
         out = None
