@@ -23,8 +23,8 @@ Modes:
 * ``exactly_once=False`` mirrors the original chunk lists: a row matching
   several chunks appears once per chunk, unmatched rows are not exported.
 
-Broadcasts are sized: a lookup table is broadcast only when its chunk
-count is at most ``broadcast_chunks``; beyond that the join shuffles.
+A lookup is broadcast when its measured bytes are at most ``BROADCAST_BYTES``;
+beyond that Spark decides.
 """
 
 from __future__ import annotations
@@ -40,8 +40,9 @@ from ..operators.numbering import global_row_number
 from ..session import local_df, session_wall_clock
 from .split_spec import KeyType, Operation, SplitSpec, SplitSpecError
 
-WIDE_LENGTHS = 8  # more distinct prefix lengths than this: one exploded join instead of one join per length
-BROADCAST_CHUNKS = 200_000  # lookup rows (tens of bytes each) broadcast at most: a few MB
+WIDE_LENGTHS = 2  # with more distinct prefix lengths: one join over exploded prefixes instead of one per length
+BROADCAST_BYTES = 32 << 20  # of a lookup's rows, measured when the chunks are planned
+ROW_BYTES = 40  # what a row of a lookup takes beside its text
 # The single-digit catch-all chunk of number prefixes.
 DIGITS = ("0", "1", "2", "3", "4", "5", "6", "7", "8", "9")
 
@@ -159,10 +160,10 @@ class PrefixStrategy(Strategy):
     lookup: DataFrame | None = None  # key string, local_no long (prefix chunks only)
     lengths: tuple[int, ...] = ()
     n_prefix: int = 0
+    lookup_bytes: int = 0
     not_like_prefix: str | None = None  # extra chunk: key text does not start with this
     digits_chunk: bool = False  # extra chunk: key text is one digit
     cast_text: bool = True
-    broadcast_chunks: int = BROADCAST_CHUNKS
     kind: str = "like"
 
     def __post_init__(self):
@@ -183,8 +184,8 @@ class PrefixStrategy(Strategy):
 
     @property
     def wide(self) -> bool:
-        """Many prefix lengths, or a lookup too large to broadcast."""
-        return len(self.lengths) > WIDE_LENGTHS or self.n_prefix > self.broadcast_chunks
+        """More prefix lengths than are joined one by one."""
+        return len(self.lengths) > WIDE_LENGTHS
 
     def exploded_matches(self, df: DataFrame, chunk_col: str) -> DataFrame:
         """As written, in one join: each row's candidate keys (one prefix per length, plus
@@ -205,8 +206,7 @@ class PrefixStrategy(Strategy):
         if extra:
             right = right.unionByName(local_df(df.sparkSession, extra, "key string, local_no long"))
         right = right.select(F.col("key").alias("_tx_key"), (F.col("local_no") + F.lit(self.offset)).alias(chunk_col))
-        if self.n_prefix <= self.broadcast_chunks:
-            right = F.broadcast(right)
+        right = _sized(right, self.lookup_bytes)
         ex = df.withColumn("_tx_cand", F.explode(F.filter(F.array(*cands), lambda x: x.isNotNull())))
         return ex.join(right, F.col("_tx_cand") == F.col("_tx_key"), "inner").drop("_tx_cand", "_tx_key")
 
@@ -215,11 +215,22 @@ class PrefixStrategy(Strategy):
         cols: list[Column] = []
         helpers: list[str] = []
         lookup = self.lookup
-        for L in self.lengths:
+        if exactly_once and self.wide:
+            # every distinct value once: the first chunk among its prefixes; then one join of the rows on the value
+            val, hit = f"_tx_v{self.strategy_no}", f"_tx_m{self.strategy_no}"
+            values = df.select(text.alias(val)).where(F.col(val).isNotNull()).distinct()
+            cands = F.array(*[F.when(F.length(val) >= L, F.substring(val, 1, L)) for L in self.lengths])
+            first = (values.select(val, F.explode(F.filter(cands, lambda x: x.isNotNull())).alias("key"))
+                     .join(_sized(lookup.select("key", "local_no"), self.lookup_bytes), "key").groupBy(val).agg(F.min("local_no").alias(hit)))
+            own = f"_tx_c{self.strategy_no}"
+            df = df.withColumn(own, text)
+            df = df.join(first, df[own] == first[val], "left")
+            cols.append(F.col(hit) + F.lit(self.offset))
+            helpers += [own, val, hit]
+        for L in () if helpers else self.lengths:
             cand, hit, key = f"_tx_c{self.strategy_no}_{L}", f"_tx_m{self.strategy_no}_{L}", f"_tx_k{self.strategy_no}_{L}"
             right = lookup.filter(F.length("key") == L).select(F.col("key").alias(key), F.col("local_no").alias(hit))
-            if self.n_prefix <= self.broadcast_chunks:
-                right = F.broadcast(right)
+            right = _sized(right, self.lookup_bytes)
             df = df.withColumn(cand, F.when(F.length(text) >= L, F.substring(text, 1, L)))
             df = df.join(right, F.col(cand) == F.col(key), "left")
             cols.append(F.col(hit) + F.lit(self.offset))
@@ -319,7 +330,7 @@ class CombosStrategy(Strategy):
     """One chunk per distinct combination of the key columns."""
 
     combos: DataFrame | None = None  # key columns..., local_no
-    broadcast_chunks: int = BROADCAST_CHUNKS
+    lookup_bytes: int = 0
     kind: str = "combos"
 
     def match_columns(self, df, exactly_once):
@@ -327,8 +338,7 @@ class CombosStrategy(Strategy):
         ren = {c: f"_tx_q{self.strategy_no}_{i}" for i, c in enumerate(cols)}
         hit = f"_tx_q{self.strategy_no}_no"
         right = self.combos.select(*[q(c).alias(ren[c]) for c in cols], F.col("local_no").alias(hit))
-        if self.n_chunks <= self.broadcast_chunks:
-            right = F.broadcast(right)
+        right = _sized(right, self.lookup_bytes)
         cond = None
         for c in cols:
             e = q(c).eqNullSafe(F.col(ren[c]))
@@ -447,6 +457,10 @@ class TablePlan:
         return chunks.join(counts, chunk_col, "left").withColumn("n", F.coalesce(F.col("n"), F.lit(0).cast("long")))
 
 
+def _sized(lookup: DataFrame, n_bytes: int) -> DataFrame:
+    return F.broadcast(lookup) if n_bytes <= BROADCAST_BYTES else lookup
+
+
 def _number_bounds(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
     if not columns:
         return {}
@@ -461,7 +475,7 @@ def _number_bounds(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
 
 
 def plan_table(df: DataFrame | None, specs: list[SplitSpec], *, table: str = "", exactly_once: bool = True,
-               increment_factor: int = 50, broadcast_chunks: int = BROADCAST_CHUNKS,
+               increment_factor: int = 50,
                num_partitions: int | None = None, bounds_fn=None, distinct_fn=None,
                spark: SparkSession | None = None) -> TablePlan:
     """Resolve every strategy of one table against its DataFrame.
@@ -484,7 +498,7 @@ def plan_table(df: DataFrame | None, specs: list[SplitSpec], *, table: str = "",
     plan = TablePlan(table=table, exactly_once=exactly_once)
     offset = 0
     for no, s in enumerate(specs, start=1):
-        st = _plan_one(spark, df, s, no, bounds, exactly_once, increment_factor, broadcast_chunks, num_partitions,
+        st = _plan_one(spark, df, s, no, bounds, exactly_once, increment_factor, num_partitions,
                        distinct_fn)
         st.offset = offset
         offset += st.n_chunks
@@ -492,11 +506,11 @@ def plan_table(df: DataFrame | None, specs: list[SplitSpec], *, table: str = "",
     return plan
 
 
-def _plan_one(spark, df, s: SplitSpec, no, bounds, exactly_once, factor, bcast, nparts, distinct_fn=None) -> Strategy:
+def _plan_one(spark, df, s: SplitSpec, no, bounds, exactly_once, factor, nparts, distinct_fn=None) -> Strategy:
     if s.operation is Operation.query:
         if s.sub_operation is Operation.like:
-            return _plan_query_like(df, s, no, bcast, nparts, distinct_fn)
-        return _plan_combos(df, s, no, bcast, nparts, distinct_fn)
+            return _plan_query_like(df, s, no, nparts, distinct_fn)
+        return _plan_combos(df, s, no, nparts, distinct_fn)
     kt = s.key_type
     if kt is KeyType.number and s.operation is Operation.between:
         lo, hi = (s.start, s.end) if s.start is not None else bounds[s.column]
@@ -519,35 +533,39 @@ def _plan_one(spark, df, s: SplitSpec, no, bounds, exactly_once, factor, bcast,
         lookup = spark.range(n).select(
             F.concat(F.lit(prefix), (F.lit(start) + F.col("id") * F.lit(inc)).cast("string")).alias("key"),
             (F.col("id") + 1).alias("local_no"))
-        return PrefixStrategy(spec=s, strategy_no=no, column=s.column, lookup=lookup, lengths=lengths, n_prefix=n,
+        return PrefixStrategy(spec=s, strategy_no=no, column=s.column, lookup=lookup, lengths=lengths, n_prefix=n, lookup_bytes=n * (lengths[-1] + ROW_BYTES),
                               not_like_prefix=(s.prefix if s.prefix is not None else None),
-                              digits_chunk=start >= 10, broadcast_chunks=bcast)
+                              digits_chunk=start >= 10)
     if kt is KeyType.string and s.operation is Operation.like:
         a, b = ord(str(s.start)[0]), ord(str(s.end)[0])
         chars = [chr(c) for c in range(a, b + 1)][:: s.increment]
         lookup = local_df(spark, [(ch, i + 1) for i, ch in enumerate(chars)], "key string, local_no long")
         return PrefixStrategy(spec=s, strategy_no=no, column=s.column, lookup=lookup, lengths=(1,),
-                              n_prefix=len(chars), broadcast_chunks=bcast, kind="string_like")
+                              n_prefix=len(chars), lookup_bytes=len(chars) * ROW_BYTES, kind="string_like")
     if kt is KeyType.date:
         lo, hi = (s.start, s.end) if s.start is not None else bounds[s.column]
         return DateStrategy(spec=s, strategy_no=no, start=lo, end=hi, increment=s.increment)
     raise SplitSpecError(f"unsupported split {s.text!r}")
 
 
-def _plan_combos(df, s: SplitSpec, no, bcast, nparts, distinct_fn=None) -> CombosStrategy:
+def _plan_combos(df, s: SplitSpec, no, nparts, distinct_fn=None) -> CombosStrategy:
     cols = list(s.columns)
     distinct = distinct_fn(cols) if distinct_fn else df.select(*[q(c) for c in cols]).distinct()
     numbered = global_row_number(distinct, [q(c).asc_nulls_first() for c in cols], "local_no", nparts)
-    n = numbered.count()
-    return CombosStrategy(spec=s, strategy_no=no, combos=numbered, n_chunks=n, broadcast_chunks=bcast)
+    texts = [F.coalesce(F.octet_length(q(c)), F.lit(0)) for c in cols if isinstance(numbered.schema[c].dataType, (T.StringType, T.BinaryType))]
+    size = numbered.agg(F.count(F.lit(1)).alias("n"), F.sum(sum(texts, F.lit(0))).alias("text")).first()
+    n = size["n"]
+    return CombosStrategy(spec=s, strategy_no=no, combos=numbered, n_chunks=n,
+                          lookup_bytes=int(size["text"] or 0) + n * (ROW_BYTES + 16 * len(cols)))
 
 
-def _plan_query_like(df, s: SplitSpec, no, bcast, nparts, distinct_fn=None) -> PrefixStrategy:
+def _plan_query_like(df, s: SplitSpec, no, nparts, distinct_fn=None) -> PrefixStrategy:
     first = s.columns[0]
     src = distinct_fn([first]) if distinct_fn else df
     vals = src.select(q(first).cast("string").alias("key")).filter(F.col("key").isNotNull()).distinct()
     numbered = global_row_number(vals, [F.col("key").asc()], "local_no", nparts)
-    stats = numbered.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("key")).alias("lens")).collect()[0]
+    stats = numbered.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("key")).alias("lens"), F.sum(F.octet_length("key")).alias("text")).collect()[0]
     lengths = tuple(sorted(int(x) for x in (stats["lens"] or [])))
     return PrefixStrategy(spec=s, strategy_no=no, column=s.sub_column, lookup=numbered, lengths=lengths,
-                          n_prefix=int(stats["n"]), broadcast_chunks=bcast, kind="query_like")
+                          n_prefix=int(stats["n"]), lookup_bytes=int(stats["text"] or 0) + ROW_BYTES * int(stats["n"]),
+                          kind="query_like")

@@ -309,6 +309,22 @@ def test_wide_query_like_against_brute_force(spark, monkeypatch):
     assert got == expect
 
 
+@pytest.mark.parametrize("lengths", [3, 40])
+def test_exactly_once_prefixes_of_many_lengths_are_one_join(spark, lengths):
+    vals = ["x" * i + c for i in range(lengths) for c in "ab"] + [None, "", "y", "x" * lengths + "zz"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals * 2)], "i int, v string")
+    lookup = spark.createDataFrame([(v,) for v in vals[::3]], "v string")
+    plan = plan_table(lookup, [SplitSpec.parse('t,query,"v",like,v')], exactly_once=True)
+    chunks = {r["chunk_no"]: r["label"][:-1] for r in plan.chunk_table(spark).collect() if r["chunk_no"] != plan.residual_no}
+    out = plan.assign(df)
+    assert out.columns == ["i", "v", "chunk_no"]
+    got = {r["i"]: r["chunk_no"] for r in out.collect()}
+    assert got == {i: min([n for n, p in chunks.items() if v is not None and v.startswith(p)], default=plan.residual_no)
+                   for i, v in enumerate(vals * 2)}
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join " in x]
+    assert len(joins) <= 2  # rows with values, values with the lookup
+
+
 @pytest.mark.parametrize("exactly_once", [False, True])
 def test_fractional_keys_between_windows(spark, exactly_once):
     keys = [None, -0.5, 0.0, 4.5, 5.0, 5.5, 9.99, 10.0, 14.0, 14.5, 15.0]
