@@ -11,6 +11,10 @@ Shapes (all on lineitem, the largest table, snappy Avro):
   balanced_256    weight-balanced chunks (256) on l_orderkey
   like_prefix     number-like split on l_partkey 1..9 (exactly once)
   read_back       reading the whole-table export back through the Avro source
+
+The given table is one row group, so that its scan is one task: "files" has
+two of the shapes over all its rows in several files, outside the total.
+"phases" splits each export into planning, writing and reporting.
 """
 
 from __future__ import annotations
@@ -54,23 +58,31 @@ def main() -> None:
         "balanced_256": dict(tables_split=("dbo.lineitem",)),
         "like_prefix": dict(split_strategies=("lineitem,like,l_partkey,number,1,1,9",)),
     }
-    times, chunks, dests = {}, {}, {}
+    times, chunks, dests, phases, files = {}, {}, {}, {}, {}
     # warm-up: JVM, Python workers, parquet footer cache (not timed)
     export_database(spark, ExportJob(destination=scratch_path(spark, "bench-warm"), tables=("dbo.region",),
                                      retry_waits=()), cat, count_rows=False)
-    for name, kw in shapes.items():
-        dest = scratch_path(spark, f"bench-{name}")
-        job = ExportJob(destination=dest, tables=("dbo.lineitem",), retry_waits=(), **kw)
+
+    def export(source, name, kw):
+        dests[name] = scratch_path(spark, f"bench-{name}")
+        job = ExportJob(destination=dests[name], tables=("dbo.lineitem",), retry_waits=(), **kw)
         t0 = time.time()
-        res = export_database(spark, job, cat, count_rows=False)
-        times[name] = round(time.time() - t0, 3)
+        res = export_database(spark, job, source, count_rows=False)
         chunks[name] = res.tables[0].table_query_count
-        dests[name] = dest
+        phases[name] = res.timings
+        return round(time.time() - t0, 3)
+
+    for name, kw in shapes.items():
+        times[name] = export(cat, name, kw)
     t0 = time.time()
     back = spark.read.format(FORMAT).load(dests["whole_table"]).count()
     times["read_back"] = round(time.time() - t0, 3)
     if back != n_rows:
         raise SystemExit(f"read back {back} rows, expected {n_rows}")
+    several = scratch_path(spark, "bench-input")
+    spark.read.parquet(f"{sf_dir}/lineitem.parquet").repartition(2 * int(cpus)).write.parquet(f"{several}/lineitem.parquet")
+    for name in ("whole_table", "number_50"):
+        files[name] = export(DirectoryCatalog(spark, several, primary_keys={"lineitem": ["l_orderkey"]}), f"{name}_files", shapes[name])
     total = round(sum(v for k, v in times.items()), 3)
     export_secs = sum(v for k, v in times.items() if k != "read_back")
     sf = re.search(r"sf([0-9.]+)", sf_dir)
@@ -78,6 +90,7 @@ def main() -> None:
         "metric": "export_total_sec", "value": total, "unit": "sec", "queries": times,
         "sf": float(sf.group(1)) if sf else sf_dir, "rows": n_rows, "chunks": chunks,
         "rows_per_sec_export": round(n_rows * (len(shapes)) / export_secs, 1), "cpus": int(cpus),
+        "files": files, "phases": phases,
     }))
     spark.stop()
 
