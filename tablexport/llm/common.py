@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablexport.session import checkpoint_dir, ship_package
 
+EDGES = 50_000  # links to a partition while components are found
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -63,6 +64,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if state[0] == 0 or tuple(state) == seen:
             break
         seen = tuple(state)
+        few = state[0] // EDGES + 1  # what is left in as few files as it takes
+        e = e.coalesce(few)
         # large star: the larger neighbours of a node link to the smallest node around it
         low = e.select(F.col("u").alias("n"), F.col("v").alias("m")).union(e.select(F.col("v").alias("n"), F.col("v").alias("m")))
         low = low.groupBy("n").agg(F.min("m").alias("m"))
@@ -70,7 +73,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # small star: a node's smaller neighbours link to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
         moved = large.join(least, large.u == least.n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(moved.union(least.select("n", "m")).distinct())
+        e = cut(moved.union(least.select("n", "m")).distinct().coalesce(few))
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
