@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: tables, checkpoints, free names, components."""
+"""Helpers shared by the operators: tables, frames cut from their lineage, free names, components."""
 
 from __future__ import annotations
 
@@ -23,17 +23,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+    """Write ``df`` as Parquet below the shared checkpoint folder and go on from the files.
 
-    The job's shuffle files are let go when it ends: the checkpoint replaces them."""
+    They outlive lost executors, and the shuffle files of the job that wrote them are
+    removed when it ends. ``forget`` deletes the files once nothing reads them any more."""
     spark = df.sparkSession
-    checkpoint_dir(spark)
+    path = scratch(spark, "cut")
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        return df.checkpoint(eager=True)
+        df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``cut`` wrote; no frame that reads them may be used again."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -54,7 +65,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     ``edges`` has one row per link; nulls and self-links are ignored, repeats
     and direction don't matter. Returns (node, component): every linked node
     once, with the smallest node it can reach. No edges: no rows. Each round is
-    two aggregations and two joins over what is left, and is checkpointed; a
+    two aggregations and two joins over what is left, and is written to the shared folder; a
     hub's minimum is combined before the shuffle."""
     e = (edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
          .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
@@ -65,7 +76,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
         seen = tuple(state)
         few = state[0] // EDGES + 1  # what is left in as few files as it takes
-        e = e.coalesce(few)
+        before, e = e, e.coalesce(few)
         # large star: the larger neighbours of a node link to the smallest node around it
         low = e.select(F.col("u").alias("n"), F.col("v").alias("m")).union(e.select(F.col("v").alias("n"), F.col("v").alias("m")))
         low = low.groupBy("n").agg(F.min("m").alias("m"))
@@ -74,6 +85,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "n")
         moved = large.join(least, large.u == least.n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = cut(moved.union(least.select("n", "m")).distinct().coalesce(few))
+        forget(before)
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 

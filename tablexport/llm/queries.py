@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablexport.llm import bpe, counts, decontamination, licenses, lines, pii, quality, simhash, toolcalls, urls
+from tablexport.llm import bpe, counts, decontamination, gridjoin, licenses, lines, pii, prefixtrie, quality, simhash, spelling, toolcalls, urls
 from tablexport.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -70,8 +70,24 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", bpe.digests(F.col("text"), VOCABULARY).alias("t")).select("doc_id", "t.*")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with their near words, the form each is a variant of, and the root of the forms."""
+    return spelling.group(spelling.vocabulary(table(spark, sf_dir, "documents"), least=7, times=2, noise=31), ratio=10)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the conversations' prefixes with what sharing them saves."""
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"), every=100, heads=6)
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding with its links and component within its label."""
+    return gridjoin.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filters, op2_pii, op3_tool_calls, op4_decontamination, op5_simhash, op6_line_dedup,
-                                   op7_quality_rules, op8_token_counts, op9_license_scan, op10_byte_bpe)}
+                                   op7_quality_rules, op8_token_counts, op9_license_scan, op10_byte_bpe,
+                                   op11_spelling_variants, op12_prefix_trie, op13_embedding_dedup)}
 
 _OP3 = """
 WITH RECURSIVE c AS (SELECT conv_id, turn, min(text) AS text, count(*) AS n_calls FROM conversations WHERE role = 'user' GROUP BY ALL),
@@ -89,4 +105,5 @@ SELECT conv_id, depth, turn, conv || ':' || t AS call_id, name, parent_id, n_cal
   substr(CAST(to_json({'call_id': conv || ':' || t, 'depth': depth, 'linked': linked, 'name': name, 'result': content, 'validity': validity}) AS VARCHAR), 2) AS json
 FROM j"""
 
-ORACLE_SQL = {"op3_tool_calls": _OP3, "op9_license_scan": licenses.oracle_sql()}
+ORACLE_SQL = {"op3_tool_calls": _OP3, "op9_license_scan": licenses.oracle_sql(),
+              "op11_spelling_variants": spelling.oracle_sql(), "op12_prefix_trie": prefixtrie.oracle_sql(), "op13_embedding_dedup": gridjoin.oracle_sql()}

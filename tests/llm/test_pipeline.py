@@ -81,4 +81,4 @@ def test_stages_bear_nulls_repeats_empty_tables_and_more_columns(spark):
 
 
 def test_registered_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
