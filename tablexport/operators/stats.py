@@ -13,17 +13,18 @@ from pyspark.sql import functions as F
 from ..functions.columns import chunk_id_col
 
 FILES_SCHEMA = ("catalog string, schema string, table string, chunk long, name string, path string, rows long, "
-                "bytes long, plain_bytes long, start string, end string, task long, run_id string, plan string")
+                "bytes long, plain_bytes long, start string, end string, task long, run_id string, plan string, key string")
 
 
 def read_file_index(spark: SparkSession, destination: str) -> DataFrame:
-    """Every committed file of every run under ``destination`` (empty when nothing was written)."""
+    """Every file that is part of ``destination``, of every run (empty when nothing was written)."""
     from pyspark.errors import AnalysisException
 
     try:
-        df = spark.read.schema(FILES_SCHEMA).json(f"{destination.rstrip('/')}/_manifest/files-*.json")
+        df = spark.read.schema(FILES_SCHEMA + ", removes array<string>").json(f"{destination.rstrip('/')}/_manifest/files-*.json")
         df.inputFiles()  # resolves the glob now
-        return df
+        gone = df.select(F.explode("removes").alias("name")).distinct()
+        return df.where("name is not null").drop("removes").join(gone, "name", "left_anti")
     except AnalysisException:
         from ..session import local_df
         return local_df(spark, [], FILES_SCHEMA)

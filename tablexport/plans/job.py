@@ -19,6 +19,7 @@ DEFAULT_BALANCED_CHUNKS = 256
 DEFAULT_UNION_BATCH = 100
 DEFAULT_DATETIME_SUFFIX = "__dt_str"
 DEFAULT_FILENAME_PATTERN = "%{SCHEMA}.%{TABLE}.avro"
+DEFAULT_COMMIT_CHUNKS = 256
 DEFAULT_RETRY_WAITS = (5, 25, 125, 625)
 
 
@@ -52,6 +53,9 @@ class ExportJob:
     union_batch: int = DEFAULT_UNION_BATCH
     exactly_once: bool = True  # False mirrors the original chunk lists exactly (overlaps, lost rows)
     retry_waits: tuple[int, ...] = DEFAULT_RETRY_WAITS
+    commit_chunks: int = DEFAULT_COMMIT_CHUNKS  # chunks to a commit of a database table (its own queries either way), 0 = the whole table
+    commit_chunks_files: int = 0  # the same for files, where each commit is a scan
+    max_commits: int = 0  # a run stops a table after so many commits and leaves the rest to a resumed one, 0 = no limit
     timezone: str | None = None
 
     def __post_init__(self):
@@ -63,6 +67,8 @@ class ExportJob:
             raise ValueError("flavor must be 'sqlserver' or 'oracle'")
         if self.increment_factor <= 0:
             raise ValueError("increment_factor must be positive")
+        if min(self.commit_chunks, self.commit_chunks_files, self.max_commits) < 0:
+            raise ValueError("commit_chunks, commit_chunks_files and max_commits must be >= 0")
         if self.fetch_rows <= 0:
             raise ValueError("fetch_rows must be positive")
         for s in self.split_strategies:

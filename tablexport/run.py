@@ -3,12 +3,15 @@
 The driver only plans (metadata, chunk bounds, at most a few small
 collects); executors read, assign chunks, convert and write.
 
-* J1 retries: a failed table export is retried after each wait in
+* J1 retries: planning and each commit are retried by themselves after each wait in
   ``job.retry_waits`` (task-level retries are Spark's own);
 * J2 ``continue_on_exception``: a table that still fails is recorded in
-  ``failed`` (and the manifest) instead of failing the run;
+  ``failed`` (and the manifest) instead of failing the run; of a database table, the chunks
+  of a commit that fails are tried one by one, and only those that fail are missing;
 * J3 pre/post SQL: ``;``-separated statements run with ``spark.sql``;
-* J4 resume: chunks already committed under the destination are skipped;
+* J4 resume: a table is committed in waves of ``commit_chunks`` chunks; what is committed is
+  skipped, chunk by chunk, by a key that names what it holds. Files of an earlier plan stay
+  in place until all of the new one is there, and are replaced in one commit;
 * J5 concurrency: ``threads`` tables are exported at the same time (each
   is a full-width Spark job).
 """
@@ -33,7 +36,8 @@ from .operators.stats import query_stats, read_file_index, table_rollup, with_pl
 from .operators.union_batches import union_batches
 from .plans.chunks import plan_table
 from .plans.job import ExportJob
-from .sources.avro_sink import FORMAT, ensure_destination, register
+from .sources import commit_log
+from .sources.avro_sink import FORMAT, _fs, ensure_destination, register
 from .sources.manifest import write_chunk_stats, write_job_manifest
 
 DATETIME_VENDOR_TYPES = {
@@ -67,6 +71,8 @@ class TableResult:
     error: str | None = None
     chunk_labels: DataFrame | None = None
     plan: str | None = None  # fingerprint of the chunks
+    failed_chunks: list = field(default_factory=list)  # (chunk number, query, error)
+    complete: bool = True  # every chunk of the plan is committed
 
 
 @dataclass
@@ -114,14 +120,26 @@ def _sql_labels(spark, source, schema, table, columns, preds):
                     "query_id string, label string")
 
 
+@dataclass
+class Planned:
+    """How one table is exported: ``preds`` of a database (chunk number, predicate), else ``rows`` with a chunk column, or the whole of ``df``."""
+
+    strategy: str
+    n_chunks: int
+    labels: DataFrame
+    fingerprint: str  # of the plan: what is exported, and all chunks as resolved
+    texts: list = field(default_factory=list)
+    df: DataFrame | None = None
+    rows: DataFrame | None = None
+    preds: list | None = None
+    key_columns: list = field(default_factory=list)
+
+
 def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, schema: str, table: str,
                     partitioned_by: list[str] | None, chunk_col: str = "_tx_chunk", source=None,
-                    export_cols: list[str] | None = None, done=lambda plan: set()):
-    """``done(fingerprint)`` names the chunks that need not be read again. Return (rows with a chunk column or None, strategy, chunk count, labels, strategy texts, clustered,
-    the table DataFrame, fingerprint of the plan).
-
-    For a database source (``read_chunks``) bounds, distinct values and key
-    weights are asked of the database and every chunk is read by its own
+                    export_cols: list[str] | None = None, primary_key: list[str] | None = None) -> Planned:
+    """For a database source (``read_chunks``) bounds, distinct values and balanced
+    groups are asked of the database and every chunk is read by its own
     predicate (one task each, already clustered); for files the chunk is a
     column computed in one scan."""
     strategy = choose_strategy(job, schema, table, bool(partitioned_by))
@@ -135,65 +153,62 @@ def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, s
         plan = plan_table(df, specs, table=table, exactly_once=job.exactly_once,
                           increment_factor=job.increment_factor, spark=spark, **kw)
         labels = plan.chunk_table(spark).select(chunk_id_col(F.col("chunk_no")).alias("query_id"), "label")
-        if db:
-            from .sources.jdbc import predicates
-            keys = []
-            for st in plan.strategies:
-                keys += [st.column] if getattr(st, "column", None) else list(st.spec.key_columns)
-            preds = predicates(plan, source.flavor)
-            labels = _sql_labels(spark, source, schema, table, export_cols, preds)
-            # one chunk = one query = one task, whatever their number: the database alone says which rows are in a chunk
-            texts = [st.describe() for st in plan.strategies]
-            print_ = fingerprint(job, schema, table, export_cols, [p for _, p in preds])
-            preds = _left(preds, done(print_))
-            rows = source.read_chunks(schema, table, preds, export_cols, chunk_col, key_columns=keys)
-            return rows, strategy, plan.n_chunks, labels, texts, True, df, print_
         texts = [st.describe() for st in plan.strategies]
-        return (plan.assign(df, chunk_col), strategy, plan.n_chunks, labels, texts, False, df,
-                fingerprint(job, schema, table, export_cols, texts))
+        if not db:
+            return Planned(strategy, plan.n_chunks, labels, fingerprint(job, schema, table, export_cols, texts), texts, df, plan.assign(df, chunk_col))
+        from .sources.jdbc import predicates
+        keys = []
+        for st in plan.strategies:
+            keys += [st.column] if getattr(st, "column", None) else list(st.spec.key_columns)
+        # one chunk = one query = one task, whatever their number: the database alone says which rows are in a chunk
+        preds = predicates(plan, source.flavor)
+        return Planned(strategy, plan.n_chunks, _sql_labels(spark, source, schema, table, export_cols, preds),
+                       fingerprint(job, schema, table, export_cols, [p for _, p in preds]), texts, preds=preds, key_columns=keys)
     if strategy in ("balanced", "balanced_partitioned"):
-        keys = [c for c in (job.primary_keys.get(f"{schema}.{table}") or job.primary_keys.get(table) or [])]
+        keys = job.primary_keys.get(f"{schema}.{table}") or job.primary_keys.get(table) or primary_key or []
         key = keys[0] if keys else (export_cols[0] if df is None else df.columns[0])
-        part = partitioned_by[0] if partitioned_by else None
-        weights = None
+        parts = list(partitioned_by or [])
         if db:
-            w = source.key_weights(schema, table, key, part)
-            weights = w.select(*([F.col(f"`{part}`").alias("part")] if part else []), F.col(f"`{key}`").alias("k"),
-                               F.col("w").cast("long").alias("w"))
-        groups = balanced_groups(df, key, job.balanced_chunks, part=part, weights=weights)
-        chunks = balanced_chunk_table(groups, part=bool(part))
+            groups = source.balanced_groups(schema, table, key, job.balanced_chunks, parts)
+        else:
+            groups = balanced_groups(df, key, job.balanced_chunks, part=parts)
+        chunks = balanced_chunk_table(groups, part=bool(parts))
         residual = len(chunks) + 1 if job.exactly_once else None
-        rows = [(f"{no:07d}", f"{'' if p is None else str(p) + ' '}[{lo},{hi}] weight {w}") for no, p, g, lo, hi, w in chunks]
+        label = lambda p: "" if not parts else (",".join(map(str, p)) if isinstance(p, tuple) else "" if p is None else str(p)) + " "
+        rows = [(f"{no:07d}", f"{label(p)}[{lo},{hi}] weight {w}") for no, p, g, lo, hi, w in chunks]
         if residual:
             rows.append((f"{residual:07d}", "residual"))
-        labels = local_df(spark, rows, "query_id string, label string")
         n = len(chunks) + (1 if residual else 0)
-        print_ = fingerprint(job, schema, table, export_cols, [key, part, *[t for _, t in rows]])
         if db:
-            preds = balanced_predicates(chunks, key, part, source.dialect, residual)
-            labels = _sql_labels(spark, source, schema, table, export_cols, preds)
-            rows = source.read_chunks(schema, table, _left(preds, done(print_)), export_cols, chunk_col,
-                                      key_columns=[key] + ([part] if part else []))
-            return rows, strategy, n, labels, [], True, df, print_
-        assigned = assign_balanced(df, key, chunks, part=part, chunk_col=chunk_col, residual=residual)
-        return assigned, strategy, n, labels, [], False, df, print_
+            preds = balanced_predicates(chunks, key, parts, source.dialect, residual)
+            return Planned(strategy, n, _sql_labels(spark, source, schema, table, export_cols, preds),
+                           fingerprint(job, schema, table, export_cols, [p for _, p in preds]), preds=preds, key_columns=[key, *parts])
+        assigned = assign_balanced(df, key, chunks, part=parts, chunk_col=chunk_col, residual=residual)
+        return Planned(strategy, n, local_df(spark, rows, "query_id string, label string"),
+                       fingerprint(job, schema, table, export_cols, [key, parts, *[t for _, t in rows]]), [], df, assigned)
     text = source.chunk_sql(schema, table, export_cols, None) if db else "whole table"
     labels = local_df(spark, [("0000001", text)], "query_id string, label string")
     if df is None:
         df = source.read(schema, table, export_cols)
-    return None, "whole", 1, labels, [], True, df, fingerprint(job, schema, table, export_cols, [text])
+    return Planned("whole", 1, labels, fingerprint(job, schema, table, export_cols, [text]), [], df)
 
 
 def fingerprint(job: ExportJob, schema: str, table: str, columns, parts: list) -> str:
-    """Names a plan: what is exported, and the chunks as resolved (bounds included). Chunk numbers mean the same under the same one."""
+    """Names a plan, or a chunk: what is exported, and the chunks as resolved (bounds included)."""
     text = json.dumps([schema, table, list(columns or []), job.exactly_once, job.string_datetime, job.string_datetime_suffix,
                        [str(p) for p in parts]])
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
-def _left(preds: list, done: set) -> list:
-    """The predicates of chunks that are still to be read (one that reads nothing if none is)."""
-    return [(no, p) for no, p in preds if no not in done] or [(preds[0][0], "1 = 0")]
+def with_retries(waits, work):
+    """``work()``, again after each wait if it raises."""
+    for wait in [*waits, None]:
+        try:
+            return work()
+        except Exception:  # noqa: BLE001 - the last one is raised
+            if wait is None:
+                raise
+            time.sleep(wait)
 
 
 def check_names(job: ExportJob, catalog, tables: list) -> None:
@@ -221,51 +236,99 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
     partitioned_by = (job.partition_columns.get(f"{schema}.{table}") or job.partition_columns.get(table))
     if not partitioned_by and hasattr(source, "partition_columns"):
         partitioned_by = source.partition_columns(schema, table) or None  # folder partitions
-    index = read_file_index(spark, job.destination).filter((F.col("schema") == schema) & (F.col("table") == table)) if resume else None
-
-    def done(plan: str) -> set:
-        """Chunks committed under this plan; one row each, as many as there are predicates on the driver."""
-        return {r["chunk"] for r in index.filter(F.col("plan") == plan).select("chunk").distinct().collect()} if resume else set()
-
-    assigned, strategy, n_chunks, labels, texts, clustered, df, print_ = plan_and_assign(
-        spark, job, df, schema, table, partitioned_by, source=source, export_cols=export_cols, done=done)
-    res.plan = print_
-    # a plan whose bounds have moved since gives its chunks other rows: what was exported under the old one is replaced
-    stale = resume and not index.filter(~F.col("plan").eqNullSafe(print_)).isEmpty()
-    res.strategy, res.table_query_count, res.split_strategies = strategy, n_chunks, texts
+    plan = with_retries(job.retry_waits, lambda: plan_and_assign(
+        spark, job, df, schema, table, partitioned_by, source=source, export_cols=export_cols,
+        primary_key=[r["column"] for r in cols_rows if r["is_key"]]))
+    res.plan, res.strategy, res.table_query_count, res.split_strategies = plan.fingerprint, plan.strategy, plan.n_chunks, plan.texts
     planned_at = time.strftime("%Y-%m-%d %H:%M:%S")
-    res.chunk_labels = labels.select(F.lit(res.catalog).cast("string").alias("catalog"), F.lit(schema).alias("schema"),
-                                     F.lit(table).alias("table"), "query_id", "label",
-                                     F.to_timestamp(F.lit(planned_at)).alias("created_time"))
-    chunk_col = "_tx_chunk" if assigned is not None else None
-    base = assigned if assigned is not None else df
-    out = project_for_export(base, export_cols, vendor, job, [chunk_col] if chunk_col else [])
-    if chunk_col and f"{schema}.{table}" in job.unionize:
-        data_cols = [c for c in out.columns if c != chunk_col]
-        out = union_batches(out, data_cols, chunk_col, job.union_batch, chunk_col)
-        clustered = False  # the de-duplication shuffle hashed rows on their values, not on the batch
-    if resume and not stale:
-        if chunk_col:
-            out = out.join(index.select(F.col("chunk").alias(chunk_col)).distinct(), chunk_col, "left_anti")
-        elif not index.isEmpty():  # a whole table is one chunk, and it is there
-            return res
-    if cluster and chunk_col and not clustered:
-        # rows of one chunk are spread over the scan's tasks: cluster them (AQE splits a skewed chunk)
-        out = out.hint("rebalance", chunk_col)
-    if chunk_col:
-        out = out.sortWithinPartitions(chunk_col)  # a task has one file open at a time
+    res.chunk_labels = plan.labels.select(F.lit(res.catalog).cast("string").alias("catalog"), F.lit(schema).alias("schema"),
+                                          F.lit(table).alias("table"), "query_id", "label",
+                                          F.to_timestamp(F.lit(planned_at)).alias("created_time"))
+    unionize = f"{schema}.{table}" in job.unionize
+    by_chunk = plan.preds is not None and not unionize  # union batches number what they write, not what is read
+    if plan.preds is not None:
+        keys = {no: fingerprint(job, schema, table, export_cols, [no, p]) for no, p in plan.preds} if by_chunk else {}
+        planned = set(keys.values()).__contains__ if by_chunk else (lambda k: str(k).startswith(f"{plan.fingerprint}-"))
+    else:
+        keys, planned = {}, lambda k: str(k).startswith(f"{plan.fingerprint}-")
+
+    fs, root = _fs(job.destination)
+    name = (res.catalog, schema, table)
+    there = commit_log.records(fs, root, name) if resume else []
+    finished = there + (commit_log.records(fs, root, name, commit_log.STAGED) if resume else [])
+    done = {r["key"]: r["chunk"] for r in finished if planned(r.get("key"))}
+    waiting = len(finished) > len(there)  # an earlier resumed run was stopped before it could replace what was there
+    # files of chunks that the plan doesn't have (bounds have moved, other columns): seen until all of the plan is there, then replaced as one
+    stale = {r["name"] for r in there if r.get("name") and not planned(r.get("key"))}
+
     register(spark)
-    w = (out.write.format(FORMAT).mode("overwrite" if stale else "append")
-         .option("plan", print_).option("sorted", "true")
-         .option("path", job.destination).option("pattern", job.filename_pattern)
-         .option("schema", schema).option("table", table).option("codec", job.codec)
-         .option("target_size", str(job.avro_size)).option("tidy", str(job.tidy_tables).lower())
-         .option("run_id", run_id))
-    if res.catalog:
-        w = w.option("catalog", res.catalog)
-    if chunk_col:
-        w = w.option("chunk_col", chunk_col)
-    w.save()
+
+    def write(rows: DataFrame, chunk_col: str | None, clustered: bool, wave: dict) -> None:
+        out = project_for_export(rows, export_cols, vendor, job, [chunk_col] if chunk_col else [])
+        if chunk_col and unionize:
+            out = union_batches(out, [c for c in out.columns if c != chunk_col], chunk_col, job.union_batch, chunk_col)
+            clustered = False  # the de-duplication shuffle hashed rows on their values, not on the batch
+        if cluster and chunk_col and not clustered:
+            # rows of one chunk are spread over the scan's tasks: cluster them (AQE splits a skewed chunk)
+            out = out.hint("rebalance", chunk_col)
+        if chunk_col:
+            out = out.sortWithinPartitions(chunk_col)  # a task has one file open at a time
+        w = (out.write.format(FORMAT).mode("append").option("plan", plan.fingerprint).option("sorted", "true")
+             .option("staged", str(bool(stale)).lower()).option("keys", json.dumps(wave))
+             .option("path", job.destination).option("pattern", job.filename_pattern)
+             .option("schema", schema).option("table", table).option("codec", job.codec)
+             .option("target_size", str(job.avro_size)).option("tidy", str(job.tidy_tables).lower())
+             .option("run_id", run_id))
+        if res.catalog:
+            w = w.option("catalog", res.catalog)
+        if chunk_col:
+            w = w.option("chunk_col", chunk_col)
+        w.save()
+
+    def save(wave: list) -> None:
+        """One commit: the chunks (number, predicate or None) of a wave; an empty list stands for all that is left."""
+        if plan.preds is not None:
+            rows = source.read_chunks(schema, table, wave, export_cols, "_tx_chunk", key_columns=plan.key_columns)
+            write(rows, "_tx_chunk", True, {str(no): keys[no] for no, _ in wave} if by_chunk else {})
+        elif plan.rows is None:
+            write(plan.df, None, True, {"1": f"{plan.fingerprint}-1"})
+        elif wave:
+            numbers = [no for no, _ in wave]
+            write(plan.rows.where(F.col("_tx_chunk").between(min(numbers), max(numbers)) & F.col("_tx_chunk").isin(numbers)), "_tx_chunk", False,
+                  {str(no): f"{plan.fingerprint}-{no}" for no in numbers})
+        else:
+            rows = plan.rows
+            if done:
+                rows = rows.join(F.broadcast(local_df(spark, [(int(c),) for c in done.values()], "_tx_chunk long")), "_tx_chunk", "left_anti")
+            write(rows, "_tx_chunk", False, {})
+
+    if plan.preds is not None:
+        todo = [(no, p) for no, p in plan.preds if not by_chunk or keys[no] not in done]
+        if not by_chunk and done:
+            todo = []  # all batches are one commit, and it is there
+        size = job.commit_chunks if by_chunk else 0
+    elif plan.rows is None:
+        todo, size = [] if done else [(1, None)], 0
+    else:
+        size = 0 if unionize else job.commit_chunks_files
+        numbers = range(1, plan.n_chunks + 1) if size else ()
+        todo = [(no, None) for no in numbers if f"{plan.fingerprint}-{no}" not in done]
+    waves = [todo[i:i + size] for i in range(0, len(todo), size)] if size else [todo] if todo or plan.rows is not None else []
+    left = len(waves) - job.max_commits if job.max_commits else 0
+    for wave in waves[:job.max_commits or None]:
+        try:
+            with_retries(job.retry_waits, lambda: save(wave))
+        except Exception:  # noqa: BLE001 - policy decides
+            if not job.continue_on_exception or not by_chunk:
+                raise
+            for one in wave:  # a chunk by itself: only those that fail are missing
+                try:
+                    save([one])
+                except Exception as e:  # noqa: BLE001
+                    res.failed_chunks.append((one[0], source.chunk_sql(schema, table, export_cols, one[1]), f"{type(e).__name__}: {e}"))
+    res.complete = left <= 0 and not res.failed_chunks
+    if (stale or waiting) and res.complete:
+        commit_log.publish(fs, root, f"{run_id}-{uuid.uuid4().hex[:8]}", name, planned, stale)
     return res
 
 
@@ -289,7 +352,7 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     todo = [(r["schema"], r["table"]) for r in ordered.orderBy("schema", "priority").collect()]
     # column metadata of the selected tables only, fetched with one collect
     meta_rows = (co.mark_excluded(source.columns(todo), job.column_exclusions)
-                 .select("schema", "table", "ordinal", "column", "vendor_type", "exportable").collect())
+                 .select("schema", "table", "ordinal", "column", "vendor_type", "is_key", "exportable").collect())
     by_table: dict = {}
     for r in meta_rows:
         by_table.setdefault((r["schema"], r["table"]), []).append(r)
@@ -298,19 +361,13 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
 
     def one(st):
         schema, table = st
-        waits = list(job.retry_waits)
-        for attempt in range(len(waits) + 1):
-            try:
-                return export_table(spark, job, source, by_table.get((schema, table), []), schema, table, run_id,
-                                    resume=resume)
-            except Exception as e:  # noqa: BLE001 - policy decides
-                if attempt < len(waits):
-                    time.sleep(waits[attempt])
-                    continue
-                if not job.continue_on_exception:
-                    raise
-                return TableResult(catalog=getattr(source, "catalog", None), schema=schema, table=table,
-                                   run_id=run_id, ok=False, error=f"{type(e).__name__}: {e}")
+        try:
+            return export_table(spark, job, source, by_table.get((schema, table), []), schema, table, run_id, resume=resume)
+        except Exception as e:  # noqa: BLE001 - policy decides
+            if not job.continue_on_exception:
+                raise
+            return TableResult(catalog=getattr(source, "catalog", None), schema=schema, table=table,
+                               run_id=run_id, ok=False, error=f"{type(e).__name__}: {e}", complete=False)
 
     if threads > 1:
         with ThreadPoolExecutor(max_workers=threads) as pool:
@@ -331,9 +388,9 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     files = read_file_index(spark, job.destination)
     if not resume:  # a resumed run reports the chunks committed by earlier runs too
         files = files.filter(F.col("run_id") == run_id)
-    else:  # of the plans as they are now
-        plans = [r.plan for r in results if r.plan]
-        files = files.filter(F.col("plan").isin(plans) if plans else F.lit(False))
+    else:  # of the tables of this run: what other plans left of them is replaced once all of a plan is there
+        mine = local_df(spark, [(r.schema, r.table) for r in results if r.plan], "schema string, table string")
+        files = files.join(F.broadcast(mine), ["schema", "table"], "left_semi")
     planned = None
     for r in results:
         if r.ok and r.chunk_labels is not None:
@@ -355,6 +412,7 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
         entry["unsupportedColumns"] = unsupported.get((entry["schema"], entry["table"]))
         entry["rowCountMismatch"] = None if entry.get("db_row_count") is None else entry["db_row_count"] != entry["export_row_count"]
     failed = [{"schema": r.schema, "table": r.table, "error": r.error} for r in results if not r.ok]
+    failed += [{"schema": r.schema, "table": r.table, "chunk": no, "query": query, "error": error} for r in results for no, query, error in r.failed_chunks]
     runtime_ms = int((time.time() - t0) * 1000)
     job_doc = job.to_dict()
     if not job_doc.get("timezone"):
@@ -362,6 +420,12 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     path = write_job_manifest(job_doc, roll_rows, failed, runtime_ms,
                               f"{job.destination.rstrip('/')}/{manifest_name}",
                               stats.orderBy("schema", "table", "query_id").toLocalIterator())
+    if resume and job.exactly_once and not job.continue_on_exception:  # a resumed run must not pass for whole when it isn't
+        whole = {(r.schema, r.table) for r in results if r.complete and f"{r.schema}.{r.table}" not in job.unionize}
+        short = [e for e in roll_rows if e["rowCountMismatch"] and (e["schema"], e["table"]) in whole]
+        if short:
+            raise RuntimeError("rows at the source and in the destination differ after resuming: " + ", ".join(
+                f"{e['schema']}.{e['table']} {e['db_row_count']} / {e['export_row_count']}" for e in short))
     run_sql(spark, job.post_sql)
     lap("report", t)
     return ExportResult(tables=results, files=files, stats=stats, rollup=rollup, manifest_path=path,

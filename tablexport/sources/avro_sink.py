@@ -20,10 +20,12 @@ Write (one Spark job, every task writes its own files)::
 * files are written under ``_tx_tmp/<write>/<task-attempt>/`` and renamed on
   the driver in ``commit`` — a failed or retried attempt publishes nothing;
 * ``commit`` writes ``_manifest/files-<run>-<write>.json`` last (JSON lines, one per
-  file: chunk, path, rows, bytes, plain bytes, start, end, task, plan). Files that no
-  index names are not part of the destination: readers and statistics go by the index;
+  file: chunk, key, path, rows, bytes, plain bytes, start, end, task, plan; see ``commit_log``). Files that no
+  commit names are not part of the destination: readers and statistics go by the log;
 * mode ``overwrite`` replaces what earlier writes put there for the same
-  catalog, schema and table.
+  catalog, schema and table, in the one move that makes the commit;
+* ``staged`` writes a commit that ``commit_log.publish`` makes visible later; ``keys`` (JSON,
+  chunk number to key) names the chunks of this write, those without a row included.
 
 Read: ``spark.read.format("tablexport_avro").load(dir)`` — one input
 partition per file, schema from the first file's header; option ``glob``
@@ -46,9 +48,10 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
 
 from ..functions.columns import PLACEHOLDER_PART, chunk_id_text, expand_pattern
 from . import avro_codec as ac
+from . import commit_log
+from .commit_log import MANIFEST_DIR
 
 FORMAT = "tablexport_avro"
-MANIFEST_DIR = "_manifest"
 TMP_DIR = "_tx_tmp"
 MAX_BLOCK_BYTES = 4 << 20
 BLOCK_BYTES = 1 << 20  # buffered per chunk before a block is encoded
@@ -118,6 +121,8 @@ class AvroWriter(DataSourceArrowWriter):
         self.write_id = f"{self.run_id}-{uuid.uuid4().hex[:8]}"  # one per save(), shipped to the tasks
         self.sorted = str(options.get("sorted", "false")).lower() == "true"
         self.plan = options.get("plan") or None  # fingerprint of the plan the chunk numbers belong to
+        self.keys = json.loads(options["keys"]) if options.get("keys") else {}
+        self.staged = str(options.get("staged", "false")).lower() == "true"
         self.record_name = options.get("record_name") or self.table
         self.namespace = options.get("namespace") or self.schema_name
         self.overwrite = overwrite
@@ -261,42 +266,19 @@ class AvroWriter(DataSourceArrowWriter):
             fs.create_dir(f"{root}/{folder}", recursive=True)
         with ThreadPoolExecutor(16) as pool:  # on object stores a move is a copy: many at a time
             list(pool.map(lambda f: fs.move(f["tmp"], f"{root}/{f['name']}"), files))
-        lines = []
-        for f in files:
-            rec = {k: v for k, v in f.items() if k != "tmp"}
-            rec.update(path=f"{root}/{f['name']}", catalog=self.catalog, schema=self.schema_name, table=self.table,
-                       run_id=self.run_id, plan=self.plan)
-            lines.append(json.dumps(rec))
-        fs.create_dir(f"{root}/{MANIFEST_DIR}", recursive=True)
-        old = self._earlier(fs, root) if self.overwrite else []
-        # the index is written under another name and moved: it is there as a whole or not at all
-        index = f"{root}/{MANIFEST_DIR}/files-{self.write_id}.json"
-        with fs.open_output_stream(f"{root}/{MANIFEST_DIR}/_{self.write_id}.tmp") as out:
-            out.write(("\n".join(lines) + ("\n" if lines else "")).encode())
-        for path, keep, _ in old:
-            if keep:
-                with fs.open_output_stream(path) as out:
-                    out.write("".join(json.dumps(r) + "\n" for r in keep).encode())
-            else:
-                fs.delete_file(path)
-        fs.move(f"{root}/{MANIFEST_DIR}/_{self.write_id}.tmp", index)
-        for _, _, gone in old:
-            for r in gone:
-                if fs.get_file_info(f"{root}/{r['name']}").is_file:
-                    fs.delete_file(f"{root}/{r['name']}")
+        mine = dict(catalog=self.catalog, schema=self.schema_name, table=self.table, run_id=self.run_id, plan=self.plan)
+        key = lambda chunk: self.keys.get(str(chunk)) or f"{self.plan}-{chunk}"
+        lines = [{k: v for k, v in f.items() if k != "tmp"} | {"path": f"{root}/{f['name']}", "key": key(f["chunk"])} | mine for f in files]
+        there = {f["chunk"] for f in files}
+        lines += [{"chunk": int(c), "key": k, "rows": 0} | mine for c, k in self.keys.items() if int(c) not in there]
+        table = (self.catalog, self.schema_name, self.table)
+        old = {r["name"] for r in commit_log.records(fs, root, table) if r.get("name")} if self.overwrite and not self.staged else set()
+        commit_log.append(fs, root, self.write_id, lines, old, commit_log.STAGED if self.staged else commit_log.VISIBLE, table)
+        if old:
+            commit_log.vacuum(fs, root, old)
         if fs.get_file_info(f"{root}/{TMP_DIR}/{self.write_id}").type.name == "Directory":
             fs.delete_dir(f"{root}/{TMP_DIR}/{self.write_id}")
 
-    def _earlier(self, fs, root: str) -> list:
-        """(index, records of other tables, records of this table) for each index that names this table's files."""
-        mine = (self.catalog, self.schema_name, self.table)
-        out = []
-        for path, records in read_indexes(fs, root):
-            gone = [r for r in records if (r.get("catalog"), r.get("schema"), r.get("table")) == mine]
-            if gone:
-                out.append((path, [r for r in records if r not in gone], gone))
-        return out
-
     def abort(self, messages):
         fs, root = _fs(self.path)
         try:
@@ -311,21 +293,6 @@ def _compact(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 # ------------------------------------------------------------------ reading
-def read_indexes(fs, root: str) -> list:
-    """(path, records) of every committed index under a destination."""
-    from pyarrow import fs as pafs
-    folder = f"{root}/{MANIFEST_DIR}"
-    if fs.get_file_info(folder).type != pafs.FileType.Directory:
-        return []
-    out = []
-    for i in fs.get_file_info(pafs.FileSelector(folder)):
-        name = i.path.rsplit("/", 1)[-1]
-        if name.startswith("files-") and name.endswith(".json"):
-            with fs.open_input_stream(i.path) as f:
-                out.append((i.path, [json.loads(x) for x in f.read().decode().splitlines() if x]))
-    return sorted(out)
-
-
 _SPARK_TYPES = {"int": "int", "long": "bigint", "boolean": "boolean", "float": "float", "double": "double",
                 "string": "string", "bytes": "binary"}
 
@@ -354,9 +321,8 @@ def list_avro_files(path: str, pattern: str | None = None) -> list[str]:
     import fnmatch
     from pyarrow import fs as pafs
     fs, root = _fs(path)
-    indexes = read_indexes(fs, root)
-    if indexes:
-        names = {r["name"] for _, records in indexes for r in records}
+    if commit_log.read_log(fs, root):
+        names = {r["name"] for r in commit_log.records(fs, root) if r.get("name")}
         return sorted(f"{root}/{n}" for n in names
                       if pattern is None or fnmatch.fnmatch(n, pattern) or fnmatch.fnmatch(os.path.basename(n), pattern))
     sel = pafs.FileSelector(root, recursive=False)

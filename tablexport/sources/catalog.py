@@ -280,7 +280,7 @@ class JdbcCatalog:
     """A live database through Spark's JDBC source (needs a reachable server).
 
     Metadata comes from the data dictionary; planning questions (MIN/MAX,
-    DISTINCT, per-key weights) are pushed to the database as queries; chunked
+    DISTINCT, balanced groups) are pushed to the database as queries; chunked
     reads run one predicate per Spark task (``read_chunks``)."""
 
     def __init__(self, spark: SparkSession, url: str, properties: dict | None = None, flavor: str = "sqlserver",
@@ -339,12 +339,24 @@ class JdbcCatalog:
         cols = ", ".join(d.ident(c) for c in columns)
         return self._query(f"SELECT DISTINCT {cols} FROM {self.qualified(schema, table)}")
 
-    def key_weights(self, schema: str, table: str, key: str, part: str | None = None) -> DataFrame:
-        """Rows per key (and partition value), counted by the database."""
+    def balanced_groups(self, schema: str, table: str, key: str, n: int, parts: list[str] = ()) -> DataFrame:
+        """``[part,] grp, lo, hi, weight``: at most ``n`` key ranges of about equal row counts per partition value.
+
+        The database counts, sums in key order and cuts; a row for each group is fetched, never one for each key."""
         d = self.dialect
-        keys = ", ".join(d.ident(c) for c in ([part] if part else []) + [key])
-        return self._query(f"SELECT {keys}, COUNT(*) AS w FROM {self.qualified(schema, table)} "
-                           f"WHERE {d.ident(key)} IS NOT NULL GROUP BY {keys}")
+        over = ", ".join(f"tx_p{i}" for i in range(len(parts)))
+        by = f"PARTITION BY {over} " if parts else ""
+        cols = "".join(f"{d.ident(p)} AS tx_p{i}, " for i, p in enumerate(parts))
+        lead = f"{over}, " if parts else ""
+        names = ", ".join(d.ident(c) for c in [*parts, key])
+        counted = f"SELECT {cols}{d.ident(key)} AS tx_k, {d.count()} AS tx_w FROM {self.qualified(schema, table)} WHERE {d.ident(key)} IS NOT NULL GROUP BY {names}"
+        summed = (f"SELECT {lead}tx_k, tx_w, SUM(tx_w) OVER ({by}ORDER BY tx_k ROWS UNBOUNDED PRECEDING) AS tx_cum, "
+                  f"SUM(tx_w) OVER ({by.strip()}) AS tx_total FROM ({counted}) tx_a")
+        cut = f"SELECT {lead}tx_k, tx_w, {d.whole_part(f'(tx_cum * 100 - 1) * {int(n)}', 'tx_total * 100')} AS tx_grp FROM ({summed}) tx_b"
+        got = self._query(f"SELECT {lead}tx_grp, MIN(tx_k) AS tx_lo, MAX(tx_k) AS tx_hi, SUM(tx_w) AS tx_weight FROM ({cut}) tx_c GROUP BY {lead}tx_grp")
+        got = got.toDF(*[c.lower() for c in got.columns])  # Oracle gives names back in capitals
+        part = [F.struct(*[F.col(f"tx_p{i}").alias(p) for i, p in enumerate(parts)]).alias("part")] if len(parts) > 1 else [F.col("tx_p0").alias("part")] if parts else []
+        return got.select(*part, F.col("tx_grp").cast("long").alias("grp"), F.col("tx_lo").alias("lo"), F.col("tx_hi").alias("hi"), F.col("tx_weight").cast("long").alias("weight"))
 
     def _read_predicates(self, source_sql: str, preds: list[str]) -> DataFrame:
         """One JDBC partition per predicate, in order (isolated for tests)."""

@@ -60,6 +60,16 @@ class Dialect:
             return f"0x{text}"
         return f"HEXTORAW('{text}')" if self.name == "oracle" else f"UNHEX('{text}')"
 
+    def count(self) -> str:
+        """Rows of a group as a 64-bit number."""
+        return "COUNT_BIG(*)" if self.name == "sqlserver" else "COUNT(*)"
+
+    def whole_part(self, a: str, b: str) -> str:
+        """The quotient of two whole numbers without its fraction."""
+        if self.name == "sqlserver":  # of whole numbers it has none
+            return f"({a}) / ({b})"
+        return f"TRUNC(({a}) / ({b}))" if self.name == "oracle" else f"(({a}) - MOD({a}, {b})) / ({b})"
+
     def starts_with(self, col_text: str, prefix: str) -> str:
         esc = prefix.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
         if self.name == "sqlserver":
