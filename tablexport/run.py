@@ -259,7 +259,7 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
     done = {r["key"]: r["chunk"] for r in finished if planned(r.get("key"))}
     waiting = len(finished) > len(there)  # an earlier resumed run was stopped before it could replace what was there
     # files of chunks that the plan doesn't have (bounds have moved, other columns): seen until all of the plan is there, then replaced as one
-    stale = {r["name"] for r in there if r.get("name") and not planned(r.get("key"))}
+    stale = {commit_log.token(r) for r in there if not planned(r.get("key"))}
 
     register(spark)
 

@@ -270,9 +270,9 @@ class AvroWriter(DataSourceArrowWriter):
         key = lambda chunk: self.keys.get(str(chunk)) or f"{self.plan}-{chunk}"
         lines = [{k: v for k, v in f.items() if k != "tmp"} | {"path": f"{root}/{f['name']}", "key": key(f["chunk"])} | mine for f in files]
         there = {f["chunk"] for f in files}
-        lines += [{"chunk": int(c), "key": k, "rows": 0} | mine for c, k in self.keys.items() if int(c) not in there]
+        lines += [{"chunk": int(c), "key": k, "rows": 0, "id": f"{self.write_id}-{c}"} | mine for c, k in self.keys.items() if int(c) not in there]
         table = (self.catalog, self.schema_name, self.table)
-        old = {r["name"] for r in commit_log.records(fs, root, table) if r.get("name")} if self.overwrite and not self.staged else set()
+        old = {commit_log.token(r) for r in commit_log.records(fs, root, table)} if self.overwrite and not self.staged else set()
         commit_log.append(fs, root, self.write_id, lines, old, commit_log.STAGED if self.staged else commit_log.VISIBLE, table)
         if old:
             commit_log.vacuum(fs, root, old)

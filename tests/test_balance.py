@@ -136,3 +136,62 @@ def test_balanced_with_null_partitions_and_keys(spark):
     for _, _, c in got:
         spark_counts[c] = spark_counts.get(c, 0) + 1
     assert {k: v for k, v in sql_counts.items() if v} == spark_counts
+
+
+@pytest.mark.parametrize("schema, rows", [("k bigint", []), ("k bigint", [(None,)] * 5), ("k double", [(float("nan"),)] * 3), ("k double", [(float("inf"),), (float("-inf"),), (None,)]),
+                                          ("k date", []), ("k string", [(None,)]), ("k string", [("",), ("",)]), ("k timestamp", []), ("k binary", [(b"",), (b"\xff",)])])
+def test_keys_that_are_empty_null_or_not_finite(spark, schema, rows):
+    df = spark.createDataFrame(rows, schema)
+    groups = balanced_groups(df, "k", 8)
+    got = groups.collect()
+    assert sum(r["weight"] for r in got) == sum(r[0] is not None for r in rows)
+    chunks = balanced_chunk_table(groups)
+    assert assign_balanced(df, "k", chunks, residual=len(chunks) + 1).count() == len(rows)
+
+
+def test_partitions_and_sub_partitions(spark):
+    df = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_orderkey", "l_returnflag", "l_linestatus")
+    part = ["l_returnflag", "l_linestatus"]
+    groups = balanced_groups(df, "l_orderkey", 8, part=part)
+    pdf = df.toPandas()
+    pdf["both"] = pdf["l_returnflag"] + pdf["l_linestatus"]
+    got = sorted(("".join(r["part"]), r["grp"], r["lo"], r["hi"], r["weight"]) for r in groups.collect())
+    assert got == _brute_groups(pdf, "l_orderkey", 8, part="both")
+    chunks = balanced_chunk_table(groups, part=True)
+    values = [c[1] for c in chunks]
+    assert [c[0] for c in chunks] == list(range(1, len(chunks) + 1)) and values == sorted(values, reverse=True)
+    out = assign_balanced(df, "l_orderkey", chunks, part=part, residual=len(chunks) + 1).groupBy("chunk_no").count().collect()
+    assert {r["chunk_no"]: r["count"] for r in out} == {c[0]: c[5] for c in chunks}
+
+
+@pytest.mark.parametrize("kind, value", [("bigint", int), ("string", lambda i: f"k{i:06d}"), ("date", lambda i: datetime.date(2000, 1, 1) + datetime.timedelta(i)),
+                                         ("timestamp", lambda i: datetime.datetime(2000, 1, 1) + datetime.timedelta(seconds=i))])
+@pytest.mark.parametrize("part", [None, "p"])
+def test_many_groups_are_looked_up_as_few_are(spark, monkeypatch, kind, value, part):
+    from tablexport.operators import balance
+
+    rows = [(None if i % 7 == 0 else i % 3, None if i % 11 == 0 else value(i * i % 500)) for i in range(900)]
+    df = spark.createDataFrame(rows, f"p int, k {kind}")
+    chunks = balanced_chunk_table(balanced_groups(df, "k", 60, part=part), part=bool(part))
+    few = assign_balanced(df, "k", chunks[3:], part=part, residual=9999).collect()
+    monkeypatch.setattr(balance, "CASE_GROUPS", 10)
+    many = assign_balanced(df, "k", chunks[3:], part=part, residual=9999).collect()
+    order = lambda rs: sorted(map(tuple, rs), key=str)
+    assert order(few) == order(many) and any(r["chunk_no"] == 9999 for r in few)
+
+
+def test_raw_keys_are_not_shuffled(spark):
+    """Only aggregated rows and keys of broadcast buckets pass an exchange."""
+    import re
+
+    df = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        groups = balanced_groups(df, "l_orderkey", 16, part="l_returnflag")
+        plan = groups._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    below = [re.sub(r"^[\s:+*()0-9-]*", "", plan.splitlines()[i + 1]) for i, line in enumerate(plan.splitlines()) if " Exchange hashpartitioning" in line]
+    assert below and all("HashAggregate" in x or "Project" in x or "InMemory" in x or "SortAggregate" in x or "ObjectHashAggregate" in x for x in below)

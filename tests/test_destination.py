@@ -3,12 +3,15 @@
 import glob
 import json
 import os
+from dataclasses import replace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tablexport.plans.job import ExportJob
 from tablexport.run import export_database
+from tablexport.sources import avro_sink, commit_log
 from tablexport.sources.avro_sink import FORMAT, register
 from tablexport.sources.catalog import DirectoryCatalog
 
@@ -103,3 +106,84 @@ def test_the_manifest_names_unsupported_columns_and_mismatches(spark, tmp_dest):
     doc = {t["table"]: t for t in json.load(open(res.manifest_path))["outputList"]}
     assert "embedding" in doc["embeddings"]["unsupportedColumns"] and doc["region"]["unsupportedColumns"] is None
     assert doc["region"]["rowCountMismatch"] is False and len(doc["region"]["statisticsList"]) == len(doc["region"]["queries"]) == 1
+
+
+class Stopping:
+    """A file system that fails at its n-th change."""
+
+    def __init__(self, fs, n):
+        self.fs, self.left = fs, n
+
+    def __getattr__(self, name):
+        f = getattr(self.fs, name)
+        if name not in ("move", "delete_file", "delete_dir", "create_dir", "open_output_stream"):
+            return f
+
+        def change(*a, **kw):
+            if self.left == 0:
+                raise OSError("stopped here")
+            self.left -= 1
+            return f(*a, **kw)
+        return change
+
+
+def batch(lo, hi):
+    return pa.RecordBatch.from_pydict({"id": pa.array(range(lo, hi), pa.int64())})
+
+
+def test_a_replacement_stopped_at_any_step_leaves_the_old_or_the_new_rows(tmp_path, monkeypatch):
+    dest, whole = str(tmp_path / "out"), avro_sink._fs
+    seen, n = set(), 0
+    while True:
+        root = f"{dest}{n}"
+        avro_sink.ensure_destination(root)
+        for table, rows in (("t", 10), ("other", 3)):
+            w = avro_sink.AvroWriter({"path": root, "table": table}, False)
+            w.commit([w.write(iter([batch(0, rows)]))])
+        w = avro_sink.AvroWriter({"path": root, "table": "t"}, True)
+        message = w.write(iter([batch(100, 125)]))
+        monkeypatch.setattr(avro_sink, "_fs", lambda path: (Stopping(whole(path)[0], n), whole(path)[1]))
+        try:
+            w.commit([message])
+            finished = True
+        except OSError:
+            finished = False
+        monkeypatch.setattr(avro_sink, "_fs", whole)
+        fs, at = whole(root)
+        rows = {t: sum(r["rows"] for r in commit_log.records(fs, at, (None, None, t))) for t in ("t", "other")}
+        assert rows["other"] == 3 and rows["t"] in (10, 25)
+        assert all(os.path.exists(f"{root}/{r['name']}") for r in commit_log.records(fs, at))
+        assert len(avro_sink.list_avro_files(root)) == 2
+        seen.add(rows["t"])
+        n += 1
+        if finished:
+            break
+    assert seen == {10, 25} and n > 5 and rows["t"] == 25
+    assert len(glob.glob(f"{root}/*.avro")) == 2 and len(glob.glob(f"{root}/_manifest/files-*.json")) == 2
+
+
+def test_staged_files_are_seen_when_they_are_published(tmp_path):
+    root = str(tmp_path)
+    fs, at = avro_sink._fs(root)
+    for options, rows in (({}, 4), ({"staged": "true", "plan": "p", "keys": '{"1": "new-1", "2": "new-2"}'}, 7)):
+        w = avro_sink.AvroWriter({"path": root, "table": "t"} | options, False)
+        w.commit([w.write(iter([batch(0, rows)]))])
+    old = commit_log.records(fs, at)
+    assert [r["rows"] for r in old] == [4] and sorted((r["key"], r["rows"]) for r in commit_log.records(fs, at, kind="staged")) == [("new-1", 7), ("new-2", 0)]
+    commit_log.publish(fs, at, "x", (None, None, "t"), lambda k: k.startswith("new"), {r["name"] for r in old})
+    assert sorted((r["key"], r["rows"]) for r in commit_log.records(fs, at)) == [("new-1", 7), ("new-2", 0)]
+    assert len(glob.glob(f"{root}/*.avro")) == 1 and not commit_log.records(fs, at, kind="staged")
+
+
+def test_commits_of_a_few_chunks_and_a_run_that_stops_between_them(spark, tmp_dest):
+    job = ExportJob(destination=tmp_dest, tables=("dbo.orders",), retry_waits=(), split_strategies=("orders,between,o_orderkey,number,299,0,1499",),
+                    commit_chunks_files=2, max_commits=1)
+    cat, n = DirectoryCatalog(spark, SF001), spark.read.parquet(f"{SF001}/orders.parquet").count()
+    first = export_database(spark, job, cat)
+    assert not first.tables[0].complete and {r["chunk"] for r in indexed(tmp_dest)} == {1, 2}
+    stamps = {p: os.stat(p).st_mtime_ns for p in glob.glob(tmp_dest + "/*.avro")}
+    res = export_database(spark, replace(job, max_commits=0), cat, resume=True)
+    assert res.tables[0].complete and sum(r["rows"] for r in indexed(tmp_dest)) == n == spark.read.format(FORMAT).load(tmp_dest).count()
+    assert all(os.stat(p).st_mtime_ns == t for p, t in stamps.items())
+    runs = {r["chunk"]: r["run_id"] for r in indexed(tmp_dest)}
+    assert runs[1] == runs[2] == first.tables[0].run_id and {runs[c] for c in (3, 4, 5)} == {res.tables[0].run_id}
