@@ -26,9 +26,8 @@ _LLM_ORACLE: dict[str, str] = {}
 try:
     from tablexport.llm import queries as _llm  # noqa: E402
     import corpus_pipeline as _pipeline  # noqa: E402
-except ModuleNotFoundError as _missing:
-    if _missing.name not in ("tablexport.llm", "corpus_pipeline"):
-        raise
+except ImportError:  # the folder, the pipeline or a module that they need isn't there
+    pass
 else:
     _LLM_QUERIES = {**_llm.QUERIES, "pipeline": _pipeline.run}
     _LLM_ORACLE = dict(_llm.ORACLE_SQL) | ({"pipeline": _pipeline.ORACLE_SQL} if _pipeline.ORACLE_SQL else {})
@@ -60,6 +59,10 @@ _COLS = f"(SELECT * FROM information_schema.columns WHERE table_name IN {_IN})"
 _ORDERS_SCAN = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
 _YEARS = "(SELECT year(min(o_orderdate)) AS y0, year(max(o_orderdate)) AS yn FROM orders)"
 _DIGITS = "('0', '1', '2', '3', '4', '5', '6', '7', '8', '9')"
+# Keys of lineitem with the group that each is in among its partition's and sub-partition's 16.
+_SUBPARTS = ("(SELECT *, CAST((cum * 100 - 1) * 16 // (tot * 100) AS BIGINT) AS grp FROM (SELECT *, sum(w) OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY k) AS cum, "
+             "sum(w) OVER (PARTITION BY l_returnflag, l_linestatus) AS tot FROM (SELECT l_returnflag, l_linestatus, l_orderkey AS k, count(*) AS w FROM lineitem "
+             "WHERE l_orderkey IS NOT NULL GROUP BY 1, 2, 3)))")
 
 _ORACLE = {
     # ---------------------------------------------------------------- catalog
@@ -177,6 +180,9 @@ _ORACLE = {
                                   "sum(w) OVER (PARTITION BY part) AS tot FROM e) "
                                   "SELECT part, CAST((cum * 100 - 1) * 16 // (tot * 100) AS BIGINT) AS grp, min(k) AS lo, "
                                   "max(k) AS hi, CAST(sum(w) AS BIGINT) AS weight FROM c GROUP BY 1, 2",
+    "split_balanced_subpartitioned": "SELECT l_returnflag, l_linestatus, grp, min(k) AS lo, max(k) AS hi, CAST(sum(w) AS BIGINT) AS weight FROM " + _SUBPARTS + " GROUP BY 1, 2, 3",
+    "balanced_chunk_rows": "SELECT row_number() OVER (ORDER BY l_returnflag DESC, l_linestatus DESC, grp) AS chunk_no, l_returnflag, l_linestatus, n FROM "
+                           "(SELECT l_returnflag, l_linestatus, grp, CAST(sum(w) AS BIGINT) AS n FROM " + _SUBPARTS + " GROUP BY 1, 2, 3)",
     "union_batches": "WITH b AS (SELECT min(o_orderkey) AS s, max(o_orderkey) AS e FROM orders) "
                      "SELECT DISTINCT CAST(((o_orderkey - s) // 10) // 100 + 1 AS BIGINT) AS batch_no, o_orderstatus, "
                      "o_orderpriority FROM orders, b WHERE o_orderkey BETWEEN s AND greatest(s + 9, e)",
@@ -211,6 +217,8 @@ _ORACLE = {
     "export_all_tables": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS export_row_count, count(*) AS db_row_count FROM {t}" for t in _TABLES),
     "pre_post_sql": "SELECT 'tx_orders' AS table_name, count(*) AS export_row_count, count(*) AS rows_after FROM orders",
+    "resume_partial_table": "SELECT chunk, CASE WHEN chunk <= 2 THEN 1 ELSE 2 END AS run_no, count(*) AS rows_in_files FROM "
+                            f"(SELECT CAST(year(o_orderdate) - y0 + 1 AS BIGINT) AS chunk FROM orders, {_YEARS}) GROUP BY chunk",
     "resume_pending_chunks": "SELECT 'orders' AS table_name, year(max(o_orderdate)) - year(min(o_orderdate)) + 2 AS table_query_count, "
                              "count(*) AS export_row_count, count(*) AS rows_in_files FROM orders UNION ALL "
                              "SELECT 'lineitem', 1, count(*), count(*) FROM lineitem UNION ALL SELECT 'region', 1, count(*), count(*) FROM region",

@@ -10,8 +10,10 @@ Assignment never scans the table once per chunk:
 * ``like`` chunks (number prefixes, first characters, distinct values used
   as prefixes) compare the leading characters of the key with a small
   lookup table — one broadcast hash join per distinct prefix length, all
-  pipelined in the same stage; as written, a split with many prefix lengths
-  (or a lookup too big to broadcast) explodes its candidates into one join;
+  pipelined in the same stage. A split with many prefix lengths: exactly once, the nested
+  prefixes are flattened into disjoint ranges of text, each with its first chunk, and a row's range is found by
+  binary search in one broadcast array (a lookup too big for that: over the distinct values); as
+  written, the candidates are exploded into one join;
 * distinct-combination chunks are one null-safe equi-join.
 
 Modes:
@@ -61,6 +63,49 @@ def _sql_div(c: Column, d: int) -> Column:
     return F.call_function("div", c.cast("long"), F.lit(int(d)).cast("long"))
 
 
+# ---------------------------------------------------------------- nested prefixes
+def successor(prefix: str) -> str | None:
+    """The smallest text beyond all that start with ``prefix`` (None: there is none), in code-point order."""
+    while prefix:
+        last = ord(prefix[-1])
+        if last < 0x10FFFF:
+            return prefix[:-1] + chr(0xE000 if last == 0xD7FF else last + 1)
+        prefix = prefix[:-1]
+    return None
+
+
+def flatten_prefixes(numbered: list[tuple[str, int]]) -> list[tuple[str, int | None]]:
+    """(from, chunk): from each text on, up to the next, the smallest number among the prefixes that a text has, or None.
+
+    One sweep in text order over the prefixes that are open at a point, innermost last."""
+    out: list[tuple[str, int | None]] = []
+    open_: list[tuple[str | None, int]] = []  # (end, smallest number of this prefix and those around it)
+
+    def mark(at: str | None, chunk: int | None):
+        if at is None:
+            return
+        if out and out[-1][0] == at:
+            out[-1] = (at, chunk)
+        elif not out or out[-1][1] != chunk:
+            out.append((at, chunk))
+
+    def close(upto: str | None):
+        while open_ and (upto is None or open_[-1][0] is not None and open_[-1][0] <= upto):
+            end, _ = open_.pop()
+            mark(end, open_[-1][1] if open_ else None)
+
+    best: dict[str, int] = {}
+    for key, no in numbered:
+        best[key] = min(no, best.get(key, no))
+    for key in sorted(best):
+        close(key)
+        chunk = min(best[key], open_[-1][1]) if open_ else best[key]
+        mark(key, chunk)
+        open_.append((successor(key), chunk))
+    close(None)
+    return out
+
+
 # ---------------------------------------------------------------- strategies
 @dataclass
 class Strategy:
@@ -215,7 +260,18 @@ class PrefixStrategy(Strategy):
         cols: list[Column] = []
         helpers: list[str] = []
         lookup = self.lookup
-        if exactly_once and self.wide:
+        if exactly_once and self.wide and self.lookup_bytes <= BROADCAST_BYTES:
+            ranges = flatten_prefixes([(r["key"], r["local_no"]) for r in lookup.select("key", "local_no").collect()])
+            at, nos = f"_tx_r{self.strategy_no}", f"_tx_n{self.strategy_no}"
+            table = local_df(df.sparkSession, [([a for a, _ in ranges], [n for _, n in ranges])], f"{at} array<string>, {nos} array<long>")
+            own = f"_tx_c{self.strategy_no}"
+            df = df.withColumn(own, text).join(F.broadcast(table), F.lit(True), "left")  # one row
+            steps = max(1, len(ranges)).bit_length()
+            found = (f"aggregate(sequence(1, {steps}), named_struct('l', 0, 'r', size({at})), (s, x) -> if(s.l < s.r, if({at}[(s.l + s.r) div 2] <= {own}, "
+                     "named_struct('l', cast((s.l + s.r) div 2 + 1 as int), 'r', s.r), named_struct('l', s.l, 'r', cast((s.l + s.r) div 2 as int))), s), s -> s.l)")
+            cols.append(F.when(F.col(own) >= F.get(at, F.lit(0)), F.element_at(nos, F.expr(found))) + F.lit(self.offset))
+            helpers += [own, at, nos]
+        elif exactly_once and self.wide:
             # every distinct value once: the first chunk among its prefixes; then one join of the rows on the value
             val, hit = f"_tx_v{self.strategy_no}", f"_tx_m{self.strategy_no}"
             values = df.select(text.alias(val)).where(F.col(val).isNotNull()).distinct()

@@ -19,7 +19,7 @@ from .session import local_df
 
 from .functions.columns import chunk_id_col, convert_datetimes, pattern_col, tidy_name_col
 from .operators import catalog_ops as co
-from .operators.balance import balanced_groups
+from .operators.balance import assign_balanced, balanced_chunk_table, balanced_groups
 from .operators.stats import read_file_index, split_audit, validate_row_counts
 from .operators.union_batches import union_batches
 from .plans.chunks import CombosStrategy, plan_table
@@ -289,6 +289,19 @@ def split_balanced_partitioned(spark, sf):
     return balanced_groups(_t(spark, sf, "lineitem"), "l_orderkey", 16, part="l_returnflag")
 
 
+def split_balanced_subpartitioned(spark, sf):
+    groups = balanced_groups(_t(spark, sf, "lineitem"), "l_orderkey", 16, part=["l_returnflag", "l_linestatus"])
+    return groups.select("part.l_returnflag", "part.l_linestatus", "grp", "lo", "hi", "weight")
+
+
+def balanced_chunk_rows(spark, sf):
+    """Every row in the chunk of its partition, sub-partition and key range, ids running on in descending order: rows of each chunk."""
+    lines, part = _t(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"]
+    chunks = balanced_chunk_table(balanced_groups(lines, "l_orderkey", 16, part=part), part=True)
+    assigned = assign_balanced(lines, "l_orderkey", chunks, part=part, residual=len(chunks) + 1)
+    return assigned.groupBy("chunk_no").agg(F.min("l_returnflag").alias("l_returnflag"), F.min("l_linestatus").alias("l_linestatus"), F.count(F.lit(1)).alias("n"))
+
+
 def union_batches_q(spark, sf):
     orders = _t(spark, sf, "orders")
     plan = _plan(orders, "orders,between,o_orderkey,number,9")  # windows of 10 keys over MIN..MAX
@@ -406,6 +419,15 @@ def resume_pending_chunks(spark, sf):
             .select(F.col("table").alias("table_name"), "table_query_count", "export_row_count", "rows_in_files"))
 
 
+def resume_partial_table(spark, sf):
+    """A run that stops after one commit of two chunks; the resumed one leaves those as they are. Rows of each chunk and the run that wrote it."""
+    job = _job(spark, "partial", tables=("dbo.orders",), split_strategies=(YEARLY,), commit_chunks_files=2, max_commits=1)
+    first = export_database(spark, job, _cat(spark, sf), count_rows=False)
+    export_database(spark, replace(job, max_commits=0), _cat(spark, sf), resume=True)
+    run = F.when(F.col("run_id") == first.tables[0].run_id, 1).otherwise(2)
+    return read_file_index(spark, job.destination).groupBy("chunk", run.alias("run_no")).agg(F.sum("rows").alias("rows_in_files"))
+
+
 # ------------------------------------------------------------------ flagship
 def flagship(spark, sf):
     """orders -> yearly split -> ISO date text -> Avro -> per-chunk stats."""
@@ -466,6 +488,8 @@ QUERIES = {
     "split_multi_strategy": split_multi_strategy,
     "split_balanced": split_balanced,
     "split_balanced_partitioned": split_balanced_partitioned,
+    "split_balanced_subpartitioned": split_balanced_subpartitioned,
+    "balanced_chunk_rows": balanced_chunk_rows,
     "split_choice": _counted(split_choice),
     "union_batches": union_batches_q,
     "split_audit": split_audit_q,
@@ -481,4 +505,5 @@ QUERIES = {
     "pre_post_sql": pre_post_sql,
     "export_all_tables": export_all_tables,
     "resume_pending_chunks": resume_pending_chunks,
+    "resume_partial_table": resume_partial_table,
 }

@@ -12,8 +12,10 @@ For a file-based source the same plan is applied as a column in one scan
 
 from __future__ import annotations
 
+import bisect
 import datetime as _dt
 import decimal
+import unicodedata
 
 from pyspark.sql import SparkSession
 
@@ -132,30 +134,49 @@ def _minimal(keys: list[str]) -> list[str]:
     return out
 
 
+def folded(text: str) -> str:
+    """``text`` without case, accents and compatibility forms: texts that a collation may hold equal are equal here."""
+    plain = "".join(c for c in unicodedata.normalize("NFKD", text.casefold()) if not unicodedata.combining(c))
+    return unicodedata.normalize("NFKD", plain.casefold()).rstrip(" ")
+
+
+def _earlier_overlaps(rows: list[tuple[int, str]]) -> dict[int, list[str]]:
+    """For each numbered prefix the earlier ones that some text may begin with as well, under any collation."""
+    at: dict[str, list[tuple[int, str]]] = {}
+    for no, key in rows:
+        at.setdefault(folded(key), []).append((no, key))
+    names = sorted(at)
+    out: dict[int, list[str]] = {}
+    for no, key in rows:
+        own = folded(key)
+        near = [x for n in range(len(own)) if own[:n] in at for x in at[own[:n]]]
+        for name in names[bisect.bisect_left(names, own):]:
+            if not name.startswith(own):
+                break
+            near += at[name]
+        out[no] = [k for m, k in near if m < no]
+    return out
+
+
 def _prefix_predicates(st: PrefixStrategy, d: Dialect, exactly_once: bool):
-    """(chunk predicates, coverage predicate) of a prefix strategy."""
+    """(chunk predicates, coverage predicate) of a prefix strategy.
+
+    Which rows begin with a prefix is the database's to say: under a collation that
+    ignores case or accents more do than here. Exactly once, a chunk therefore leaves out what the earlier prefixes
+    take that could overlap under any collation, by the same LIKE that those use."""
     text = d.text(st.column)
     rows = sorted((int(r["local_no"]), r["key"]) for r in st.lookup.collect())
     out = []
     if exactly_once:
-        import bisect
-        by_key = {k: no for no, k in rows}
-        skeys = sorted(by_key)
+        overlaps = _earlier_overlaps(rows)
         for no, key in rows:
-            shorter = [key[:L] for L in range(len(key)) if by_key.get(key[:L], no) < no]
-            if shorter:  # an earlier chunk takes every row of this one
+            earlier = overlaps[no]
+            if any(key.startswith(k) for k in earlier):  # an earlier chunk takes every row of this one
                 out.append((st.offset + no, "1 = 0"))
                 continue
-            lo = bisect.bisect_right(skeys, key)
-            longer = []
-            for k in skeys[lo:]:
-                if not k.startswith(key):
-                    break
-                if by_key[k] < no:
-                    longer.append(k)
             p = d.starts_with(text, key)
-            if longer:
-                p = f"{p} AND " + _not(" OR ".join(d.starts_with(text, k) for k in _minimal(longer)))
+            if earlier:
+                p = f"{p} AND " + _not(" OR ".join(d.starts_with(text, k) for k in _minimal(earlier)))
             out.append((st.offset + no, p))
     else:
         out = [(st.offset + no, d.starts_with(text, key)) for no, key in rows]

@@ -330,3 +330,37 @@ def test_fractional_keys_between_windows(spark, exactly_once):
     keys = [None, -0.5, 0.0, 4.5, 5.0, 5.5, 9.99, 10.0, 14.0, 14.5, 15.0]
     got = _assign(spark, keys, "k double", "t,between,k,number,4,0,14", exactly_once)
     assert got == brute.assign(keys, brute.between_chunks(0, 14, 4, exactly_once), exactly_once)
+
+
+def test_flattened_prefixes_give_the_first_match(spark):
+    import random
+
+    from tablexport.plans.chunks import flatten_prefixes
+
+    rnd = random.Random(4)
+    text = lambda n: "".join(rnd.choice("ab\U0010ffff\ud7ffé") for _ in range(n))
+    for size in (0, 1, 5, 40):
+        keys = list({text(rnd.randrange(0, 6)) for _ in range(size)})
+        rnd.shuffle(keys)
+        ranges = flatten_prefixes([(k, i) for i, k in enumerate(keys)])
+        assert [a for a, _ in ranges] == sorted({a for a, _ in ranges})
+        for value in [text(rnd.randrange(0, 8)) for _ in range(300)] + keys:
+            expected = min((i for i, k in enumerate(keys) if value.startswith(k)), default=None)
+            assert next((c for a, c in reversed(ranges) if a <= value), None) == expected, (value, keys)
+
+
+def test_prefixes_of_forty_lengths_in_one_join(spark):
+    import random
+
+    rnd = random.Random(7)
+    keys = ["".join(rnd.choice("ab") for _ in range(n)) for n in range(1, 41) for _ in range(3)]
+    rows = [(k,) for k in keys] + [(k + rnd.choice(["", "x", "ab"]),) for k in keys] + [("",), (None,), ("zz",)]
+    df = spark.createDataFrame(rows, "k string")
+    plan = plan_table(df, [SplitSpec.parse('t,query,"k",like,k')])
+    out = plan.assign(df)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Join") == 1
+    first = {v: i for i, v in enumerate(sorted({k for (k,) in rows if k is not None}), start=1)}
+    for r in out.collect():
+        v = r["k"]
+        expected = plan.residual_no if v is None else min(first[v[:n]] for n in range(len(v) + 1) if v[:n] in first)
+        assert r["chunk_no"] == expected

@@ -109,3 +109,28 @@ def test_wildcard_characters_in_prefixes_are_literal(spark, duck, exactly_once):
     sql_counts = {no: duck.execute(f"SELECT count(*) FROM wild WHERE {p}").fetchone()[0]
                   for no, p in predicates(plan, "ansi")}
     assert sql_counts == spark_counts
+
+
+WORDS = ["ab", "ABC", "abd", "Ab", "aB c", "ÉT", "été", "et", "b", "B", "", "z%", "Z%x", "straße", "STRASSE", None]
+
+
+@pytest.mark.parametrize("spec", ["t,like,k,string,1,A,z", 't,query,"k",like,k'])
+def test_each_row_once_where_the_database_ignores_case(spark, spec):
+    """SQLite's LIKE holds A and a equal, as the default collation of SQL Server does."""
+    import sqlite3
+
+    df = spark.createDataFrame([(w,) for w in WORDS * 2], "k string")
+    preds = predicates(plan_table(df, [SplitSpec.parse(spec)]), "ansi")
+    con = sqlite3.connect(":memory:")
+    con.execute("CREATE TABLE t (k TEXT)")
+    con.executemany("INSERT INTO t VALUES (?)", [(w,) for w in WORDS * 2])
+    took = [r[0] for _, p in preds for r in con.execute(f"SELECT rowid FROM t WHERE {p}")]
+    assert sorted(took) == list(range(1, 2 * len(WORDS) + 1))
+    assert [con.execute("SELECT 'A' LIKE 'a'").fetchone()[0]] == [1]
+
+
+def test_what_any_collation_may_hold_equal_is_left_out_of_later_chunks():
+    from tablexport.sources.jdbc import _earlier_overlaps
+
+    rows = list(enumerate(["É", "e", "straße", "STRASSEN", "x", "ｘy"], start=1))
+    assert _earlier_overlaps(rows) == {1: [], 2: ["É"], 3: [], 4: ["straße"], 5: [], 6: ["x"]}
