@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablexport.llm.common import cut
+from tablexport.llm.common import cut, free_name
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -247,7 +247,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a passage of the benchmark, same columns; null texts stay."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text")).distinct()
-    fits = docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"]) == F.col("_bad_text"))
+    """The rows of ``docs`` without a passage of the benchmark, same columns, whatever their names; null texts stay.
+
+    Repeated rows stay or go together; no items: every row stays."""
+    id_, hash_ = free_name(docs, "bad_id"), free_name(docs, "bad_text")
+    bad = leaks(docs, benchmark).select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_)).distinct()
+    fits = docs["doc_id"].eqNullSafe(F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(hash_))
     return docs.join(bad, fits, "left_anti")

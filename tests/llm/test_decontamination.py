@@ -103,3 +103,10 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert sorted(r["doc_id"] for r in d.clean(docs, bench).collect()) == [2, 3, 5]
     assert d.leaks(docs, bench.limit(0)).count() == 0 and d.leaks(docs.limit(0), bench).count() == 0
     assert d.clean(docs, bench.limit(0)).count() == 7
+
+
+def test_clean_with_names_that_clash_and_repeated_rows(spark):
+    item = " ".join(f"word{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, f"see {item} there", 7, 8), (1, f"see {item} there", 7, 8), (2, "nothing", 7, 8), (None, None, 7, 8)], "doc_id long, text string, bad_id int, _bad_text int")
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    assert sorted(map(tuple, d.clean(docs, items).collect()), key=str) == [(2, "nothing", 7, 8), (None, None, 7, 8)]
