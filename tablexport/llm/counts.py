@@ -1,9 +1,11 @@
 """Token counts that follow edits: a segment tree of pre-token stretches for each document.
 
-The leaves are stretches of text cut where a pre-token surely starts; inner
-nodes hold the sums of characters and tokens below. An edit re-encodes the
-leaves that it touches, plus a neighbour where it comes so close to a leaf's edge that the cut
-might no longer hold, and updates the sums on the way up.
+The leaves are stretches of text cut where a pre-token starts behind a character that
+isn't white space, so that the cut rests on a few characters around it alone; inner
+nodes hold the sums of characters and tokens below. An edit matches the pattern anew from the
+start of the leaf that lies MARGIN characters before it, up to the first later leaf that begins where a
+match does; from there on nothing can have changed. Those leaves are encoded again and
+the sums on the way up updated.
 """
 
 from __future__ import annotations
@@ -15,32 +17,67 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tablexport.llm.bpe import blocks, load
+from tablexport.llm.bpe import LONE_SPACE, load
 
 LEAF = 400  # characters of a leaf
+MARGIN = 4  # more characters than the pattern looks beyond a match that ends in no white space
 SCHEMA = "n_tokens long, n_edits long, n_tokens_after long, n_chars_after long, n_chars_encoded long"
 
 
-@lru_cache(2)
-def counter(vocabulary: str):
-    """text -> number of tokens, by the public library with the ranks of ``vocabulary``."""
-    import tiktoken
+class Counter:
+    """text -> number of tokens, by the public library with the ranks of a vocabulary; ``pattern`` finds the pre-tokens."""
 
-    bpe = load(vocabulary)
-    encoding = tiktoken.Encoding("own", pat_str=bpe.pattern.pattern, mergeable_ranks=bpe.ranks, special_tokens={})
-    return lambda text: len(encoding.encode_ordinary(text))
+    def __init__(self, vocabulary: str):
+        import tiktoken
+
+        bpe = load(vocabulary)
+        self.pattern = bpe.pattern
+        self.encoding = tiktoken.Encoding("own", pat_str=bpe.pattern.pattern, mergeable_ranks=bpe.ranks, special_tokens={})
+
+    def __call__(self, text: str) -> int:
+        return len(self.encoding.encode_ordinary(text))
+
+
+counter = lru_cache(2)(Counter)
+
+
+def cut_places(text: str, size: int, pattern, end: int) -> list:
+    """Where to cut ``text[:end]`` into parts of ``size`` characters or a little more.
+
+    Each is the start of a pre-token behind a character that isn't white space: a lone space if one is near,
+    else the pattern says where. A pre-token is never cut, however long. What stands behind ``end`` is only looked at."""
+    at, out = 0, []
+    while end - at > size:
+        m = LONE_SPACE.search(text, at + size, min(at + 2 * size, end))
+        if m:
+            at = m.start()
+        else:
+            starts = (m.start() for m in pattern.finditer(text, at))
+            at = next((p for p in starts if p >= at + size and not text[p - 1].isspace()), end)
+        if at >= end:
+            break
+        out.append(at)
+    return out
 
 
 class CountTree:
-    """Token counts of one text under edits. ``count``: text -> tokens, pre-token by pre-token."""
+    """Token counts of one text under edits. ``count``: text -> tokens, pre-token by pre-token, with its ``pattern``."""
 
     def __init__(self, text: str, count, leaf: int = LEAF):
-        self.count, self.encoded = count, 0
-        self.leaves = list(blocks(text, leaf))
-        self.width = 1 << max(len(self.leaves) - 1, 0).bit_length()
+        self.count, self.leaf, self.encoded = count, leaf, 0
+        parts = self._parts(text, leaf, len(text))
+        self._build(parts, [count(p) if p else 0 for p in parts])
+
+    def _parts(self, text: str, size: int, end: int) -> list:
+        places = [0, *cut_places(text, size, self.count.pattern, end), end]
+        return [text[a:b] for a, b in zip(places, places[1:])]
+
+    def _build(self, leaves: list, tokens: list) -> None:
+        self.leaves = leaves
+        self.width = 1 << max(len(leaves) - 1, 0).bit_length()
         self.chars, self.tokens = [0] * 2 * self.width, [0] * 2 * self.width
-        for i, part in enumerate(self.leaves):
-            self.chars[self.width + i], self.tokens[self.width + i] = len(part), count(part)
+        self.chars[self.width:self.width + len(leaves)] = map(len, leaves)
+        self.tokens[self.width:self.width + len(leaves)] = tokens
         for i in range(self.width - 1, 0, -1):
             self._sum(i)
 
@@ -58,7 +95,7 @@ class CountTree:
 
     def _find(self, at: int) -> tuple:
         """(leaf, offset in it) of a character; the end of the text is in the last leaf that has any."""
-        at = min(at, max(self.chars[1] - 1, 0))
+        at = min(at, self.chars[1])
         i = 1
         while i < self.width:
             i *= 2
@@ -76,28 +113,45 @@ class CountTree:
             i //= 2
             self._sum(i)
 
+    def _behind(self, leaf: int, n_chars: int) -> int:
+        """The last of the leaves after ``leaf`` that together have ``n_chars`` characters, or the last of all."""
+        while n_chars > 0 and leaf + 1 < len(self.leaves):
+            leaf += 1
+            n_chars -= len(self.leaves[leaf])
+        return leaf
+
     def edit(self, start: int, end: int, written: str) -> None:
         """Replace characters start to end (exclusive) of the present text."""
         n = self.chars[1]
         if not 0 <= start <= end <= n:
             raise ValueError(f"edit {start}:{end} of {n} characters")
-        first, offset = self._find(start)
-        last, stop = self._find(max(end - 1, start))
-        stop = stop + 1 if end > start else offset
-        if start == n:  # behind the last character
-            offset = stop = len(self.leaves[last])
-        # the cut before a leaf rests on its first two characters, the one after it on its last
-        low, high = first, last
-        if offset < 2:
-            low = next((i for i in range(first - 1, -1, -1) if self.leaves[i]), first)
-        if stop >= len(self.leaves[last]):
-            high = next((i for i in range(last + 1, len(self.leaves)) if self.leaves[i]), last)
-        head = "".join(self.leaves[low:first]) + self.leaves[first][:offset]
-        tail = self.leaves[last][stop:] + "".join(self.leaves[last + 1:high + 1])
-        self._set(low, head + written + tail)
-        for i in range(low + 1, high + 1):
-            if self.leaves[i]:
-                self._set(i, "")
+        near = max(start - MARGIN, 0)
+        low, offset = self._find(near)
+        high, stop = self._find(end)
+        head = "".join(self.leaves[low:high + 1])[:start - near + offset]
+        tail, more = self.leaves[high][stop:], 1
+        while True:
+            new = head + written + tail
+            after = self._behind(high, 2 * MARGIN)
+            seen = new + "".join(self.leaves[high + 1:after + 1])
+            if len(seen) == len(new) or any(m.start() == len(new) for m in self.count.pattern.finditer(seen)):
+                break
+            further = self._behind(high, more)  # no match begins where the next leaf does: it belongs to this one
+            tail += "".join(self.leaves[high + 1:further + 1])
+            high, more = further, max(2 * more, len(new))
+        slots = high - low + 1
+        if len(new) > 2 * self.leaf * slots:  # more than the leaves should take: room is made
+            parts = self._parts(seen, self.leaf, len(new))
+            self.encoded += len(new)
+            tokens = self.tokens[self.width:self.width + len(self.leaves)]
+            tokens[low:high + 1] = map(self.count, parts)
+            self._build(self.leaves[:low] + parts + self.leaves[high + 1:], tokens)
+            return
+        parts = self._parts(seen, max(self.leaf, -(-len(new) // slots)), len(new))
+        for i in range(low, high + 1):
+            part = parts[i - low] if i - low < len(parts) else ""
+            if part != self.leaves[i]:
+                self._set(i, part)
 
 
 _LONG_NUMBER = re.compile(r"[0-9]{5,}")

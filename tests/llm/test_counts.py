@@ -39,6 +39,35 @@ def test_an_edit_encodes_its_surroundings_alone(count):
         tree.edit(5, 10**9, "")
 
 
+@pytest.mark.parametrize("letters", ["ab,1\n", "\u4e2d\u6587\u3002\uff0c", "0123456789", " \n\t\r", "'lvresd", "aB{};=()\n ", "e\u0301\u200b'S 9"])
+def test_random_edits_of_texts_without_lone_spaces(count, letters):
+    rnd = random.Random(letters)
+    for leaf in (1, 4, 16):
+        for _ in range(15):
+            text = "".join(rnd.choice(letters) for _ in range(rnd.randrange(150)))
+            tree = counts.CountTree(text, count, leaf=leaf)
+            for _ in range(12):
+                start = rnd.randrange(len(text) + 1)
+                end = min(len(text), start + rnd.choice([0, 0, 1, 2, 30]))
+                new = "".join(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 3, 90])))
+                tree.edit(start, end, new)
+                text = text[:start] + new + text[end:]
+                assert tree.text == text and tree.n_tokens == count(text)
+
+
+def test_long_unbroken_texts_are_encoded_near_their_edits_alone(count):
+    rnd = random.Random(3)
+    for text in ("\n".join(f"{rnd.randrange(10**6)},{rnd.randrange(99)},x{i}" for i in range(60_000)),
+                 "".join(rnd.choice("\u4e2d\u6587\u5b57\u7b26\u3002\uff0c") for _ in range(300_000)), "f(x);" * 100_000):
+        tree = counts.CountTree(text, count)
+        assert max(map(len, tree.leaves)) < 3 * counts.LEAF
+        for _ in range(3_000):
+            at = rnd.randrange(tree.chars[1] - 10)
+            tree.edit(at, at + 2, rnd.choice(["", "1", ",,", "\u5b57"]))
+        assert tree.encoded < 3_000 * 3 * counts.LEAF
+        assert tree.n_tokens == count(tree.text)
+
+
 def test_documents(spark, count):
     rows = [(d["doc_id"], d["text"]) for d in helpers.documents(120)] + [(None, None), (-1, ""), (-2, "same\nsame\nsame 123456"), (-2, "same\nsame\nsame 123456")]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, n_tokens string")
