@@ -38,7 +38,9 @@ class Counter:
         return len(self.encoding.encode_ordinary(text))
 
 
-counter = lru_cache(2)(Counter)
+@lru_cache(2)
+def counter(vocabulary: str) -> Counter:
+    return Counter(vocabulary)
 
 
 def cut_places(text: str, size: int, pattern, end: int) -> list:
