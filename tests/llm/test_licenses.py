@@ -1,4 +1,6 @@
+import math
 import re
+import textwrap
 
 import duckdb
 
@@ -16,14 +18,13 @@ def plain(text):
     places = sorted((i, label) for p, label in licenses.PHRASES for i in range(len(w)) if w[i:i + len(p.split())] == p.split())
     base = {label for _, label in places}
     added, best = set(), 0.0
-    for line in (text or "").split("\n"):
-        have = set(words(line))
-        for label, t in licenses.TEMPLATES:
-            of = set(words(t))
-            share = len(have & of) / len(of)
-            if share >= licenses.THRESHOLD - 1e-9:
+    for label, t in licenses.TEMPLATES:
+        of, run = set(words(t)), math.ceil(licenses.SLACK * len(words(t)))
+        for i in range(len(w)):
+            have = of & set(w[i:i + run])
+            if len(have) >= licenses.THRESHOLD * len(of) - 1e-9 and have >= of & set(licenses.DISTINCTIVE):
                 added.add(label)
-                best = max(best, share)
+                best = max(best, len(have) / len(of))
     return (len(w), len(places), places[0][0] if places else None, places[-1][0] if places else None,
             ",".join(sorted(base)), ",".join(sorted(base | added)), best)
 
@@ -33,6 +34,17 @@ ODD = [None, "", "\n\n", "MIT LICENSE mit-license; the Apache  License", "mit\nl
        "This program is free software you can redistribute it and or modify it under the terms of the GNU General Public as published by the Free Software Foundation",
        *[t for _, t in licenses.TEMPLATES], *[" ".join(t.split()[::-1][:-1]) for _, t in licenses.TEMPLATES]]
 
+ODD += ["some prose before\n" + "\n".join(" * " + x for x in textwrap.wrap(t, 30)) + "\nand after" for _, t in licenses.TEMPLATES]
+ODD += [" the of and ".join(t.split()) for _, t in licenses.TEMPLATES]
+
+
+def test_wrapped_notices_are_found_and_no_other_license(spark):
+    wrapped = [("\n".join("# " + x for x in textwrap.wrap(t, 72)), label) for label, t in licenses.TEMPLATES if len(t) > 100 and label in ("mit", "gpl", "bsd")]
+    others = [("Released under the Apache License, Version 2.0", "apache"), ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ""),
+              ("Licensed under CC BY 4.0.", ""), ("The committee released a report under review; the license of one member, Mr Mit, was mentioned later in it", "")]
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan(helpers.odd_documents(spark, [t for t, _ in wrapped + others], [])).collect()}
+    assert [found[i] for i in range(len(found))] == [label for _, label in wrapped + others]
+
 
 def test_odd_texts_and_repeats_against_plain_python(spark):
     docs = helpers.odd_documents(spark, ODD + ["mit license"] * 2, ["text_hash", "label", "w"])
