@@ -1,12 +1,15 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-An item of w words aligns with a passage at SIMILARITY or more only if the
-changes cost ``b = floor((1 - SIMILARITY) * w)`` at most: a word replaced costs
-two and breaks SHINGLE n-grams of the item at most, one put in costs two and breaks fewer, one left
-out costs three, one missing at an end costs one and breaks one. So of any ``SHINGLE *
-(b // 2) + b % 2 + 1`` n-grams of the item one survives in the passage: the rarest
-ones by their count in the whole corpus are its seeds. Items of five words or
-less have shorter n-grams, for which the same holds.
+A passage is a copy of an item of w words if its best local alignment scores ``needed(w)`` or
+more: SIMILARITY of the words kept and the others replaced score (2 * SIMILARITY - 1) * w, and so does a
+quotation of that share of the item; that short a run must still score RUN, unless it is SIMILARITY of the whole item.
+
+Such an alignment's changes cost ``b = floor(w - needed(w))`` at most: a word replaced costs
+two and breaks n of the item's n-grams at most, one put in costs two and breaks fewer, one left
+out costs three, one missing at an end costs one and breaks one. So ``max(n, 2) * (b // 2) + b % 2``
+n-grams are broken at most. n is the largest up to SHINGLE for which more than that stand in the item: of any one more
+one survives in the passage, the rarest by their count in the whole corpus are the seeds; and
+all the others must be there before a passage is aligned.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from tablexport.llm.common import cut, free_name
 
 SHINGLE = 5
 SIMILARITY = 0.8
+RUN = 8
 FILTER_BITS = 25  # the corpus is screened by a Bloom filter of 2 ** FILTER_BITS bits, 4 MB whatever the benchmark's size
 PROBES = 3
 MAX_PART = 4_000_000  # bytes of text hashed at a time
@@ -127,10 +131,22 @@ def smith_waterman(item: list, passage: list) -> tuple:
     return best, end
 
 
+def needed(n_words: int) -> float:
+    """The score from which an alignment counts."""
+    return max((2 * SIMILARITY - 1) * n_words, min(SIMILARITY * n_words, RUN))
+
+
+def _lost(n_words: int) -> int:
+    """What the changes of an alignment that counts cost at most."""
+    return int(n_words - needed(n_words) + 1e-9)
+
+
 def seeds_of(n_words: int) -> tuple:
     """(words of a seed, number of seeds) of an item."""
-    budget = int((1 - SIMILARITY) * n_words + 1e-9)
-    return min(SHINGLE, n_words - (budget > 0)), SHINGLE * (budget // 2) + budget % 2 + 1
+    lost = _lost(n_words)
+    broken = {n: max(n, 2) * (lost // 2) + lost % 2 for n in range(1, min(SHINGLE, n_words) + 1)}
+    n = max(n for n, b in broken.items() if n == 1 or b < n_words - n + 1)
+    return n, broken[n] + 1
 
 
 _ITEM = "item_id long, item string, n_words int, n int, n_seeds int, place int, gram long, slots array<long>"
@@ -208,8 +224,8 @@ def _score_batch(item: pd.Series, passage: pd.Series) -> pd.DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents (doc_id, text) that hold a passage of a benchmark item (item_id, text).
 
-    One row per (doc_id, text_hash, item_id): similarity (best local alignment
-    over the item's length in words, SIMILARITY or more) and last_word, where the
+    One row per (doc_id, text_hash, item_id): similarity (score of the best local alignment
+    over the item's length in words, from ``needed``) and last_word, where the
     best passage ends. Items of equal words are one item, named by the smallest
     id; n_items says how many. Null and empty texts and items hold no words and
     match nothing; null ids are carried; repeated rows give one row. Other
@@ -223,7 +239,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = cut(items.select("item_id", "item").mapInArrow(_item_grams, _ITEM))
     bound = rows.agg(F.max("n_words"), F.collect_set("n")).first()
     longest, sizes = bound[0] or 0, sorted(bound[1])
-    reach = longest + seeds_of(longest)[1]  # more than the words that an alignment can put in
+    reach = longest + _lost(longest)  # more than the words that an alignment can put in
     bitmap = spark.sparkContext.broadcast(_bitmap(rows))
     found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
              .mapInArrow(lambda batches: _windows(batches, bitmap, sizes, reach), _WINDOW))
@@ -236,10 +252,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
              .withColumn("rare", rare).where("rare <= n_seeds and df > 0")
              .select("n", "gram", "item").distinct())
     pairs = hits.join(seeds, ["n", "gram"]).select("at", "item").distinct()
-    scored = (pairs.join(passages.select("at", "doc_id", "text_hash", "first_word", "passage"), "at")
+    whole = rows.groupBy("item").agg(F.collect_list("gram").alias("own"), F.first("n_seeds").alias("n_seeds"))  # as long as an item
+    here = F.size(F.filter("own", lambda g: F.array_contains("grams", g)))
+    scored = (pairs.join(passages.select("at", "doc_id", "text_hash", "first_word", "passage", "grams"), "at").join(whole, "item")
+              .where(here >= F.size("own") - F.col("n_seeds") + 1)
               .withColumn("s", F.pandas_udf(_score_batch, "score long, stop long")(F.col("item"), F.col("passage")))
               .withColumn("n_words", F.size(F.split("item", " ")))
-              .where(f"s.score >= {SIMILARITY} * n_words - 1e-9")
+              .where(f"s.score >= greatest({2 * SIMILARITY - 1} * n_words, least({SIMILARITY} * n_words, {RUN})) - 1e-9")
               .select("doc_id", "text_hash", "item", F.expr("s.score / n_words").alias("similarity"),
                       F.expr("first_word + s.stop - 1").alias("last_word")))
     best = scored.groupBy("doc_id", "text_hash", "item").agg(F.max("similarity").alias("similarity"), F.max_by("last_word", F.struct("similarity", -F.col("last_word"))).alias("last_word"))

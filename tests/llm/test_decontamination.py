@@ -73,13 +73,52 @@ def test_planted_copies_against_all_pairs(spark):
         words = t.lower().split()
         for j, x in enumerate(items):
             score = plain_alignment(x, words)
-            if score >= d.SIMILARITY * len(x) - 1e-9:
+            if score >= d.needed(len(x)) - 1e-9:
                 expected[i, j] = score / len(x)
     assert len(expected) > 40 and got == pytest.approx(expected)
     left = d.clean(docs, bench)
     assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == sorted(set(range(120)) - {i for i, _ in expected})
 
 
+def test_no_alignment_that_counts_breaks_all_seeds():
+    rnd = random.Random(13)
+    for _ in range(4000):
+        item = [f"w{i}" for i in range(rnd.choice([*range(1, 25), 36, 60, 100]))]
+        n, n_seeds = d.seeds_of(len(item))
+        lost = rnd.randrange(len(item) // 4 + 1)
+        step = rnd.choice([2, 3, 4, 5])
+        text = [f"x{i}" if i % step == step - 1 and i // step < lost else w for i, w in enumerate(item)][rnd.randrange(3):len(item) - rnd.randrange(len(item) // 2 + 1)]
+        if plain_alignment(item, text) >= d.needed(len(item)) - 1e-9:
+            left = {tuple(text[i:i + n]) for i in range(len(text) - n + 1)}
+            own = [tuple(item[i:i + n]) for i in range(len(item) - n + 1)]
+            assert sum(g in left for g in own) > len(own) - n_seeds
+
+
+def test_edited_copies_and_partial_quotations_are_found(spark):
+    rnd = random.Random(14)
+    items = [[f"v{rnd.randrange(3000)}" for _ in range(rnd.randrange(20, 60))] for _ in range(60)]
+    texts, kinds = [], []
+    for item in items:
+        for share in (0.1, 0.15, 0.2):
+            words = list(item)
+            for i in rnd.sample(range(len(item)), int(share * len(item))):
+                words[i] = f"new{rnd.randrange(9999)}"
+            texts.append(words)
+            kinds.append(share)
+        third = len(item) // 3
+        texts += [item[third:], item[:len(item) - third]]
+        kinds += ["head cut", "tail cut"]
+        texts.append([f"v{rnd.randrange(3000)}" for _ in range(120)] + item[:len(item) // 3])
+        kinds.append("a third")
+    around = lambda words: " ".join([f"v{rnd.randrange(3000)}" for _ in range(40)] + words + [f"v{rnd.randrange(3000)}" for _ in range(40)])
+    docs = spark.createDataFrame([(i, around(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in d.leaks(docs, bench).collect()}
+    found = {k: sum((i, i // 6) in got for i, kind in enumerate(kinds) if kind == k) / len(items) for k in set(kinds)}
+    assert found.pop("a third") == 0 and min(found.values()) >= 0.9, found
+    assert all(i // 6 == j for i, j in got)
+
+
 def test_documents_against_all_pairs_with_a_shared_run(spark):
     import pyarrow.parquet as pq
 
@@ -88,7 +127,7 @@ def test_documents_against_all_pairs_with_a_shared_run(spark):
     for row in helpers.documents():
         words = d.words_of(row["text"])
         for i, x in items.items():
-            if set(zip(x, x[1:], x[2:])) & set(zip(words, words[1:], words[2:])) and d.smith_waterman(x, words)[0] >= d.SIMILARITY * len(x):
+            if set(zip(x, x[1:], x[2:])) & set(zip(words, words[1:], words[2:])) and d.smith_waterman(x, words)[0] >= d.needed(len(x)) - 1e-9:
                 expected.add((row["doc_id"], i))
     got = d.leaks(spark.read.parquet(f"{helpers.SF}/documents.parquet"), spark.read.parquet(f"{helpers.SF}/benchmark.parquet"))
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == expected and expected
