@@ -50,6 +50,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--destination", required=True, help="Avro destination folder (path or URI)")
     p.add_argument("--catalog")
     p.add_argument("--dirty-reads", action="store_true", help="SQL Server: do not wait for locks of open transactions")
+    p.add_argument("--snapshot", nargs="?", type=int, const=True, default=False, metavar="SCN",
+                   help="Oracle: all queries read as of one system change number (the present one, or SCN); SQL Server: SNAPSHOT isolation")
     p.add_argument("--schema", help="only these schemas (comma-delimited)")
     p.add_argument("--table", help="only these schema.table (comma-delimited)")
     p.add_argument("--split-table", help="schema.table exported in weight-balanced chunks (comma-delimited)")
@@ -124,7 +126,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         elif a.password:
             props["password"] = a.password
         source = JdbcCatalog(spark, a.connect, props, flavor=a.flavor, catalog=a.catalog, fetch_size=a.fetch_row_count,
-                             dirty_reads=a.dirty_reads)
+                             dirty_reads=a.dirty_reads, snapshot=a.snapshot)
     try:
         res = export_database(spark, job, source, threads=a.threads, resume=a.resume, manifest_name=a.log_file)
     except Exception as e:  # noqa: BLE001 - a failed table ends the run with status 1

@@ -142,8 +142,11 @@ def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, s
     groups are asked of the database and every chunk is read by its own
     predicate (one task each, already clustered); for files the chunk is a
     column computed in one scan."""
-    strategy = choose_strategy(job, schema, table, bool(partitioned_by))
     db = source is not None and hasattr(source, "read_chunks")
+    stored = []
+    if db and not partitioned_by and not job.specs_for(schema, table):
+        stored = source.storage_partitions(schema, table)  # the database keeps the table in parts: chunks name them
+    strategy = choose_strategy(job, schema, table, bool(partitioned_by or stored))
     if strategy == "strategies":
         specs = job.specs_for(schema, table)
         kw = {}
@@ -167,6 +170,13 @@ def plan_and_assign(spark: SparkSession, job: ExportJob, df: DataFrame | None, s
     if strategy in ("balanced", "balanced_partitioned"):
         keys = job.primary_keys.get(f"{schema}.{table}") or job.primary_keys.get(table) or primary_key or []
         key = keys[0] if keys else (export_cols[0] if df is None else df.columns[0])
+        if stored:
+            from .sources.jdbc import stored_chunks
+            preds = [(no, p) for no, p, _ in stored_chunks(stored, source.stored_groups(schema, table, key, job.balanced_chunks, stored),
+                                                           key, source.dialect, job.exactly_once)]
+            return Planned(strategy, len(preds), _sql_labels(spark, source, schema, table, export_cols, preds),
+                           fingerprint(job, schema, table, export_cols, [p for _, p in preds]), preds=preds,
+                           key_columns=[key, *sorted({x.column for x in stored} - {""})])
         parts = list(partitioned_by or [])
         if db:
             groups = source.balanced_groups(schema, table, key, job.balanced_chunks, parts)
@@ -346,6 +356,7 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     if hasattr(source, "check_connection"):
         source.check_connection()
     run_sql(spark, job.pre_sql)
+    moment = source.pin() if hasattr(source, "pin") else None
     tables = co.exclude_tables(co.filter_tables(co.filter_schemas(source.tables(), job.schemas), job.tables),
                                job.table_exclusions)
     ordered = co.prioritized_tables(tables, job.table_priorities, job.tables_split)
@@ -417,6 +428,7 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     job_doc = job.to_dict()
     if not job_doc.get("timezone"):
         job_doc["timezone"] = spark.conf.get("spark.sql.session.timeZone", None)
+    job_doc["readMoment"] = moment
     path = write_job_manifest(job_doc, roll_rows, failed, runtime_ms,
                               f"{job.destination.rstrip('/')}/{manifest_name}",
                               stats.orderBy("schema", "table", "query_id").toLocalIterator())

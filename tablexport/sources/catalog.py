@@ -18,7 +18,9 @@ Metadata frames (small: one row per table or column):
 
 from __future__ import annotations
 
+import itertools
 import os
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -269,12 +271,42 @@ def sqlserver_row_counts_sql(catalog: str | None) -> str:
 
 ORACLE_PARTITIONS_SQL = """
 SELECT p.TABLE_OWNER AS schema_name, p.TABLE_NAME AS table_name, p.PARTITION_NAME AS partition_name,
-       p.PARTITION_POSITION AS position, s.SUBPARTITION_NAME AS subpartition_name
+       p.PARTITION_POSITION AS position, s.SUBPARTITION_NAME AS subpartition_name, s.SUBPARTITION_POSITION AS subposition
 FROM ALL_TAB_PARTITIONS p
 LEFT JOIN ALL_TAB_SUBPARTITIONS s
   ON s.TABLE_OWNER = p.TABLE_OWNER AND s.TABLE_NAME = p.TABLE_NAME AND s.PARTITION_NAME = p.PARTITION_NAME
 """
 
+def sqlserver_partitions_sql(catalog: str | None) -> str:
+    """The storage partitions of heaps and clustered indexes, with the function and column that say where a row is."""
+    from .jdbc import Dialect
+
+    sys = (f"{Dialect('sqlserver').ident(catalog)}." if catalog else "") + "sys"
+    return (f"SELECT s.name AS schema_name, t.name AS table_name, p.partition_number AS position, f.name AS function_name, c.name AS column_name "
+            f"FROM {sys}.partitions p JOIN {sys}.tables t ON t.object_id = p.object_id JOIN {sys}.schemas s ON s.schema_id = t.schema_id "
+            f"JOIN {sys}.indexes i ON i.object_id = p.object_id AND i.index_id = p.index_id "
+            f"JOIN {sys}.partition_schemes ps ON ps.data_space_id = i.data_space_id JOIN {sys}.partition_functions f ON f.function_id = ps.function_id "
+            f"JOIN {sys}.index_columns ic ON ic.object_id = i.object_id AND ic.index_id = i.index_id AND ic.partition_ordinal = 1 "
+            f"JOIN {sys}.columns c ON c.object_id = ic.object_id AND c.column_id = ic.column_id WHERE p.index_id < 2")
+
+
+@dataclass(frozen=True)
+class Stored:
+    """One storage partition (or sub-partition) of a database table: named behind the table (``scope``), or where ``number_sql``, of ``column``, is ``number``."""
+
+    label: str
+    scope: str = ""
+    number_sql: str = ""
+    number: int = 0
+    column: str = ""
+
+    @property
+    def condition(self) -> str:
+        return f"{self.number_sql} = {self.number}" if self.number_sql else ""
+
+
+STORED_BATCH = 100  # storage partitions counted in one query, where each is a scan of its own
+
 
 class JdbcCatalog:
     """A live database through Spark's JDBC source (needs a reachable server).
@@ -284,7 +316,10 @@ class JdbcCatalog:
     reads run one predicate per Spark task (``read_chunks``)."""
 
     def __init__(self, spark: SparkSession, url: str, properties: dict | None = None, flavor: str = "sqlserver",
-                 catalog: str | None = None, fetch_size: int = 2000, dirty_reads: bool = False):
+                 catalog: str | None = None, fetch_size: int = 2000, dirty_reads: bool = False, snapshot: bool | int = False):
+        if snapshot and dirty_reads:
+            raise ValueError("snapshot and dirty_reads exclude each other")
+        self.snapshot, self._moment = snapshot, ""
         self.spark, self.url, self.props, self.flavor = spark, url, dict(properties or {}), flavor
         self.catalog, self.fetch_size = catalog, fetch_size
         if dirty_reads and flavor == "sqlserver":
@@ -296,10 +331,29 @@ class JdbcCatalog:
         from .jdbc import Dialect
         return Dialect(self.flavor)
 
-    def qualified(self, schema: str, table: str) -> str:
+    def qualified(self, schema: str, table: str, scope: str = "") -> str:
+        """The table as a query names it: of a storage partition, and at the pinned moment, if there are such."""
         d = self.dialect
-        scope = f"{d.ident(self.catalog)}." if self.catalog and self.flavor == "sqlserver" else ""
-        return f"{scope}{d.ident(schema)}.{d.ident(table)}"
+        catalog = f"{d.ident(self.catalog)}." if self.catalog and self.flavor == "sqlserver" else ""
+        return f"{catalog}{d.ident(schema)}.{d.ident(table)}{scope}{self._moment}"
+
+    def pin(self) -> str | None:
+        """Let all further queries see one moment (``snapshot``); what it is called, for the manifest.
+
+        Oracle: every query reads AS OF the present system change number, or the one given as ``snapshot``. SQL Server: each
+        connection reads under SNAPSHOT isolation, so a chunk is consistent by itself; for one moment of all of them name a
+        database snapshot as ``catalog``."""
+        if not self.snapshot:
+            return None
+        if self.flavor == "oracle":
+            number = self.snapshot if self.snapshot is not True else \
+                int(self._query("SELECT DBMS_FLASHBACK.GET_SYSTEM_CHANGE_NUMBER AS SCN FROM DUAL").collect()[0][0])
+            self._moment = f" AS OF SCN {int(number)}"
+            return f"SCN {int(number)}"
+        if self.flavor == "sqlserver":
+            self.props["sessionInitStatement"] = "SET TRANSACTION ISOLATION LEVEL SNAPSHOT"
+            return "SNAPSHOT"
+        raise ValueError(f"no snapshot reads for {self.flavor}")
 
     def _props(self) -> dict:
         p = dict(self.props)
@@ -313,8 +367,11 @@ class JdbcCatalog:
 
     def chunk_sql(self, schema: str, table: str, columns: list[str], predicate: str | None) -> str:
         """The SQL text a chunk stands for (reported in the manifest)."""
+        from .jdbc import scope_of
+
         d = self.dialect
-        sql = f"SELECT {', '.join(d.ident(c) for c in columns)} FROM {self.qualified(schema, table)}"
+        scope, predicate = scope_of(predicate)
+        sql = f"SELECT {', '.join(d.ident(c) for c in columns)} FROM {self.qualified(schema, table, scope)}"
         return sql if not predicate else f"{sql} WHERE {predicate}"
 
     def read(self, schema: str, table: str, columns: list[str] | None = None) -> DataFrame:
@@ -350,14 +407,59 @@ class JdbcCatalog:
         lead = f"{over}, " if parts else ""
         names = ", ".join(d.ident(c) for c in [*parts, key])
         counted = f"SELECT {cols}{d.ident(key)} AS tx_k, {d.count()} AS tx_w FROM {self.qualified(schema, table)} WHERE {d.ident(key)} IS NOT NULL GROUP BY {names}"
-        summed = (f"SELECT {lead}tx_k, tx_w, SUM(tx_w) OVER ({by}ORDER BY tx_k ROWS UNBOUNDED PRECEDING) AS tx_cum, "
-                  f"SUM(tx_w) OVER ({by.strip()}) AS tx_total FROM ({counted}) tx_a")
-        cut = f"SELECT {lead}tx_k, tx_w, {d.whole_part(f'(tx_cum * 100 - 1) * {int(n)}', 'tx_total * 100')} AS tx_grp FROM ({summed}) tx_b"
-        got = self._query(f"SELECT {lead}tx_grp, MIN(tx_k) AS tx_lo, MAX(tx_k) AS tx_hi, SUM(tx_w) AS tx_weight FROM ({cut}) tx_c GROUP BY {lead}tx_grp")
+        got = self._query(self._cut_sql(counted, lead, by, n))
         got = got.toDF(*[c.lower() for c in got.columns])  # Oracle gives names back in capitals
         part = [F.struct(*[F.col(f"tx_p{i}").alias(p) for i, p in enumerate(parts)]).alias("part")] if len(parts) > 1 else [F.col("tx_p0").alias("part")] if parts else []
         return got.select(*part, F.col("tx_grp").cast("long").alias("grp"), F.col("tx_lo").alias("lo"), F.col("tx_hi").alias("hi"), F.col("tx_weight").cast("long").alias("weight"))
 
+    def _cut_sql(self, counted: str, lead: str, by: str, n: int) -> str:
+        """A query for the groups of keys that ``counted`` gives with their rows (tx_k, tx_w)."""
+        summed = (f"SELECT {lead}tx_k, tx_w, SUM(tx_w) OVER ({by}ORDER BY tx_k ROWS UNBOUNDED PRECEDING) AS tx_cum, "
+                  f"SUM(tx_w) OVER ({by.strip()}) AS tx_total FROM ({counted}) tx_a")
+        cut = f"SELECT {lead}tx_k, tx_w, {self.dialect.whole_part(f'(tx_cum * 100 - 1) * {int(n)}', 'tx_total * 100')} AS tx_grp FROM ({summed}) tx_b"
+        return f"SELECT {lead}tx_grp, MIN(tx_k) AS tx_lo, MAX(tx_k) AS tx_hi, SUM(tx_w) AS tx_weight FROM ({cut}) tx_c GROUP BY {lead}tx_grp"
+
+    def storage_partitions(self, schema: str, table: str) -> list[Stored]:
+        """The partitions, or sub-partitions where there are any, that the database keeps a table in; the last position first."""
+        d = self.dialect
+        if self.flavor not in ("oracle", "sqlserver"):
+            return []
+        rows = [{k.lower(): v for k, v in r.asDict().items()} for r in
+                self._query(f"SELECT * FROM ({self._partitions_sql()}) d WHERE d.schema_name = {d.string(schema)} AND d.table_name = {d.string(table)}").collect()]
+        rows.sort(key=lambda r: (-r["position"], -(r.get("subposition") or 0)))
+        if self.flavor == "sqlserver":
+            database = f"{d.ident(self.catalog)}." if self.catalog else ""
+            number = lambda r: f"{database}$PARTITION.{d.ident(r['function_name'])}({d.ident(r['column_name'])})"
+            return [Stored(f"partition {r['position']}", "", number(r), int(r["position"]), r["column_name"]) for r in rows]
+        named = lambda r: ("SUBPARTITION", r["subpartition_name"]) if r["subpartition_name"] is not None else ("PARTITION", r["partition_name"])
+        return [Stored(f"{kind.lower()} {name}", f" {kind} ({d.ident(name)})") for kind, name in map(named, rows)]
+
+    def stored_groups(self, schema: str, table: str, key: str, n: int, stored: list[Stored]) -> dict[int, list[tuple]]:
+        """place in ``stored`` -> (lo, hi, weight) of at most ``n`` key ranges each, in key order; partitions without a key have none.
+
+        A partition that a function names is a value to group by, one query for all; a named one is a scan of itself,
+        STORED_BATCH of them to a query."""
+        d = self.dialect
+        k = d.ident(key)
+        counted = []
+        if stored and stored[0].number_sql:
+            place = {x.number: i for i, x in enumerate(stored)}
+            by = stored[0].number_sql
+            counted = [f"SELECT {by} AS tx_p0, {k} AS tx_k, {d.count()} AS tx_w FROM {self.qualified(schema, table)} WHERE {k} IS NOT NULL GROUP BY {by}, {k}"]
+        else:
+            place = {i: i for i in range(len(stored))}
+            one = [f"SELECT {i} AS tx_p0, {k} AS tx_k, {d.count()} AS tx_w FROM {self.qualified(schema, table, x.scope)} WHERE {k} IS NOT NULL GROUP BY {k}"
+                   for i, x in enumerate(stored)]
+            counted = [" UNION ALL ".join(one[i:i + STORED_BATCH]) for i in range(0, len(one), STORED_BATCH)]
+        out: dict[int, list[tuple]] = {}
+        for sql in counted:
+            got = self._query(self._cut_sql(sql, "tx_p0, ", "PARTITION BY tx_p0 ", n))
+            rows = got.toDF(*[c.lower() for c in got.columns]).collect()  # at most n for each partition
+            for r in sorted(rows, key=lambda r: (r["tx_p0"], r["tx_grp"])):
+                if int(r["tx_p0"]) in place:
+                    out.setdefault(place[int(r["tx_p0"])], []).append((r["tx_lo"], r["tx_hi"], int(r["tx_weight"])))
+        return out
+
     def _read_predicates(self, source_sql: str, preds: list[str]) -> DataFrame:
         """One JDBC partition per predicate, in order (isolated for tests)."""
         return self.spark.read.jdbc(self.url, source_sql, predicates=preds, properties=self._props())
@@ -367,14 +469,20 @@ class JdbcCatalog:
         """Exported columns of every chunk; partition i holds predicate i, so the
         chunk number is looked up from the partition id (no shuffle). The
         predicates' key columns travel too (the caller's projection drops them)."""
-        from pyspark.sql import functions as F
+        from .jdbc import scope_of
+
         d = self.dialect
         wanted = list(columns) + [k for k in key_columns if k not in columns]
         cols = ", ".join(d.ident(c) for c in wanted)
-        src = f"(SELECT {cols} FROM {self.qualified(schema, table)}) tx_q"
-        df = self._read_predicates(src, [p for _, p in numbered_preds])
-        nos = F.array(*[F.lit(int(no)).cast("long") for no, _ in numbered_preds])
-        return df.withColumn(chunk_col, F.element_at(nos, F.spark_partition_id() + 1))
+        scoped = [(no, *scope_of(p)) for no, p in numbered_preds]
+        out = None
+        for scope, chunks in itertools.groupby(scoped, lambda c: c[1]):  # a storage partition is a table of its own
+            chunks = list(chunks)
+            df = self._read_predicates(f"(SELECT {cols} FROM {self.qualified(schema, table, scope)}) tx_q", [p for _, _, p in chunks])
+            nos = F.array(*[F.lit(int(no)).cast("long") for no, _, _ in chunks])
+            df = df.withColumn(chunk_col, F.element_at(nos, F.spark_partition_id() + 1))
+            out = df if out is None else out.union(df)
+        return out
 
     def _query(self, sql: str) -> DataFrame:
         return (self.spark.read.format("jdbc").option("url", self.url).option("query", sql)
@@ -420,10 +528,13 @@ class JdbcCatalog:
             out = out.join(want, ["schema", "table"], "left_semi")
         return out
 
+    def _partitions_sql(self) -> str:
+        if self.flavor not in ("oracle", "sqlserver"):
+            raise NotImplementedError(f"no partition dictionary is known for {self.flavor}")
+        return ORACLE_PARTITIONS_SQL if self.flavor == "oracle" else sqlserver_partitions_sql(self.catalog)
+
     def partitions(self) -> DataFrame:
-        if self.flavor != "oracle":
-            raise NotImplementedError("partition listing is read from the Oracle data dictionary")
-        return self._query(ORACLE_PARTITIONS_SQL)
+        return self._query(self._partitions_sql())
 
 
 class SparkCatalogSource:

@@ -16,6 +16,7 @@ import bisect
 import datetime as _dt
 import decimal
 import unicodedata
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -96,6 +97,47 @@ class Dialect:
         return self.string(v)
 
 
+@dataclass(frozen=True)
+class Scoped:
+    """A chunk of one storage partition: ``scope`` stands behind the table's name, None is the whole of it."""
+
+    scope: str
+    predicate: str | None
+
+    def __str__(self) -> str:
+        return f"{self.scope.strip()}: {self.predicate or ''}"
+
+
+def scope_of(chunk) -> tuple[str, str]:
+    """(text behind the table's name, predicate) of a chunk."""
+    if isinstance(chunk, Scoped):
+        return chunk.scope, chunk.predicate or "1 = 1"
+    return "", chunk
+
+
+def stored_chunks(stored: list, groups: dict, key: str, dialect: Dialect, exactly_once: bool) -> list[tuple]:
+    """``(chunk_no, Scoped or predicate, label)`` of every storage partition's key ranges; ids run on.
+
+    As written: each range by its bounds. Exactly once: the ranges of a partition meet, the first one takes what
+    lies before it and NULL keys and the last one what lies behind, so a partition is whole with no residual."""
+    k = dialect.ident(key)
+    out = []
+    for i, part in enumerate(stored):
+        ranges = groups.get(i, [])
+        lows = [dialect.literal(lo) for lo, _, _ in ranges]
+        if not exactly_once:
+            preds = [f"{k} BETWEEN {lo} AND {dialect.literal(r[1])}" for lo, r in zip(lows, ranges)]
+        elif len(ranges) < 2:
+            preds = [None]
+        else:
+            preds = [_not(f"{k} >= {lows[1]}"), *[f"{k} >= {a} AND {k} < {b}" for a, b in zip(lows[1:], lows[2:])], f"{k} >= {lows[-1]}"]
+        for n, p in enumerate(preds):
+            label = part.label + (f" [{ranges[n][0]},{ranges[n][1]}] weight {ranges[n][2]}" if ranges else "")
+            text = " AND ".join(x if x == part.condition else f"({x})" for x in (part.condition, p) if x) or None
+            out.append((len(out) + 1, Scoped(part.scope, text) if part.scope else text or "1 = 1", label))
+    return out
+
+
 def _between_predicates(st: BetweenStrategy, d: Dialect) -> list[tuple[int, str]]:
     c = d.ident(st.spec.column)
     return [(st.offset + i, f"{c} BETWEEN {lo} AND {hi}")
