@@ -212,6 +212,8 @@ _ORACLE = {
     "validate_row_counts": "SELECT 'orders' AS table_name, count(*) AS db_row_count, count(*) AS export_row_count, "
                            "false AS mismatch FROM orders UNION ALL SELECT 'lineitem', count(*), count(*), false FROM lineitem "
                            "UNION ALL SELECT 'customer', count(*), count(*), false FROM customer",
+    "validate_content": "SELECT 'orders' AS table_name, count(*) AS n, count(*) AS n_read, true AS content_match FROM orders "
+                        "UNION ALL SELECT 'lineitem', count(*), count(*), true FROM lineitem",
     "failed_chunks": "SELECT 'orders' AS table_name, 'Completed' AS status, count(*) AS export_row_count, count(*) AS db_row_count "
                      "FROM orders UNION ALL SELECT 'part', 'Failed', 0, count(*) FROM part",
     "export_all_tables": " UNION ALL ".join(

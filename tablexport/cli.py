@@ -77,6 +77,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--as-written", action="store_true", help="mirror the chunk lists exactly (overlaps, gaps)")
     p.add_argument("--primary-key", action="append", help="table=col1,col2 (key used for balanced chunks)")
     p.add_argument("--partition-column", action="append", help="table=col (balanced chunks per value)")
+    p.add_argument("--content-check", action="store_true", help="read the files again and hold them against the rows as read")
     p.add_argument("--resume", action="store_true", help="skip chunks already committed in the destination")
     p.add_argument("--retry-waits", default="5,25,125,625",
                    help="seconds to wait before each retry of a failed table (comma-delimited, empty = no retry)")
@@ -99,7 +100,7 @@ def job_from_args(a: argparse.Namespace) -> ExportJob:
         flavor=a.flavor, string_datetime=a.datetime_string, string_datetime_suffix=a.datetime_string_suffix,
         filename_pattern=a.filename_pattern, fetch_rows=a.fetch_row_count, avro_size=a.avro_size, codec=a.avro_codec,
         tidy_tables=a.tidy_tables, continue_on_exception=a.continue_on_exception, increment_factor=a.increment_factor,
-        exactly_once=not a.as_written, retry_waits=tuple(int(x) for x in _list(a.retry_waits)))
+        exactly_once=not a.as_written, content_check=a.content_check, retry_waits=tuple(int(x) for x in _list(a.retry_waits)))
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import chunk_id_col
 
 FILES_SCHEMA = ("catalog string, schema string, table string, chunk long, name string, path string, rows long, "
-                "bytes long, plain_bytes long, start string, end string, task long, run_id string, plan string, key string")
+                "bytes long, plain_bytes long, start string, end string, task long, run_id string, plan string, key string, content string")
 
 
 def read_file_index(spark: SparkSession, destination: str) -> DataFrame:
@@ -94,12 +94,19 @@ def table_rollup(stats: DataFrame, tables: DataFrame | None = None) -> DataFrame
     return r
 
 
-def validate_row_counts(rollup: DataFrame, counts: DataFrame) -> DataFrame:
-    """Exported rows next to the source row count, with a mismatch flag."""
+def validate_row_counts(rollup: DataFrame, counts: DataFrame, contents: DataFrame | None = None) -> DataFrame:
+    """Exported rows next to the source row count, with a mismatch flag.
+
+    ``contents`` (schema, table, content_match per chunk; see ``content.check_content``) adds
+    ``content_mismatch``: whether files of the table hold other values than were read."""
     j = counts.join(rollup.select("schema", "table", "export_row_count"), ["schema", "table"], "left")
+    more = []
+    if contents is not None:
+        wrong = contents.groupBy("schema", "table").agg((~F.every("content_match")).alias("content_mismatch"))
+        j, more = j.join(wrong, ["schema", "table"], "left"), ["content_mismatch"]
     return j.select("schema", "table", F.col("row_count").alias("db_row_count"),
                     F.coalesce("export_row_count", F.lit(0).cast("long")).alias("export_row_count"),
-                    (F.col("row_count") != F.coalesce("export_row_count", F.lit(0).cast("long"))).alias("mismatch"))
+                    (F.col("row_count") != F.coalesce("export_row_count", F.lit(0).cast("long"))).alias("mismatch"), *more)
 
 
 def split_audit(times: DataFrame) -> DataFrame:

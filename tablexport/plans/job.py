@@ -20,6 +20,7 @@ DEFAULT_UNION_BATCH = 100
 DEFAULT_DATETIME_SUFFIX = "__dt_str"
 DEFAULT_FILENAME_PATTERN = "%{SCHEMA}.%{TABLE}.avro"
 DEFAULT_COMMIT_CHUNKS = 256
+DEFAULT_MANIFEST_CHUNKS = 10_000
 DEFAULT_RETRY_WAITS = (5, 25, 125, 625)
 
 
@@ -56,6 +57,8 @@ class ExportJob:
     commit_chunks: int = DEFAULT_COMMIT_CHUNKS  # chunks to a commit of a database table (its own queries either way), 0 = the whole table
     commit_chunks_files: int = 0  # the same for files, where each commit is a scan
     max_commits: int = 0  # a run stops a table after so many commits and leaves the rest to a resumed one, 0 = no limit
+    content_check: bool = False  # read every committed file again and hold it against the rows as read from the source
+    manifest_chunks: int = DEFAULT_MANIFEST_CHUNKS  # a run of more chunks has them in its chunk dataset alone, not listed in job.json too
     timezone: str | None = None
 
     def __post_init__(self):

@@ -20,6 +20,7 @@ from .session import local_df
 from .functions.columns import chunk_id_col, convert_datetimes, pattern_col, tidy_name_col
 from .operators import catalog_ops as co
 from .operators.balance import assign_balanced, balanced_chunk_table, balanced_groups
+from .operators.content import check_content
 from .operators.stats import read_file_index, split_audit, validate_row_counts
 from .operators.union_batches import union_batches
 from .plans.chunks import CombosStrategy, plan_table
@@ -378,6 +379,15 @@ def validate_row_counts_q(spark, sf):
     return v.select(F.col("table").alias("table_name"), "db_row_count", "export_row_count", "mismatch")
 
 
+def validate_content(spark, sf):
+    """Every chunk of lineitem (balanced) and orders (yearly), summed by table: rows as written and as read back, and whether the files hold the values that were read."""
+    job, _ = _export_orders(spark, sf, "content", tables=("dbo.orders", "dbo.lineitem"), column_exclusions=(), content_check=True,
+                            split_strategies=(YEARLY, "lineitem,between,l_orderkey,number,1000"))
+    out = [check_content(spark, job.destination, (None, "dbo", t)).withColumn("table_name", F.lit(t)) for t in ("orders", "lineitem")]
+    return out[0].unionByName(out[1]).groupBy("table_name").agg(
+        F.sum("rows").alias("n"), F.sum("read_rows").alias("n_read"), F.every("content_match").alias("content_match"))
+
+
 def failed_chunks(spark, sf):
     """One table of two cannot be split: what is exported of each, next to what is there."""
     job, res = _export_orders(spark, sf, "failed", tables=("dbo.orders", "dbo.part"), continue_on_exception=True,
@@ -501,6 +511,7 @@ QUERIES = {
     "query_stats": query_stats_q,
     "table_rollup": table_rollup_q,
     "validate_row_counts": validate_row_counts_q,
+    "validate_content": validate_content,
     "failed_chunks": failed_chunks,
     "pre_post_sql": pre_post_sql,
     "export_all_tables": export_all_tables,

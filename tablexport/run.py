@@ -32,6 +32,7 @@ from .session import local_df
 from .functions.columns import chunk_id_col, convert_datetimes, expand_pattern, tidy_columns
 from .operators import catalog_ops as co
 from .operators.balance import assign_balanced, balanced_chunk_table, balanced_groups, balanced_predicates
+from .operators.content import HASH_COL, check_content, row_hash
 from .operators.stats import query_stats, read_file_index, table_rollup, with_planned_chunks
 from .operators.union_batches import union_batches
 from .plans.chunks import plan_table
@@ -72,6 +73,7 @@ class TableResult:
     chunk_labels: DataFrame | None = None
     plan: str | None = None  # fingerprint of the chunks
     failed_chunks: list = field(default_factory=list)  # (chunk number, query, error)
+    content_mismatch: bool | None = None  # files hold other values than were read; None: not checked
     complete: bool = True  # every chunk of the plan is committed
 
 
@@ -278,6 +280,8 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
         if chunk_col and unionize:
             out = union_batches(out, [c for c in out.columns if c != chunk_col], chunk_col, job.union_batch, chunk_col)
             clustered = False  # the de-duplication shuffle hashed rows on their values, not on the batch
+        if job.content_check:
+            out = out.withColumn(HASH_COL, row_hash(out, [c for c in out.columns if c != chunk_col]))
         if cluster and chunk_col and not clustered:
             # rows of one chunk are spread over the scan's tasks: cluster them (AQE splits a skewed chunk)
             out = out.hint("rebalance", chunk_col)
@@ -293,6 +297,8 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
             w = w.option("catalog", res.catalog)
         if chunk_col:
             w = w.option("chunk_col", chunk_col)
+        if job.content_check:
+            w = w.option("hash_col", HASH_COL)
         w.save()
 
     def save(wave: list) -> None:
@@ -339,6 +345,12 @@ def export_table(spark: SparkSession, job: ExportJob, source, cols_rows: list, s
     res.complete = left <= 0 and not res.failed_chunks
     if (stale or waiting) and res.complete:
         commit_log.publish(fs, root, f"{run_id}-{uuid.uuid4().hex[:8]}", name, planned, stale)
+    if job.content_check:
+        wrong = [r["chunk"] for r in check_content(spark, job.destination, name).where("not content_match").orderBy("chunk").select("chunk").collect()]
+        res.content_mismatch = bool(wrong)
+        if wrong and not job.continue_on_exception:
+            raise RuntimeError(f"{schema}.{table}: {len(wrong)} chunks hold other values than were read, the first is {wrong[0]}")
+        res.failed_chunks += [(no, None, "the files hold other values than were read") for no in wrong]
     return res
 
 
@@ -416,10 +428,12 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
         "catalog string, schema string, table string, db_row_count long, table_query_count long, "
         "split_strategies array<string>, strategy string")
     rollup = table_rollup(stats, info)
-    write_chunk_stats(stats, job.destination)
+    write_chunk_stats(stats, job.destination, run_id)
     roll_rows = [row.asDict(recursive=True) for row in rollup.collect()]  # one row per table
     unsupported = {(r["schema"], r["table"]): r["unsupported"] for r in co.unsupported_columns(source.columns(todo)).collect()}
+    checked = {(r.schema, r.table): r.content_mismatch for r in results}
     for entry in roll_rows:
+        entry["contentMismatch"] = checked.get((entry["schema"], entry["table"]))
         entry["unsupportedColumns"] = unsupported.get((entry["schema"], entry["table"]))
         entry["rowCountMismatch"] = None if entry.get("db_row_count") is None else entry["db_row_count"] != entry["export_row_count"]
     failed = [{"schema": r.schema, "table": r.table, "error": r.error} for r in results if not r.ok]
@@ -429,9 +443,11 @@ def export_database(spark: SparkSession, job: ExportJob, source, threads: int =
     if not job_doc.get("timezone"):
         job_doc["timezone"] = spark.conf.get("spark.sql.session.timeZone", None)
     job_doc["readMoment"] = moment
+    job_doc["runId"] = run_id
+    few = sum(r.table_query_count for r in results) <= job.manifest_chunks
     path = write_job_manifest(job_doc, roll_rows, failed, runtime_ms,
                               f"{job.destination.rstrip('/')}/{manifest_name}",
-                              stats.orderBy("schema", "table", "query_id").toLocalIterator())
+                              [r.asDict(recursive=True) for r in stats.collect()] if few else None)
     if resume and job.exactly_once and not job.continue_on_exception:  # a resumed run must not pass for whole when it isn't
         whole = {(r.schema, r.table) for r in results if r.complete and f"{r.schema}.{r.table}" not in job.unionize}
         short = [e for e in roll_rows if e["rowCountMismatch"] and (e["schema"], e["table"]) in whole]

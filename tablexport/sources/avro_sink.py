@@ -25,11 +25,14 @@ Write (one Spark job, every task writes its own files)::
 * mode ``overwrite`` replaces what earlier writes put there for the same
   catalog, schema and table, in the one move that makes the commit;
 * ``staged`` writes a commit that ``commit_log.publish`` makes visible later; ``keys`` (JSON,
-  chunk number to key) names the chunks of this write, those without a row included.
+  chunk number to key) names the chunks of this write, those without a row included;
+* ``hash_col`` names a column of 64-bit row hashes: it is not written, its sum modulo 2^64 is
+  each file's ``content`` in the commit (see ``operators.content``).
 
 Read: ``spark.read.format("tablexport_avro").load(dir)`` — one input
 partition per file, schema from the first file's header; option ``glob``
-(e.g. ``dbo.orders-*``) picks one table out of a shared destination. A
+(e.g. ``dbo.orders-*``) picks one table out of a shared destination, ``of_table`` (JSON:
+catalog, schema, table) does so by the index; ``file_col`` adds each row's file name. A
 folder without an index is read as it is listed.
 """
 
@@ -104,6 +107,7 @@ class _Open:
     rows: int = 0
     plain: int = 0
     start: str = ""
+    content: int = 0  # sum of the row hashes modulo 2^64
 
 
 class AvroWriter(DataSourceArrowWriter):
@@ -111,6 +115,7 @@ class AvroWriter(DataSourceArrowWriter):
         self.path = options["path"]
         self.chunk_col = options.get("chunk_col") or None
         self.pattern = options.get("pattern", "%{SCHEMA}.%{TABLE}.avro")
+        self.hash_col = options.get("hash_col") or None
         self.catalog = options.get("catalog") or None
         self.schema_name = options.get("schema") or None
         self.table = options.get("table", "table")
@@ -157,7 +162,7 @@ class AvroWriter(DataSourceArrowWriter):
             info = fs.get_file_info(o.tmp_path)
             done.append({"chunk": int(o.chunk), "name": o.name, "tmp": o.tmp_path, "rows": o.rows,
                          "bytes": int(info.size), "plain_bytes": o.plain, "start": o.start, "end": _now(),
-                         "task": pid})
+                         "task": pid} | ({"content": str(o.content)} if self.hash_col else {}))
 
         def open_new(chunk: int) -> _Open:
             seq[chunk] = seq.get(chunk, 0) + 1
@@ -183,7 +188,8 @@ class AvroWriter(DataSourceArrowWriter):
                 for a in range(0, data.num_rows, step):
                     emit(chunk, _compact(data.slice(a, step)))
                 return
-            plain = ac.encode_rows(data)
+            hashes, values = _split_off(data, self.hash_col)
+            plain = ac.encode_rows(values)
             if len(plain) > limit and data.num_rows > 1:
                 half = data.num_rows // 2
                 emit(chunk, _compact(data.slice(0, half)))
@@ -198,6 +204,8 @@ class AvroWriter(DataSourceArrowWriter):
             o.stream.write(ac.block(data.num_rows, plain, self.codec, o.sync))
             o.rows += data.num_rows
             o.plain += len(plain)
+            if hashes is not None:
+                o.content = (o.content + int(hashes.to_numpy(zero_copy_only=False).view(np.uint64).sum(dtype=np.uint64))) % (1 << 64)
 
         # buffer per chunk and encode whole blocks (at most MAX_PENDING_BYTES buffered per task, largest first)
         pending: dict[int, list] = {}
@@ -233,15 +241,12 @@ class AvroWriter(DataSourceArrowWriter):
             if batch.num_rows == 0:
                 continue
             if self.chunk_col:
-                ci = batch.schema.get_field_index(self.chunk_col)
-                chunks = batch.column(ci).to_numpy(zero_copy_only=False)
-                data = batch.drop_columns([self.chunk_col]) if hasattr(batch, "drop_columns") else \
-                    pa.RecordBatch.from_arrays([c for i, c in enumerate(batch.columns) if i != ci],
-                                               names=[n for i, n in enumerate(batch.schema.names) if i != ci])
+                chunks, data = _split_off(batch, self.chunk_col)
+                chunks = chunks.to_numpy(zero_copy_only=False)
             else:
                 chunks, data = None, batch
             if schema_json is None:
-                schema_json = ac.avro_schema(data.schema, self.record_name, self.namespace)
+                schema_json = ac.avro_schema(_split_off(data, self.hash_col)[1].schema, self.record_name, self.namespace)
             if chunks is None:
                 emit(1, data)
                 continue
@@ -287,6 +292,14 @@ class AvroWriter(DataSourceArrowWriter):
             pass
 
 
+def _split_off(batch: pa.RecordBatch, name: str | None):
+    """(column ``name``, the others); (None, the batch) without a name."""
+    if not name:
+        return None, batch
+    i = batch.schema.get_field_index(name)
+    return batch.column(i), batch.select([k for k in range(batch.num_columns) if k != i])
+
+
 def _compact(batch: pa.RecordBatch) -> pa.RecordBatch:
     """A slice's own rows alone, so that its ``nbytes`` counts no others."""
     return batch.take(pa.array(np.arange(batch.num_rows)))
@@ -314,15 +327,15 @@ def _spark_type(t) -> str:
     return _SPARK_TYPES[t]
 
 
-def list_avro_files(path: str, pattern: str | None = None) -> list[str]:
-    """The committed ``.avro`` files under ``path`` (optionally matching a glob on the name).
+def list_avro_files(path: str, pattern: str | None = None, table: tuple | None = None) -> list[str]:
+    """The committed ``.avro`` files under ``path`` (optionally matching a glob on the name, or of one (catalog, schema, table)).
 
     Where there is an index it says which files those are; a folder without one is listed."""
     import fnmatch
     from pyarrow import fs as pafs
     fs, root = _fs(path)
     if commit_log.read_log(fs, root):
-        names = {r["name"] for r in commit_log.records(fs, root) if r.get("name")}
+        names = {r["name"] for r in commit_log.records(fs, root, table) if r.get("name")}
         return sorted(f"{root}/{n}" for n in names
                       if pattern is None or fnmatch.fnmatch(n, pattern) or fnmatch.fnmatch(os.path.basename(n), pattern))
     sel = pafs.FileSelector(root, recursive=False)
@@ -400,21 +413,27 @@ def _arrow_column(values: list, avro_t):
                              "double": pa.float64(), "string": pa.string(), "bytes": pa.binary()}[base])
 
 
+def _committed(options: dict) -> list[str]:
+    table = options.get("of_table")
+    return list_avro_files(options["path"], options.get("glob"), tuple(json.loads(table)) if table else None)
+
+
 class AvroReader(DataSourceReader):
     def __init__(self, options: dict):
+        self.options = options
         self.path = options["path"]
-        self.glob = options.get("glob")
+        self.file_col = options.get("file_col")
         self.split_bytes = options.get("split_bytes")
 
     def partitions(self):
         fs, _ = _fs(self.path)
-        files = list_avro_files(self.path, self.glob)
+        files = _committed(self.options)
         sizes = [(p, fs.get_file_info(p).size) for p in files]
         sb = self.split_bytes
         return plan_splits(sizes, int(sb) if sb else None)
 
     def read(self, partition):
-        fs, _ = _fs(self.path)
+        fs, root = _fs(self.path)
         with fs.open_input_file(partition.path) as f:
             schema, codec, sync, hlen = ac.read_header(f)
             first = _seek_block(f, partition.start, hlen, sync)
@@ -425,7 +444,10 @@ class AvroReader(DataSourceReader):
             types = [fd["type"] for fd in schema["fields"]]
             for count, cols in ac.iter_columns(f, schema, codec, sync, stop=partition.end):
                 if count:
-                    yield pa.RecordBatch.from_arrays([_arrow_column(c, t) for c, t in zip(cols, types)], names=names)
+                    arrays = [_arrow_column(c, t) for c, t in zip(cols, types)]
+                    if self.file_col:
+                        arrays.append(pa.array([partition.path[len(root) + 1:]] * count))
+                    yield pa.RecordBatch.from_arrays(arrays, names=names + [self.file_col] * bool(self.file_col))
 
 
 class AvroDataSource(DataSource):
@@ -434,13 +456,14 @@ class AvroDataSource(DataSource):
         return FORMAT
 
     def schema(self):
-        files = list_avro_files(self.options["path"], self.options.get("glob"))
+        files = _committed(self.options)
         if not files:
             raise FileNotFoundError(f"no .avro files under {self.options['path']}")
         fs, _ = _fs(self.options["path"])
         with fs.open_input_file(files[0]) as f:
             schema, _, _, _ = ac.read_header(f)
-        return ", ".join(f"`{fd['name']}` {_spark_type(fd['type'])}" for fd in schema["fields"])
+        columns = [f"`{fd['name']}` {_spark_type(fd['type'])}" for fd in schema["fields"]]
+        return ", ".join(columns + [f"`{c}` string" for c in [self.options.get("file_col")] if c])
 
     def reader(self, schema):
         return AvroReader(self.options)

@@ -3,8 +3,9 @@
 ``job.json`` (pretty-printed): the job definition, one roll-up entry per
 table (``outputList``), failed tables (``failedAvro``) and ``runtimeMs``;
 times as ``yyyy-MM-dd HH:mm:ss``. Per-chunk statistics are a JSON dataset written by Spark next to it
-(``_manifest/chunks/``, one ``Id- <id>: query- <chunk>`` line per chunk) and
-are listed inline (``queries``, ``statisticsList``), streamed table by table.
+(``_manifest/chunks/``, one ``Id- <id>: query- <chunk>`` line per chunk, with the ``run_id``), which
+``chunkStatistics`` names; each executor writes its own part of it. A run of at most ``manifest_chunks`` chunks also has them
+inline (``queries``, ``statisticsList``): more never reach the driver. ``manifest_chunks`` reads the dataset.
 
 Resume: planned chunks ``left_anti`` the chunks already in the manifest
 file index = what is still to do.
@@ -13,7 +14,6 @@ file index = what is still to do.
 from __future__ import annotations
 
 import datetime as _dt
-import itertools
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .avro_sink import _fs
 
 TS_FORMAT = "%Y-%m-%d %H:%M:%S"
+CHUNKS = "_manifest/chunks"  # below the destination
 
 
 def _json_default(o):
@@ -32,42 +33,37 @@ def _json_default(o):
     return str(o)
 
 
-def write_chunk_stats(stats: DataFrame, destination: str) -> str:
+def write_chunk_stats(stats: DataFrame, destination: str, run_id: str) -> str:
     """Per-chunk statistics (with their ``label``) as a Spark-written JSON dataset (distributed)."""
     out = stats.withColumn("query", F.concat(F.lit("Id- "), F.col("query_id"), F.lit(": query- "),
                                              F.coalesce(F.col("label"), F.lit(""))))
-    path = f"{destination.rstrip('/')}/_manifest/chunks"
     out.withColumn("start_time", F.date_format("start_time", "yyyy-MM-dd HH:mm:ss")) \
        .withColumn("end_time", F.date_format("end_time", "yyyy-MM-dd HH:mm:ss")) \
-       .write.mode("append").json(path)
-    return path
+       .withColumn("run_id", F.lit(run_id)) \
+       .write.mode("append").json(f"{destination.rstrip('/')}/{CHUNKS}")
+    return CHUNKS
 
 
 def write_job_manifest(job_dict: dict, rollup_rows: list[dict], failed: list[dict], runtime_ms: int,
-                       path: str, chunks=()) -> str:
-    """Write the pretty-printed job manifest.
-
-    ``chunks`` yields the chunk statistics ordered by schema and table; the
-    driver holds one table's chunks at a time, and the layout is the same
-    for any number of them."""
-    doc = dict(job_dict) | {"failedAvro": failed, "runtimeMs": int(runtime_ms)}
-    dump = lambda x: json.dumps(x, indent=2, default=_json_default)
-    by_table = {(r["schema"], r["table"]): r for r in rollup_rows}
+                       path: str, chunks: list | None) -> str:
+    """Write the pretty-printed job manifest: the job, a roll-up for each table, the failures.
+
+    ``chunks``: the chunk statistics to list inline, few by the job's ``manifest_chunks``; None leaves them to the dataset."""
+    by_table: dict = {}
+    for r in chunks or ():
+        by_table.setdefault((r["schema"], r["table"]), []).append(r)
+    tables = []
+    for entry in sorted(rollup_rows, key=lambda r: (r["schema"], r["table"])):
+        if chunks is not None:
+            rows = sorted(by_table.get((entry["schema"], entry["table"]), ()), key=lambda r: r["query_id"])
+            entry = entry | {"queries": [f"Id- {r['query_id']}: query- {r.get('label') or ''}" for r in rows],
+                             "statisticsList": [{k: v for k, v in r.items() if k not in ("catalog", "schema", "table", "label")} for r in rows]}
+        tables.append(entry)
+    doc = dict(job_dict) | {"failedAvro": failed, "runtimeMs": int(runtime_ms), "chunkStatistics": CHUNKS, "outputList": tables}
     fs, p = _fs(path)
     fs.create_dir(p.rsplit("/", 1)[0], recursive=True)
     with fs.open_output_stream(p) as out:
-        out.write((dump(doc)[:-2] + ',\n  "outputList": [').encode())
-        first = True
-        for key, rows in itertools.chain(itertools.groupby((r.asDict(recursive=True) for r in chunks), lambda r: (r["schema"], r["table"])),
-                                         [(None, ())]):
-            entries = [by_table.pop(key)] if key in by_table else list(by_table.values()) if key is None else []
-            rows = list(rows)
-            for entry in entries:
-                entry = entry | {"queries": [f"Id- {r['query_id']}: query- {r.get('label') or ''}" for r in rows],
-                                 "statisticsList": [{k: v for k, v in r.items() if k not in ("catalog", "schema", "table", "label")} for r in rows]}
-                out.write(((",\n" if not first else "\n") + dump(entry)).encode())
-                first = False
-        out.write(b"]\n}")
+        out.write(json.dumps(doc, indent=2, default=_json_default).encode())
     return p
 
 
@@ -82,6 +78,12 @@ def manifest_tables(spark: SparkSession, path: str) -> DataFrame:
     return m.select(F.explode("outputList").alias("o")).select("o.*")
 
 
+def manifest_chunks(spark: SparkSession, destination: str, run_id: str | None = None) -> DataFrame:
+    """One row per chunk of a destination's runs (or of one run), as the executors wrote them."""
+    rows = spark.read.json(f"{destination.rstrip('/')}/{CHUNKS}")
+    return rows if run_id is None else rows.where(F.col("run_id") == run_id)
+
+
 def pending_chunks(planned: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Planned chunks not yet in the manifest (``left_anti`` on ``keys``)."""
     return planned.join(done.select(*keys).distinct(), keys, "left_anti")
