@@ -26,8 +26,9 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conversations as calls and results: linked, ordered, validated, as canonical JSON."""
-    return toolcalls.link(*toolcalls.as_calls(table(spark, sf_dir, "conversations")), toolcalls.ANSWER)
+    """The conversations as calls and results: linked, ordered, validated, as canonical JSON; turns of other roles beside them."""
+    turns = table(spark, sf_dir, "conversations")
+    return toolcalls.link(*toolcalls.as_calls(turns), toolcalls.ANSWER, toolcalls.other_turns(turns))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +104,10 @@ j AS (SELECT coalesce(c.conv_id, r.conv_id) AS conv, coalesce(c.turn, r.turn) AS
 SELECT conv_id, depth, turn, conv || ':' || t AS call_id, name, parent_id, n_calls, n_results, linked, validity,
   '{"arguments":' || CASE WHEN name IS NULL THEN 'null' ELSE CAST(to_json({'n_chars': length(text), 'prompt': text}) AS VARCHAR) END || ',' ||
   substr(CAST(to_json({'call_id': conv || ':' || t, 'depth': depth, 'linked': linked, 'name': name, 'result': content, 'validity': validity}) AS VARCHAR), 2) AS json
-FROM j"""
+FROM j
+UNION ALL SELECT conv_id, CAST(NULL AS BIGINT), turn, NULL, role, NULL, 0, 0, 'not_a_call', NULL, '{"arguments":null,"call_id":null,"depth":null,"linked":"not_a_call",' ||
+  substr(CAST(to_json({'name': role, 'result': text, 'validity': CAST(NULL AS VARCHAR)}) AS VARCHAR), 2)
+FROM conversations WHERE coalesce(role, '') NOT IN ('user', 'assistant')"""
 
 ORACLE_SQL = {"op3_tool_calls": _OP3, "op9_license_scan": licenses.oracle_sql(),
               "op11_spelling_variants": spelling.oracle_sql(), "op12_prefix_trie": prefixtrie.oracle_sql(), "op13_embedding_dedup": gridjoin.oracle_sql()}

@@ -54,3 +54,41 @@ def test_empty_tables_and_conversations(spark):
     got = {(r["call_id"], r["linked"], r["depth"], r["n_calls"], r["validity"]) for r in out}
     assert got == {("1:1", "linked", 0, 1, "valid"), ("1:3", "no_result", 1, 2, "valid"), ("2:-1", "orphan_result", None, 0, None),
                    (None, "no_id", 0, 1, "valid")}
+
+
+def test_a_number_has_one_form(spark):
+    groups = [["100", "1e2", "100.0", "1.00E+2", "1000e-1"], ["1", "1.00", "1.0e0"], ["0", "-0", "-0.0", "0e5", "0.000"], ["0.00001", "1e-5", "10E-6"], ["-2.5", "-2.50", "-25e-1"],
+              ["1e300", "10e299"], ["-1.5e-200", "-15e-201"], ["12345678901234567890123456789.125"], ["100000000000000000000", "1e20"]]
+    flat = [(g, t) for g, ts in enumerate(groups) for t in ts]
+    out = {r["call_id"]: r for r in linked(spark, [(0, i, str(i), "add", '{"a": 1, "b": %s, "tags": [%s, {"x": %s}]}' % (t, t, t), None) for i, (_, t) in enumerate(flat)])}
+    text = [out[str(i)]["json"].split(',"call_id"')[0] for i in range(len(flat))]
+    for i, (g, t) in enumerate(flat):
+        assert text[i] == text[[h for h, _ in flat].index(g)] and json.loads(text[i] + "}")["arguments"]["b"] == float(t)
+    assert len(set(text)) == len(groups) and '"b":100,' in text[0] and '"b":0.00001,' in text[13] and '"b":12345678901234567890123456789.125,' in "".join(text)
+    assert {r["validity"] for r in out.values()} == {"valid"}
+    whole = {r["call_id"]: r["validity"] for r in linked(spark, [(0, i, t, "add", '{"a":%s}' % t, None) for i, t in enumerate(["1.00", "1e2", "1e300", "1.5", "15e-1", "1e-3"])])}
+    assert whole == {"1.00": "valid", "1e2": "valid", "1e300": "valid", "1.5": "invalid", "15e-1": "invalid", "1e-3": "invalid"}
+
+
+def test_strings_stay_as_they_are(spark):
+    texts = ['1.00 "2.50" \\ 3e2', "\\", '"', '\\"1.0', "", "\x01\x02 1.0", "\n1.10\t", "é😀 -0", "7.0" * 50_000 + '\\"' * 50_000]
+    out = {r["call_id"]: r["json"] for r in linked(spark, [(0, i, str(i), "say", json.dumps({"text": t, "1.0": [t]}), None) for i, t in enumerate(texts)])}
+    for i, t in enumerate(texts):
+        assert json.loads(out[str(i)])["arguments"] == {"1.0": [t], "text": t}
+
+
+def test_arguments_that_are_no_object_keep_their_text(spark):
+    texts = ["{", '{"a":1,"a":2}', "[1.0]", '"x"', "", "null", "a\\\"\n"]
+    out = {r["call_id"]: r for r in linked(spark, [(0, i, str(i), "add", t, None) for i, t in enumerate([*texts, None])])}
+    assert [json.loads(out[str(i)]["json"])["arguments"] for i in range(len(texts) + 1)] == [*texts, None]
+    assert {r["validity"] for r in out.values()} == {"malformed"}
+
+
+def test_turns_of_other_roles_have_rows(spark):
+    conv = spark.createDataFrame([(1, 0, "system", 's "1.0"', 0), (1, 0, "system", 's "1.0"', 1), (1, 1, "user", "q", 0), (1, None, None, None, 0), (None, 5, "tool", "t", 0)],
+                                 "conv_id long, turn long, role string, text string, json long")
+    out = toolcalls.link(*toolcalls.as_calls(conv), toolcalls.ANSWER, toolcalls.other_turns(conv)).where("linked = 'not_a_call'").collect()
+    got = sorted((str(r["conv_id"]), str(r["turn"]), str(r["name"]), str(json.loads(r["json"])["result"]), r["call_id"], r["depth"], r["n_calls"], r["n_results"], r["validity"]) for r in out)
+    rest = (None, None, 0, 0, None)
+    assert got == [("1", "0", "system", 's "1.0"', *rest)] * 2 + [("1", "None", "None", "None", *rest), ("None", "5", "tool", "t", *rest)]
+    assert toolcalls.other_turns(conv.limit(0)).collect() == []
