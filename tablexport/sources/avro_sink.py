@@ -334,8 +334,9 @@ def list_avro_files(path: str, pattern: str | None = None, table: tuple | None =
     import fnmatch
     from pyarrow import fs as pafs
     fs, root = _fs(path)
-    if commit_log.read_log(fs, root):
-        names = {r["name"] for r in commit_log.records(fs, root, table) if r.get("name")}
+    log = commit_log.read_log(fs, root)
+    if log:
+        names = {r["name"] for r in commit_log.in_force(log, table) if r.get("name")}
         return sorted(f"{root}/{n}" for n in names
                       if pattern is None or fnmatch.fnmatch(n, pattern) or fnmatch.fnmatch(os.path.basename(n), pattern))
     sel = pafs.FileSelector(root, recursive=False)
@@ -346,32 +347,49 @@ def list_avro_files(path: str, pattern: str | None = None, table: tuple | None =
     return sorted(out)
 
 
-class _FilePart(InputPartition):
+@dataclass
+class _FilePart:
     """Byte range [start, end) of one file: the blocks that begin inside it."""
 
-    def __init__(self, path: str, start: int = 0, end: int | None = None):
-        super().__init__((path, start, end))
-        self.path, self.start, self.end = path, start, end
+    path: str
+    start: int = 0
+    end: int | None = None
+
+
+class _Split(InputPartition):
+    """What one task reads: a byte range of a large file, or many small files."""
+
+    def __init__(self, parts: list[_FilePart]):
+        super().__init__(tuple((x.path, x.start, x.end) for x in parts))
+        self.parts = parts
 
 
 MIN_SPLIT = 1 << 20
 MAX_SPLIT = 128 << 20
+OPEN_COST = 64 << 10  # a file counts as so many bytes more
+
 
+def plan_splits(files_sizes: list[tuple[str, int]], split_bytes: int | None = None) -> list[_Split]:
+    """Cut files into byte ranges and put ranges together; by default about 64 tasks overall, of 1-128 MB each.
 
-def plan_splits(files_sizes: list[tuple[str, int]], split_bytes: int | None = None) -> list[_FilePart]:
-    """Cut files into byte ranges; by default about 64 ranges overall, 1-128 MB each."""
-    total = sum(sz for _, sz in files_sizes)
+    The number of tasks goes by the bytes, not by the files: a table of many small chunks is read by few tasks."""
+    total = sum(sz + OPEN_COST for _, sz in files_sizes)
     size = split_bytes or min(MAX_SPLIT, max(MIN_SPLIT, total // 64 + 1))
-    parts = []
+    splits, parts, held = [], [], 0
     for path, sz in files_sizes:
         start = 0
         while True:
             end = start + size
+            cost = min(end, sz) - start + OPEN_COST
+            if parts and held + cost > size:
+                splits.append(_Split(parts))
+                parts, held = [], 0
             parts.append(_FilePart(path, start, None if end >= sz else end))
+            held += cost
             if end >= sz:
                 break
             start = end
-    return parts
+    return splits + [_Split(parts)] * bool(parts)
 
 
 def _seek_block(f, start: int, header_end: int, sync: bytes) -> int | None:
@@ -428,12 +446,16 @@ class AvroReader(DataSourceReader):
     def partitions(self):
         fs, _ = _fs(self.path)
         files = _committed(self.options)
-        sizes = [(p, fs.get_file_info(p).size) for p in files]
+        sizes = [(i.path, i.size) for i in fs.get_file_info(files)]
         sb = self.split_bytes
         return plan_splits(sizes, int(sb) if sb else None)
 
     def read(self, partition):
         fs, root = _fs(self.path)
+        for part in partition.parts:
+            yield from self._read_part(fs, root, part)
+
+    def _read_part(self, fs, root, partition):
         with fs.open_input_file(partition.path) as f:
             schema, codec, sync, hlen = ac.read_header(f)
             first = _seek_block(f, partition.start, hlen, sync)

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablexport.sources import avro_codec as ac
+from tablexport.sources import avro_sink
 from tablexport.sources.avro_sink import FORMAT, register
 
 ROWS = [
@@ -139,3 +140,27 @@ def test_zoned_timestamps_roundtrip(spark, tmp_dest):
     f = sorted(glob.glob(tmp_dest + "/*.avro"))[0]
     _, schema, _ = _jvm_read(spark, f)
     assert schema["fields"][1]["type"][1] == {"type": "long", "logicalType": "timestamp-micros"}
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, tmp_dest):
+    df = spark.range(3000).select(F.col("id"), (F.col("id") % 300).cast("int").alias("chunk"))
+    register(spark)
+    (df.coalesce(1).write.format(FORMAT).mode("append").option("path", tmp_dest).option("chunk_col", "chunk").option("table", "t").save())
+    back = spark.read.format(FORMAT).option("file_col", "file").load(tmp_dest)
+    assert back.select("file").distinct().count() == 300
+    assert sorted(r["id"] for r in back.collect()) == list(range(3000))
+    assert back.rdd.getNumPartitions() <= 64
+
+
+def test_splits_go_by_bytes_and_cover_every_file_once():
+    sizes = [("small%d" % i, 1000 + i) for i in range(2000)] + [("large", 700 << 20), ("empty", 0)]
+    splits = avro_sink.plan_splits(sizes)
+    assert len(splits) < 100
+    ranges = {}
+    for s in splits:
+        assert sum((x.end or dict(sizes)[x.path]) - x.start for x in s.parts) <= avro_sink.MAX_SPLIT
+        for x in s.parts:
+            ranges.setdefault(x.path, []).append((x.start, x.end))
+    assert set(ranges) == set(dict(sizes))
+    for r in ranges.values():
+        assert r[0][0] == 0 and r[-1][1] is None and all(a[1] == b[0] for a, b in zip(r, r[1:]))
